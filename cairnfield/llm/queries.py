@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import secrets, substring, toxicity
+from . import packing, secrets, substring, tokens, toxicity
 from .common import table
 
 
@@ -17,6 +17,21 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(table(spark, sf_dir, "documents"), text_out=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the public tokenizer file lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))

@@ -1,7 +1,6 @@
 """Toxicity scores from a factorization machine over hashed terms.
 
-Terms are words (ASCII case folded) and word beginnings, hashed into a fixed
-table. Beside its linear weight each term has a short vector; the score adds
+Terms are words (ASCII case folded) and word beginnings, known by their hash. Beside its linear weight each term has a short vector; the score adds
 the inner products of all pairs of terms of a text, so a pair such as an insult
 and the mention of a group counts beyond the sum of the two. The model is fit
 on a bounded sample of labelled rows and broadcast; its size is fixed.
@@ -19,11 +18,13 @@ from pyspark.sql import functions as F
 from . import words
 from .common import ship, slices, text_buffers
 
-BITS = 17
 RANK = 6
 #: At most this many labelled rows of each class are used to fit (those whose hashed doc_id is smallest).
-FIT_ROWS = 6_000
-HEAD_BYTES = 6
+FIT_ROWS = 4_000
+#: Lengths in bytes of the word beginnings that are terms of their own.
+HEADS = (4, 6, 8)
+#: A term takes part if its shares in the two classes differ by this many standard errors, and this many fitted texts hold it.
+LEAST_Z, LEAST_TEXTS = 3.5, 3
 
 _GAP = np.ones(256, bool)
 _GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -31,78 +32,98 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
 
-def terms(data: np.ndarray, offsets: np.ndarray):
-    """Distinct hashed terms of each text, as (term, text) with text ascending."""
+def terms(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None = None):
+    """Distinct hashed terms (32 bits) of each text, as (term, text) with text ascending; only those that `wanted` may hold, if given (a table over the low 20 bits)."""
     data = _FOLD[data]
     starts, ends, first = words.spans(data, offsets, _GAP)
     sums = words.prefix_sums(words._BYTE[data], words._P)
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-    whole = words.mix(words.window_values(sums, starts, ends, words._P) ^ (ends - starts).astype(np.uint64), 1)
-    long = ends - starts > HEAD_BYTES
-    heads = words.mix(words.window_values(sums, starts[long], starts[long] + HEAD_BYTES, words._P), 2)
-    size = np.int64(1 << BITS)
-    got = np.r_[text, text[long]] * size + (np.r_[whole, heads] & np.uint64(size - 1)).astype(np.int64)
-    got = np.unique(got)
-    return (got & (size - 1)).astype(np.int32), got >> BITS
+    text = np.repeat(np.arange(len(offsets) - 1, dtype=np.uint64), np.diff(first))
+    got = []
+    for size in (0, *HEADS):
+        use = slice(None) if not size else ends - starts > size
+        s = starts[use]
+        e = ends[use] if not size else s + size
+        h = words.mix(words.window_values(sums, s, e, words._P) ^ (e - s).astype(np.uint64), 1 + size) >> np.uint64(32)
+        t = text[use]
+        if wanted is not None:
+            keep = wanted[h & np.uint64(0xFFFFF)]
+            h, t = h[keep], t[keep]
+        got.append(t << np.uint64(32) | h)
+    got = np.unique(np.concatenate(got))
+    return (got & np.uint64(0xFFFFFFFF)).astype(np.uint32), (got >> np.uint64(32)).astype(np.int64)
 
 
 @dataclass
 class Machine:
-    """bias + sum of w + sum over pairs of <v, v'>, terms scaled by 1 / sqrt(their number in the text), but for the linear part by 1."""
+    """bias + sum of w + sum over pairs of <v, v'> over the distinct terms of a text that `names` (ascending) lists."""
 
     bias: float
+    names: np.ndarray
     w: np.ndarray
     v: np.ndarray
 
+    def wanted(self) -> np.ndarray:
+        table = np.zeros(1 << 20, bool)
+        table[self.names & np.uint32(0xFFFFF)] = True
+        return table
+
+    def own(self, term: np.ndarray, text: np.ndarray):
+        """Terms as indexes of `names`, without those that are not in it."""
+        if not len(self.names):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.names, term), len(self.names) - 1)
+        keep = self.names[at] == term
+        return at[keep], text[keep]
+
     def raw(self, term: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
-        count = np.maximum(np.bincount(text, minlength=n), 1)
-        linear = np.bincount(text, self.w[term], n)
-        squares = np.bincount(text, np.einsum("ij,ij->i", self.v[term], self.v[term]), n)
-        pairs = -squares
+        total = np.bincount(text, self.w[term], n)
         for k in range(self.v.shape[1]):
-            pairs = pairs + np.bincount(text, self.v[term, k], n) ** 2
-        return self.bias + linear + 0.5 * pairs / count
+            total = total + 0.5 * (np.bincount(text, self.v[term, k], n) ** 2 - np.bincount(text, self.v[term, k] ** 2, n))
+        return self.bias + total
 
     def score(self, term: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.raw(term, text, n), -30, 30)))
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, rounds: int = 12, rate: float = 0.15, decay: float = 3e-4, batch: int = 64, seed: int = 7) -> Machine:
-    """AdaGrad on the logistic loss; texts: the distinct terms of each."""
+def fit(texts: list[np.ndarray], labels: np.ndarray, rounds: int = 30, rate: float = 0.2, decay: float = 5e-4, weight: float = 3.0, batch: int = 64, seed: int = 7) -> Machine:
+    """Choose terms, then AdaGrad on the logistic loss; texts: the distinct terms of each; weight: how much a row of class 1 counts."""
     draw = np.random.default_rng(seed)
-    size = 1 << BITS
-    m = Machine(0.0, np.zeros(size), draw.normal(0, 0.02, (size, RANK)))
-    if not len(texts):
-        return m
-    share = float(np.clip(labels.mean(), 0.01, 0.99))
-    m.bias = float(np.log(share / (1 - share)))
-    gw, gv, gb = np.full(size, 1e-6), np.full((size, RANK), 1e-6), 1e-6
-    # a term that few texts have says little: its weight moves less
-    seen = np.bincount(np.concatenate(texts), minlength=size)
-    trust = seen / (seen + 8.0)
+    n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
+    if not n1 or not n0:
+        share = (n1 + 0.5) / (n1 + n0 + 1)
+        return Machine(float(np.log(share / (1 - share))), np.zeros(0, np.uint32), np.zeros(0), np.zeros((0, RANK)))
+    names, where = np.unique(np.concatenate(texts), return_inverse=True)
+    text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    a, b = np.bincount(where, labels[text], len(names)), np.bincount(where, 1 - labels[text], len(names))
+    p = (a + b) / (n1 + n0)
+    z = (a / n1 - b / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
+    chosen = (np.abs(z) >= LEAST_Z) & (a + b >= LEAST_TEXTS)
+    m = Machine(float(np.log(n1 / n0)), names[chosen], np.zeros(chosen.sum()), draw.normal(0, 0.01, (chosen.sum(), RANK)))
+    kept = chosen[where]
+    term, text = (np.cumsum(chosen) - 1)[where[kept]], text[kept]
+    bounds = np.searchsorted(text, np.arange(len(texts) + 1))
+    gw, gv, gb = np.full(len(m.w), 1e-6), np.full(m.v.shape, 1e-6), 1e-6
     for _ in range(rounds):
         order = draw.permutation(len(texts))
         for at in range(0, len(order), batch):
             pick = order[at : at + batch]
             n = len(pick)
-            term = np.concatenate([texts[i] for i in pick])
-            text = np.repeat(np.arange(n), [len(texts[i]) for i in pick])
-            if not len(term):
-                continue
-            count = np.maximum(np.bincount(text, minlength=n), 1)
-            sums = np.stack([np.bincount(text, m.v[term, k], n) for k in range(RANK)], 1)
-            err = m.score(term, text, n) - labels[pick]
-            gb += float((err.mean()) ** 2)
+            own = np.concatenate([term[bounds[i] : bounds[i + 1]] for i in pick])
+            of = np.repeat(np.arange(n), (bounds[1:] - bounds[:-1])[pick])
+            err = (m.score(own, of, n) - labels[pick]) * (1 + (weight - 1) * labels[pick])
+            gb += float(err.mean() ** 2)
             m.bias -= rate * float(err.mean()) / np.sqrt(gb)
-            distinct, where = np.unique(term, return_inverse=True)
-            dw = np.bincount(where, err[text]) * trust[distinct] + decay * n * m.w[distinct]
+            if not len(own):
+                continue
+            distinct, back = np.unique(own, return_inverse=True)
+            dw = np.bincount(back, err[of]) / n + decay * m.w[distinct]
             gw[distinct] += dw**2
             m.w[distinct] -= rate * dw / np.sqrt(gw[distinct])
-            scale = (err / count)[text]
             for k in range(RANK):
-                dv = np.bincount(where, scale * (sums[text, k] - m.v[term, k])) + decay * n * m.v[distinct, k]
+                sums = np.bincount(of, m.v[own, k], n)
+                dv = np.bincount(back, err[of] * (sums[of] - m.v[own, k])) / n + 5 * decay * m.v[distinct, k]
                 gv[distinct, k] += dv**2
-                m.v[distinct, k] -= 0.3 * rate * dv / np.sqrt(gv[distinct, k])
+                m.v[distinct, k] -= 0.1 * rate * dv / np.sqrt(gv[distinct, k])
     return m
 
 
@@ -132,15 +153,15 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Machi
     rows = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null").join(F.broadcast(picked), F.col("doc_id") == F.col("l_id")).select("toxic", "text").mapInArrow(_fit_rows, "toxic int, terms binary")
     got = rows.toArrow().to_pydict()
     order = sorted(range(len(got["toxic"])), key=lambda i: (got["toxic"][i], got["terms"][i]))
-    return fit([np.frombuffer(got["terms"][i], np.int32) for i in order], np.array([got["toxic"][i] for i in order], float))
+    return fit([np.frombuffer(got["terms"][i], np.uint32) for i in order], np.array([got["toxic"][i] for i in order], float))
 
 
 def _score(batches, model, threshold: float):
-    w = model.value
+    m = model.value
+    wanted = m.wanted()
     for part in slices(batches, "text"):
         data, offsets = text_buffers(part.column("text"))
-        term, text = terms(data, offsets)
-        score = w.score(term, text, part.num_rows)
+        score = m.score(*m.own(*terms(data, offsets, wanted)), part.num_rows)
         rest = [(n, part.column(n)) for n in part.schema.names]
         yield pa.RecordBatch.from_arrays([c for _, c in rest] + [pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32), pa.int32())], [n for n, _ in rest] + ["tox_score", "tox_predicted"])
 
@@ -154,6 +175,6 @@ def score_toxicity(docs: DataFrame, model: Machine, threshold: float = 0.7) -> D
     spark = docs.sparkSession
     ship(spark)
     docs = docs.drop("tox_score", "tox_predicted")
-    sent = spark.sparkContext.broadcast(Machine(model.bias, model.w.astype(np.float32), model.v.astype(np.float32)))
+    sent = spark.sparkContext.broadcast(model)  # a few thousand terms at most, whatever the corpus
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + ["tox_score double", "tox_predicted int"])
     return docs.mapInArrow(lambda it: _score(it, sent, threshold), schema)
