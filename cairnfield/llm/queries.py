@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, secrets, substring, tokens, toxicity
-from .common import table
+from . import packing, secrets, substring, tokens, toxicity, warc
+from .common import shared_folder, table
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +34,12 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op9_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -43,4 +51,17 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_warc_archive": OP9}
+
+
+OP9 = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN f.first_id <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first_id <> p.page_id THEN f.first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
