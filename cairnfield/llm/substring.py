@@ -126,7 +126,7 @@ def _settle(pdf: pd.DataFrame, size: int) -> pd.DataFrame:
     hit[other[hit[lead]]] = True
     at = np.flatnonzero(hit)
     if not len(at):
-        return pd.DataFrame({"doc_id": pd.Series(dtype="Int64"), "mark": [], "cuts": []})
+        return pd.DataFrame({"doc_id": pd.Series(dtype="Int64"), "mark": pd.Series(dtype="int64"), "cuts": pd.Series(dtype=object)})
     text = np.searchsorted(first, at, "right") - 1
     new = np.r_[True, (at[1:] > at[:-1] + size) | (text[1:] != text[:-1])]
     begin, last = at[new], at[np.r_[new[1:], True]] + size
