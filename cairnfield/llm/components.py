@@ -1,0 +1,47 @@
+"""Connected components of an edge table, by alternating large and small stars."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import cut
+
+
+def _both(edges: DataFrame) -> DataFrame:
+    return edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+
+
+def _large(edges: DataFrame) -> DataFrame:
+    """Each node's larger neighbours are tied to its smallest one."""
+    both = _both(edges)
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+
+
+def _small(edges: DataFrame) -> DataFrame:
+    """Each node's smaller neighbours and itself are tied to the smallest."""
+    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionAll(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+    """(node, root): for each node of an edge (columns a, b) the smallest node that it is connected with.
+
+    Edges to itself and edges with a null end are ignored; repeated edges do no
+    harm. No node's neighbours are gathered: a round takes minima and joins.
+    Stops when a round changes nothing (the logarithm of the longest path, about).
+    """
+    state = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    mark = None
+    for _ in range(rounds):
+        now = state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == mark or not now[0]:
+            break
+        mark = now
+        state = cut(_small(_large(state)))
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
+    return state.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
