@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, jaccard, packing, secrets, substring, tokens, toxicity, warc
+from . import ann, decontam, jaccard, packing, secrets, substring, tokens, toxicity, warc
 from .common import shared_folder, table
 
 
@@ -19,6 +19,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.substring_dedup(table(spark, sf_dir, "documents"), text_out=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
