@@ -92,3 +92,12 @@ def text_buffers(column: pa.Array):
     held = column.buffers()[2]
     data = np.frombuffer(held, np.uint8)[offsets[0] : offsets[-1]] if held is not None and offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
     return data, offsets - offsets[0]
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write df as a table of its own in the shared folder and read it back: cuts the lineage, keeps columns apart."""
+    import uuid
+
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
