@@ -195,7 +195,9 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, last_id: int = 0) ->
     ignored. Ties of length are placed by doc_id, then piece.
     """
     spark = docs.sparkSession
-    sorted_ = pieces(docs, path, capacity, last_id).repartitionByRange("length", "doc_id", "piece").sortWithinPartitions("length", "doc_id", "piece")
+    # range partitioning samples its input first, so the pieces are made before
+    made = cut(pieces(docs, path, capacity, last_id))
+    sorted_ = made.repartitionByRange("length", "doc_id", "piece").sortWithinPartitions("length", "doc_id", "piece")
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
     ranked = cut(sorted_.mapInArrow(_rank, schema + ", rank long").withColumn("part", F.spark_partition_id()))
     # one row for each partition and length in it: lengths lie together, so about the number of partitions plus `capacity`
