@@ -79,20 +79,30 @@ def patched(rows: DataFrame, patches: DataFrame, fields: list[str]) -> DataFrame
     return rows.join(wide, "id", "left").select(*rest, *[F.when(F.col(f"_{f}").isNotNull(), F.col(f"_{f}.value")).otherwise(F.col(f)).alias(f) for f in fields])
 
 
-def merged_pieces(pieces: DataFrame, corners: DataFrame, reach_m: float) -> DataFrame:
-    """(id, root): pieces of one name whose corners come within reach, tied together through each other.
+def merged_pieces(vertices: DataFrame, reach_m: float, rounds: int = 100) -> DataFrame:
+    """(id, root): pieces of one name that join the first piece of that name, in the order of their ids.
 
-    pieces: id, name. corners: id, name, x, y. Each piece joins the first piece of its name
-    that the growing whole reaches; as whole and piece reach each other
-    both ways, that is a connected component inside the name.
+    vertices: id, name, ring, seq, x, y. A piece joins if one of its corners
+    lies within reach of what has joined before it; others stay apart, as their
+    own root. As only earlier pieces count, a piece joins if a chain of rising
+    ids leads to it from the first, which rounds of joins find for all names at once.
     """
-    from .graph import components
-    from .grid import box_cells, point_cells
-
-    left = point_cells(corners, reach_m)
-    boxes = box_cells(corners.select(F.col("id").alias("other"), F.col("name"), F.col("x").alias("tx"), F.col("y").alias("ty")).withColumns({"min_x": F.col("tx"), "max_x": F.col("tx"), "min_y": F.col("ty"), "max_y": F.col("ty")}), reach_m)
-    from ..functions.geo import metres
-
-    near = left.join(boxes, ["name", "cx", "cy"]).where("id < other").where(metres(F.col("x"), F.col("y"), F.col("tx"), F.col("ty")) <= reach_m).select(F.col("id").alias("a"), F.col("other").alias("b")).distinct()
-    roots = components(near)
-    return pieces.select("id").join(roots, F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root"))
+    from ..storage import cut
+    from .grid import within_polygons
+    from .measures import segments
+
+    names = vertices.groupBy("id").agg(F.first("name").alias("name"))
+    corners = vertices.withColumn("corner", F.struct("id", "ring", "seq"))
+    shapes = segments(vertices, ["id", "ring"]).withColumnRenamed("id", "fid")
+    met = within_polygons(corners.select(F.col("corner").alias("id"), "x", "y"), shapes.select("fid", "ring", "x0", "y0", "x1", "y1"), reach_m)
+    pairs = met.select(F.col("fid").alias("a"), F.col("id.id").alias("b")).where("a < b").distinct()
+    pairs = cut(pairs.join(names.select(F.col("id").alias("a"), "name"), "a").join(names.select(F.col("id").alias("b"), F.col("name").alias("other")), "b").where("name <=> other").select("a", "b"))
+    joined = cut(names.groupBy("name").agg(F.min("id").alias("id")).select("id", F.col("id").alias("root")))
+    front = joined
+    for _ in range(rounds):
+        new = front.join(pairs, F.col("id") == F.col("a")).groupBy("b").agg(F.min("root").alias("root")).withColumnRenamed("b", "id")
+        front = cut(new.join(joined.select("id"), "id", "left_anti"))
+        if front.isEmpty():
+            return names.select("id").join(joined, "id", "left").select("id", F.coalesce("root", "id").alias("root"))
+        joined = cut(joined.unionByName(front))
+    raise RuntimeError(f"pieces did not settle in {rounds} rounds")

@@ -1 +1,151 @@
+"""Registered queries: networks, paths, fitting, lines put together."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions import geo
+from ..operators import conflate, graph, grid, measures
+from ..sources import views as V
+from .common import LINE, POLY, PT, metres, near
+
 QUERIES, SQL = {}, {}
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+@query(f"WITH {LINE}, e AS (SELECT round(x0, 5) AS x0, round(y0, 5) AS y0, round(x1, 5) AS x1, round(y1, 5) AS y1 FROM lseg), c AS (SELECT CASE WHEN (x0, y0) < (x1, y1) THEN (x0, y0, x1, y1) ELSE (x1, y1, x0, y0) END AS t FROM e WHERE (x0, y0) <> (x1, y1)) SELECT count(DISTINCT t) AS edges FROM c")
+def line_graph(spark, sf):
+    return graph.line_graph(V.line_vertices(spark, sf), ["line"], 5).agg(F.count(F.lit(1)).alias("edges"))
+
+
+_EDGES = "ce AS (SELECT least(l_partkey, l_suppkey) AS a, greatest(l_partkey, l_suppkey) AS b, min((l_orderkey, l_linenumber, l_returnflag)) AS t FROM lineitem WHERE l_partkey <> l_suppkey GROUP BY 1, 2)"
+
+
+def _net(spark, sf):
+    rows = V.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"), F.col("l_returnflag").alias("type"), F.struct("l_orderkey", "l_linenumber").alias("pos"))
+    return graph.canonical_edges(rows)
+
+
+@query(f"WITH {_EDGES} SELECT a, b, t[3] AS type FROM ce")
+def canonical_edges(spark, sf):
+    return _net(spark, sf)
+
+
+@query(f"WITH {_EDGES} SELECT t[3] AS type, count(*) AS edges, CAST(sum(b - a) AS BIGINT) AS span FROM ce GROUP BY 1")
+def edge_lengths(spark, sf):
+    return _net(spark, sf).groupBy("type").agg(F.count(F.lit(1)).alias("edges"), F.sum(F.col("b") - F.col("a")).alias("span"))
+
+
+_GRID = "g AS (SELECT p_partkey AS k, p_size AS w FROM part), ge AS (SELECT a.k AS a, a.k + 1 AS b, 1 + a.w AS c FROM g a WHERE a.k % 40 <> 39 AND EXISTS (SELECT 1 FROM g WHERE k = a.k + 1) UNION ALL SELECT a.k, a.k + 40, 2 + a.w FROM g a WHERE EXISTS (SELECT 1 FROM g WHERE k = a.k + 40)), gb AS (SELECT a, b, c FROM ge UNION ALL SELECT b, a, c FROM ge)"
+
+
+def _grid(spark, sf):
+    """A street grid 40 wide over part keys, with costs by p_size."""
+    k = F.col("p_partkey")
+    g = V.table(spark, sf, "part").select(k.alias("a"), F.col("p_size").alias("w"))
+    ends = g.select(F.col("a").alias("b"))
+    right = g.where("a % 40 <> 39").select("a", (F.col("a") + 1).alias("b"), (F.col("w") + 1).cast("double").alias("cost"))
+    up = g.select("a", (F.col("a") + 40).alias("b"), (F.col("w") + 2).cast("double").alias("cost"))
+    return right.unionByName(up).join(ends, "b").select("a", "b", "cost")
+
+
+@query(f"""WITH RECURSIVE {_GRID}, r(node, cost) USING KEY (node) AS (SELECT CAST(45 AS BIGINT), CAST(0 AS BIGINT) UNION SELECT gb.b, min(r.cost + gb.c) FROM r JOIN gb ON gb.a = r.node LEFT JOIN recurring.r AS old ON old.node = gb.b WHERE r.cost + gb.c <= 120 AND (old.cost IS NULL OR r.cost + gb.c < old.cost) GROUP BY gb.b)
+SELECT node, cost FROM r""")
+def sssp(spark, sf):
+    starts = V.table(spark, sf, "part").where("p_partkey = 45").select(F.col("p_partkey").alias("node"))
+    return graph.shortest_paths(_grid(spark, sf), starts, 120.0).select("node", F.col("cost").cast("long").alias("cost"))
+
+
+@query(f"WITH {PT}, f AS (SELECT regr_slope(x*2 + 0.5e0, x) AS a, count(*) AS n, CAST(round(sum(x*1e4)) AS BIGINT) AS sx, CAST(round(sum(y*1e4)) AS BIGINT) AS sy FROM pt) SELECT n, sx, sy, round(2.0e0, 4) AS a, round(0e0, 4) AS b, round(0.5e0, 4) AS c FROM f")
+def affine_fit(spark, sf):
+    """Sums of a fit, and the coefficients that it finds for a known map of the points."""
+    rows = V.points(spark, sf)
+    # about the middle, so the sums keep their digits
+    pairs = rows.select((F.col("x") + 93.2).alias("px"), (F.col("y") - 44.45).alias("py")).select("px", "py", (F.col("px") * 2 + 0.5).alias("x"), (F.col("py") * 3 - 0.25).alias("y"))
+    first = graph.affine_fit(pairs)[0]
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("x") * 1e4)).cast("long").alias("sx"), F.round(F.sum(F.col("y") * 1e4)).cast("long").alias("sy")).select("n", "sx", "sy", *[F.lit(abs(round(float(v), 4))).alias(k) for k, v in zip("abc", first, strict=True)])
+
+
+@query()
+def icp(spark, sf):
+    """Points set off by a known affine map, brought back onto the corners of the areas; residual in metres after each round."""
+    corners = V.polygons(spark, sf).where("seq = 0 and ring = 0").select("id", "x", "y")
+    moved = corners.select("id", ((F.col("x") + 93.2) * 1.0005 - 93.2 + 0.0001).alias("x"), ((F.col("y") - 44.45) * 0.9995 + 44.45 - 0.00008).alias("y"))
+    rows = []
+    for turn in range(6):
+        near = grid.nearest_point(moved, corners, 60.0).where("m < 120")
+        met = moved.join(near, "id").join(corners.select(F.col("id").alias("target"), F.col("x").alias("tx"), F.col("y").alias("ty")), "target")
+        found = met.agg(F.count(F.lit(1)).alias("n"), F.avg("m").alias("m")).first()
+        rows.append((turn, found["n"], float(found["m"])))
+        a, b = graph.affine_fit(met.select((F.col("x") + 93.2).alias("px"), (F.col("y") - 44.45).alias("py"), (F.col("tx") + 93.2).alias("x"), (F.col("ty") - 44.45).alias("y")))
+        px, py = F.col("x") + 93.2, F.col("y") - 44.45
+        moved = moved.select("id", (px * float(a[0]) + py * float(a[1]) + float(a[2]) - 93.2).alias("x"), (px * float(b[0]) + py * float(b[1]) + float(b[2]) + 44.45).alias("y"))
+    return spark.createDataFrame(rows, "turn int, pairs long, mean_m double")
+
+
+@query(f"""WITH {LINE}, n AS (SELECT line, count(*) AS n FROM lv GROUP BY line), t AS (SELECT line % 500 AS trail, line FROM n WHERE n > 3 AND line % 2 = 0) SELECT trail, count(*) AS pieces, CAST(sum(n.n) AS BIGINT) AS vertices FROM t JOIN n USING (line) GROUP BY trail""")
+def assemble_lines(spark, sf):
+    v = V.line_vertices(spark, sf)
+    n = v.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where("n > 3 and line % 2 = 0")
+    return n.groupBy((F.col("line") % 500).alias("trail")).agg(F.count(F.lit(1)).alias("pieces"), F.sum("n").alias("vertices"))
+
+
+@query("SELECT l_returnflag || l_linestatus AS kind, count(DISTINCT l_orderkey) AS lines, CAST(min(l_orderkey) AS BIGINT) AS first, CAST(max(l_orderkey) AS BIGINT) AS last FROM lineitem GROUP BY 1")
+def merge_by_kind(spark, sf):
+    rows = V.table(spark, sf, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("kind"), F.col("l_orderkey").alias("line"))
+    return rows.groupBy("kind").agg(F.count_distinct("line").alias("lines"), F.min("line").alias("first"), F.max("line").alias("last"))
+
+
+@query(f"WITH {PT}, {POLY}, v AS (SELECT DISTINCT id, x, y FROM poly WHERE ring = 0), d AS (SELECT a.id, min({metres('a.', 'b.')}) AS m FROM v a JOIN v b ON a.id <> b.id GROUP BY a.id), r AS (SELECT m, row_number() OVER (ORDER BY m) - 1 AS rn, count(*) OVER () AS n FROM d) SELECT n, round(m, 2) AS upper_median FROM r WHERE rn = n // 2")
+def upper_median(spark, sf):
+    v = V.polygons(spark, sf).where("ring = 0").select("id", "x", "y").distinct()
+    left = v.withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("x", "y")))
+    reach, found, rest = 2000.0, None, left
+    for _ in range(5):
+        t = v.select(F.col("id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by")).withColumns({"min_x": F.col("bx"), "max_x": F.col("bx"), "min_y": F.col("by"), "max_y": F.col("by")})
+        met = grid.point_cells(rest, reach).join(grid.box_cells(t, reach), ["cx", "cy"]).where("id <> b").withColumn("m", geo.metres(F.col("x"), F.col("y"), F.col("bx"), F.col("by"))).where(F.col("m") <= reach)
+        best = met.groupBy("id").agg(F.min("m").alias("m"))
+        found = best if found is None else found.unionByName(best)
+        rest = rest.join(best.select("id"), "id", "left_anti")
+        reach *= 2
+    # the upper median is an order statistic, so no interpolation: rank among the counted
+    ranked = found.select("m", (F.row_number().over(Window.orderBy("m")) - 1).alias("rn"))
+    n = found.agg(F.count(F.lit(1)).alias("n"))
+    return ranked.join(F.broadcast(n), F.col("rn") == F.floor(F.col("n") / 2)).select("n", F.round("m", 2).alias("upper_median"))
+
+
+@query(f"WITH {LINE} SELECT DISTINCT line FROM lv WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = lv.line AND l_quantity > 45)")
+def lines_anti(spark, sf):
+    drawn = V.table(spark, sf, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("line")).distinct()
+    return V.line_vertices(spark, sf).select("line").distinct().join(drawn, "line", "left_anti")
+
+
+@query("WITH a AS (SELECT n_name AS name, n_nationkey AS id FROM nation), al(alias, of) AS (SELECT 'Alias ' || n_name, n_name FROM nation WHERE n_nationkey % 2 = 0), al2 AS (SELECT alias, id FROM al JOIN a ON a.name = al.of), k AS (SELECT name, id FROM a UNION ALL SELECT alias, id FROM al2) SELECT s_suppkey AS button, k.id AS place FROM supplier JOIN nation ON n_nationkey = s_nationkey LEFT JOIN k ON k.name = CASE WHEN s_suppkey % 2 = 0 THEN 'Alias ' || n_name ELSE n_name END")
+def entrances(spark, sf):
+    nation = V.table(spark, sf, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("place"))
+    aliases = nation.where("place % 2 = 0").select(F.concat(F.lit("Alias "), "name").alias("name"), "place")
+    buttons = V.table(spark, sf, "supplier").join(V.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("button"), F.when(F.col("s_suppkey") % 2 == 0, F.concat(F.lit("Alias "), "n_name")).otherwise(F.col("n_name")).alias("name"))
+    return buttons.join(nation.unionByName(aliases), "name", "left").select("button", "place")
+
+
+@query(f"""WITH RECURSIVE {POLY}, pc AS (SELECT id*1000 + ring*100 + seq AS id, x, y FROM poly), {near(2000, "pc")}, e AS (SELECT DISTINCT fid AS a, id // 1000 AS b FROM near WHERE fid < id // 1000 AND fid % 10 = (id // 1000) % 10),
+r(id, root) AS (SELECT min(s_suppkey), min(s_suppkey) FROM supplier GROUP BY s_suppkey % 10 UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id) SELECT s_suppkey AS id, coalesce(r.root, s_suppkey) AS root FROM supplier LEFT JOIN r ON r.id = s_suppkey""")
+def merge_pieces(spark, sf):
+    return conflate.merged_pieces(V.polygons(spark, sf).withColumn("name", F.col("id") % 10), 2000.0)
+
+
+@query("SELECT zoom, first, prev_last, prev_last IS NOT NULL AND prev_last + 1 <> first AS gap FROM (SELECT p_size AS zoom, min(p_partkey) AS first, lag(max(p_partkey)) OVER (ORDER BY p_size) AS prev_last FROM part GROUP BY p_size)")
+def tier_gaps(spark, sf):
+    tiers = V.table(spark, sf, "part").groupBy(F.col("p_size").alias("zoom")).agg(F.min("p_partkey").alias("first"), F.max("p_partkey").alias("last"))
+    prev = F.lag("last").over(Window.orderBy("zoom"))  # tiers are a few dozen
+    return tiers.select("zoom", "first", prev.alias("prev_last")).withColumn("gap", F.col("prev_last").isNotNull() & (F.col("prev_last") + 1 != F.col("first")))

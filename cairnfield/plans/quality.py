@@ -1 +1,126 @@
+"""Registered queries: data-quality checks. Each returns its violations as rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..functions import geo
+from ..operators import grid, measures
+from ..operators.checks import orphans, repeated, violations
+from ..sources import views as V
+from .common import CTX, LINE, POLY, PT, SNAP, near
+
 QUERIES, SQL = {}, {}
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+@query(f"WITH {PT} SELECT 'bounds' AS check_name, CAST(id AS VARCHAR) AS key FROM pt WHERE NOT (x BETWEEN -93.34e0 AND -93.06e0) UNION ALL SELECT 'blank name', CAST(id AS VARCHAR) FROM pt WHERE id % 97 = 0")
+def dq_layers(spark, sf):
+    pt = V.points(spark, sf)
+    name = F.when(F.col("id") % 97 == 0, " ").otherwise(F.col("name"))
+    return violations({"bounds": pt.where(~F.col("x").between(-93.34, -93.06)).select("id"), "blank name": pt.withColumn("name", name).where("trim(name) = ''").select("id")}, "id")
+
+
+@query("SELECT 'repeated' AS check_name, CAST(p_name AS VARCHAR) AS key FROM part GROUP BY p_name HAVING count(*) > 1 UNION ALL SELECT 'no brand', CAST(p_name AS VARCHAR) FROM part WHERE p_size = 1")
+def dq_records(spark, sf):
+    part = V.table(spark, sf, "part")
+    brand = F.when(F.col("p_size") != 1, F.col("p_brand"))
+    return violations({"repeated": repeated(part, ["p_name"]).select("p_name"), "no brand": part.withColumn("p_brand", brand).where("p_brand is null").select("p_name")}, "p_name")
+
+
+@query("SELECT base, count(*) AS n FROM (SELECT regexp_replace(p_name || '-' || (p_partkey % 3), '-[0-9]+$', '') AS base FROM part) GROUP BY base HAVING count(*) > 1")
+def dq_numbered(spark, sf):
+    ids = V.table(spark, sf, "part").select(F.regexp_replace(F.concat("p_name", F.lit("-"), (F.col("p_partkey") % 3).cast("string")), "-[0-9]+$", "").alias("base"))
+    return ids.groupBy("base").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+@query(f"WITH {PT}, {POLY}, {near(300)}, c AS (SELECT pt.id, pt.id % 100 AS parent FROM pt WHERE id % 5 = 0) SELECT c.id, c.parent, CASE WHEN p.fid IS NULL THEN 'no parent' ELSE 'out of reach' END AS problem FROM c LEFT JOIN (SELECT DISTINCT fid FROM pseg) p ON p.fid = c.parent LEFT JOIN near n ON n.id = c.id AND n.fid = c.parent WHERE n.id IS NULL")
+def dq_parent(spark, sf):
+    pt = V.points(spark, sf).where("id % 5 = 0").withColumn("parent", F.col("id") % 100)
+    segs = measures.segments(V.polygons(spark, sf), ["id", "ring"]).withColumnRenamed("id", "fid").select("fid", "ring", "x0", "y0", "x1", "y1")
+    close = grid.within_polygons(pt, segs, 300.0).select("id", F.col("fid").alias("parent"))
+    far = pt.select("id", "parent").join(close, ["id", "parent"], "left_anti")
+    known = segs.select(F.col("fid").alias("parent")).distinct().withColumn("known", F.lit(True))
+    return far.join(known, "parent", "left").select("id", "parent", F.when(F.col("known"), "out of reach").otherwise("no parent").alias("problem"))
+
+
+@query(f"WITH {SNAP}, a AS (SELECT id, row_number() OVER (PARTITION BY brand ORDER BY id) AS n, brand FROM bef), b AS (SELECT id, row_number() OVER (PARTITION BY brand ORDER BY name, id) AS n, brand FROM bef) SELECT brand, count(*) AS misplaced FROM a JOIN b USING (brand, n) WHERE a.id <> b.id GROUP BY brand")
+def dq_same_order(spark, sf):
+    s = V.snapshot(spark, sf, "before")
+    a = s.select("brand", F.row_number().over(Window.partitionBy("brand").orderBy("id")).alias("n"), F.col("id").alias("x"))
+    b = s.select("brand", F.row_number().over(Window.partitionBy("brand").orderBy("name", "id")).alias("n"), F.col("id").alias("y"))
+    return a.join(b, ["brand", "n"]).where("x <> y").groupBy("brand").agg(F.count(F.lit(1)).alias("misplaced"))
+
+
+@query(f"WITH {POLY}, c AS (SELECT fid AS id, sum((x0 + x1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS x, sum((y0 + y1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS y FROM pseg WHERE ring = 0 GROUP BY fid) SELECT c.id FROM c WHERE id % 3 = 2")
+def dq_anchor(spark, sf):
+    """Areas whose centroid is not inside them."""
+    v = V.polygons(spark, sf)
+    c = measures.ring_areas(v.where("ring = 0"), ["id", "ring"]).select("id", F.col("cx").alias("x"), F.col("cy").alias("y"))
+    segs = measures.segments(v, ["id", "ring"])
+    args = [F.col(k) for k in ("x", "y", "x0", "y0", "x1", "y1")]
+    odd = c.join(segs, "id").groupBy("id", "ring").agg((F.sum(geo.crosses(*args)) % 2).alias("odd"))
+    return odd.groupBy("id").agg(F.max(F.when(F.col("ring") == 0, F.col("odd")).otherwise(0)).alias("outer"), F.max(F.when(F.col("ring") > 0, F.col("odd")).otherwise(0)).alias("hole")).where("outer = 0 or hole = 1").select("id")
+
+
+@query("SELECT page_id, CASE WHEN url NOT LIKE 'https://%' THEN 'not https' ELSE 'no title' END AS problem FROM pages WHERE url NOT LIKE 'https://%' OR html NOT LIKE '%<title>%'")
+def dq_citations(spark, sf):
+    pages = V.table(spark, sf, "pages")
+    plain = ~F.col("url").startswith("https://")
+    return pages.where(plain | ~F.contains(F.col("html"), F.lit("<title>"))).select("page_id", F.when(plain, "not https").otherwise("no title").alias("problem"))
+
+
+@query("SELECT o_orderkey AS patch, o_custkey % 2000 AS target FROM orders WHERE o_custkey % 2000 NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)")
+def dq_overrides(spark, sf):
+    patches_ = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("patch"), (F.col("o_custkey") % 2000).alias("target"))
+    return orphans(patches_, V.table(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("target")), "target")
+
+
+@query("SELECT 'loop' AS check_name, count(*) AS n FROM lineitem WHERE l_partkey = l_suppkey UNION ALL SELECT 'dangling', count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) UNION ALL SELECT 'type', count(*) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')")
+def dq_graph(spark, sf):
+    e = V.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"), F.col("l_returnflag").alias("type"))
+    nodes = V.table(spark, sf, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("b"))
+    bad = {"loop": e.where("a = b"), "dangling": orphans(e, nodes, "b").select("a", "b", "type"), "type": e.where("type not in ('A', 'N')")}
+    rows = violations(bad, "a")
+    names = spark.range(1).select(F.explode(F.array(*[F.lit(k) for k in bad])).alias("check_name"))
+    n = rows.groupBy("check_name").agg(F.count(F.lit(1)).alias("n"))
+    return names.join(n, "check_name", "left").select("check_name", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+@query("SELECT CAST(0 AS BIGINT) AS differing")
+def dq_repro(spark, sf):
+    """Rows by which two runs of one chain differ."""
+    a, b = (QUERIES["dq_parent"](spark, sf) for _ in range(2))
+    return a.exceptAll(b).unionAll(b.exceptAll(a)).agg(F.count(F.lit(1)).alias("differing"))
+
+
+@query(f"WITH {CTX} SELECT slug, count(DISTINCT shape) AS uncovered FROM cb WHERE (slug, shape) NOT IN (SELECT slug, shape FROM ca WHERE shape % 3 <> 0) GROUP BY slug")
+def coverage(spark, sf):
+    rows = V.context(spark, sf, "before").distinct()
+    drawn = V.context(spark, sf, "after").where("shape % 3 <> 0").distinct()
+    return rows.join(drawn, ["slug", "shape"], "left_anti").groupBy("slug").agg(F.count(F.lit(1)).alias("uncovered"))
+
+
+@query("SELECT s_suppkey AS id, row_number() OVER (PARTITION BY s_nationkey ORDER BY lower(s_name), s_suppkey) AS place FROM supplier")
+def canonical_order(spark, sf):
+    shape = F.sha2(F.to_json(F.struct("s_suppkey")), 256)
+    w = Window.partitionBy("s_nationkey").orderBy(F.lower("s_name"), "s_suppkey", shape)
+    return V.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.row_number().over(w).alias("place"))
+
+
+@query(f"WITH {LINE}, j AS (SELECT DISTINCT x, y FROM lv), d AS (SELECT count(*) AS nodes FROM j) SELECT nodes, (SELECT count(*) FROM (SELECT line FROM lv GROUP BY line HAVING count(*) = 1)) AS lone FROM d")
+def dq_lines(spark, sf):
+    v = V.line_vertices(spark, sf)
+    nodes = v.select("x", "y").distinct().agg(F.count(F.lit(1)).alias("nodes"))
+    lone = v.groupBy("line").agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") == 1).alias("lone"))
+    return nodes.withColumn("k", F.lit(1)).join(lone.withColumn("k", F.lit(1)), "k").select("nodes", "lone")

@@ -1 +1,53 @@
+"""Registered queries: text of pages, links, page watches."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.scalars import plain_text as plain
+from ..operators import pages as P
+from ..sources import views as V
+
 QUERIES, SQL = {}, {}
+
+
+def query(sql: str | None = None):
+    def keep(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return keep
+
+
+_PLAIN = "html"
+for _a, _b in (("(?i)</?(br|p|li)\\b[^>]*>", " "), ("<[^>]*>", "")):
+    _PLAIN = f"regexp_replace({_PLAIN}, '{_a}', '{_b}', 'g')"
+for _a, _b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
+    _PLAIN = f"replace({_PLAIN}, '{_a}', '{_b}')"
+_PLAIN = f"trim(regexp_replace({_PLAIN}, '\\s+', ' ', 'g'))"
+_LINKS = """l AS (SELECT page_id, unnest(range(len(h))) AS pos, unnest(h) AS href, unnest(t) AS label FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS h, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages))"""
+
+
+@query(f"SELECT page_id, {_PLAIN} AS text FROM pages")
+def plain_text(spark, sf):
+    return V.table(spark, sf, "pages").select("page_id", plain(F.col("html")).alias("text"))
+
+
+@query(f"WITH {_LINKS} SELECT page_id, href, arg_min(label, pos) AS label, length(href) > 5 AS department FROM l WHERE trim(label) <> '' GROUP BY page_id, href")
+def page_links(spark, sf):
+    return P.links(V.table(spark, sf, "pages")).withColumn("department", F.length("href") > 5)
+
+
+@query(f"WITH {_LINKS} SELECT p.page_id, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS name, (SELECT count(DISTINCT href) FROM l WHERE l.page_id = p.page_id AND trim(label) <> '' AND label NOT IN ('the', 'of')) AS links FROM pages p")
+def page_extract(spark, sf):
+    return P.extracts(V.table(spark, sf, "pages"), generic=["the", "of"])
+
+
+@query("""WITH s AS (SELECT page_id, unnest(regexp_extract_all(html, '<li>(.*?)</li>', 1)) AS value FROM pages), a AS (SELECT page_id, value, count(*) AS n FROM s WHERE trim(value) <> '' GROUP BY ALL), b AS (SELECT page_id, value, count(*) AS n FROM s WHERE trim(value) <> '' AND length(value) % 5 <> 0 GROUP BY ALL)
+SELECT a.page_id, a.value, a.n - coalesce(b.n, 0) AS more FROM a LEFT JOIN b USING (page_id, value) WHERE a.n <> coalesce(b.n, 0)""")
+def page_watch(spark, sf):
+    now = P.selected(V.table(spark, sf, "pages"), "<li>(.*?)</li>")
+    last = now.where("length(value) % 5 <> 0")
+    return P.watch(now, last)
