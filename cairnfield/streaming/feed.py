@@ -32,14 +32,19 @@ def change_stream(feed: DataFrame) -> DataFrame:
     return feed.groupBy("key").applyInPandasWithState(step, "key long, event_id long, value string, previous string", "last string", "append", GroupStateTimeout.NoTimeout)
 
 
+def _timed(feed: DataFrame) -> DataFrame:
+    """Watermarks need a time with a zone."""
+    return feed.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def fresh_versions(feed: DataFrame, delay: str = "1 hour") -> DataFrame:
     """A stream without re-delivered versions (same event_id within `delay`)."""
-    return feed.withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
+    return _timed(feed).withWatermark("ts", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def quiet_keys(feed: DataFrame, gap: str = "1 day", delay: str = "1 hour") -> DataFrame:
     """(key, last_seen, versions): runs of versions of a key, closed once nothing new came for `gap`: the key is stale from then on."""
-    runs = feed.withWatermark("ts", delay).groupBy("key", F.session_window("ts", gap).alias("w")).agg(F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("versions"))
+    runs = _timed(feed).withWatermark("ts", delay).groupBy("key", F.session_window("ts", gap).alias("w")).agg(F.max("ts").alias("last_seen"), F.count(F.lit(1)).alias("versions"))
     return runs.select("key", "last_seen", "versions")
 
 
