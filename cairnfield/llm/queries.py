@@ -68,8 +68,45 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_warc_archive": OP9}
+    """The others can't be put in SQL (search by sample, SimHash, a tokenizer, packing, a fitted model); tests hold them against plain versions."""
+    return {"op1_secret_scan": OP1, "op2_substring_dedup": OP2, "op6_jaccard_join": OP6, "op9_warc_archive": OP9}
+
+
+#: Matches are put between two marks, so their places follow from the lengths of what lies between.
+OP1 = r"""
+WITH k(kind, rank, pat, least) AS (VALUES
+  ('assign', 0, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 12),
+  ('access', 1, 'AKIA[A-Z0-9]+', 18), ('hex', 2, '[0-9a-f]+', 16)),
+m AS (SELECT doc_id, kind, rank, pat, least, string_split(regexp_replace(coalesce(text, ''), pat, chr(1) || '\0' || chr(2), 'g'), chr(1)) AS parts FROM documents, k),
+u AS (SELECT doc_id, kind, rank, pat, least, unnest(range(len(parts))) AS i, unnest(parts) AS p FROM m),
+s AS (SELECT *, sum(length(p) - CASE WHEN i > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS start FROM u),
+f AS (SELECT doc_id, kind, rank, least, CAST(start AS BIGINT) AS start, split_part(p, chr(2), 1) AS hit, CASE WHEN rank = 0 THEN regexp_extract(split_part(p, chr(2), 1), pat, 2) ELSE split_part(p, chr(2), 1) END AS own FROM s WHERE i > 0),
+g AS (SELECT doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access, count(*) FILTER (WHERE rank = 2) AS n_hex, string_agg(kind || ':' || start || ':' || (start + length(hit)), ',' ORDER BY start, rank) AS spans FROM f WHERE length(own) >= least GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents LEFT JOIN g USING (doc_id)
+"""
+
+_WORDS = r"""w AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos, len(ws) AS n FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents))"""
 
+OP2 = f"""
+WITH {_WORDS},
+g AS (SELECT doc_id, pos, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS win, n FROM w),
+f AS (SELECT win, min(doc_id) AS d FROM g WHERE pos + 13 <= n GROUP BY win),
+r AS (SELECT DISTINCT doc_id, pos + k.k AS pos FROM g JOIN f USING (win), (SELECT unnest(range(13)) AS k) k WHERE g.pos + 13 <= g.n AND f.d < g.doc_id),
+x AS (SELECT w.doc_id, count(*) AS n_words, count(r.pos) AS n_removed, string_agg(CASE WHEN r.pos IS NULL THEN word END, ' ' ORDER BY w.pos) AS kept FROM w LEFT JOIN r USING (doc_id, pos) GROUP BY w.doc_id)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM documents LEFT JOIN x USING (doc_id)
+"""
+
+OP6 = f"""
+WITH RECURSIVE {_WORDS},
+g AS (SELECT doc_id, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS sh, pos, n FROM w),
+s AS (SELECT DISTINCT doc_id, sh FROM g WHERE pos + 5 <= n OR (n < 5 AND pos = 0)),
+c AS (SELECT doc_id, count(*) AS c FROM s GROUP BY doc_id),
+e AS (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id JOIN c ca ON ca.doc_id = a.doc_id JOIN c cb ON cb.doc_id = b.doc_id GROUP BY a.doc_id, b.doc_id, ca.c, cb.c HAVING count(*) >= 0.8e0*(ca.c + cb.c - count(*)) - 1e-9),
+bo AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(node, root) AS (SELECT DISTINCT a, a FROM bo UNION SELECT bo.b, r.root FROM r JOIN bo ON bo.a = r.node),
+l AS (SELECT a, count(*) AS n FROM bo GROUP BY a), m AS (SELECT node, min(root) AS root FROM r GROUP BY node)
+SELECT doc_id, coalesce(root, doc_id) AS class_id, coalesce(n, 0) AS n_links FROM documents LEFT JOIN m ON node = doc_id LEFT JOIN l ON a = doc_id
+"""
 
 OP9 = """
 WITH p AS (
