@@ -28,3 +28,41 @@ def require(checks: DataFrame) -> None:
     found = checks.limit(5).collect()
     if found:
         raise ValueError("; ".join(f"{r['check_name']}: {r['key']}" for r in found))
+
+
+def tagged(rows: DataFrame, tags: DataFrame, category: str) -> DataFrame:
+    """rows (id, name, categories) with each tag (target id or name, value) put on its row; see untagged() for tags that fit none."""
+    by_id = tags.select(F.col("target").alias("id"), F.col("value").alias("_a"))
+    by_name = tags.select(F.col("target").alias("name"), F.col("value").alias("_b"))
+    fit = F.array_contains("categories", category)
+    return rows.join(by_id, "id", "left").join(by_name, "name", "left").select(*rows.columns, F.when(fit, F.coalesce("_a", "_b")).alias("value"))
+
+
+def untagged(rows: DataFrame, tags: DataFrame, category: str) -> DataFrame:
+    """(check_name, key): tags whose target is missing, or lacks the category."""
+    known = rows.select(F.explode(F.array("id", "name")).alias("target"), F.array_contains("categories", category).alias("fit")).groupBy("target").agg(F.max("fit").alias("fit"))
+    met = tags.join(known, "target", "left")
+    return violations({"missing target": met.where("fit is null"), "wrong category": met.where("not fit")}, "target")
+
+
+def parent_names(spots: DataFrame, parents: DataFrame) -> DataFrame:
+    """(check_name, key) for spots (id, name, parent): without a parent among (id, name), or not named for it."""
+    met = spots.join(parents.select(F.col("id").alias("parent"), F.col("name").alias("_owner")), "parent", "left")
+    return violations({"no parent": met.where("_owner is null"), "not named for its parent": met.where(F.col("_owner").isNotNull() & ~F.contains(F.col("name"), F.col("_owner")))}, "id")
+
+
+def only_if(rows: DataFrame, column: str, category: str) -> DataFrame:
+    """(check_name, key) for rows where `column` is set without the category, or the category without `column`."""
+    has, fit = F.col(column).isNotNull(), F.array_contains("categories", category)
+    return violations({f"{column} without {category}": rows.where(has & ~fit), f"{category} without {column}": rows.where(~has & fit)}, "id")
+
+
+def once_each(rows: DataFrame, key: str, value: str, wanted: str) -> DataFrame:
+    """(check_name, key) for keys that don't have the wanted value exactly once."""
+    n = rows.groupBy(key).agg(F.count_if(F.col(value) == wanted).alias("n"))
+    return violations({f"{wanted}: not once": n.where("n <> 1")}, key)
+
+
+def same_values(lines: DataFrame, source: DataFrame, key: list[str], but: list[str], ids: str) -> DataFrame:
+    """(check_name, key) for rows whose key and values the source has not, but for the ids listed in `but`."""
+    return violations({"differs from its source": lines.where(~F.col(ids).isin(but)).join(source.select(*key), key, "left_anti")}, ids)
