@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 
 from . import words
 from .common import cut, ship, slices, text_buffers
-from .components import components
+from ..operators.graph import components
 
-#: Coordinates of a sketch; rows of a bucket that are compared in one go.
-SKETCH, BLOCK = 64, 512
+#: Coordinates of a sketch; rows of a bucket whose sketches, and whose whole sets, are compared in one go.
+SKETCH, BLOCK, WHOLE_BLOCK = 64, 4096, 1024
 _draw = np.random.default_rng(20240229)
 _MULTIPLIERS = _draw.integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -116,6 +116,13 @@ def _edges_of(names: np.ndarray, pairs) -> tuple[np.ndarray, np.ndarray]:
 
 def _compare(batches, least: float, ratio: float):
     """Candidate edges of each bucket: sketches that agree in `least` of all coordinates, sizes no further apart than `ratio`."""
+    tied: dict[int, int] = {}  # what the task has tied so far: an edge that ties nothing new is not sent
+
+    def root(x: int) -> int:
+        while (up := tied.get(x, x)) != x:
+            tied[x] = x = tied.get(up, up)
+        return x
+
     for table in _runs(batches, "bucket"):
         key = table.column("bucket").to_numpy()
         names, sizes, side = table.column("name").to_numpy(), table.column("size").to_numpy(), table.column("side").to_numpy()
@@ -134,11 +141,14 @@ def _compare(batches, least: float, ratio: float):
                 j = np.flatnonzero(ok) + i + 1
                 a.append(np.full(len(j), i))
                 b.append(j)
-            u, v = _edges_of(names[s:e], (np.concatenate(a), np.concatenate(b)))
-            us.append(u)
-            vs.append(v)
-        if us and sum(map(len, us)):
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us), pa.int64()), pa.array(np.concatenate(vs), pa.int64())], ["a", "b"])
+            for u, v in zip(*(x.tolist() for x in _edges_of(names[s:e], (np.concatenate(a), np.concatenate(b)))), strict=True):
+                x, y = root(u), root(v)
+                if x != y:
+                    tied[max(x, y)] = min(x, y)
+                    us.append(u)
+                    vs.append(v)
+        if us:
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["a", "b"])
 
 
 def _coordinate(bucket, turn: int, tries: int):
@@ -266,8 +276,8 @@ def similar_classes(docs: DataFrame, size: int = 5, threshold: float = 0.8, miss
     whole = texts.mapInArrow(lambda it: _sets(it, size), "name long, members binary").groupBy("name").agg(F.first("members").alias("members"))
     mates = mates.drop("one")
     rows = mates.join(whole, "name")
-    small = rows.where(F.col("n") <= block).select("bucket", F.lit(-1).alias("side"), "name", "copies", "members")
-    large = _block_pairs(rows.where(F.col("n") > block), block).select("bucket", "side", "name", "copies", "members")
+    small = rows.where(F.col("n") <= WHOLE_BLOCK).select("bucket", F.lit(-1).alias("side"), "name", "copies", "members")
+    large = _block_pairs(rows.where(F.col("n") > WHOLE_BLOCK), WHOLE_BLOCK).select("bucket", "side", "name", "copies", "members")
     exact = cut(small.unionByName(large).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _verify(it, threshold), "a long, links long, b long"))
     linked = exact.groupBy("a").agg(F.sum("links").alias("links"))
     roots = components(exact.select("a", "b"))
