@@ -11,6 +11,8 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..storage import cut, shared_folder, stored  # noqa: F401
+
 #: Bytes of text that one step inside a task handles at a time.
 SLICE_BYTES = 2 << 20
 
@@ -39,25 +41,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where that is unset (tests on one machine)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        import tempfile
-
-        found = tempfile.mkdtemp(prefix="spark-cairnfield-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: a checkpoint in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 def fan_out(spark: SparkSession) -> int:
     """Groups to deal a table into: follows the shuffle partitions, which the user sizes by the input."""
     return max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -94,10 +77,16 @@ def text_buffers(column: pa.Array):
     return data, offsets - offsets[0]
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table of its own in the shared folder and read it back: cuts the lineage, keeps columns apart."""
-    import uuid
+def smallest(df: DataFrame, key, most: int) -> DataFrame:
+    """At most `most` rows of df, those whose hash `key` (a long column) is smallest: a sample that is the same on every run.
+
+    Rows far above the cut are dropped where they are read, so what is sorted
+    and gathered follows `most`, not the table.
+    """
+    from pyspark.sql import functions as F
 
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    n = df.count()
+    if n > most:
+        share = min(1.0, (most + 6 * most**0.5 + 20) / n)
+        df = df.where(key <= F.lit(int(-(2**63) + share * (2**64 - 1) * (1 - 2**-50))))
+    return df.withColumn("_turn", key).orderBy("_turn").limit(most).drop("_turn")

@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, smallest
 
 # Fixed values of the formats.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -71,7 +71,7 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
 
 def dictionary(pages: DataFrame) -> bytes:
     """Dictionary trained on the records of a bounded sample: the pages with the smallest hash of content. Empty if they are too few."""
-    sample = pages.where(F.length("html") > 0).select(F.substring("html", 1, SAMPLE_BYTES).alias("html"), F.xxhash64("html").alias("h"), "url").orderBy("h", "url").limit(SAMPLE_RECORDS)
+    sample = smallest(pages.where("html <> ''").select("html", F.col("url").cast("string").alias("url")), F.xxhash64("html", "url"), SAMPLE_RECORDS).select(F.substring("html", 1, SAMPLE_BYTES).alias("html"), "url")
     samples = [record(i, r["url"], p := r["html"].encode()[:SAMPLE_BYTES], hashlib.sha256(p).hexdigest(), None) for i, r in enumerate(sample.collect())]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
