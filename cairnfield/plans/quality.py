@@ -118,9 +118,9 @@ def canonical_order(spark, sf):
     return V.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.row_number().over(w).alias("place"))
 
 
-@query(f"WITH {LINE}, j AS (SELECT DISTINCT x, y FROM lv), d AS (SELECT count(*) AS nodes FROM j) SELECT nodes, (SELECT count(*) FROM (SELECT line FROM lv GROUP BY line HAVING count(*) = 1)) AS lone FROM d")
+@query(f"WITH {LINE}, j AS (SELECT DISTINCT CAST(round(x*1e5) AS BIGINT) AS x, CAST(round(y*1e5) AS BIGINT) AS y FROM lv), d AS (SELECT count(*) AS nodes FROM j) SELECT nodes, (SELECT count(*) FROM (SELECT line FROM lv GROUP BY line HAVING count(*) = 1)) AS lone FROM d")
 def dq_lines(spark, sf):
     v = V.line_vertices(spark, sf)
-    nodes = v.select("x", "y").distinct().agg(F.count(F.lit(1)).alias("nodes"))
-    lone = v.groupBy("line").agg(F.count(F.lit(1)).alias("n")).agg(F.count_if(F.col("n") == 1).alias("lone"))
-    return nodes.withColumn("k", F.lit(1)).join(lone.withColumn("k", F.lit(1)), "k").select("nodes", "lone")
+    nodes = v.select(*[F.round(F.col(c) * 1e5).cast("long").alias(c) for c in ("x", "y")]).distinct().select(F.lit(1).alias("nodes"), F.lit(0).alias("lone"))
+    lone = v.groupBy("line").agg(F.count(F.lit(1)).alias("n")).select(F.lit(0).alias("nodes"), F.when(F.col("n") == 1, 1).otherwise(0).alias("lone"))
+    return nodes.unionAll(lone).agg(F.sum("nodes").alias("nodes"), F.sum("lone").alias("lone"))
