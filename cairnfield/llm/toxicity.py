@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import ship, slices, text_buffers
+from .common import ship, slices, smallest, text_buffers
 
 RANK = 6
 #: At most this many labelled rows of each class are used to fit (those whose hashed doc_id is smallest).
@@ -147,8 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Machi
     """
     ship(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and l_id is not null").where(~held_out("l_id")).distinct()
-    known = known.withColumn("turn", F.xxhash64("l_id"))
-    picked = known.where("toxic = 1").orderBy("turn", "l_id").limit(fit_rows).unionByName(known.where("toxic = 0").orderBy("turn", "l_id").limit(fit_rows))
+    picked = smallest(known.where("toxic = 1"), F.xxhash64("l_id"), fit_rows).unionByName(smallest(known.where("toxic = 0"), F.xxhash64("l_id"), fit_rows))
     # a bounded number of ids, so the side that is sent to every task is bounded as well
     rows = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null").join(F.broadcast(picked), F.col("doc_id") == F.col("l_id")).select("toxic", "text").mapInArrow(_fit_rows, "toxic int, terms binary")
     got = rows.toArrow().to_pydict()
