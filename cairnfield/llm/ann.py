@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, smallest
 from .jaccard import _runs
 
 TREES, LEAF = 20, 128
@@ -272,7 +272,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vector: str = "em
         return spark.createDataFrame([], schema)
     base = base.where(_vectors(F.col("vector"), dims))
     top = float(base.agg(F.max(F.aggregate("vector", F.lit(0.0), lambda a, v: a + v * v))).first()[0]) ** 0.5
-    sample = np.array([r[0] for r in base.orderBy(F.xxhash64("vec_id"), "vec_id").select("vector").limit(fit_rows).collect()], float)
+    sample = np.array([r[0] for r in smallest(base, F.xxhash64("vec_id"), fit_rows).select("vector").collect()], float)
     f = grow(sample, top, trees, leaf)
     f.effort = calibrate(f, sample, k, target)
     sent = spark.sparkContext.broadcast(f)  # its size follows fit_rows, not the table
