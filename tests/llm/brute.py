@@ -109,7 +109,10 @@ def line_dedup(docs, distance=4, least=0.8, chars=20):
 
     for i, x in enumerate(distinct):
         for y in distinct[:i]:
-            if (sims[x] ^ sims[y]).bit_count() <= distance and edits(x, y) <= (1 - least) * max(len(x), len(y)) + 1e-9:
+            if (sims[x] ^ sims[y]).bit_count() > distance:
+                continue
+            v, w = (x, y) if max(len(x), len(y)) <= 200 else (x.split(" "), y.split(" "))  # long lines: edits in words
+            if edits(v, w) <= int((1 - least) * max(len(v), len(w)) + 1e-9):
                 up[root(x)] = root(y)
     gone, seen = defaultdict(set), set()
     for d, n, x in sorted(occ):
