@@ -328,3 +328,11 @@ def test_splits_are_whole():
     cp, offsets = pretokens.code_points(ODD)
     starts = pretokens.split_joined(cp, offsets)
     assert starts[0] == 0 and set(offsets[:-1][np.diff(offsets) > 0]) <= set(starts)
+
+
+def test_line_dedup_normalises_all_scripts(spark):
+    pairs = [("He said “yes” — and left the old house", "he said yes and left the old house"), ("prix : 12 000 € pour la maison entière", "prix 12 000 pour la maison entière"), ("今日は天気がいい、散歩に行こう。明日も晴れるでしょう！", "今日は天気がいい 散歩に行こう 明日も晴れるでしょう"), ("café au lait pour tout le monde", "café, au lait pour tout le monde")]
+    docs = frame(spark, [(i, x) for i, pair in enumerate(pairs) for x in pair])
+    got = [r["norm"] for r in lines.occurrences(docs).orderBy("doc_id", "norm").collect()]
+    assert len(got) == 8 and all(a == b for a, b in zip(got[::2], got[1::2], strict=True))
+    assert got[0] == "he said yes and left the old house" and "café au" in got[6]
