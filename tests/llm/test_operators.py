@@ -336,3 +336,14 @@ def test_line_dedup_normalises_all_scripts(spark):
     got = [r["norm"] for r in lines.occurrences(docs).orderBy("doc_id", "norm").collect()]
     assert len(got) == 8 and all(a == b for a, b in zip(got[::2], got[1::2], strict=True))
     assert got[0] == "he said yes and left the old house" and "café au" in got[6]
+
+
+def test_line_dedup_links_very_long_lines(spark):
+    words = [f"w{i}" for i in range(17_000)]
+    near = [f"x{i}" if i % 1000 == 0 else w for i, w in enumerate(words)]
+    got = {r["doc_id"]: r["lines_removed"] for r in lines.dedup_lines(frame(spark, [(1, " ".join(words)), (2, " ".join(near))])).collect()}
+    assert got == {1: 0, 2: 1}
+    # the hashes of all lengths are those of the plain version
+    rows = [" ".join(words), " ".join(words[:40_000:3]), prose(5), prose(30), "one " * 70_000 + "two"]
+    sims = {r["key"]: r["sim"] for r in lines.simhashes(spark.createDataFrame(list(enumerate(rows)), "key long, norm string")).collect()}
+    assert sims == {i: brute.simhash(t.strip()) for i, t in enumerate(rows)}
