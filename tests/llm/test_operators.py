@@ -347,3 +347,15 @@ def test_line_dedup_links_very_long_lines(spark):
     rows = [" ".join(words), " ".join(words[:40_000:3]), prose(5), prose(30), "one " * 70_000 + "two"]
     sims = {r["key"]: r["sim"] for r in lines.simhashes(spark.createDataFrame(list(enumerate(rows)), "key long, norm string")).collect()}
     assert sims == {i: brute.simhash(t.strip()) for i, t in enumerate(rows)}
+
+
+def test_long_lines_are_similar_in_characters_too(spark):
+    words = [f"longword{i:04}" for i in range(60)]
+    letters = " ".join(w[:-1] + "x" if i % 3 == 0 else w for i, w in enumerate(words))
+    swapped = " ".join("other" if i % 3 == 0 else w for i, w in enumerate(words))
+    few = " ".join("completelydifferentandlong" if i % 6 == 0 else w for i, w in enumerate(words))
+    texts = dict(enumerate([" ".join(words), letters, swapped, few]))
+    rows = spark.createDataFrame(list(texts.items()), "key long, norm string")
+    pairs = spark.createDataFrame([(0, i) for i in (1, 2, 3)], "a long, b long")
+    found = {r["b"] for r in lines.verified(pairs, rows, 0.8).collect()}
+    assert brute.edits(texts[0], letters) <= 0.2 * len(letters) and found == {1, 3}
