@@ -359,3 +359,19 @@ def test_long_lines_are_similar_in_characters_too(spark):
     pairs = spark.createDataFrame([(0, i) for i in (1, 2, 3)], "a long, b long")
     found = {r["b"] for r in lines.verified(pairs, rows, 0.8).collect()}
     assert brute.edits(texts[0], letters) <= 0.2 * len(letters) and found == {1, 3}
+
+
+def test_line_dedup_finds_lines_with_several_edits(spark):
+    docs, n = [], 0
+    for size in (7, 10, 16, 25, 60):
+        for _ in range(12):
+            a = [f"{prose(1)}{draw.randrange(1000)}" for _ in range(size)]
+            b = list(a)
+            for j in draw.sample(range(size), max(1, size * 15 // 100)):
+                b[j] = f"{prose(1)}{draw.randrange(1000)}"
+            a, b = " ".join(a), " ".join(b)
+            if len(min(a, b, key=len)) >= 20 and brute.edits(a, b) <= 0.2 * max(len(a), len(b)):  # no hash is asked here
+                docs += [(2 * n, a), (2 * n + 1, b)]
+                n += 1
+    got = {r["doc_id"] for r in lines.dedup_lines(frame(spark, docs)).where("lines_removed > 0").select("doc_id").collect()}
+    assert n > 40 and all(i % 2 for i in got) and len(got) >= 0.95 * n
