@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import diff, grid
 from ..operators.graph import components
+from ..operators.ranks import ranked
 from ..sources import views as V
 from ..streaming.feed import changed_versions
 from .common import CTX, PT, SNAP, metres
@@ -167,8 +168,7 @@ def area_facts(spark, sf):
 @query(f"WITH RECURSIVE {_AREAS} SELECT area, row_number() OVER (ORDER BY places DESC, north DESC, at_x, area) AS rank FROM fa WHERE places > 1")
 def area_order(spark, sf):
     facts = _area_facts(spark, sf).where("places > 1")
-    # areas are far fewer than places; the order over all of them is what is asked for
-    return facts.select("area", F.row_number().over(Window.orderBy(F.desc("places"), F.desc("north"), "at_x", "area")).alias("rank"))
+    return ranked(facts, [F.desc("places"), F.desc("north"), "at_x", "area"]).select("area", "rank")
 
 
 @query(f"WITH RECURSIVE {_AREAS} SELECT area, places FROM fa ORDER BY north DESC, at_x, area LIMIT 12")

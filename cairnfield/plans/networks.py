@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..operators import conflate, graph, grid, measures
+from ..operators.ranks import ranked
 from ..sources import views as V
+from ..storage import cut
 from .common import LINE, POLY, PT, metres, near
 
 QUERIES, SQL = {}, {}
@@ -106,22 +108,27 @@ def merge_by_kind(spark, sf):
     return rows.groupBy("kind").agg(F.count_distinct("line").alias("lines"), F.min("line").alias("first"), F.max("line").alias("last"))
 
 
-@query(f"WITH {PT}, {POLY}, v AS (SELECT DISTINCT id, x, y FROM poly WHERE ring = 0), d AS (SELECT a.id, min({metres('a.', 'b.')}) AS m FROM v a JOIN v b ON a.id <> b.id GROUP BY a.id), r AS (SELECT m, row_number() OVER (ORDER BY m) - 1 AS rn, count(*) OVER () AS n FROM d) SELECT n, round(m, 2) AS upper_median FROM r WHERE rn = n // 2")
-def upper_median(spark, sf):
-    v = V.polygons(spark, sf).where("ring = 0").select("id", "x", "y").distinct()
-    left = v.withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("x", "y")))
-    reach, found, rest = 2000.0, None, left
-    for _ in range(5):
+def _apart(v, reach=2000.0):
+    """(id, m): metres from each area's vertices (id, x, y) to the nearest vertex of another, however far."""
+    rest, found = v, None
+    several = v.agg(F.min("id") < F.max("id")).first()[0]
+    while found is None or (several and not rest.isEmpty()):
         t = v.select(F.col("id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by")).withColumns({"min_x": F.col("bx"), "max_x": F.col("bx"), "min_y": F.col("by"), "max_y": F.col("by")})
         met = grid.point_cells(rest, reach).join(grid.box_cells(t, reach), ["cx", "cy"]).where("id <> b").withColumn("m", geo.metres(F.col("x"), F.col("y"), F.col("bx"), F.col("by"))).where(F.col("m") <= reach)
-        best = met.groupBy("id").agg(F.min("m").alias("m"))
+        best = cut(met.groupBy("id").agg(F.min("m").alias("m")))
         found = best if found is None else found.unionByName(best)
-        rest = rest.join(best.select("id"), "id", "left_anti")
+        rest = cut(rest.join(best.select("id"), "id", "left_anti"))
         reach *= 2
-    # the upper median is an order statistic, so no interpolation: rank among the counted
-    ranked = found.select("m", (F.row_number().over(Window.orderBy("m")) - 1).alias("rn"))
-    n = found.agg(F.count(F.lit(1)).alias("n"))
-    return ranked.join(F.broadcast(n), F.col("rn") == F.floor(F.col("n") / 2)).select("n", F.round("m", 2).alias("upper_median"))
+    return found
+
+
+@query(f"WITH {PT}, {POLY}, v AS (SELECT DISTINCT id, x, y FROM poly WHERE ring = 0), d AS (SELECT a.id, min({metres('a.', 'b.')}) AS m FROM v a JOIN v b ON a.id <> b.id GROUP BY a.id), r AS (SELECT m, row_number() OVER (ORDER BY m) - 1 AS rn, count(*) OVER () AS n FROM d) SELECT n, round(m, 2) AS upper_median FROM r WHERE rn = n // 2")
+def upper_median(spark, sf):
+    v = V.polygons(spark, sf).where("ring = 0").select("id", "x", "y").distinct()
+    found = cut(_apart(v))
+    # the upper median is an order statistic, so no interpolation
+    n = found.count()
+    return ranked(found, ["m", "id"]).where(F.col("rank") == n // 2 + 1).select(F.lit(n).cast("long").alias("n"), F.round("m", 2).alias("upper_median"))
 
 
 @query(f"WITH {LINE} SELECT DISTINCT line FROM lv WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = lv.line AND l_quantity > 45)")

@@ -134,3 +134,16 @@ def test_unknown_version_is_an_error(spark):
 
 def test_word_runs():
     assert diff.word_runs("a red barn", "a blue barn") == [("same", "a"), ("removed", "red"), ("added", "blue"), ("same", "barn")]
+
+
+def test_areas_far_apart_and_ranks_in_ranges(spark):
+    from cairnfield.operators.ranks import ranked
+    from cairnfield.plans.networks import _apart
+
+    far = spark.createDataFrame([(1, -93.0, 44.0), (1, -93.0, 44.1), (2, -93.0, 46.0), (3, -93.0, 46.01)], "id long, x double, y double")
+    got = {r["id"]: round(r["m"]) for r in _apart(far).collect()}
+    assert got == {1: 210026, 2: 1105, 3: 1105}
+    rows = spark.range(5_000).selectExpr("id", "hash(id) AS h")
+    df = ranked(rows, ["h", "id"])
+    want = {i: k for k, (_, i) in enumerate(sorted((r["h"], r["id"]) for r in rows.collect()), 1)}
+    assert {r["id"]: r["rank"] for r in df.collect()} == want
