@@ -41,6 +41,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fan_out(spark: SparkSession) -> int:
     """Groups to deal a table into: follows the shuffle partitions, which the user sizes by the input."""
     return max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
