@@ -24,13 +24,24 @@ def canonical_edges(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(lo, hi, "type", "pos").groupBy("a", "b").agg(F.min(F.struct("pos", "type")).alias("t")).select("a", "b", F.col("t.type").alias("type"))
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """left join right on `key`, where a key may hold a large share of the rows of left and right has one row for each.
+
+    A join behind an aggregation takes over its partitions, which Spark can't
+    split. Joined on the key and a hash of it, both sides are dealt out for the
+    join alone, and the adaptive skew join splits what is too large.
+    """
+    dealt = "dealt_by_hash"
+    return left.withColumn(dealt, F.xxhash64(key)).join(right.withColumn(dealt, F.xxhash64(key)), [key, dealt]).drop(dealt)
+
+
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """(node, root): for each node of an edge (columns a, b) the smallest node that it is connected with.
 
     Alternates two steps until nothing changes: larger neighbours are tied to a
     node's smallest neighbour, then smaller ones to the smallest. A round takes
-    minima and joins; no node's neighbours are gathered. Edges to itself and
-    edges with a null end are ignored.
+    minima and joins; no node's neighbours are gathered, and the edges of a hub
+    are split among tasks. Edges to itself and edges with a null end are ignored.
     """
     state = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     mark = None
@@ -41,9 +52,9 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         mark = now
         both = state.unionAll(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = spread_join(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = spread_join(large, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         state = cut(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct())
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
