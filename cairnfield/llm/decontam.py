@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import ship, slices, text_buffers
+from .common import free_name, ship, slices, text_buffers
 from .toxicity import _FOLD, _GAP
 
 #: The masks. Any 20 words with at most 4 replaced hold a hit of one of them.
@@ -151,6 +151,6 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYT
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents that overlap an item; rows are judged by their text, whatever their ids."""
-    keyed = docs.withColumn("_mark", F.xxhash64("text"))
-    hit = overlaps(docs.select(F.xxhash64("text").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_hit")).distinct()
-    return keyed.join(hit, F.col("_mark") == F.col("_hit"), "left_anti").drop("_mark")
+    mark = free_name(docs, "leak_mark")
+    hit = overlaps(docs.select(F.xxhash64("text").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias(mark)).distinct()
+    return docs.join(hit, F.xxhash64("text") == F.col(mark), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -249,20 +249,22 @@ def _verify(batches, threshold: float):
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], pa.int64()) for k in range(3)], ["a", "links", "b"])
 
 
-def similar_classes(docs: DataFrame, size: int = 5, threshold: float = 0.8, miss: float = 1e-5, block: int = BLOCK) -> DataFrame:
+def similar_classes(docs: DataFrame, size: int = 5, threshold: float = 0.8, miss: float = 1e-5, block: int = BLOCK, firsts: bool = False) -> DataFrame:
     """One row per document: doc_id, class_id (smallest doc_id that it is connected with), n_links (other documents whose similarity is `threshold` or more).
 
     Similarity is the Jaccard index of the sets of runs of `size` words (divided
     by the six ASCII spaces, otherwise as they are); a text with fewer words is
     one run. Equal sets count as links of each other. Null, empty and blank
     texts have no links and are their own class. Rows that repeat a doc_id are
-    answered each. An empty table gives an empty result.
+    answered each. An empty table gives an empty result. With firsts there are
+    two columns more: mark (xxhash64 of the text) and first, whether (doc_id,
+    mark) is the smallest of the class, rows without a doc_id last.
     """
     ship(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("mark"))
     sketched = cut(base.mapInArrow(lambda it: _sketches(it, size), "doc_id long, mark long, name long, size long, sketch binary"))
     # equal sets fall together before anything is compared; one text stands for each
-    sets = cut(sketched.where("name is not null").groupBy("name").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "mark")).alias("one"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("sketch").alias("sketch")))
+    sets = cut(sketched.where("name is not null").groupBy("name").agg(F.min("doc_id").alias("least"), F.min(_order()).alias("lead"), F.min(F.struct("doc_id", "mark")).alias("one"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"), F.first("sketch").alias("sketch")))
     tries = next(t for t in (2, 4, 8, 16, 32) if (1 - threshold) ** t <= miss)
     spread = math.sqrt(threshold * (1 - threshold) / SKETCH)
     found = paths(sets.select("name", "size", "sketch"), tries, 2, block)
@@ -281,7 +283,15 @@ def similar_classes(docs: DataFrame, size: int = 5, threshold: float = 0.8, miss
     exact = cut(small.unionByName(large).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(lambda it: _verify(it, threshold), "a long, links long, b long"))
     linked = exact.groupBy("a").agg(F.sum("links").alias("links"))
     roots = components(exact.select("a", "b"))
-    named = sets.select("name", "least", "copies").join(linked.withColumnRenamed("a", "name"), "name", "left").join(roots.withColumnRenamed("node", "name"), "name", "left").select("name", "least", F.coalesce("root", "name").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    classes = named.groupBy("root").agg(F.min("least").alias("class_id"))
-    named = named.join(classes, "root").select("name", "class_id", "n_links")
-    return sketched.select("doc_id", "name").join(named, "name", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    named = sets.select("name", "least", "lead", "copies").join(linked.withColumnRenamed("a", "name"), "name", "left").join(roots.withColumnRenamed("node", "name"), "name", "left").select("name", "least", "lead", F.coalesce("root", "name").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    classes = named.groupBy("root").agg(F.min("least").alias("class_id"), F.min("lead").alias("lead"))
+    named = named.select("name", "root", "n_links").join(classes, "root").select("name", "class_id", "lead", "n_links")
+    found = sketched.select("doc_id", "mark", "name").join(named, "name", "left")
+    columns = ["doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")]
+    if firsts:
+        columns += ["mark", (F.col("lead").isNull() | _order().eqNullSafe(F.col("lead"))).alias("first")]
+    return found.select(*columns)
+
+
+def _order():
+    return F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("doc_id"), F.col("mark").alias("mark"))

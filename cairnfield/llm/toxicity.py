@@ -25,6 +25,8 @@ FIT_ROWS = 4_000
 HEADS = (4, 6, 8)
 #: A term takes part if its shares in the two classes differ by this many standard errors, and this many fitted texts hold it.
 LEAST_Z, LEAST_TEXTS = 3.5, 3
+#: At most this many terms take part, so the driver gets FIT_ROWS * 2 * MOST_TERMS numbers at the very most, however long the texts are.
+MOST_TERMS = 4_000
 
 _GAP = np.ones(256, bool)
 _GAP[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -85,22 +87,16 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.raw(term, text, n), -30, 30)))
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, rounds: int = 30, rate: float = 0.2, decay: float = 5e-4, weight: float = 3.0, batch: int = 64, seed: int = 7) -> Machine:
-    """Choose terms, then AdaGrad on the logistic loss; texts: the distinct terms of each; weight: how much a row of class 1 counts."""
+def fit(texts: list[np.ndarray], labels: np.ndarray, names: np.ndarray, rounds: int = 30, rate: float = 0.2, decay: float = 5e-4, weight: float = 3.0, batch: int = 64, seed: int = 7) -> Machine:
+    """AdaGrad on the logistic loss; texts: the terms of each that are in names (ascending); weight: how much a row of class 1 counts."""
     draw = np.random.default_rng(seed)
     n1, n0 = int(labels.sum()), int(len(labels) - labels.sum())
     if not n1 or not n0:
         share = (n1 + 0.5) / (n1 + n0 + 1)
         return Machine(float(np.log(share / (1 - share))), np.zeros(0, np.uint32), np.zeros(0), np.zeros((0, RANK)))
-    names, where = np.unique(np.concatenate(texts), return_inverse=True)
+    m = Machine(float(np.log(n1 / n0)), names, np.zeros(len(names)), draw.normal(0, 0.01, (len(names), RANK)))
     text = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    a, b = np.bincount(where, labels[text], len(names)), np.bincount(where, 1 - labels[text], len(names))
-    p = (a + b) / (n1 + n0)
-    z = (a / n1 - b / n0) / np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
-    chosen = (np.abs(z) >= LEAST_Z) & (a + b >= LEAST_TEXTS)
-    m = Machine(float(np.log(n1 / n0)), names[chosen], np.zeros(chosen.sum()), draw.normal(0, 0.01, (chosen.sum(), RANK)))
-    kept = chosen[where]
-    term, text = (np.cumsum(chosen) - 1)[where[kept]], text[kept]
+    term = np.searchsorted(names, np.concatenate(texts))
     bounds = np.searchsorted(text, np.arange(len(texts) + 1))
     gw, gv, gb = np.full(len(m.w), 1e-6), np.full(m.v.shape, 1e-6), 1e-6
     for _ in range(rounds):
@@ -127,12 +123,36 @@ def fit(texts: list[np.ndarray], labels: np.ndarray, rounds: int = 30, rate: flo
     return m
 
 
-def _fit_rows(batches):
+def _term_rows(batches):
+    """(toxic, term) for every distinct term of each text."""
     for part in slices(batches, "text"):
         data, offsets = text_buffers(part.column("text"))
         term, text = terms(data, offsets)
+        yield pa.RecordBatch.from_arrays([part.column("toxic").take(pa.array(text)), pa.array(term.astype(np.int64))], ["toxic", "term"])
+
+
+def _fit_rows(batches, names: np.ndarray):
+    """Each text's label and those of its terms that are in names, as bytes."""
+    own = Machine(0.0, names, np.zeros(0), np.zeros((0, 0)))
+    wanted = own.wanted()
+    for part in slices(batches, "text"):
+        data, offsets = text_buffers(part.column("text"))
+        term, text = own.own(*terms(data, offsets, wanted))
         bounds = np.searchsorted(text, np.arange(part.num_rows + 1))
-        yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array([term[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["toxic", "terms"])
+        yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array([names[term[a:b]].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)], pa.binary())], ["toxic", "terms"])
+
+
+def telling_terms(rows: DataFrame, most: int = MOST_TERMS) -> np.ndarray:
+    """The terms of labelled rows (toxic, text) that tell the classes apart, ascending: counted in Spark, and the `most` clearest at most."""
+    n = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)).alias("n1"), F.count(F.lit(1)).alias("n")).first()
+    n1, n0 = n["n1"], n["n"] - n["n1"]
+    if not n1 or not n0:
+        return np.zeros(0, np.uint32)
+    counts = rows.mapInArrow(_term_rows, "toxic int, term long").groupBy("term").agg(F.sum("toxic").alias("a"), F.count(F.lit(1)).alias("both"))
+    p = F.col("both") / (n1 + n0)
+    z = F.abs(F.col("a") / n1 - (F.col("both") - F.col("a")) / n0) / F.sqrt(F.greatest(p * (1 - p), F.lit(1e-12)) * (1 / n1 + 1 / n0))
+    found = counts.select("term", "both", z.alias("z")).where((F.col("both") >= LEAST_TEXTS) & (F.col("z") >= LEAST_Z)).orderBy(F.desc("z"), "term").limit(most)
+    return np.sort(np.array([r["term"] for r in found.select("term").collect()], np.int64)).astype(np.uint32)
 
 
 def held_out(column: str = "doc_id"):
@@ -149,10 +169,11 @@ def train(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Machi
     known = labels.select(F.col("doc_id").cast("long").alias("l_id"), F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1) and l_id is not null").where(~held_out("l_id")).distinct()
     picked = smallest(known.where("toxic = 1"), F.xxhash64("l_id"), fit_rows).unionByName(smallest(known.where("toxic = 0"), F.xxhash64("l_id"), fit_rows))
     # a bounded number of ids, so the side that is sent to every task is bounded as well
-    rows = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null").join(F.broadcast(picked), F.col("doc_id") == F.col("l_id")).select("toxic", "text").mapInArrow(_fit_rows, "toxic int, terms binary")
-    got = rows.toArrow().to_pydict()
-    order = sorted(range(len(got["toxic"])), key=lambda i: (got["toxic"][i], got["terms"][i]))
-    return fit([np.frombuffer(got["terms"][i], np.uint32) for i in order], np.array([got["toxic"][i] for i in order], float))
+    rows = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null").join(F.broadcast(picked), F.col("doc_id") == F.col("l_id")).select("toxic", "text")
+    names = telling_terms(rows)
+    got = rows.mapInArrow(lambda it: _fit_rows(it, names), "toxic int, terms binary").toArrow()
+    each = sorted(zip(got.column("toxic").to_pylist(), got.column("terms").to_pylist(), strict=True))
+    return fit([np.frombuffer(t, np.uint32) for _, t in each], np.array([k for k, _ in each], float), names)
 
 
 def _score(batches, model, threshold: float):

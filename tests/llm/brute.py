@@ -75,31 +75,49 @@ def classes(docs, threshold=0.8):
 
 
 def edits(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
+    """Edit distance; a column of the table is held as two numbers of len(a) bits (steps up and steps down)."""
+    if not a or not b:
+        return len(a) + len(b)
+    at, full, top = {}, (1 << len(a)) - 1, 1 << len(a) - 1
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    up, down, n = full, 0, len(a)
+    for y in b:
+        m = at.get(y, 0)
+        same = ((m & up) + up ^ up) | m | down
+        plus, minus = (down | ~(same | up)) & full, same & up & full
+        n += bool(plus & top) - bool(minus & top)
+        plus, minus = plus << 1 | 1, minus << 1
+        up, down = (minus | ~(same | plus)) & full, plus & same & full
+    return n
 
 
 def norm(line):
-    return re.sub(r"[\x00-/:-`{-\x7f]+", " ", line.lower()).strip(" ")
+    return re.sub(r"[^\w]+|_+", " ", line.lower()).strip(" ")
 
 
-def simhash(text):
+def simhash(words, half=0, bits=56):
+    """Bits that more than half of the words' hashes have."""
     import xxhash
 
-    words = set(text.split(" "))
-    hs = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in words]
-    return sum(1 << b for b in range(60) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+    seed = xxhash.xxh64(half.to_bytes(4, "little"), seed=42).intdigest()
+    hs = [xxhash.xxh64(w.encode(), seed=seed).intdigest() for w in words]
+    return sum(1 << b for b in range(bits) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
 
 
-def line_dedup(docs, distance=4, least=0.8, chars=20):
+def similar_lines(lines, least=0.8):
+    """All pairs of lines with few enough edits; nothing but the edits is asked."""
+    for i, x in enumerate(lines):
+        for y in lines[:i]:
+            most = int((1 - least) * max(len(x), len(y)) + 1e-9)
+            if abs(len(x) - len(y)) <= most and edits(x, y) <= most:
+                yield x, y
+
+
+def line_dedup(docs, least=0.8, chars=20):
     """docs: (doc_id, text), ids and texts not null. {doc_id: kept text}."""
     occ = [(d, n, norm(raw)) for d, t in docs for n, raw in enumerate(t.split("\n")) if len(norm(raw)) >= chars]
     distinct = sorted({x for *_, x in occ})
-    sims = {x: simhash(x) for x in distinct}
     up = {x: x for x in distinct}
 
     def root(x):
@@ -107,13 +125,8 @@ def line_dedup(docs, distance=4, least=0.8, chars=20):
             x = up[x]
         return x
 
-    for i, x in enumerate(distinct):
-        for y in distinct[:i]:
-            if (sims[x] ^ sims[y]).bit_count() > distance:
-                continue
-            v, w = (x, y) if max(len(x), len(y)) <= 200 else (x.split(" "), y.split(" "))  # long lines: edits in words
-            if edits(v, w) <= int((1 - least) * max(len(v), len(w)) + 1e-9):
-                up[root(x)] = root(y)
+    for x, y in similar_lines(distinct, least):
+        up[root(x)] = root(y)
     gone, seen = defaultdict(set), set()
     for d, n, x in sorted(occ):
         if root(x) in seen:

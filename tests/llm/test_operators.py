@@ -102,12 +102,31 @@ def test_line_dedup_uses_no_python(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
-def test_simhash_schemes_agree(spark):
-    sims = spark.createDataFrame([(i, draw.getrandbits(60)) for i in range(40)] + [(1000 + i, draw.choice([1, 3, 7, 15, 1 << 59, (1 << 59) | 1])) for i in range(40)], "key long, sim long").withColumn("label", F.col("key"))
-    rows = {r["key"]: r["sim"] for r in sims.collect()}
-    want = {(a, b) for a in rows for b in rows if a < b and (rows[a] ^ rows[b]).bit_count() <= 4}
-    for masks in lines.schemes():
-        assert {tuple(r) for r in lines.near_pairs(sims, sims, masks).distinct().collect()} == want
+def test_simhash_of_lines_of_all_lengths(spark):
+    rows = [[f"w{i}" for i in range(n)] for n in (1, 2, 3, 30, 255, 256, 3_000)]
+    df = spark.createDataFrame(list(enumerate(rows)), "key int, words array<string>")
+    for half in (0, 1):
+        got = {r["key"]: r["sim"] for r in df.select("key", lines.simhash(F.col("words"), half).alias("sim")).collect()}
+        assert got == {i: brute.simhash(w, half) for i, w in enumerate(rows)}
+
+
+def test_line_dedup_on_odd_tables(spark):
+    base = prose(30)
+    odd = [(None, base), (None, base), (3, base), (3, base), (4, None), (5, "")]
+    docs = frame(spark, odd).withColumns({"gone": F.lit("g"), "at": F.lit(1), "id": F.lit(2), "line_count": F.lit("clash")})
+    got = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["lines_removed"], r["gone"], r["at"], r["id"], r["mark"]) for r in lines.dedup_lines(docs).collect())
+    assert got == [(False, 3, 1, "g", 1, 2, 1)] * 2 + [(False, 4, 0, "g", 1, 2, 1), (False, 5, 0, "g", 1, 2, 1)] + [(True, 0, 0, "g", 1, 2, 1)] * 2
+
+
+def test_line_dedup_recall_over_documents(spark):
+    """Of all pairs of different lines that are similar, at least nine in ten are tied to each other."""
+    texts = [r["text"] for r in spark.read.parquet(f"{DATA}/sf0.001/documents.parquet").select("text").collect()]
+    every = sorted({x for t in texts for x in map(brute.norm, (t or "").split("\n")) if 20 <= len(x) <= 160})
+    pairs = list(brute.similar_lines(every))
+    occ = lines.occurrences(frame(spark, list(enumerate(every))))
+    root = {r["node"]: r["root"] for r in lines.groups(occ, lines.distinct_lines(occ)).collect()}
+    key = {r["norm"]: r["key"] for r in occ.select("norm", "key").collect()}
+    assert len(pairs) >= 3 and sum(key[x] in root and root[key[x]] == root.get(key[y]) for x, y in pairs) >= 0.9 * len(pairs)
 
 
 def test_decontamination(spark):
@@ -278,7 +297,8 @@ def test_toxicity_learns_pairs():
         noise = rng.integers(1000, 3000, 20)
         texts.append(np.unique(np.r_[noise, [7] * a, [8] * b]).astype(np.uint32))
         labels.append(float(a and b))
-    m = toxicity.fit(texts, np.array(labels))
+    names = np.array([7, 8], np.uint32)
+    m = toxicity.fit([t[np.isin(t, names)] for t in texts], np.array(labels), names)
     ask = [np.array(t, np.uint32) for t in ([7], [8], [7, 8], [])]
     term, text = np.concatenate(ask), np.repeat(np.arange(4), [len(t) for t in ask])
     s = m.score(*m.own(term, text), 4)
@@ -297,13 +317,35 @@ def test_toxicity_on_tables(spark):
     assert len(odd) == 4 and all(0 <= r["tox_score"] <= 1 for r in odd)
 
 
+def test_toxicity_scores_like_all_pairs_summed():
+    """The score by sums of squares is that of a plain sum over all pairs of terms."""
+    rng = np.random.default_rng(5)
+    names = np.sort(rng.choice(1000, 40, replace=False)).astype(np.uint32)
+    m = toxicity.Machine(-0.3, names, rng.normal(size=40), rng.normal(size=(40, toxicity.RANK)))
+    texts = [np.sort(rng.choice(names, k, replace=False)) for k in (0, 1, 2, 9, 40)]
+    term, text = np.concatenate(texts), np.repeat(np.arange(5), [len(t) for t in texts])
+    got = m.raw(*m.own(term, text), 5)
+    for t, g in zip(texts, got, strict=True):
+        at = [int(np.flatnonzero(names == x)[0]) for x in t]
+        want = -0.3 + sum(m.w[i] for i in at) + sum(m.v[i] @ m.v[j] for k, i in enumerate(at) for j in at[:k])
+        assert g == pytest.approx(want)
+
+
+def test_toxicity_counts_terms_like_plain_counts(spark):
+    rows = [(i % 2, ("insult " if i % 2 else "") + prose(20)) for i in range(40)]
+    names = toxicity.telling_terms(spark.createDataFrame(rows, "toxic int, text string"))
+    word = b"insult"
+    assert set(toxicity.terms(np.frombuffer(word, np.uint8), np.array([0, len(word)]))[0].tolist()) <= set(names.tolist())
+    assert len(toxicity.telling_terms(spark.createDataFrame(rows, "toxic int, text string"), 2)) == 2
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = toxicity.train(frame(spark), none)
     assert {r["tox_score"] for r in toxicity.score_toxicity(frame(spark), model).collect()} == {0.5}
 
 
-@pytest.mark.parametrize("name", ["secrets", "substring", "jaccard", "lines", "decontam", "ann", "tokens", "packing", "warc"])
+@pytest.mark.parametrize("name", ["secrets", "substring", "jaccard", "lines", "decontam", "ann", "tokens", "packing", "toxicity", "warc"])
 def test_empty_tables(spark, name):
     docs = frame(spark, [])
     empty = {
@@ -315,6 +357,7 @@ def test_empty_tables(spark, name):
         "ann": lambda: ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True)),
         "tokens": lambda: tokens.count_tokens(docs, tokenizer_file("word_bpe_49k.json")),
         "packing": lambda: packing.pack(docs, tokenizer_file("byte_bpe_50k.json")),
+        "toxicity": lambda: toxicity.score_toxicity(docs, toxicity.train(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))),
     }
     if name == "warc":
         path = f"{shared_folder(spark)}/warc-none-{draw.getrandbits(60)}"
@@ -343,22 +386,19 @@ def test_line_dedup_links_very_long_lines(spark):
     near = [f"x{i}" if i % 1000 == 0 else w for i, w in enumerate(words)]
     got = {r["doc_id"]: r["lines_removed"] for r in lines.dedup_lines(frame(spark, [(1, " ".join(words)), (2, " ".join(near))])).collect()}
     assert got == {1: 0, 2: 1}
-    # the hashes of all lengths are those of the plain version
-    rows = [" ".join(words), " ".join(words[:40_000:3]), prose(5), prose(30), "one " * 70_000 + "two"]
-    sims = {r["key"]: r["sim"] for r in lines.simhashes(spark.createDataFrame(list(enumerate(rows)), "key long, norm string")).collect()}
-    assert sims == {i: brute.simhash(t.strip()) for i, t in enumerate(rows)}
-
-
-def test_long_lines_are_similar_in_characters_too(spark):
-    words = [f"longword{i:04}" for i in range(60)]
-    letters = " ".join(w[:-1] + "x" if i % 3 == 0 else w for i, w in enumerate(words))
-    swapped = " ".join("other" if i % 3 == 0 else w for i, w in enumerate(words))
-    few = " ".join("completelydifferentandlong" if i % 6 == 0 else w for i, w in enumerate(words))
-    texts = dict(enumerate([" ".join(words), letters, swapped, few]))
-    rows = spark.createDataFrame(list(texts.items()), "key long, norm string")
-    pairs = spark.createDataFrame([(0, i) for i in (1, 2, 3)], "a long, b long")
-    found = {r["b"] for r in lines.verified(pairs, rows, 0.8).collect()}
-    assert brute.edits(texts[0], letters) <= 0.2 * len(letters) and found == {1, 3}
+
+
+def test_lines_are_similar_in_characters_whatever_their_length(spark):
+    texts = []
+    for size in (4, 12, 60, 300):
+        words = [f"longword{i:04}" for i in range(size)]
+        for share, cut in ((0.1, 0), (0.3, 0), (0.15, 1), (0.5, -1)):
+            w = ["other" if draw.random() < share else x for x in words][max(cut, 0):]
+            texts.append((" ".join(words), " ".join(w) if cut >= 0 else " ".join(x[:-1] + "x" for x in w)))
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(texts)], "i int, a string, b string")
+    got = {r["i"]: r["ok"] for r in df.select("i", lines.similar(F.col("a"), F.col("b")).alias("ok")).collect()}
+    assert got == {i: brute.edits(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9) for i, (a, b) in enumerate(texts)}
+    assert 0 < sum(got.values()) < len(got)
 
 
 def test_line_dedup_finds_lines_with_several_edits(spark):
