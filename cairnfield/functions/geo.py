@@ -35,6 +35,16 @@ def to_segment(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: C
     return F.hypot(ux + t * dx, uy + t * dy)
 
 
+def nearest_on(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
+    """(m, x, y): metres from a point, which is the centre, to a segment, and the nearest place on it."""
+    sx, sy = scale_x(py), F.lit(LAT_M)
+    dx, dy = (bx - ax) * sx, (by - ay) * sy
+    long = dx * dx + dy * dy
+    t = F.when(long == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * sx * dx + (py - ay) * sy * dy) / F.when(long == 0, 1.0).otherwise(long))))
+    x, y = ax + t * (bx - ax), ay + t * (by - ay)
+    return F.struct(F.hypot((x - px) * sx, (y - py) * sy).alias("m"), x.alias("x"), y.alias("y"))
+
+
 def crosses(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
     """1 if the ray from the point towards larger x crosses the segment."""
     at = ax + (py - ay) / F.when(by == ay, 1.0).otherwise(by - ay) * (bx - ax)

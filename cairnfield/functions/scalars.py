@@ -4,13 +4,35 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+# White space of all scripts, and the four separators of ASCII.
+_SPACE = r"(?U)[\s\x1c-\x1f]"
+
+
+def stripped(c: Column) -> Column:
+    """Text without white space at its ends, of whatever kind."""
+    return F.regexp_replace(c, rf"^{_SPACE}+|{_SPACE}+$", "")
 
 
 def blank_to_null(c: Column) -> Column:
-    """Null for text that holds white space only."""
-    return F.nullif(F.trim(c), F.lit(""))
+    """Text without white space at its ends; null if nothing is left."""
+    return F.nullif(stripped(c), F.lit(""))
+
+
+#: By rule: lower-case characters whose folded form is another.
+_FOLDED = {x: x.casefold() for x in map(chr, range(128, 0x10000)) if not 0xD800 <= ord(x) < 0xE000 and x == x.lower() != x.casefold()}
+
+
+def casefolded(c: Column) -> Column:
+    """Text folded so that it compares without case: lower case, and such letters as the sharp s written out."""
+    low = F.lower(c)
+    table = F.create_map(*[F.lit(v) for pair in _FOLDED.items() for v in pair])
+    fold = F.array_join(F.transform(F.split(low, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    return F.when(F.octet_length(low) == F.length(low), low).otherwise(fold)
 
 
 def first_name(*columns: Column, fallback: str | None = None) -> Column:
@@ -20,13 +42,13 @@ def first_name(*columns: Column, fallback: str | None = None) -> Column:
 
 
 def slug(c: Column) -> Column:
-    """Letters and digits of the lower case, other runs as one underscore; a leading parenthetical goes."""
-    bare = F.regexp_replace(F.lower(F.trim(c)), r"^\([^)]*\)\s*", "")
-    return F.regexp_replace(F.regexp_replace(bare, "[^a-z0-9]+", "_"), "^_+|_+$", "")
+    """An id: letters and digits of the folded text, run together; a leading parenthetical goes."""
+    return F.regexp_replace(casefolded(F.regexp_replace(c, rf"^{_SPACE}*\([^)]*\){_SPACE}*", "")), "[^a-z0-9]+", "")
 
 
 def hyphenated(c: Column) -> Column:
-    return F.replace(slug(c), F.lit("_"), F.lit("-"))
+    """A category: words of letters and digits with hyphens between them."""
+    return F.btrim(F.regexp_replace(casefolded(c), "[^a-z0-9]+", "-"), F.lit("-"))
 
 
 def split_once(c: Column, mark: str) -> tuple[Column, Column]:
@@ -59,13 +81,20 @@ def plural(word: Column, exceptions: dict[str, str] | None = None) -> Column:
     return out
 
 
-# The named entities of prose that are replaced; numeric ones are left to their digits.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&copy;": "©", "&middot;": "·", "&amp;": "&"}
+def unescaped(c: Column) -> Column:
+    """Text with its character references replaced, by name (the whole table of HTML) or by number."""
+
+    def each(texts: pd.Series) -> pd.Series:
+        import html
+
+        return texts.map(html.unescape, na_action="ignore")
+
+    # text without a reference is not sent to Python
+    return F.coalesce(F.pandas_udf(each, StringType())(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
 def plain_text(markup: Column) -> Column:
-    """Text of a piece of markup: breaks become spaces, other tags vanish, entities are replaced, spaces squeezed."""
-    spaced = F.regexp_replace(markup, r"(?i)</?(br|p|li)\b[^>]*>", " ")
-    bare = F.regexp_replace(spaced, "<[^>]*>", "")
-    bare = reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), bare)
-    return F.trim(F.regexp_replace(bare, r"\s+", " "))
+    """Text of a piece of markup: breaks and ends of paragraphs and items become spaces, other tags vanish, references are replaced, spaces squeezed. Null if nothing is left."""
+    spaced = F.regexp_replace(markup, r"(?i)<br\s*/?>|</p>|</li>", " ")
+    bare = unescaped(F.regexp_replace(spaced, "<[^>]+>", ""))
+    return blank_to_null(F.regexp_replace(bare, rf"{_SPACE}+", " "))

@@ -66,3 +66,35 @@ def once_each(rows: DataFrame, key: str, value: str, wanted: str) -> DataFrame:
 def same_values(lines: DataFrame, source: DataFrame, key: list[str], but: list[str], ids: str) -> DataFrame:
     """(check_name, key) for rows whose key and values the source has not, but for the ids listed in `but`."""
     return violations({"differs from its source": lines.where(~F.col(ids).isin(but)).join(source.select(*key), key, "left_anti")}, ids)
+
+
+def graph_faults(nodes: DataFrame, edges: DataFrame, entrances: DataFrame, types: list[str], bounds: tuple[float, float, float, float]) -> DataFrame:
+    """(check_name, key) for a walking graph: nodes (id, x, y) out of bounds (west, south, east, north) or apart from the main component, edges (a, b, type) that are loops, dangle or have no known type, entrances (place, node) without a node."""
+    from .graph import components
+
+    west, south, east, north = bounds
+    known = nodes.select("id").distinct()
+    sound = edges.join(known.withColumnRenamed("id", "a"), "a").join(known.withColumnRenamed("id", "b"), "b")
+    roots = known.join(components(sound.select("a", "b")), F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root"))
+    size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    main = size.agg(F.max(F.struct("n", (-F.col("root")).alias("turn"))).alias("t")).select((-F.col("t.turn")).alias("main"))
+    apart = roots.join(F.broadcast(main), F.col("root") == F.col("main"), "left_anti")  # one row is sent
+    ends = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    edge = lambda df: df.select(F.concat_ws("-", F.col("a").cast("string"), F.col("b").cast("string")).alias("id"))
+    return violations(
+        {
+            "out of bounds": nodes.where(~(F.col("x").between(west, east) & F.col("y").between(south, north))).select("id"),
+            "apart": apart.select("id"),
+            "loop": edge(edges.where("a = b")),
+            "dangling": ends.join(known, "id", "left_anti"),
+            "unknown type": edge(edges.where(~F.col("type").isin(types))),
+            "entrance without a node": entrances.select(F.col("node").alias("id")).distinct().join(known, "id", "left_anti"),
+        },
+        "id",
+    )
+
+
+def equal_categories(rows: DataFrame, wanted: dict[str, list[str]]) -> DataFrame:
+    """(check_name, key) for rows (id, kind, categories) whose categories, as a set, are not those of their kind."""
+    table = F.create_map(*[v for k, c in wanted.items() for v in (F.lit(k), F.array(*[F.lit(x) for x in sorted(c)]))])
+    return violations({"other categories": rows.where(~F.array_sort(F.array_distinct("categories")).eqNullSafe(F.try_element_at(table, F.col("kind"))))}, "id")

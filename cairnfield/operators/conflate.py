@@ -49,14 +49,34 @@ def category_word(rows: DataFrame, words: list[str], default: str = "place") ->
     return rows.select("id", F.coalesce(found, F.replace(F.get("categories", 0), F.lit("-"), F.lit(" ")), F.lit(default)).alias("word"))
 
 
-def release_names(versions: DataFrame) -> DataFrame:
-    """(version, name): the date, and for later versions of a date the date with -2, -3, ..."""
-    n = F.row_number().over(Window.partitionBy("date").orderBy("version"))
-    return versions.select("version", F.when(n == 1, F.col("date")).otherwise(F.concat("date", F.lit("-"), n.cast("string"))).alias("name"))
+def release_names(versions: DataFrame, given: DataFrame | None = None) -> DataFrame:
+    """(version, name): the smallest name that a version has already, else the next free one of its date: the date itself, then the date with -2, -3, ...
+
+    versions: version, date; given: version, name, where a name may belong to a
+    version that is not asked for.
+    """
+    if given is None:
+        given = versions.select("version", F.col("date").alias("name")).limit(0)
+    kept = given.groupBy("version").agg(F.min("name").alias("kept"))
+    open_ = versions.join(kept, "version", "left_anti")
+    # numbers that are taken, 1 for the bare date; the k-th open version of a date gets the k-th number that isn't
+    number = F.when(F.length("name") == 10, F.lit(1)).otherwise(F.expr("try_cast(substring(name, 12) as int)"))
+    taken = given.where(F.col("name").rlike("^.{10}(-([2-9]|[1-9][0-9]+))?$")).select(F.substring("name", 1, 10).alias("date"), number.alias("n")).distinct()
+    wanted = open_.withColumn("turn", F.row_number().over(Window.partitionBy("date").orderBy("version")))
+    # numbers below n that are free, and with them the turns that a taken number shifts
+    w = Window.partitionBy("date").orderBy("n")
+    shifts = taken.withColumn("before", F.col("n") - F.row_number().over(w))
+    moved = wanted.join(shifts, "date", "left").groupBy("version", "date", "turn").agg(F.count_if(F.col("before") < F.col("turn")).alias("over"))
+    n = (F.col("turn") + F.col("over")).cast("int")
+    new = moved.select("version", F.when(n == 1, F.col("date")).otherwise(F.concat("date", F.lit("-"), n.cast("string"))).alias("name"))
+    return versions.select("version").join(kept, "version").select("version", F.col("kept").alias("name")).unionByName(new)
 
 
 def assign_ids(rows: DataFrame, prefix: str, name: Column, order: str = "pos", pinned: str | None = None) -> DataFrame:
-    """rows with id: the pinned one, else prefix and slug of the name; names that share a slug are numbered in order."""
+    """rows with id: the pinned one, else prefix and slug of the name, the prefix not twice; names that share a slug are numbered in order.
+
+    A pinned id keeps its row's place in the numbers of the others.
+    """
     base = slug(name)
     base = F.when(F.startswith(base, F.lit(prefix)), base).otherwise(F.concat(F.lit(prefix), base))
     named = rows.withColumn("_base", base)

@@ -106,3 +106,37 @@ def summarised(changes: DataFrame, group: list[str], name: str, most: int = 10,
     out = lowest.groupBy(*group).agg(F.first("_n").alias("n"), F.array_join(F.array_sort(F.collect_list(name)), ", ").alias("_names"))
     text = F.when(F.col("n") > most, F.lit(None)).when(F.col("n") > shown, F.concat("_names", F.lit(" and "), (F.col("n") - shown).cast("string"), F.lit(" more"))).otherwise(F.col("_names"))
     return out.select(*group, "n", text.alias("names"))
+
+
+def change_areas(changes: DataFrame, reach_m: float, new_layer: int = 20) -> DataFrame:
+    """changes with area: places (id, kind, x, y, ...) that lie near each other, named by the smallest id.
+
+    More than `new_layer` added points are a new layer and form one area together, wherever they lie.
+    """
+    from .graph import components
+    from .grid import near_points
+
+    added = changes.where("kind = 'added'").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).first()
+    layer = F.col("kind") == "added" if added["n"] > new_layer else F.lit(False)
+    rest = changes.where(~layer)
+    roots = components(near_points(rest, reach_m))
+    own = rest.join(roots, F.col("id") == F.col("node"), "left").select(*changes.columns, F.coalesce("root", "id").alias("area"))
+    if added["n"] <= new_layer:
+        return own
+    return own.unionByName(changes.where(layer).withColumn("area", F.lit(added["first"])))
+
+
+def area_facts(areas: DataFrame) -> DataFrame:
+    """(area, places, added, removed, moved, most_m, north, west): counts by kind, the longest move, and the northernmost place (the westernmost of these). areas: area, kind, x, y, metres (of moves)."""
+    kind = lambda k: F.count_if(F.col("kind") == k).alias(k)
+    top = F.max(F.struct("y", (-F.col("x")).alias("w"))).alias("t")
+    got = areas.groupBy("area").agg(F.count(F.lit(1)).alias("places"), kind("added"), kind("removed"), kind("moved"), F.max("metres").alias("most_m"), top)
+    return got.select("area", "places", "added", "removed", "moved", "most_m", F.col("t.y").alias("north"), (-F.col("t.w")).alias("west"))
+
+
+def first_areas(facts: DataFrame, most: int = 12) -> DataFrame:
+    """The `most` areas furthest north, then west, with their rank and, in `others`, how many are left out."""
+    from .ranks import ranked
+
+    n = facts.count()
+    return ranked(facts, [F.desc("north"), F.asc("west"), F.asc("area")]).where(F.col("rank") <= most).withColumn("others", F.lit(max(0, n - most)).cast("long"))

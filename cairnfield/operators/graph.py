@@ -96,6 +96,90 @@ def affine_fit(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return np.linalg.solve(m, [s["s_px"], s["s_qx"], s["s_x"]]), np.linalg.solve(m, [s["s_py"], s["s_qy"], s["s_y"]])
 
 
+def mapped(nodes: DataFrame, fit: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """nodes (id, px, py) with x and y under an affine map."""
+    at = lambda k: F.col("px") * float(k[0]) + F.col("py") * float(k[1]) + float(k[2])
+    return nodes.withColumns({"x": at(fit[0]), "y": at(fit[1])})
+
+
+def icp(nodes: DataFrame, anchors: DataFrame, segments: DataFrame, far_m: float = 40.0, least: int = 12, rounds: int = 12) -> tuple[np.ndarray, np.ndarray]:
+    """The affine map that lays nodes (id, px, py) on lines (segments x0, y0, x1, y1).
+
+    It begins with the map of the anchors (px, py, x, y), whose places are
+    known. In each round every node meets the nearest place on a line, if that
+    is less than far_m away, and the map is fit anew to these and the anchors; it
+    ends after `rounds`, or where fewer than `least` nodes meet a line.
+    """
+    from .grid import snapped
+
+    fit = affine_fit(anchors)
+    known = anchors.select("px", "py", "x", "y")
+    for _ in range(rounds):
+        near = snapped(mapped(nodes, fit), segments, far_m).where(F.col("m") < far_m)
+        pairs = cut(nodes.join(near, "id").select("px", "py", "x", "y"))
+        if pairs.count() < least:
+            break
+        fit = affine_fit(pairs.unionByName(known))
+    return fit
+
+
+def assembled(vertices: DataFrame, reach_m: float) -> DataFrame:
+    """(trail, pieces, parts, metres, vertices): lines put together to trails. vertices: trail, line, seq, x, y.
+
+    Two lines of a trail join where a vertex of one lies within reach of the
+    other, at an end or along it. parts is how many separate pieces are left: a
+    trail that is whole has one.
+    """
+    from .grid import near_segments
+    from .measures import lengths
+
+    ends = vertices.select("trail", F.struct("trail", "line").alias("id"), "x", "y")
+    sides = segments(vertices.select("trail", F.struct("trail", "line").alias("other"), "seq", "x", "y"), ["trail", "other"]).drop("seq")
+    from ..functions.geo import to_segment
+
+    met = near_segments(ends, sides, reach_m, ("trail",)).where((F.col("id") != F.col("other")) & (to_segment(*[F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]) <= reach_m))
+    roots = components(met.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
+    lines = vertices.groupBy("trail", "line").agg(F.count(F.lit(1)).alias("n")).join(lengths(vertices, ["trail", "line"]), ["trail", "line"], "left")
+    tied = lines.join(roots, F.struct("trail", "line") == F.col("node"), "left").withColumn("part", F.coalesce("root.line", "line"))
+    return tied.groupBy("trail").agg(F.count(F.lit(1)).alias("pieces"), F.count_distinct("part").alias("parts"), F.coalesce(F.sum("metres"), F.lit(0.0)).alias("metres"), F.sum("n").alias("vertices"))
+
+
+def untidy(trails: DataFrame, lengths_m: DataFrame, tolerance_m: float = 80.4672) -> DataFrame:
+    """(check_name, key): trails in several parts, and those whose length is not the given one (trail, wanted_m) within the tolerance (0.05 mi)."""
+    from .checks import violations
+
+    off = trails.join(lengths_m, "trail").where(F.abs(F.col("metres") - F.col("wanted_m")) > tolerance_m)
+    return violations({"in several parts": trails.where("parts > 1"), "wrong length": off}, "trail")
+
+
+def cut_at(vertices: DataFrame, cuts: DataFrame) -> DataFrame:
+    """vertices (line, seq, x, y) on one side of the vertex nearest to a given place, which both sides keep.
+
+    cuts: line, x, y, side ("before" or "after"). Ties go to the lower seq; a line without a cut stays whole.
+    """
+    from .grid import metres
+
+    at = cuts.select("line", F.col("x").alias("cut_x"), F.col("y").alias("cut_y"), "side")
+    near = vertices.join(at, "line").groupBy("line", "side").agg(F.min(F.struct(metres(F.col("cut_x"), F.col("cut_y"), F.col("x"), F.col("y")).alias("m"), "seq")).alias("t"))
+    kept = vertices.join(near.select("line", "side", F.col("t.seq").alias("cut")), "line", "left")
+    return kept.where("cut is null or (side = 'before' and seq <= cut) or (side = 'after' and seq >= cut)").select(*vertices.columns)
+
+
+def part_rows(vertices: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, seq, x, y): parts of many-part lines (trail, part, seq, x, y) as lines of their own. wanted: trail, part, id."""
+    return vertices.join(wanted.select("trail", "part", "id"), ["trail", "part"]).select("id", "seq", "x", "y")
+
+
+def merged_lines(vertices: DataFrame, kinds: DataFrame) -> DataFrame:
+    """(kind, part, seq, x, y): one many-part line for each kind, its lines (kind, line) as parts from 0, by their ids. A kind may hold any number of lines, so it stays in rows."""
+    from .ranks import ranked
+
+    numbers = ranked(kinds.select("kind", "line").distinct(), ["kind", "line"])
+    first = numbers.groupBy("kind").agg(F.min("rank").alias("first"))
+    parts = spread_join(numbers, first, "kind").select("kind", "line", (F.col("rank") - F.col("first")).alias("part"))
+    return vertices.join(parts, "line").select("kind", F.col("part").cast("long").alias("part"), "seq", "x", "y")
+
+
 def connectors(anchors: DataFrame, nodes: DataFrame, vertices: DataFrame, edges: DataFrame, gap_m: float, stitch_m: float, limit: float, rounds: int = 50) -> DataFrame:
     """(anchor, step, vertex, x, y): ways along lines from anchors far off the network to where they come near it.
 

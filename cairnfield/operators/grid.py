@@ -2,82 +2,149 @@
 
 A cell is as wide as the reach, so what lies within reach of a point lies in
 its cell or a neighbour. Shapes are put into every cell that their bounds,
-widened by one cell, touch; points into theirs; cells are then joined on
-equality and distances computed for what met. Longitude is scaled at the
-latitude nearest the pole, so no near pair is missed.
+widened by the reach, touch; points into theirs; cells are then joined on
+equality and distances computed for what met. Each row of cells has a width of
+its own in degrees, right for its latitude nearest the pole, so no near pair is
+missed at any latitude. Shapes much wider than the reach go to levels of wider
+cells, each twice as wide as the one below, so that none fills many; points
+look into every level that holds a shape. Pairs across the 180th meridian do
+not meet.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import LAT_M, LON_M, crosses, metres, to_segment
+from ..functions.geo import LAT_M, LON_M, crosses, metres, nearest_on, to_segment
+from ..storage import cut
+
+#: Reach beyond which nothing on earth lies, in metres.
+FARTHEST_M = 4.1e7
+
+
+def _high(reach_m: float, level: Column | int) -> Column:
+    """Height of a cell in degrees."""
+    return F.lit(reach_m / LAT_M) * F.pow(F.lit(2.0), F.lit(level) if isinstance(level, int) else level)
 
 
-def steps(reach_m: float, pole_lat: float = 46.0) -> tuple[float, float]:
-    """Width and height of a cell in degrees."""
-    return reach_m / (LON_M * math.cos(math.radians(pole_lat))), reach_m / LAT_M
+def _wide(reach_m: float, level: Column | int, cy: Column) -> Column:
+    """Width in degrees of the cells of row cy."""
+    high = _high(reach_m, level)
+    pole = F.least(F.greatest(F.abs(cy * high), F.abs((cy + 1) * high)), F.lit(89.9))
+    return high * F.lit(LAT_M / LON_M) / F.cos(F.radians(pole))
 
 
-def cell(c: Column, step: float) -> Column:
+def cell(c: Column, step: Column) -> Column:
     return F.floor(c / step).cast("long")
 
 
-def point_cells(points: DataFrame, reach_m: float) -> DataFrame:
-    """points with their cell (cx, cy)."""
-    sx, sy = steps(reach_m)
-    return points.withColumns({"cx": cell(F.col("x"), sx), "cy": cell(F.col("y"), sy)})
+def point_cells(points: DataFrame, reach_m: float, levels: list[int] | None = None) -> DataFrame:
+    """points with their cell (cx, cy); with levels once for each, with level."""
+    level: Column | int = 0
+    if levels is not None:
+        points, level = points.withColumn("level", F.explode(F.array(*[F.lit(n) for n in levels]) if levels else F.array().cast("array<int>"))), F.col("level")
+    rows = points.withColumn("cy", cell(F.col("y"), _high(reach_m, level)))
+    return rows.withColumn("cx", cell(F.col("x"), _wide(reach_m, level, F.col("cy"))))
+
+
+def leveled(boxes: DataFrame, reach_m: float) -> DataFrame:
+    """boxes with the level whose cells are as wide as they."""
+    size = F.greatest((F.col("max_x") - F.col("min_x")) * LON_M * F.cos(F.radians(F.least(F.abs("min_y"), F.abs("max_y")))), (F.col("max_y") - F.col("min_y")) * LAT_M, F.lit(reach_m))
+    return boxes.withColumn("level", F.ceil(F.log2(size / reach_m)).cast("int"))
 
 
 def box_cells(boxes: DataFrame, reach_m: float) -> DataFrame:
-    """boxes (min_x, min_y, max_x, max_y) once for each cell that they come within reach of."""
-    sx, sy = steps(reach_m)
-    xs = F.sequence(cell(F.col("min_x"), sx) - 1, cell(F.col("max_x"), sx) + 1)
-    ys = F.sequence(cell(F.col("min_y"), sy) - 1, cell(F.col("max_y"), sy) + 1)
-    return boxes.withColumn("cx", F.explode(xs)).withColumn("cy", F.explode(ys))
+    """boxes (min_x, min_y, max_x, max_y) once for each cell that they come within reach of; the cells of their level if they have one."""
+    level: Column | int = F.col("level") if "level" in boxes.columns else 0
+    high, reach = _high(reach_m, level), F.lit(reach_m / LAT_M)
+    rows = boxes.withColumn("cy", F.explode(F.sequence(cell(F.col("min_y") - reach, high), cell(F.col("max_y") + reach, high))))
+    wide = _wide(reach_m, level, F.col("cy"))
+    # a cell is at least as wide as the reach
+    return rows.withColumn("cx", F.explode(F.sequence(cell(F.col("min_x") - wide, wide), cell(F.col("max_x") + wide, wide))))
+
+
+def levels_of(boxes: DataFrame) -> list[int]:
+    """The levels that hold a box: a few dozen at most, as they double."""
+    return sorted(r["level"] for r in boxes.select("level").distinct().collect())
+
+
+def _point_boxes(points: DataFrame, x: str, y: str) -> DataFrame:
+    return points.withColumns({"min_x": F.col(x), "max_x": F.col(x), "min_y": F.col(y), "max_y": F.col(y)})
 
 
 def near_points(points: DataFrame, reach_m: float) -> DataFrame:
     """(a, b, m): pairs of points, a < b, within reach; the point with the smaller id is the centre."""
-    left = point_cells(points.select("id", "x", "y"), reach_m)
-    one = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    right = left.select(F.col("id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by"), F.explode(F.transform(one, lambda d: F.col("cx") + d)).alias("cx"), "cy").select("b", "bx", "by", "cx", F.explode(F.transform(one, lambda d: F.col("cy") + d)).alias("cy"))
-    met = left.join(right, ["cx", "cy"]).where("id < b").withColumn("m", metres(F.col("x"), F.col("y"), F.col("bx"), F.col("by")))
+    right = _point_boxes(points.select(F.col("id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by")), "bx", "by")
+    met = point_cells(points.select("id", "x", "y"), reach_m).join(box_cells(right, reach_m), ["cx", "cy"]).where("id < b").withColumn("m", metres(F.col("x"), F.col("y"), F.col("bx"), F.col("by")))
     return met.where(F.col("m") <= reach_m).select(F.col("id").alias("a"), "b", "m")
 
 
+def _segment_boxes(segments: DataFrame) -> DataFrame:
+    return segments.withColumns({"min_x": F.least("x0", "x1"), "max_x": F.greatest("x0", "x1"), "min_y": F.least("y0", "y1"), "max_y": F.greatest("y0", "y1")})
+
+
+def near_segments(points: DataFrame, segments: DataFrame, reach_m: float, same: tuple[str, ...] = ()) -> DataFrame:
+    """points and segments (x0, y0, x1, y1) whose cells meet, all columns of both; with same, only those that agree in these columns."""
+    boxes = cut(leveled(_segment_boxes(segments), reach_m))
+    cells = box_cells(boxes, reach_m).drop("min_x", "max_x", "min_y", "max_y")
+    return point_cells(points, reach_m, levels_of(boxes)).join(cells, [*same, "level", "cx", "cy"]).drop("level", "cx", "cy")
+
+
 def within_polygons(points: DataFrame, segments: DataFrame, reach_m: float) -> DataFrame:
     """(id, fid, m): points and areas within reach, 0 metres for points inside. segments: fid, ring, x0, y0, x1, y1."""
-    boxes = segments.groupBy("fid").agg(F.min(F.least("x0", "x1")).alias("min_x"), F.min(F.least("y0", "y1")).alias("min_y"), F.max(F.greatest("x0", "x1")).alias("max_x"), F.max(F.greatest("y0", "y1")).alias("max_y"))
-    met = point_cells(points.select("id", "x", "y"), reach_m).join(box_cells(boxes.select("fid", "min_x", "min_y", "max_x", "max_y"), reach_m).select("fid", "cx", "cy"), ["cx", "cy"]).select("id", "x", "y", "fid")
+    bounds = segments.groupBy("fid").agg(F.min(F.least("x0", "x1")).alias("min_x"), F.min(F.least("y0", "y1")).alias("min_y"), F.max(F.greatest("x0", "x1")).alias("max_x"), F.max(F.greatest("y0", "y1")).alias("max_y"))
+    boxes = cut(leveled(bounds, reach_m))
+    met = point_cells(points.select("id", "x", "y"), reach_m, levels_of(boxes)).join(box_cells(boxes, reach_m), ["level", "cx", "cy"])
+    # the edges of an area are joined only to points within reach of its bounds
+    east = F.lit(reach_m / LON_M) / F.cos(F.radians(F.least(F.abs("y"), F.lit(89.9)))) + 1e-9
+    north = F.lit(reach_m / LAT_M) + 1e-9
+    met = met.where(F.col("x").between(F.col("min_x") - east, F.col("max_x") + east) & F.col("y").between(F.col("min_y") - north, F.col("max_y") + north)).select("id", "x", "y", "fid")
     args = [F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]
     rings = met.join(segments, "fid").groupBy("id", "fid", "ring").agg(F.min(to_segment(*args)).alias("edge"), (F.sum(crosses(*args)) % 2).alias("odd"))
     whole = rings.groupBy("id", "fid").agg(F.min("edge").alias("edge"), F.max(F.when(F.col("ring") == 0, F.col("odd")).otherwise(0)).alias("outer"), F.max(F.when(F.col("ring") > 0, F.col("odd")).otherwise(0)).alias("hole"))
     return whole.select("id", "fid", F.when((F.col("outer") == 1) & (F.col("hole") == 0), 0.0).otherwise(F.col("edge")).alias("m")).where(F.col("m") <= reach_m)
 
 
-def nearest_point(points: DataFrame, targets: DataFrame, reach_m: float, rounds: int = 12) -> DataFrame:
-    """(id, target, m): each point's nearest target, however far; ties to the lower target id.
+def _doubling(left: DataFrame, reach_m: float, look) -> DataFrame:
+    """What look(points, reach) finds for each id, with the reach doubled for those that found nothing, until all have or nothing on earth is left to reach."""
+    out, reach = None, reach_m
+    while True:
+        best = cut(look(left, reach))
+        out = best if out is None else out.unionByName(best)
+        left = cut(left.join(best.select("id"), "id", "left_anti"))
+        if reach > FARTHEST_M or left.isEmpty():
+            return out
+        reach *= 2
+
+
+def nearest_point(points: DataFrame, targets: DataFrame, reach_m: float) -> DataFrame:
+    """(id, target, m): each point's nearest target, however far; ties to the lower target id. Without targets there are no rows.
 
     Looks within reach, then doubles it for the points that found none. What is
     found within the reach of a round is nearest of all.
     """
-    out, left, reach = None, points.select("id", "x", "y"), reach_m
-    for k in range(rounds):
-        near = targets.select(F.col("id").alias("target"), F.col("x").alias("tx"), F.col("y").alias("ty"))
-        boxes = box_cells(near.withColumns({"min_x": F.col("tx"), "max_x": F.col("tx"), "min_y": F.col("ty"), "max_y": F.col("ty")}), reach)
-        met = point_cells(left, reach).join(boxes, ["cx", "cy"]).withColumn("m", metres(F.col("x"), F.col("y"), F.col("tx"), F.col("ty"))).where(F.col("m") <= reach)
-        best = met.groupBy("id").agg(F.min(F.struct("m", "target")).alias("best")).select("id", F.col("best.target").alias("target"), F.col("best.m").alias("m"))
-        out = best if out is None else out.unionByName(best)
-        left = left.join(best.select("id"), "id", "left_anti")
-        if k % 3 == 2:
-            from ..storage import cut
+    near = _point_boxes(targets.select(F.col("id").alias("target"), F.col("x").alias("tx"), F.col("y").alias("ty")), "tx", "ty")
 
-            out, left = cut(out), cut(left)
-            if left.isEmpty():
-                break
-        reach *= 2
-    return out
+    def look(left: DataFrame, reach: float) -> DataFrame:
+        met = point_cells(left, reach).join(box_cells(near, reach), ["cx", "cy"]).withColumn("m", metres(F.col("x"), F.col("y"), F.col("tx"), F.col("ty"))).where(F.col("m") <= reach)
+        return met.groupBy("id").agg(F.min(F.struct("m", "target")).alias("best")).select("id", F.col("best.target").alias("target"), F.col("best.m").alias("m"))
+
+    if near.isEmpty():
+        return look(points.select("id", "x", "y").limit(0), reach_m)
+    return _doubling(points.select("id", "x", "y"), reach_m, look)
+
+
+def snapped(points: DataFrame, segments: DataFrame, reach_m: float) -> DataFrame:
+    """(id, m, x, y): points within reach of a segment (x0, y0, x1, y1), the metres to the nearest one and the place on it; ties to the place further west, then south."""
+    args = [F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]
+    met = near_segments(points.select("id", "x", "y"), segments.select("x0", "y0", "x1", "y1"), reach_m).select("id", nearest_on(*args).alias("at"))
+    return met.where(F.col("at.m") <= reach_m).groupBy("id").agg(F.min("at").alias("at")).select("id", "at.m", "at.x", "at.y")
+
+
+def snap_to_lines(points: DataFrame, segments: DataFrame, reach_m: float) -> DataFrame:
+    """(id, m, x, y): the nearest place on any segment for every point, however far; `reach_m` is where the search begins. Without segments there are no rows."""
+    rows = points.select("id", "x", "y")
+    if segments.isEmpty():
+        return snapped(rows.limit(0), segments, reach_m)
+    return _doubling(rows, reach_m, lambda left, reach: snapped(left, segments, reach))

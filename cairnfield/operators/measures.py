@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import haversine, metres, to_segment
+from ..functions.geo import crosses, haversine, metres, to_segment
 
 
 def segments(vertices: DataFrame, keys: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
@@ -56,7 +56,12 @@ def off_runs(samples: DataFrame, other: DataFrame, keys: list[str], reach_m: flo
 
     other: keys, x0, y0, x1, y1. Samples without another shape are all off.
     """
-    near = samples.join(other.select(*keys, "x0", "y0", "x1", "y1"), keys, "left").groupBy(*keys, "seq", "step", "x", "y").agg(F.min(to_segment(*[F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")])).alias("m"))
+    from .grid import near_segments
+
+    # samples meet the segments of their own line that are near, and no others
+    met = near_segments(samples.select(*keys, "seq", "step", "x", "y"), other.select(*keys, "x0", "y0", "x1", "y1"), reach_m, tuple(keys))
+    near = met.groupBy(*keys, "seq", "step").agg(F.min(to_segment(*[F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")])).alias("m"))
+    near = samples.select(*keys, "seq", "step", "x", "y").join(near, [*keys, "seq", "step"], "left")
     w = Window.partitionBy(*keys).orderBy("seq", "step")
     off = near.withColumn("at", F.row_number().over(w)).where(F.col("m").isNull() | (F.col("m") > reach_m))
     # gaps and islands: place among all samples less place among the off ones
@@ -66,28 +71,68 @@ def off_runs(samples: DataFrame, other: DataFrame, keys: list[str], reach_m: flo
     return runs.withColumn("d", step).groupBy(*keys, "run").agg(F.count(F.lit(1)).alias("points"), F.sum("d").alias("metres")).where("points > 1")
 
 
-def simplified(vertices: DataFrame, keys: list[str], tolerance: float, rounds: int = 40) -> DataFrame:
-    """Vertices that stay when each line is simplified to `tolerance` (degrees): all intervals of all lines are split together, round by round."""
+def label_anchors(vertices: DataFrame) -> DataFrame:
+    """(id, x, y): a place for the label of each area (vertices id, ring, seq, x, y): its centroid if that is inside, else the middle of the widest inner span on the centroid's row or, failing that, on ten others; the centroid if all fail."""
+    segs = segments(vertices, ["id", "ring"])
+    c = ring_areas(vertices.where("ring = 0"), ["id", "ring"]).select("id", "cx", "cy")
+    ends = [F.col(k) for k in ("px", "py", "x0", "y0", "x1", "y1")]
+
+    def inside(points):
+        odd = points.join(segs, "id").groupBy("id", "row", "px", "py", "ring").agg((F.sum(crosses(*ends)) % 2).alias("odd"))
+        return odd.groupBy("id", "row", "px", "py").agg((F.max(F.when(F.col("ring") == 0, F.col("odd")).otherwise(0)) == 1).alias("outer"), (F.max(F.when(F.col("ring") > 0, F.col("odd")).otherwise(0)) == 1).alias("hole")).where("outer and not hole")
+
+    first = inside(c.select("id", F.lit(-1).alias("row"), F.col("cx").alias("px"), F.col("cy").alias("py"))).select("id", "row", "px", "py", F.lit(0.0).alias("width"))
+    span = bounds(vertices.where("ring = 0"), ["id"]).join(c, "id")
+    sweep = F.col("min_y") + (F.col("max_y") - F.col("min_y")) * (F.col("row") - 0.5) / 10
+    rows = span.select("id", "cy", "min_y", "max_y", F.explode(F.sequence(F.lit(0), F.lit(10))).alias("row")).select("id", "row", F.when(F.col("row") == 0, F.col("cy")).otherwise(sweep).alias("py"))
+    hit = (F.col("x0") + (F.col("py") - F.col("y0")) / (F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))).alias("hit")
+    hits = rows.join(segs, "id").where("(y0 > py) <> (y1 > py)").select("id", "row", "py", hit)
+    gaps = hits.withColumn("next", F.lead("hit").over(Window.partitionBy("id", "row").orderBy("hit"))).where("next > hit")
+    gaps = gaps.select("id", "row", "py", ((F.col("hit") + F.col("next")) / 2).alias("px"), (F.col("next") - F.col("hit")).alias("width"))
+    good = inside(gaps.select("id", "row", "px", "py")).join(gaps, ["id", "row", "px", "py"]).select("id", "row", "px", "py", "width")
+    best = first.unionByName(good).groupBy("id").agg(F.min(F.struct("row", F.round(-F.col("width"), 9).alias("w"), "px", "py")).alias("t"))
+    return c.join(best, "id", "left").select("id", F.coalesce("t.px", "cx").alias("x"), F.coalesce("t.py", "cy").alias("y"))
+
+
+def moved(before: DataFrame, after: DataFrame, keys: list[str], reach_m: float) -> DataFrame:
+    """(keys, runs, dropped_m, added_m): stretches of the old line that lie off the new one, and of the new one off the old. Lines with neither have no row.
+
+    before, after: keys, seq, x, y.
+    """
+    sides = {"dropped_m": (before, after), "added_m": (after, before)}
+    rows = None
+    for name, (own, other) in sides.items():
+        runs = off_runs(densified(own, keys), segments(other, keys).drop("seq"), keys, reach_m)
+        runs = runs.select(*keys, *[(F.col("metres") if n == name else F.lit(0.0)).alias(n) for n in sides])
+        rows = runs if rows is None else rows.unionByName(runs)
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("runs"), *[F.sum(n).alias(n) for n in sides])
+
+
+def simplified(vertices: DataFrame, keys: list[str], tolerance: float, rounds: int = 10_000) -> DataFrame:
+    """Vertices that stay when each line is simplified to `tolerance` (degrees): all intervals of all lines are split together, round by round.
+
+    Every vertex that is not decided yet carries the interval it lies in, so a
+    round is one grouping and one join on intervals.
+    """
     from ..storage import cut
 
     base = cut(vertices.select(*keys, "seq", "x", "y"))
-    ends = base.groupBy(*keys).agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
-    kept = ends.select(*keys, F.explode(F.array("lo", "hi")).alias("seq")).distinct()
-    open_ = cut(ends.where("hi - lo > 1"))
+    at = lambda f: f(F.struct("seq", "x", "y"))
+    ends = base.groupBy(*keys).agg(at(F.min).alias("lo"), at(F.max).alias("hi"))
+    kept = cut(ends.select(*keys, F.explode(F.array("lo.seq", "hi.seq")).alias("seq")).distinct())
+    open_ = cut(base.join(ends, keys).where("seq > lo.seq and seq < hi.seq"))
     for _ in range(rounds):
         if open_.isEmpty():
-            break
-        a = base.select(*keys, F.col("seq").alias("lo"), F.col("x").alias("ax"), F.col("y").alias("ay"))
-        b = base.select(*keys, F.col("seq").alias("hi"), F.col("x").alias("bx"), F.col("y").alias("by"))
-        held = open_.join(a, [*keys, "lo"]).join(b, [*keys, "hi"])
-        inner = held.join(base, keys).where("seq > lo and seq < hi")
-        dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
+            return base.join(kept, [*keys, "seq"], "left_semi")
+        dx, dy = F.col("hi.x") - F.col("lo.x"), F.col("hi.y") - F.col("lo.y")
         long = dx * dx + dy * dy
-        t = F.when(long == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("x") - F.col("ax")) * dx + (F.col("y") - F.col("ay")) * dy) / F.when(long == 0, 1.0).otherwise(long))))
-        d = F.hypot(F.col("x") - F.col("ax") - t * dx, F.col("y") - F.col("ay") - t * dy)
+        t = F.when(long == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("x") - F.col("lo.x")) * dx + (F.col("y") - F.col("lo.y")) * dy) / F.when(long == 0, 1.0).otherwise(long))))
+        d = F.hypot(F.col("x") - F.col("lo.x") - t * dx, F.col("y") - F.col("lo.y") - t * dy)
         # the farthest vertex splits an interval; ties go to the first
-        far = inner.withColumn("d", d).groupBy(*keys, "lo", "hi").agg(F.max(F.struct("d", -F.col("seq"))).alias("top")).select(*keys, "lo", "hi", F.col("top.d").alias("d"), (-F.col("top.col2")).alias("mid")).where(F.col("d") > tolerance)
-        far = cut(far)
-        kept = cut(kept.unionByName(far.select(*keys, F.col("mid").alias("seq"))))
-        open_ = cut(far.select(*keys, F.explode(F.array(F.struct(F.col("lo"), F.col("mid").alias("hi")), F.struct(F.col("mid").alias("lo"), F.col("hi")))).alias("i")).select(*keys, "i.lo", "i.hi").where("hi - lo > 1"))
-    return base.join(kept, [*keys, "seq"], "left_semi")
+        far = open_.withColumn("d", d).groupBy(*keys, "lo", "hi").agg(F.max(F.struct("d", (-F.col("seq")).alias("turn"), "x", "y")).alias("top")).where(F.col("top.d") > tolerance)
+        far = cut(far.select(*keys, "lo", "hi", F.struct((-F.col("top.turn")).cast(base.schema["seq"].dataType).alias("seq"), F.col("top.x").alias("x"), F.col("top.y").alias("y")).alias("mid")))
+        kept = cut(kept.unionByName(far.select(*keys, F.col("mid.seq").alias("seq"))))
+        rest = open_.join(far, [*keys, "lo", "hi"]).where("seq <> mid.seq")
+        before = F.col("seq") < F.col("mid.seq")
+        open_ = cut(rest.select(*keys, "seq", "x", "y", F.when(before, F.col("lo")).otherwise(F.col("mid")).alias("lo"), F.when(before, F.col("mid")).otherwise(F.col("hi")).alias("hi")))
+    raise RuntimeError(f"lines did not settle in {rounds} rounds")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import changes, cleaning, networks, quality, spatial, text
+from . import changes, cleaning, networks, places, quality, spatial, text
 
-_PARTS = (cleaning, spatial, changes, networks, quality, text)
+_PARTS = (cleaning, spatial, changes, networks, places, quality, text)
 
 
 def queries() -> dict:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import diff, grid
-from ..operators.graph import components
+from ..functions import geo
+from ..operators import diff, places
 from ..operators.ranks import ranked
 from ..sources import views as V
 from ..streaming.feed import changed_versions
-from .common import CTX, PT, SNAP, metres
+from .common import CTX, SNAP, metres
 
 QUERIES, SQL = {}, {}
 
@@ -140,37 +140,47 @@ def change_feed(spark, sf):
     return changed_versions(V.feed(spark, sf))
 
 
-_AREAS = f"""{PT}, ch AS (SELECT id, x, y FROM pt WHERE id % 3 <> 0), e AS (SELECT a.id AS a, b.id AS b FROM ch a JOIN ch b ON a.id < b.id WHERE {metres('a.', 'b.')} <= 300), bo AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
-r(node, root) AS (SELECT id, id FROM ch UNION SELECT bo.b, r.root FROM r JOIN bo ON bo.a = r.node), ar AS (SELECT node, min(root) AS area FROM r GROUP BY node),
-fa AS (SELECT area, count(*) AS places, max(y) AS north, arg_max(x, (y, -x)) AS at_x FROM ar JOIN ch ON ch.id = node GROUP BY area)"""
+_AREAS = f"""{SNAP}, ch AS (SELECT coalesce(a.id, b.id) AS id, CASE WHEN b.id IS NULL THEN 'added' WHEN a.id IS NULL THEN 'removed' ELSE 'moved' END AS kind, coalesce(a.x, b.x) AS x, coalesce(a.y, b.y) AS y, CASE WHEN a.x <> b.x OR a.y <> b.y THEN {metres('b.', 'a.')} END AS metres FROM bef b FULL JOIN aft a ON a.id = b.id WHERE a.id IS NULL OR b.id IS NULL OR a.x <> b.x OR a.y <> b.y),
+nl AS (SELECT count(*) > 20 AS new_layer, min(id) AS first FROM ch WHERE kind = 'added'), rest AS (SELECT ch.* FROM ch, nl WHERE NOT (new_layer AND kind = 'added')),
+e AS (SELECT a.id AS a, b.id AS b FROM rest a JOIN rest b ON a.id < b.id WHERE {metres('a.', 'b.')} <= 300), bo AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(node, root) AS (SELECT id, id FROM rest UNION SELECT bo.b, r.root FROM r JOIN bo ON bo.a = r.node), ar AS (SELECT node AS id, min(root) AS area FROM r GROUP BY node UNION ALL SELECT id, first FROM ch, nl WHERE new_layer AND kind = 'added'),
+fa AS (SELECT area, count(*) AS places, count(*) FILTER (WHERE kind = 'added') AS added, count(*) FILTER (WHERE kind = 'removed') AS removed, count(*) FILTER (WHERE kind = 'moved') AS moved, max(metres) AS most_m, max(y) AS north, arg_max(x, (y, -x)) AS west FROM ar JOIN ch USING (id) GROUP BY area)"""
 
 
-def _areas(spark, sf):
-    rows = V.points(spark, sf).where("id % 3 <> 0").select("id", "x", "y")
-    roots = components(grid.near_points(rows, 300.0))
-    return rows.join(roots, F.col("id") == F.col("node"), "left").select("id", "x", "y", F.coalesce("root", "id").alias("area"))
+def _changed_places(spark, sf):
+    """Places that were added, removed or moved between the two versions, where they are now or were last."""
+    b, a = (df.select("id", F.col("x").alias(f"{n}x"), F.col("y").alias(f"{n}y")) for df, n in zip(_versions(spark, sf), "ba", strict=True))
+    both = b.join(a, "id", "full").withColumn("kind", F.when(F.col("bx").isNull(), "added").when(F.col("ax").isNull(), "removed").otherwise("moved"))
+    off = F.when((F.col("ax") != F.col("bx")) | (F.col("ay") != F.col("by")), geo.metres(F.col("bx"), F.col("by"), F.col("ax"), F.col("ay")))
+    rows = both.select("id", "kind", F.coalesce("ax", "bx").alias("x"), F.coalesce("ay", "by").alias("y"), off.alias("metres"))
+    return rows.where("kind <> 'moved' or metres is not null")
 
 
-def _area_facts(spark, sf):
-    return _areas(spark, sf).groupBy("area").agg(F.count(F.lit(1)).alias("places"), F.max("y").alias("north"), F.max(F.struct("y", (-F.col("x")).alias("w"))).alias("t")).select("area", "places", "north", (-F.col("t.w")).alias("at_x"))
+def _areas(spark, sf):
+    return diff.change_areas(_changed_places(spark, sf), 300.0)
 
 
-@query(f"WITH RECURSIVE {_AREAS} SELECT node AS id, area FROM ar")
+@query(f"WITH RECURSIVE {_AREAS} SELECT id, area FROM ar")
 def areas(spark, sf):
     return _areas(spark, sf).select("id", "area")
 
 
-@query(f"WITH RECURSIVE {_AREAS} SELECT area, places, round(north, 6) AS north FROM fa")
+@query(f"WITH RECURSIVE {_AREAS} SELECT area, places, added, removed, moved, round(most_m, 2) AS most_m, round(north, 6) AS north, round(west, 6) AS west FROM fa")
 def area_facts(spark, sf):
-    return _area_facts(spark, sf).select("area", "places", F.round("north", 6).alias("north"))
+    return diff.area_facts(_areas(spark, sf)).withColumns({"most_m": F.round("most_m", 2), "north": F.round("north", 6), "west": F.round("west", 6)})
 
 
-@query(f"WITH RECURSIVE {_AREAS} SELECT area, row_number() OVER (ORDER BY places DESC, north DESC, at_x, area) AS rank FROM fa WHERE places > 1")
+@query(f"WITH RECURSIVE {_AREAS} SELECT area, row_number() OVER (ORDER BY north DESC, west, area) AS rank FROM fa")
 def area_order(spark, sf):
-    facts = _area_facts(spark, sf).where("places > 1")
-    return ranked(facts, [F.desc("places"), F.desc("north"), "at_x", "area"]).select("area", "rank")
+    facts = diff.area_facts(_areas(spark, sf))
+    return ranked(facts, [F.desc("north"), F.asc("west"), F.asc("area")]).select("area", "rank")
 
 
-@query(f"WITH RECURSIVE {_AREAS} SELECT area, places FROM fa ORDER BY north DESC, at_x, area LIMIT 12")
+@query(f"WITH RECURSIVE {_AREAS}, o AS (SELECT *, row_number() OVER (ORDER BY north DESC, west, area) AS rank, count(*) OVER () AS n FROM fa) SELECT area, places, rank, greatest(0, n - 12) AS others FROM o WHERE rank <= 12")
 def top_areas(spark, sf):
-    return _area_facts(spark, sf).orderBy(F.desc("north"), "at_x", "area").limit(12).select("area", "places")
+    return diff.first_areas(diff.area_facts(_areas(spark, sf))).select("area", "places", "rank", "others")
+
+
+@query(f"WITH {_DIFF} SELECT id, kind, row_number() OVER (ORDER BY CASE kind WHEN 'added' THEN 1 WHEN 'removed' THEN 2 ELSE 3 END, name, id) AS rank FROM df WHERE kind <> 'same'")
+def change_order(spark, sf):
+    return places.in_change_order(_named_kinds(spark, sf).where("kind <> 'same'"), ["added", "removed", "changed"]).select("id", "kind", "rank")

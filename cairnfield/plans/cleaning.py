@@ -6,9 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import conflate
+from ..operators import conflate, graph, measures, places
 from ..sources import views as V
-from .common import POLY, PT, SNAP
+from .common import LINE, PT, SNAP
 
 QUERIES, SQL = {}, {}
 
@@ -136,9 +136,16 @@ def first_kind(spark, sf):
     return V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.get(F.filter(own, lambda c: F.array_contains(known, c)), 0).alias("kind"))
 
 
-@query("""SELECT o_orderkey AS version, strftime(o_orderdate, '%Y-%m-%d') || CASE WHEN rn = 1 THEN '' ELSE '-' || rn END AS name FROM (SELECT *, row_number() OVER (PARTITION BY CAST(o_orderdate AS DATE) ORDER BY o_orderkey) AS rn FROM orders)""")
+@query("""WITH v AS (SELECT o_orderkey AS version, strftime(o_orderdate, '%Y-%m-%d') AS date FROM orders), gv AS (SELECT version, date || '-3' AS name FROM v WHERE version % 11 = 0 UNION ALL SELECT -version - 1, date FROM v WHERE version % 13 = 0),
+kept AS (SELECT version, min(name) AS name FROM gv GROUP BY 1), op AS (SELECT v.*, row_number() OVER (PARTITION BY date ORDER BY version) AS k FROM v WHERE version NOT IN (SELECT version FROM kept)),
+tk AS (SELECT DISTINCT left(name, 10) AS date, CASE WHEN length(name) = 10 THEN 1 ELSE CAST(substr(name, 12) AS INT) END AS n FROM gv), cand AS (SELECT date, unnest(range(1, max(k) + 3)) AS n FROM op GROUP BY date),
+fr AS (SELECT date, n, row_number() OVER (PARTITION BY date ORDER BY n) AS k FROM cand WHERE (date, n) NOT IN (SELECT date, n FROM tk))
+SELECT v.version, kept.name FROM v JOIN kept USING (version) UNION ALL SELECT op.version, op.date || CASE WHEN fr.n = 1 THEN '' ELSE '-' || fr.n END FROM op JOIN fr ON fr.date = op.date AND fr.k = op.k""")
 def release_name(spark, sf):
-    return conflate.release_names(V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("version"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")))
+    versions = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("version"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
+    own = versions.where("version % 11 = 0").select("version", F.concat("date", F.lit("-3")).alias("name"))
+    others = versions.where("version % 13 = 0").select((-F.col("version") - 1).alias("version"), F.col("date").alias("name"))
+    return conflate.release_names(versions, own.unionByName(others))
 
 
 @query("SELECT CAST(c_nationkey AS BIGINT) AS slug, count(*) FILTER (WHERE c_custkey % 6 <> 0) AS named, count(*) FILTER (WHERE c_custkey % 6 = 0) AS dropped FROM customer GROUP BY 1")
@@ -160,14 +167,14 @@ def bounds_filter(spark, sf):
     return V.points(spark, sf).select("id", (F.col("x").between(-93.3, -93.1) & F.col("y").between(44.4, 44.5)).alias("inside"))
 
 
-@query("""WITH b AS (SELECT p_partkey, trim(regexp_replace(lower(trim(p_name)), '[^a-z0-9]+', '_', 'g'), '_') AS base FROM part), n AS (SELECT *, count(*) OVER (PARTITION BY base) AS n, row_number() OVER (PARTITION BY base ORDER BY p_partkey) AS rn FROM b)
+@query("""WITH b AS (SELECT p_partkey, regexp_replace(lower(p_name), '[^a-z0-9]+', '', 'g') AS base FROM part), n AS (SELECT *, count(*) OVER (PARTITION BY base) AS n, row_number() OVER (PARTITION BY base ORDER BY p_partkey) AS rn FROM b)
 SELECT p_partkey AS pos, 'p_' || base || CASE WHEN n = 1 THEN '' ELSE '-' || rn END AS id FROM n""")
 def assign_ids(spark, sf):
     rows = V.table(spark, sf, "part").select(F.col("p_partkey").alias("pos"), F.col("p_name").alias("name"))
     return conflate.assign_ids(rows, "p_", F.col("name")).select("pos", "id")
 
 
-@query("SELECT p_partkey AS id, trim(regexp_replace(regexp_replace(lower(trim(CASE WHEN p_partkey % 2 = 0 THEN '(' || p_brand || ') ' || p_name ELSE p_name || '!' END)), '^\\([^)]*\\)\\s*', ''), '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM part")
+@query("SELECT p_partkey AS id, regexp_replace(regexp_replace(lower(CASE WHEN p_partkey % 2 = 0 THEN '(' || p_brand || ') ' || p_name ELSE p_name || '!' END), '^\\s*\\([^)]*\\)\\s*', ''), '[^a-z0-9]+', '', 'g') AS slug FROM part")
 def slugify(spark, sf):
     k = F.col("p_partkey")
     raw = F.when(k % 2 == 0, F.concat(F.lit("("), "p_brand", F.lit(") "), "p_name")).otherwise(F.concat("p_name", F.lit("!")))
@@ -211,13 +218,14 @@ def patches(spark, sf):
     return conflate.patched(rows, spec, ["name", "kind"])
 
 
-@query("""SELECT p_partkey AS id, CASE WHEN p_size > 30 THEN p_brand ELSE 'common' END || CASE WHEN p_partkey % 2 = 0 THEN ',even' ELSE '' END AS rules FROM part WHERE p_size > 20""")
+@query("""SELECT p_partkey AS id, CASE WHEN p_size > 20 THEN 'no fires|' || CASE WHEN p_size > 30 THEN p_brand ELSE 'no boats' END ELSE '' END AS rules, CASE WHEN p_size > 20 OR p_partkey % 2 = 0 THEN 1 ELSE 0 END AS links FROM part""")
 def apply_rules(spark, sf):
-    k = F.col("p_partkey")
-    rules = F.array(F.when(F.col("p_size") > 30, F.col("p_brand")).otherwise("common"))
-    extra = F.when(k % 2 == 0, F.array(F.lit("even"))).otherwise(F.array().cast("array<string>"))
-    rows = V.table(spark, sf, "part").select(k.alias("id"), F.when(F.col("p_size") > 20, F.array(F.lit("large"))).otherwise(F.array(F.lit("small"))).alias("categories"), F.array_union(rules, extra).alias("rules"))
-    return rows.where(F.arrays_overlap("categories", F.array(F.lit("large"), F.lit("huge")))).select("id", F.array_join("rules", ",").alias("rules"))
+    k, link = F.col("p_partkey"), F.array(F.struct(F.lit("Rules").alias("label"), F.lit("https://rules").alias("href")))
+    part = V.table(spark, sf, "part")
+    rows = part.select(k.alias("id"), F.array(F.when(F.col("p_size") > 20, "large").otherwise("small")).alias("categories"), F.when(k % 2 == 0, link).otherwise(F.slice(link, 1, 0)).alias("links"))
+    swaps = part.where("p_size > 30").select(k.alias("id"), F.lit("no boats").alias("rule"), F.col("p_brand").alias("instead"))
+    got = places.ruled(rows, ["large", "huge"], ["no fires", "no boats"], swaps, ("Rules", "https://rules"))
+    return got.select("id", F.array_join("rules", "|").alias("rules"), F.size("links").alias("links"))
 
 
 @query("SELECT p_name AS name, max(p_partkey) AS last_id, count(DISTINCT p_brand) > 1 AS brand_differs, count(DISTINCT p_type) > 1 AS type_differs, count(DISTINCT p_size) > 1 AS size_differs FROM part GROUP BY p_name HAVING count(*) > 1")
@@ -252,7 +260,18 @@ def sections(spark, sf):
     return rows.withColumn("section", F.last(F.when(head, F.col("l")), ignorenulls=True).over(w)).where(~head).select("conv_id", "turn", F.col("i").cast("long").alias("i"), "section")
 
 
-@query(f"WITH {PT}, {POLY} SELECT pt.id, min(poly.name) AS owner FROM pt JOIN poly ON poly.id = pt.id % 100 GROUP BY pt.id")
+_HAV = "2*6371008.8e0*asin(sqrt(power(sin((radians(y1) - radians(y0))/2), 2) + cos(radians(y0))*cos(radians(y1))*power(sin(radians(x1 - x0)/2), 2)))"
+
+
+@query(f"""WITH {LINE}, p AS (SELECT *, line % 500 AS trail, dense_rank() OVER (PARTITION BY line % 500 ORDER BY line) - 1 AS part FROM lv), w AS (SELECT trail, trail % 3 AS part FROM p GROUP BY trail), k AS (SELECT DISTINCT p.trail, p.line FROM p JOIN w USING (trail, part))
+SELECT 'trail' || k.trail || 'part' AS id, (SELECT count(*) FROM lv WHERE lv.line = k.line) AS vertices, coalesce((SELECT round(sum({_HAV}), 2) FROM lseg WHERE lseg.line = k.line), 0) AS metres FROM k""")
 def part_as_row(spark, sf):
-    first = V.polygons(spark, sf).groupBy("id").agg(F.min("name").alias("owner")).withColumnRenamed("id", "k")
-    return V.points(spark, sf).withColumn("k", F.col("id") % 100).join(first, "k").select("id", "owner")
+    """One part of each trail as a row of its own: the first, second or third of its lines."""
+    v = V.line_vertices(spark, sf).withColumn("trail", F.col("line") % 500)
+    # lines are numbered apart from their vertices
+    part = F.dense_rank().over(Window.partitionBy("trail").orderBy("line")) - 1
+    numbers = v.select("trail", "line").distinct().withColumn("part", part)
+    wanted = numbers.select("trail").distinct().select("trail", (F.col("trail") % 3).cast("int").alias("part"), F.concat(F.lit("trail"), F.col("trail").cast("string"), F.lit("part")).alias("id"))
+    rows = graph.part_rows(v.join(numbers, ["trail", "line"]), wanted)
+    n = rows.groupBy("id").agg(F.count(F.lit(1)).alias("vertices"))
+    return n.join(measures.lengths(rows, ["id"]), "id", "left").select("id", "vertices", F.coalesce(F.round("metres", 2), F.lit(0.0)).alias("metres"))

@@ -10,9 +10,10 @@ from ..operators import conflate, graph, grid, measures
 from ..operators.ranks import ranked
 from ..sources import views as V
 from ..storage import cut
-from .common import LINE, POLY, PT, metres, near
+from .common import LINE, POLY, PT, X, Y, metres, near, to_segment
 
 QUERIES, SQL = {}, {}
+_HAV = "2*6371008.8e0*asin(sqrt(power(sin((radians(y1) - radians(y0))/2), 2) + cos(radians(y0))*cos(radians(y1))*power(sin(radians(x1 - x0)/2), 2)))"
 
 
 def query(sql: str | None = None):
@@ -43,9 +44,13 @@ def canonical_edges(spark, sf):
     return _net(spark, sf)
 
 
-@query(f"WITH {_EDGES} SELECT t[3] AS type, count(*) AS edges, CAST(sum(b - a) AS BIGINT) AS span FROM ce GROUP BY 1")
+_NET_M = "sqrt(power((" + X.format(k="b") + " - " + X.format(k="a") + ")*cos(radians(44.46e0))*111320e0, 2) + power((" + Y.format(k="b") + " - " + Y.format(k="a") + ")*111132e0, 2))"
+
+
+@query(f"WITH {_EDGES} SELECT t[3] AS type, count(*) AS edges, CAST(sum(CAST(round({_NET_M}) AS BIGINT)) AS BIGINT) AS metres FROM ce GROUP BY 1")
 def edge_lengths(spark, sf):
-    return _net(spark, sf).groupBy("type").agg(F.count(F.lit(1)).alias("edges"), F.sum(F.col("b") - F.col("a")).alias("span"))
+    ends = [f(F.col(k)) for k in ("a", "b") for f in (V.place_x, V.place_y)]
+    return _net(spark, sf).groupBy("type").agg(F.count(F.lit(1)).alias("edges"), F.sum(F.round(geo.net_metres(*ends)).cast("long")).alias("metres"))
 
 
 _GRID = "g AS (SELECT p_partkey AS k, p_size AS w FROM part), ge AS (SELECT a.k AS a, a.k + 1 AS b, 1 + a.w AS c FROM g a WHERE a.k % 40 <> 39 AND EXISTS (SELECT 1 FROM g WHERE k = a.k + 1) UNION ALL SELECT a.k, a.k + 40, 2 + a.w FROM g a WHERE EXISTS (SELECT 1 FROM g WHERE k = a.k + 40)), gb AS (SELECT a, b, c FROM ge UNION ALL SELECT b, a, c FROM ge)"
@@ -68,44 +73,49 @@ def sssp(spark, sf):
     return graph.shortest_paths(_grid(spark, sf), starts, 120.0).select("node", F.col("cost").cast("long").alias("cost"))
 
 
-@query(f"WITH {PT}, f AS (SELECT regr_slope(x*2 + 0.5e0, x) AS a, count(*) AS n, CAST(round(sum(x*1e4)) AS BIGINT) AS sx, CAST(round(sum(y*1e4)) AS BIGINT) AS sy FROM pt) SELECT n, sx, sy, round(2.0e0, 4) AS a, round(0e0, 4) AS b, round(0.5e0, 4) AS c FROM f")
+@query("""WITH p AS (SELECT c_custkey % 97 AS p, c_nationkey AS q, c_acctbal AS x FROM customer), s AS (SELECT count(*) AS n, avg(p) AS mp, avg(q) AS mq, avg(x) AS mx, var_pop(p) AS pp, var_pop(q) AS qq, covar_pop(p, q) AS pq, covar_pop(p, x) AS px, covar_pop(q, x) AS qx FROM p),
+f AS (SELECT *, (px*qq - qx*pq)/(pp*qq - pq*pq) AS a, (qx*pp - px*pq)/(pp*qq - pq*pq) AS b FROM s) SELECT n, round(a, 4) AS a, round(b, 4) AS b, round(mx - a*mp - b*mq, 4) AS c FROM f""")
 def affine_fit(spark, sf):
-    """Sums of a fit, and the coefficients that it finds for a known map of the points."""
-    rows = V.points(spark, sf)
-    # about the middle, so the sums keep their digits
-    pairs = rows.select((F.col("x") + 93.2).alias("px"), (F.col("y") - 44.45).alias("py")).select("px", "py", (F.col("px") * 2 + 0.5).alias("x"), (F.col("py") * 3 - 0.25).alias("y"))
-    first = graph.affine_fit(pairs)[0]
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("x") * 1e4)).cast("long").alias("sx"), F.round(F.sum(F.col("y") * 1e4)).cast("long").alias("sy")).select("n", "sx", "sy", *[F.lit(abs(round(float(v), 4))).alias(k) for k, v in zip("abc", first, strict=True)])
+    """The plane through account balances over two numbers of each customer."""
+    rows = V.table(spark, sf, "customer").select((F.col("c_custkey") % 97).cast("double").alias("px"), F.col("c_nationkey").cast("double").alias("py"), F.col("c_acctbal").alias("x"), F.lit(0.0).alias("y"))
+    fit = graph.affine_fit(rows)[0]
+    return rows.agg(F.count(F.lit(1)).alias("n")).select("n", *[F.lit(round(float(v), 4)).alias(k) for k, v in zip("abc", fit, strict=True)])
 
 
 @query()
 def icp(spark, sf):
-    """Points set off by a known affine map, brought back onto the corners of the areas; residual in metres after each round."""
-    corners = V.polygons(spark, sf).where("seq = 0 and ring = 0").select("id", "x", "y")
-    moved = corners.select("id", ((F.col("x") + 93.2) * 1.0005 - 93.2 + 0.0001).alias("x"), ((F.col("y") - 44.45) * 0.9995 + 44.45 - 0.00008).alias("y"))
-    rows = []
-    for turn in range(6):
-        near = grid.nearest_point(moved, corners, 60.0).where("m < 120")
-        met = moved.join(near, "id").join(corners.select(F.col("id").alias("target"), F.col("x").alias("tx"), F.col("y").alias("ty")), "target")
-        found = met.agg(F.count(F.lit(1)).alias("n"), F.avg("m").alias("m")).first()
-        rows.append((turn, found["n"], float(found["m"])))
-        a, b = graph.affine_fit(met.select((F.col("x") + 93.2).alias("px"), (F.col("y") - 44.45).alias("py"), (F.col("tx") + 93.2).alias("x"), (F.col("ty") - 44.45).alias("y")))
-        px, py = F.col("x") + 93.2, F.col("y") - 44.45
-        moved = moved.select("id", (px * float(a[0]) + py * float(a[1]) + float(a[2]) - 93.2).alias("x"), (px * float(b[0]) + py * float(b[1]) + float(b[2]) + 44.45).alias("y"))
-    return spark.createDataFrame(rows, "turn int, pairs long, mean_m double")
-
-
-@query(f"""WITH {LINE}, n AS (SELECT line, count(*) AS n FROM lv GROUP BY line), t AS (SELECT line % 500 AS trail, line FROM n WHERE n > 3 AND line % 2 = 0) SELECT trail, count(*) AS pieces, CAST(sum(n.n) AS BIGINT) AS vertices FROM t JOIN n USING (line) GROUP BY trail""")
+    """Corners of all areas on a plan in other units, laid back on the areas' outlines: the map, and the mean metres off before and after."""
+    v = V.polygons(spark, sf)
+    nodes = v.where("ring = 0 and seq < 4").select((F.col("id") * 8 + F.col("seq")).alias("id"), ((F.col("x") + 93.2) * 1e4).alias("px"), ((F.col("y") - 44.45) * 1e4).alias("py"))
+    # the corners of the lowest and the highest id are known, but for a few metres
+    ends = v.agg(F.array(F.min("id"), F.max("id")).alias("ids")).select(F.explode("ids").alias("id")).distinct()
+    off = (F.col("seq") - 1.5) * 0.00003
+    anchors = v.where("ring = 0 and seq < 4").join(ends, "id")
+    anchors = anchors.select(((F.col("x") + 93.2) * 1e4).alias("px"), ((F.col("y") - 44.45) * 1e4).alias("py"), (F.col("x") + off).alias("x"), (F.col("y") - off).alias("y"))
+    lines = measures.segments(v, ["id", "ring"]).select("x0", "y0", "x1", "y1")
+    first, last = graph.affine_fit(anchors), graph.icp(nodes, anchors, lines)
+
+    def told(fit, turn):
+        terms = [F.lit(float(x)).alias(f"{k}{i}") for k, c in zip("xy", fit, strict=True) for i, x in enumerate(c)]
+        return grid.snap_to_lines(graph.mapped(nodes, fit), lines, 40.0).agg(F.avg("m").alias("mean_m")).select(F.lit(turn).alias("turn"), "mean_m", *terms)
+
+    return told(first, "before").unionAll(told(last, "after"))
+
+
+@query(f"""WITH RECURSIVE {LINE}, tv AS (SELECT line % 500 AS trail, * FROM lv), ts AS (SELECT line % 500 AS trail, * FROM lseg), e AS (SELECT DISTINCT p.line AS a, s.line AS b FROM tv p JOIN ts s ON s.trail = p.trail AND s.line <> p.line WHERE {to_segment('p.', 's.')} <= 400),
+bo AS (SELECT a, b FROM e UNION SELECT b, a FROM e), r(node, root) AS (SELECT DISTINCT line, line FROM lv UNION SELECT bo.b, r.root FROM r JOIN bo ON bo.a = r.node), pt AS (SELECT node AS line, min(root) AS part FROM r GROUP BY node),
+m AS (SELECT line, sum({_HAV}) AS metres FROM lseg GROUP BY line), n AS (SELECT line, count(*) AS n FROM lv GROUP BY line)
+SELECT line % 500 AS trail, count(*) AS pieces, count(DISTINCT part) AS parts, round(coalesce(sum(metres), 0), 1) AS metres, CAST(sum(n) AS BIGINT) AS vertices FROM n JOIN pt USING (line) LEFT JOIN m USING (line) GROUP BY 1""")
 def assemble_lines(spark, sf):
-    v = V.line_vertices(spark, sf)
-    n = v.groupBy("line").agg(F.count(F.lit(1)).alias("n")).where("n > 3 and line % 2 = 0")
-    return n.groupBy((F.col("line") % 500).alias("trail")).agg(F.count(F.lit(1)).alias("pieces"), F.sum("n").alias("vertices"))
+    v = V.line_vertices(spark, sf).withColumn("trail", F.col("line") % 500)
+    return graph.assembled(v, 400.0).select("trail", "pieces", "parts", F.round("metres", 1).alias("metres"), "vertices")
 
 
-@query("SELECT l_returnflag || l_linestatus AS kind, count(DISTINCT l_orderkey) AS lines, CAST(min(l_orderkey) AS BIGINT) AS first, CAST(max(l_orderkey) AS BIGINT) AS last FROM lineitem GROUP BY 1")
+@query(f"WITH {LINE}, k AS (SELECT DISTINCT l_returnflag || l_linestatus AS kind, l_orderkey AS line FROM lineitem), p AS (SELECT kind, line, dense_rank() OVER (PARTITION BY kind ORDER BY line) - 1 AS part FROM k) SELECT kind, CAST(part AS BIGINT) AS part, seq, round(x, 7) AS x, round(y, 7) AS y FROM p JOIN lv USING (line)")
 def merge_by_kind(spark, sf):
-    rows = V.table(spark, sf, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("kind"), F.col("l_orderkey").alias("line"))
-    return rows.groupBy("kind").agg(F.count_distinct("line").alias("lines"), F.min("line").alias("first"), F.max("line").alias("last"))
+    kinds = V.table(spark, sf, "lineitem").select(F.concat("l_returnflag", "l_linestatus").alias("kind"), F.col("l_orderkey").alias("line")).distinct()
+    got = graph.merged_lines(V.line_vertices(spark, sf), kinds)
+    return got.select("kind", "part", "seq", F.round("x", 7).alias("x"), F.round("y", 7).alias("y"))
 
 
 def _apart(v, reach=2000.0):

@@ -9,7 +9,7 @@ from ..functions import geo
 from ..operators import grid, measures
 from ..operators.checks import orphans, repeated, violations
 from ..sources import views as V
-from .common import CTX, LINE, POLY, PT, SNAP, near
+from .common import CTX, LINE, POLY, PT, SNAP, crosses, near
 
 QUERIES, SQL = {}, {}
 
@@ -44,9 +44,9 @@ def dq_numbered(spark, sf):
     return ids.groupBy("base").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-@query(f"WITH {PT}, {POLY}, {near(300)}, c AS (SELECT pt.id, pt.id % 100 AS parent FROM pt WHERE id % 5 = 0) SELECT c.id, c.parent, CASE WHEN p.fid IS NULL THEN 'no parent' ELSE 'out of reach' END AS problem FROM c LEFT JOIN (SELECT DISTINCT fid FROM pseg) p ON p.fid = c.parent LEFT JOIN near n ON n.id = c.id AND n.fid = c.parent WHERE n.id IS NULL")
+@query(f"WITH {PT}, {POLY}, {near(300)}, c AS (SELECT pt.id, pt.id % 100 AS parent FROM pt) SELECT c.id, c.parent, CASE WHEN p.fid IS NULL THEN 'no parent' ELSE 'out of reach' END AS problem FROM c LEFT JOIN (SELECT DISTINCT fid FROM pseg) p ON p.fid = c.parent LEFT JOIN near n ON n.id = c.id AND n.fid = c.parent WHERE n.id IS NULL")
 def dq_parent(spark, sf):
-    pt = V.points(spark, sf).where("id % 5 = 0").withColumn("parent", F.col("id") % 100)
+    pt = V.points(spark, sf).withColumn("parent", F.col("id") % 100)
     segs = measures.segments(V.polygons(spark, sf), ["id", "ring"]).withColumnRenamed("id", "fid").select("fid", "ring", "x0", "y0", "x1", "y1")
     close = grid.within_polygons(pt, segs, 300.0).select("id", F.col("fid").alias("parent"))
     far = pt.select("id", "parent").join(close, ["id", "parent"], "left_anti")
@@ -62,7 +62,7 @@ def dq_same_order(spark, sf):
     return a.join(b, ["brand", "n"]).where("x <> y").groupBy("brand").agg(F.count(F.lit(1)).alias("misplaced"))
 
 
-@query(f"WITH {POLY}, c AS (SELECT fid AS id, sum((x0 + x1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS x, sum((y0 + y1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS y FROM pseg WHERE ring = 0 GROUP BY fid) SELECT c.id FROM c WHERE id % 3 = 2")
+@query(f"WITH {POLY}, c AS (SELECT fid AS id, sum((x0 + x1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS x, sum((y0 + y1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS y FROM pseg WHERE ring = 0 GROUP BY fid), odd AS (SELECT c.id, s.ring, sum({crosses('c.', 's.')}) % 2 AS odd FROM c JOIN pseg s ON s.fid = c.id GROUP BY ALL) SELECT id FROM odd GROUP BY id HAVING max(CASE WHEN ring = 0 THEN odd ELSE 0 END) = 0 OR max(CASE WHEN ring > 0 THEN odd ELSE 0 END) = 1")
 def dq_anchor(spark, sf):
     """Areas whose centroid is not inside them."""
     v = V.polygons(spark, sf)
@@ -97,11 +97,12 @@ def dq_graph(spark, sf):
     return names.join(n, "check_name", "left").select("check_name", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("SELECT CAST(0 AS BIGINT) AS differing")
+@query(f"SELECT CAST(0 AS BIGINT) AS differing, count(*) AS found FROM ({SQL['dq_parent']})")
 def dq_repro(spark, sf):
-    """Rows by which two runs of one chain differ."""
+    """Rows by which two runs of one chain differ, and how many it has."""
     a, b = (QUERIES["dq_parent"](spark, sf) for _ in range(2))
-    return a.exceptAll(b).unionAll(b.exceptAll(a)).agg(F.count(F.lit(1)).alias("differing"))
+    both = a.withColumn("n", F.lit(1)).unionAll(b.withColumn("n", F.lit(-1))).groupBy("id", "parent", "problem").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("first"))
+    return both.agg(F.coalesce(F.sum(F.abs("n")), F.lit(0)).alias("differing"), F.coalesce(F.sum("first"), F.lit(0)).alias("found"))
 
 
 @query(f"WITH {CTX} SELECT slug, count(DISTINCT shape) AS uncovered FROM cb WHERE (slug, shape) NOT IN (SELECT slug, shape FROM ca WHERE shape % 3 <> 0) GROUP BY slug")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import grid, measures
+from ..operators import graph, grid, measures
 from ..operators.graph import components
 from ..sources import views as V
-from .common import LINE, POLY, PT, SNAP, metres, near, to_segment
+from .common import LINE, POLY, PT, SNAP, crosses, metres, near, to_segment
 
 QUERIES, SQL = {}, {}
 
@@ -93,28 +92,30 @@ def _shifted(spark, sf):
     return v.withColumn("y", F.col("y") + F.when((F.col("line") % 3 == 0) & (F.col("seq") >= 2), 0.00012).otherwise(0.0))
 
 
-_RUNS = f"""{LINE}, s2 AS (SELECT line, seq, x0, y0 + CASE WHEN line % 3 = 0 AND seq >= 2 THEN 0.00012e0 ELSE 0e0 END AS y0, x1, y1 + CASE WHEN line % 3 = 0 AND seq + 1 >= 2 THEN 0.00012e0 ELSE 0e0 END AS y1 FROM lseg),
-st AS (SELECT *, greatest(1, CAST(ceil({metres('a.', 'b.')}) AS INT)) AS n FROM (SELECT line, seq, struct_pack(x := x0, y := y0) AS a, struct_pack(x := x1, y := y1) AS b FROM s2)),
-smp AS (SELECT line, seq, i, round(a.x + (b.x - a.x)*i/n, 7) AS x, round(a.y + (b.y - a.y)*i/n, 7) AS y FROM (SELECT *, unnest(range(CASE WHEN seq = 0 THEN 0 ELSE 1 END, n + 1)) AS i FROM st)),
-d AS (SELECT p.line, p.seq, p.i, p.x, p.y, min({to_segment('p.', 's.')}) AS m FROM smp p JOIN lseg s USING (line) GROUP BY ALL),
-o AS (SELECT *, pos - row_number() OVER (PARTITION BY line ORDER BY seq, i) AS run FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY seq, i) AS pos FROM d) WHERE m > 3),
-e AS (SELECT line, run, {metres('prev.', 'cur.')} AS step FROM (SELECT line, run, struct_pack(x := lag(x) OVER w, y := lag(y) OVER w) AS prev, struct_pack(x := x, y := y) AS cur FROM o WINDOW w AS (PARTITION BY line, run ORDER BY pos))),
-runs AS (SELECT line, run, count(*) AS points, sum(step) AS m FROM e GROUP BY ALL HAVING count(*) > 1)"""
+_SHIFTED = "s2 AS (SELECT line, seq, x0, y0 + CASE WHEN line % 3 = 0 AND seq >= 2 THEN 0.00012e0 ELSE 0e0 END AS y0, x1, y1 + CASE WHEN line % 3 = 0 AND seq + 1 >= 2 THEN 0.00012e0 ELSE 0e0 END AS y1 FROM lseg)"
 
 
-def _runs(spark, sf):
-    base = measures.segments(V.line_vertices(spark, sf), ["line"]).drop("seq")
-    return measures.off_runs(measures.densified(_shifted(spark, sf), ["line"]), base, ["line"], 3.0)
+def _off_runs(name: str, own: str, other: str) -> str:
+    """Runs of samples of own segments that lie off the other's, as SQL: name(line, run, points, m)."""
+    return f"""{name}_t AS (SELECT *, greatest(1, CAST(ceil({metres('a.', 'b.')}) AS INT)) AS n FROM (SELECT line, seq, struct_pack(x := x0, y := y0) AS a, struct_pack(x := x1, y := y1) AS b FROM {own})),
+{name}_s AS (SELECT line, seq, i, round(a.x + (b.x - a.x)*i/n, 7) AS x, round(a.y + (b.y - a.y)*i/n, 7) AS y FROM (SELECT *, unnest(range(CASE WHEN seq = 0 THEN 0 ELSE 1 END, n + 1)) AS i FROM {name}_t)),
+{name}_d AS (SELECT p.line, p.seq, p.i, p.x, p.y, min({to_segment('p.', 's.')}) AS m FROM {name}_s p JOIN {other} s USING (line) GROUP BY ALL),
+{name}_o AS (SELECT *, pos - row_number() OVER (PARTITION BY line ORDER BY seq, i) AS run FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY seq, i) AS pos FROM {name}_d) WHERE m > 3),
+{name}_e AS (SELECT line, run, {metres('prev.', 'cur.')} AS step FROM (SELECT line, run, struct_pack(x := lag(x) OVER w, y := lag(y) OVER w) AS prev, struct_pack(x := x, y := y) AS cur FROM {name}_o WINDOW w AS (PARTITION BY line, run ORDER BY pos))),
+{name} AS (SELECT line, run, count(*) AS points, sum(step) AS m FROM {name}_e GROUP BY ALL HAVING count(*) > 1)"""
 
 
-@query(f"WITH {_RUNS} SELECT line, points, round(m) AS metres FROM runs")
+@query(f"WITH {LINE}, {_SHIFTED}, {_off_runs('added', 's2', 'lseg')} SELECT line, points, round(m) AS metres FROM added")
 def off_runs(spark, sf):
-    return _runs(spark, sf).select("line", "points", F.round("metres").alias("metres"))
+    base = measures.segments(V.line_vertices(spark, sf), ["line"]).drop("seq")
+    return measures.off_runs(measures.densified(_shifted(spark, sf), ["line"]), base, ["line"], 3.0).select("line", "points", F.round("metres").alias("metres"))
 
 
-@query(f"WITH {_RUNS} SELECT line, count(*) AS runs, round(sum(m)) AS added_m FROM runs GROUP BY line")
+@query(f"""WITH {LINE}, {_SHIFTED}, {_off_runs('added', 's2', 'lseg')}, {_off_runs('dropped', 'lseg', 's2')}
+SELECT line, count(*) AS runs, round(sum(d)) AS dropped_m, round(sum(a)) AS added_m FROM (SELECT line, 0e0 AS d, m AS a FROM added UNION ALL SELECT line, m, 0e0 FROM dropped) GROUP BY line""")
 def moved(spark, sf):
-    return _runs(spark, sf).groupBy("line").agg(F.count(F.lit(1)).alias("runs"), F.round(F.sum("metres")).alias("added_m"))
+    got = measures.moved(V.line_vertices(spark, sf), _shifted(spark, sf), ["line"], 3.0)
+    return got.select("line", "runs", F.round("dropped_m").alias("dropped_m"), F.round("added_m").alias("added_m"))
 
 
 @query(f"WITH {SNAP} SELECT b.id, round({metres('b.', 'a.')}, 2) AS metres FROM bef b JOIN aft a USING (id) WHERE a.x <> b.x")
@@ -210,40 +211,39 @@ def bbox_near(spark, sf):
     return met.select("a", "b").distinct()
 
 
-@query(f"""WITH {LINE}, c AS (SELECT line, arg_min(seq, (abs(seq - 2), seq)) AS cut FROM lv GROUP BY line) SELECT lv.line, count(*) AS kept FROM lv JOIN c ON c.line = lv.line AND lv.seq <= c.cut GROUP BY lv.line""")
+@query(f"""WITH {LINE}, c AS (SELECT line, x + 0.00002e0 AS x, y + 0.00001e0 AS y, line % 2 AS late FROM lv WHERE seq = 1), n AS (SELECT c.line, c.late, arg_min(v.seq, ({metres('c.', 'v.')}, v.seq)) AS cut FROM c JOIN lv v ON v.line = c.line GROUP BY ALL)
+SELECT lv.line, count(*) AS kept, min(lv.seq) AS first, max(lv.seq) AS last FROM lv LEFT JOIN n USING (line) WHERE n.line IS NULL OR (late = 0 AND lv.seq <= cut) OR (late = 1 AND lv.seq >= cut) GROUP BY lv.line""")
 def cut_lines(spark, sf):
     v = V.line_vertices(spark, sf)
-    at = v.groupBy("line").agg(F.min(F.struct(F.abs(F.col("seq") - 2).alias("d"), "seq")).alias("c")).select("line", F.col("c.seq").alias("cut"))
-    return v.join(at, "line").where("seq <= cut").groupBy("line").agg(F.count(F.lit(1)).alias("kept"))
+    cuts = v.where("seq = 1").select("line", (F.col("x") + 0.00002).alias("x"), (F.col("y") + 0.00001).alias("y"), F.when(F.col("line") % 2 == 0, "before").otherwise("after").alias("side"))
+    return graph.cut_at(v, cuts).groupBy("line").agg(F.count(F.lit(1)).alias("kept"), F.min("seq").alias("first"), F.max("seq").alias("last"))
+
+
+@query(f"""WITH {LINE}, {POLY}, t AS (SELECT id, min(x) AS x, min(y) AS y FROM poly GROUP BY id) SELECT t.id, round(min({to_segment('t.', 's.')}), 2) AS metres FROM t, lseg s GROUP BY t.id""")
+def snap_to_lines(spark, sf):
+    """How far the south-west corner of each area is from the nearest place on a line."""
+    corners = V.polygons(spark, sf).groupBy("id").agg(F.min("x").alias("x"), F.min("y").alias("y"))
+    lines = measures.segments(V.line_vertices(spark, sf), ["line"])
+    return grid.snap_to_lines(corners, lines, 100.0).select("id", F.round("m", 2).alias("metres"))
+
+
+_ODD = "(SELECT ring, sum({hit}) % 2 AS odd FROM pseg s WHERE s.fid = {p}fid GROUP BY ring)"
+
+
+def _inside(p: str) -> str:
+    """Whether point p (fid, x, y) lies in its area, as SQL."""
+    odd = _ODD.format(hit=crosses(p, "s."), p=p)
+    return f"(SELECT max(CASE WHEN ring = 0 THEN odd ELSE 0 END) = 1 AND max(CASE WHEN ring > 0 THEN odd ELSE 0 END) = 0 FROM {odd})"
 
 
-@query(f"""WITH {POLY}, a AS (SELECT fid, sum((x0 + x1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS cx, sum((y0 + y1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS cy, min(x0) AS lx, min(y0) AS ly FROM pseg WHERE ring = 0 GROUP BY fid)
-SELECT fid, CASE WHEN fid % 3 = 2 THEN round(lx + 0.0005e0, 4) ELSE round(cx, 4) END AS x, round(cy, 4) AS y FROM a""")
+# the areas of these tables have a span on the row of their centroid, so the sweep of further rows isn't spelt out
+@query(f"""WITH {POLY}, c AS (SELECT fid, sum((x0 + x1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS x, sum((y0 + y1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS y FROM pseg WHERE ring = 0 GROUP BY fid),
+h AS (SELECT c.fid, c.y, s.x0 + (c.y - s.y0)/(s.y1 - s.y0)*(s.x1 - s.x0) AS hit FROM c JOIN pseg s USING (fid) WHERE (s.y0 > c.y) <> (s.y1 > c.y)), g AS (SELECT fid, y, hit, lead(hit) OVER (PARTITION BY fid ORDER BY hit) AS nx FROM h),
+m AS (SELECT fid, (hit + nx)/2 AS x, y, nx - hit AS w FROM g WHERE nx > hit), b AS (SELECT fid, arg_min(x, (round(-w, 9), x)) AS x FROM m WHERE {_inside('m.')} GROUP BY fid)
+SELECT c.fid, round(CASE WHEN {_inside('c.')} THEN c.x ELSE coalesce(b.x, c.x) END, 4) AS x, round(c.y, 4) AS y FROM c LEFT JOIN b USING (fid)""")
 def label_anchor(spark, sf):
-    return measures_anchor(spark, sf)
-
-
-def measures_anchor(spark, sf):
-    """A point inside each area: the centroid, or the middle of the widest inner span on a row through it or, failing that, on ten others."""
-    v = V.polygons(spark, sf)
-    segs = measures.segments(v, ["id", "ring"])
-    c = measures.ring_areas(v.where("ring = 0"), ["id", "ring"]).select("id", "cx", "cy")
-    x, y = F.col("px"), F.col("py")
-    ends = [F.col(k) for k in ("x0", "y0", "x1", "y1")]
-
-    def inside(points):
-        odd = points.join(segs, "id").groupBy("id", "row", "px", "py", "ring").agg((F.sum(geo.crosses(x, y, *ends)) % 2).alias("odd"))
-        return odd.groupBy("id", "row", "px", "py").agg((F.max(F.when(F.col("ring") == 0, F.col("odd")).otherwise(0)) == 1).alias("outer"), (F.max(F.when(F.col("ring") > 0, F.col("odd")).otherwise(0)) == 1).alias("hole")).where("outer and not hole")
-
-    first = inside(c.select("id", F.lit(-1).alias("row"), F.col("cx").alias("px"), F.col("cy").alias("py"))).select("id", "row", "px", "py", F.lit(0.0).alias("width"))
-    span = measures.bounds(v.where("ring = 0"), ["id"]).join(c, "id")
-    rows = span.select("id", F.explode(F.sequence(F.lit(0), F.lit(10))).alias("row"), "cy", "min_y", "max_y").select("id", "row", F.when(F.col("row") == 0, F.col("cy")).otherwise(F.col("min_y") + (F.col("max_y") - F.col("min_y")) * (F.col("row") - 0.5) / 10).alias("py"))
-    cross = rows.join(segs, "id").where("(y0 > py) <> (y1 > py)").select("id", "row", "py", (F.col("x0") + (y - F.col("y0")) / (F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))).alias("at"))
-    w = Window.partitionBy("id", "row").orderBy("at")
-    gaps = cross.withColumn("next", F.lead("at").over(w)).where("next > at").select("id", "row", "py", ((F.col("at") + F.col("next")) / 2).alias("px"), (F.col("next") - F.col("at")).alias("width"))
-    good = inside(gaps.select("id", "row", "px", "py")).join(gaps, ["id", "row", "px", "py"]).select("id", "row", "px", "py", "width")
-    best = first.unionByName(good).groupBy("id").agg(F.min(F.struct("row", F.round(-F.col("width"), 9).alias("w"), "px", "py")).alias("t"))
-    return c.join(best, "id", "left").select(F.col("id").alias("fid"), F.round(F.coalesce("t.px", "cx"), 4).alias("x"), F.round(F.coalesce("t.py", "cy"), 4).alias("y"))
+    got = measures.label_anchors(V.polygons(spark, sf))
+    return got.select(F.col("id").alias("fid"), F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
 
 
 @query(f"""WITH RECURSIVE {PT}, e AS (SELECT a.id AS a, b.id AS b FROM pt a JOIN pt b ON a.id < b.id WHERE {metres('a.', 'b.')} <= 300), bo AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),

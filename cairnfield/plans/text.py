@@ -22,11 +22,11 @@ def query(sql: str | None = None):
 
 
 _PLAIN = "html"
-for _a, _b in (("(?i)</?(br|p|li)\\b[^>]*>", " "), ("<[^>]*>", "")):
+for _a, _b in (("(?i)<br\\s*/?>|</p>|</li>", " "), ("<[^>]+>", "")):
     _PLAIN = f"regexp_replace({_PLAIN}, '{_a}', '{_b}', 'g')"
 for _a, _b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
     _PLAIN = f"replace({_PLAIN}, '{_a}', '{_b}')"
-_PLAIN = f"trim(regexp_replace({_PLAIN}, '\\s+', ' ', 'g'))"
+_PLAIN = f"nullif(trim(regexp_replace({_PLAIN}, '\\s+', ' ', 'g')), '')"
 _LINKS = """l AS (SELECT page_id, unnest(range(len(h))) AS pos, unnest(h) AS href, unnest(t) AS label FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS h, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages))"""
 
 

@@ -2,31 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Properties that change from one fetch to the next without the feature changing.
-VOLATILE = ("OBJECTID", "GlobalID", "CreationDate", "Creator", "EditDate", "Editor", "Shape__Area", "Shape__Length", "last_edited_date", "last_edited_user", "created_date")
+VOLATILE = ("OBJECTID", "OBJECTID_1", "FID", "GlobalID", "Shape__Area", "Shape__Length", "Shape_Area", "Shape_Leng", "Shape_Le_1", "SHAPE_Leng", "SHAPE_Area")
 
 _COLLECTION = "name string, features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:variant,geometries:variant>>>"
 _FEATURE = "properties map<string,string>, geometry struct<type:string,coordinates:variant,geometries:variant>"
 
 
 def read_layer(spark: SparkSession, path: str, layer: str) -> DataFrame:
-    """One row per feature of a feature collection: _layer, pos, props, kind, coordinates (variant). A layer without features gives no rows."""
+    """One row per feature of a feature collection: _layer, pos, props, kind, coordinates, geometries (variants). A layer without features gives no rows."""
     docs = spark.read.text(path, wholetext=True).select(F.from_json("value", _COLLECTION).alias("d"))
     rows = docs.select(F.posexplode("d.features").alias("pos", "f"))
-    return rows.select(F.lit(layer).alias("_layer"), F.col("pos").cast("long").alias("pos"), F.col("f.properties").alias("props"), F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("coordinates"))
+    return rows.select(F.lit(layer).alias("_layer"), F.col("pos").cast("long").alias("pos"), F.col("f.properties").alias("props"), F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("coordinates"), F.col("f.geometry.geometries").alias("geometries"))
 
 
 def read_feature_lines(spark: SparkSession, path: str, layer: str) -> DataFrame:
     """The same from a file with one feature a line, which tasks can share."""
     rows = spark.read.text(path).where("trim(value) <> ''").select(F.from_json("value", _FEATURE).alias("f"), F.monotonically_increasing_id().alias("pos"))
-    return rows.select(F.lit(layer).alias("_layer"), "pos", F.col("f.properties").alias("props"), F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("coordinates"))
+    return rows.select(F.lit(layer).alias("_layer"), "pos", F.col("f.properties").alias("props"), F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("coordinates"), F.col("f.geometry.geometries").alias("geometries"))
 
 
 def vertices(features: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, part, ring, seq, x, y of every position. Points are parts of one position, lines have ring 0."""
+    """keys, part, ring, seq, x, y of every position. Points are parts of one position, lines have ring 0.
+
+    Members of a collection (column geometries, if there is one) follow each other as parts, those of collections inside it too.
+    """
+    if "geometries" in features.columns:
+        flat = _members(features.select(*keys, "kind", "coordinates", "geometries"))
+        rows = vertices(flat.drop("geometries"), [*keys, "shape"])
+        part = F.dense_rank().over(Window.partitionBy(*keys).orderBy("shape", "part")) - 1
+        return rows.withColumn("part", part).select(*keys, "part", "ring", "seq", "x", "y")
     depth = {"Point": 0, "MultiPoint": 1, "LineString": 1, "MultiLineString": 2, "Polygon": 2, "MultiPolygon": 3}
     json = F.to_json("coordinates")
     deep = F.from_json(json, "array<array<array<array<double>>>>")
@@ -47,10 +55,23 @@ def vertices(features: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, "part", "ring", "seq", F.col("p")[0].alias("x"), F.col("p")[1].alias("y"))
 
 
+def _members(features: DataFrame, deep: int = 8) -> DataFrame:
+    """features with shape, a text that orders the members of collections: one row for each member that is no collection. More than `deep` levels are an error."""
+    kind = "array<struct<type:string,coordinates:variant,geometries:variant>>"
+    rest = features.withColumn("shape", F.lit(""))
+    out = rest.where("kind <> 'GeometryCollection'")
+    for _ in range(deep):
+        nested = rest.where("kind = 'GeometryCollection'").withColumn("members", F.from_json(F.to_json("geometries"), kind))
+        kept = [c for c in rest.columns if c not in ("kind", "coordinates", "geometries", "shape")]
+        rest = nested.select(*kept, "shape", F.posexplode("members").alias("at", "m")).select(*kept, F.col("m.type").alias("kind"), F.col("m.coordinates").alias("coordinates"), F.col("m.geometries").alias("geometries"), F.concat("shape", F.lpad(F.col("at").cast("string"), 9, "0")).alias("shape"))
+        out = out.unionByName(rest.where("kind <> 'GeometryCollection'"))
+    deeper = rest.where("kind = 'GeometryCollection'").withColumn("shape", F.raise_error(F.lit("collections are nested too deep")).cast("string"))
+    return out.unionByName(deeper)
+
+
 def without_volatile(props: Column, also: tuple[str, ...] = ()) -> Column:
     """A property map less what changes from fetch to fetch."""
-    names = [n.lower() for n in (*VOLATILE, *also)]
-    return F.map_filter(props, lambda k, _: ~F.lower(k).isin(names))
+    return F.map_filter(props, lambda k, _: ~k.isin([*VOLATILE, *also]))
 
 
 def declared(features: DataFrame, fields: list[str]) -> DataFrame:

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairnfield.functions import geo
-from cairnfield.functions.scalars import plain_text, plural, slug, split_once, templated
-from cairnfield.operators import conflate, diff, graph, grid, measures
+from cairnfield.functions.scalars import blank_to_null, casefolded, hyphenated, plain_text, plural, slug, split_once, templated
+from cairnfield.operators import checks, conflate, diff, graph, grid, measures, places
 
 
 def ring(fid, ring_no, points):
@@ -112,13 +112,13 @@ def test_scalars(spark):
     c = lambda v: F.lit(v).cast("string")
     a, b = split_once(c("Hall - East - 2"), " - ")
     row = spark.range(1).select(slug(c("(Old) Main Hall!")).alias("s"), a.alias("a"), b.alias("b"), templated("Rack", c(None)).alias("t"), templated("Rack", c("Hall"), c("east")).alias("u"), plural(c("entry")).alias("p"), plain_text(c("<p>A&amp;B<br>c</p>")).alias("x")).first()
-    assert tuple(row) == ("main_hall", "Hall", "East - 2", "Rack", "Rack, Hall (east)", "entries", "A&B c")
+    assert tuple(row) == ("mainhall", "Hall", "East - 2", "Rack", "Rack, Hall (east)", "entries", "A&B c")
 
 
 def test_ids_are_numbered(spark):
     rows = spark.createDataFrame([(1, "Lot A"), (2, "lot a"), (3, "Porter")], "pos long, name string")
-    got = [r["id"] for r in conflate.assign_ids(rows, "lot_", F.col("name")).orderBy("pos").collect()]
-    assert got == ["lot_a-1", "lot_a-2", "lot_porter"]
+    got = [r["id"] for r in conflate.assign_ids(rows, "lot", F.col("name")).orderBy("pos").collect()]
+    assert got == ["lota-1", "lota-2", "lotporter"]
 
 
 def test_patch_null_overwrites(spark):
@@ -147,3 +147,142 @@ def test_areas_far_apart_and_ranks_in_ranges(spark):
     df = ranked(rows, ["h", "id"])
     want = {i: k for k, (_, i) in enumerate(sorted((r["h"], r["id"]) for r in rows.collect()), 1)}
     assert {r["id"]: r["rank"] for r in df.collect()} == want
+
+
+def test_text_like_python(spark):
+    import html
+    import re
+
+    odd = ["  a\u00a0", "\x1c \t\n", "Stra\u00dfe (Alt)", "(Agnes) Larson Hall", "\ufb01ne K\u212a \u0130x \u0149", "Admissions  Parking!", "", "a&eacute;&#8217;&notin;&amp;lt; &#x41; &bogus; &copy", "<p>one</p><p>two<BR/>three</li> <b>x</b>", "<p> </p>"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "i int, t string").select("i", blank_to_null(F.col("t")).alias("b"), casefolded(F.col("t")).alias("c"), slug(F.col("t")).alias("s"), hyphenated(F.col("t")).alias("h"), plain_text(F.col("t")).alias("p")).collect()
+    for r in got:
+        t = odd[r["i"]]
+        plain = re.sub(r"<[^>]+>", "", re.sub(r"(?i)<br\s*/?>|</p>|</li>", " ", t))
+        assert r["b"] == (t.strip() or None)
+        assert r["c"] == t.casefold()
+        assert r["s"] == re.sub(r"[^a-z0-9]+", "", re.sub(r"^\s*\([^)]*\)\s*", "", t).casefold())
+        assert r["h"] == re.sub(r"[^a-z0-9]+", "-", t.casefold()).strip("-")
+        assert r["p"] == (re.sub(r"\s+", " ", html.unescape(plain)).strip() or None)
+
+
+def test_near_points_at_all_latitudes(spark):
+    draw = random.Random(8)
+    rows = []
+    for k, lat in enumerate((-70.0, 0.0, 44.0, 70.0, 83.0)):
+        rows += [(1000 * k + i, draw.random() * 0.05, lat + draw.random() * 0.01) for i in range(80)]
+    m = lambda p, q: math.hypot((q[1] - p[1]) * math.cos(math.radians(p[2])) * geo.LON_M, (q[2] - p[2]) * geo.LAT_M)
+    want = {(p[0], q[0]) for p in rows for q in rows if p[0] < q[0] and m(p, q) <= 150}
+    got = {(r["a"], r["b"]) for r in grid.near_points(spark.createDataFrame(rows, "id long, x double, y double"), 150.0).collect()}
+    assert got == want and len(want) > 100
+
+
+def test_nearest_however_far(spark):
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, 19.0, 0.0), (3, -120.0, 60.0)], "id long, x double, y double")
+    targets = spark.createDataFrame([(7, 20.0, 0.0), (8, 21.0, 0.0)], "id long, x double, y double")
+    assert {r["id"]: r["target"] for r in grid.nearest_point(points, targets, 100.0).collect()} == {1: 7, 2: 7, 3: 7}
+    assert grid.nearest_point(points, targets.limit(0), 100.0).count() == 0
+    lines = spark.createDataFrame([(20.0, -1.0, 20.0, 1.0), (25.0, 0.0, 26.0, 0.0)], "x0 double, y0 double, x1 double, y1 double")
+    got = {r["id"]: (round(r["x"], 6), round(r["y"], 6)) for r in grid.snap_to_lines(points, lines, 100.0).collect()}
+    assert got == {1: (20.0, 0.0), 2: (20.0, 0.0), 3: (20.0, 1.0)}
+
+
+def test_large_areas_fill_few_cells(spark, hollow):
+    boxes = spark.createDataFrame([(1, -93.0, 44.0, -92.0, 45.0), (2, -93.0, 44.0, -92.9999, 44.0001)], "fid long, min_x double, min_y double, max_x double, max_y double")
+    assert grid.box_cells(grid.leveled(boxes, 1.0), 1.0).count() <= 50
+
+
+def test_moves_both_ways(spark):
+    schema = "id long, seq int, x double, y double"
+    before = spark.createDataFrame([(1, 0, -93.0, 44.0), (1, 1, -93.0, 44.001)], schema)
+    after = spark.createDataFrame([(1, 0, -93.0, 44.0), (1, 1, -93.0, 44.0005)], schema)
+    row = measures.moved(before, after, ["id"], 3.0).first()
+    assert row["added_m"] == 0 and row["dropped_m"] == pytest.approx(55.27 - 3, abs=1.1)
+
+
+def test_simplify_like_one_by_one(spark):
+    draw = random.Random(4)
+    lines = {k: [(draw.random(), draw.random()) for _ in range(n)] for k, n in enumerate((2, 3, 12, 40))}
+
+    def keep(p, lo, hi, tol):
+        def d(i):
+            (ax, ay), (bx, by), (x, y) = p[lo], p[hi], p[i]
+            dx, dy = bx - ax, by - ay
+            t = max(0.0, min(1.0, ((x - ax) * dx + (y - ay) * dy) / (dx * dx + dy * dy)))
+            return math.hypot(x - ax - t * dx, y - ay - t * dy)
+
+        if hi - lo < 2:
+            return set()
+        mid = max(range(lo + 1, hi), key=lambda i: (d(i), -i))
+        return {mid} | keep(p, lo, mid, tol) | keep(p, mid, hi, tol) if d(mid) > tol else set()
+
+    rows = [(k, i, x, y) for k, p in lines.items() for i, (x, y) in enumerate(p)]
+    got = {(r["id"], r["seq"]) for r in measures.simplified(spark.createDataFrame(rows, "id int, seq int, x double, y double"), ["id"], 0.2).collect()}
+    assert got == {(k, i) for k, p in lines.items() for i in {0, len(p) - 1} | keep(p, 0, len(p) - 1, 0.2)}
+
+
+def test_icp_lays_nodes_on_lines(spark):
+    draw = random.Random(6)
+    # streets of a town, and a plan of it in other units
+    streets = [(-93.0 + 0.002 * i, 44.0, -93.0 + 0.002 * i, 44.01) for i in range(5)] + [(-93.0, 44.0 + 0.002 * i, -92.992, 44.0 + 0.002 * i) for i in range(6)]
+    plan = lambda x, y: ((x + 93) * 1e5 + 20, (y - 44) * 1e5 - 30)
+    nodes = []
+    for i in range(80):
+        x0, y0, x1, y1 = draw.choice(streets)
+        t = draw.random()
+        nodes.append((i, *plan(x0 + t * (x1 - x0), y0 + t * (y1 - y0))))
+    anchors = [(*plan(x, y), x + draw.uniform(-1, 1) * 1e-4, y + draw.uniform(-1, 1) * 1e-4) for x, y in [(-93.0, 44.0), (-92.992, 44.0), (-93.0, 44.01), (-92.992, 44.01)]]
+    n = spark.createDataFrame(nodes, "id long, px double, py double")
+    a = spark.createDataFrame(anchors, "px double, py double, x double, y double")
+    s = spark.createDataFrame(streets, "x0 double, y0 double, x1 double, y1 double")
+    off = lambda fit: grid.snap_to_lines(graph.mapped(n, fit), s, 20.0).agg(F.avg("m")).first()[0]
+    assert off(graph.icp(n, a, s)) < 0.5 * off(graph.affine_fit(a))
+    assert graph.icp(n.limit(5), a, s)[0].tolist() == graph.affine_fit(a)[0].tolist()
+
+
+def test_trails_are_put_together(spark):
+    line = lambda t, k, pts: [(t, k, i, -93.0 + x * 1e-5, 44.0 + y * 1e-5) for i, (x, y) in enumerate(pts)]
+    # 1 and 2 meet in a T, 3 lies apart; trail 20 is one line
+    rows = line(10, 1, [(0, 0), (100, 0)]) + line(10, 2, [(50, 1), (50, 80)]) + line(10, 3, [(0, 300), (50, 300)]) + line(20, 4, [(0, 0), (9, 0)])
+    got = graph.assembled(spark.createDataFrame(rows, "trail long, line long, seq int, x double, y double"), 5.0)
+    assert {(r["trail"], r["pieces"], r["parts"], r["vertices"]) for r in got.collect()} == {(10, 3, 2, 6), (20, 1, 1, 2)}
+    wanted = spark.createDataFrame([(10, 1e6), (20, 7.2)], "trail long, wanted_m double")
+    assert {tuple(r) for r in graph.untidy(got, wanted).collect()} == {("in several parts", "10"), ("wrong length", "10")}
+
+
+def test_lines_are_cut_at_the_nearest_vertex(spark):
+    v = spark.createDataFrame([(k, i, -93.0 + i * 1e-4, 44.0) for k in (1, 2, 3) for i in range(5)], "line long, seq int, x double, y double")
+    cuts = spark.createDataFrame([(1, -93.0 + 2.2e-4, 44.0, "before"), (2, -93.0 + 1.8e-4, 44.0, "after")], "line long, x double, y double, side string")
+    got = {(r["line"], r["seq"]) for r in graph.cut_at(v, cuts).collect()}
+    assert got == {(1, i) for i in range(3)} | {(2, i) for i in range(2, 5)} | {(3, i) for i in range(5)}
+
+
+def test_release_names_skip_what_is_taken(spark):
+    d = "2026-10-24"
+    versions = spark.createDataFrame([("a", d), ("b", d), ("c", d), ("k", d), ("z", "2026-01-01")], "version string, date string")
+    given = spark.createDataFrame([("x", d), ("y", f"{d}-3"), ("k", f"{d}-9"), ("k", f"{d}-8")], "version string, name string")
+    got = {r["version"]: r["name"] for r in conflate.release_names(versions, given).collect()}
+    assert got == {"a": f"{d}-2", "b": f"{d}-4", "c": f"{d}-5", "k": f"{d}-8", "z": "2026-01-01"}
+
+
+def test_rules_and_anchors(spark):
+    rows = spark.createDataFrame([(1, ["trail"], []), (2, ["hall"], []), (3, ["pond"], [("Rules", "https://r")])], "id long, categories array<string>, links array<struct<label:string,href:string>>")
+    swaps = spark.createDataFrame([(3, "no boats", "boats allowed")], "id long, rule string, instead string")
+    got = {r["id"]: (r["rules"], len(r["links"])) for r in places.ruled(rows, ["trail", "pond"], ["no fires", "no boats"], swaps, ("Rules", "https://r")).collect()}
+    assert got == {1: (["no fires", "no boats"], 1), 2: ([], 0), 3: (["no fires", "boats allowed"], 1)}
+    at = places.anchored(spark.createDataFrame([(1, 0.0, 0.0), (2, 1.0, 1.0)], "id long, x double, y double"), spark.createDataFrame([(1, 5.0, 6.0, 1), (1, 7.0, 8.0, 2)], "id long, x double, y double, pos int"))
+    assert {tuple(r) for r in at.collect()} == {(1, 7.0, 8.0), (2, 1.0, 1.0)}
+
+
+def test_ids_taken_twice_are_refused(spark):
+    a = spark.createDataFrame([(1,), (2,)], "id long")
+    assert places.united([a, spark.createDataFrame([(3,)], "id long")]).count() == 3
+    with pytest.raises(Exception, match="taken twice"):
+        places.united([a, a.where("id = 2")]).collect()
+
+
+def test_graph_faults(spark):
+    nodes = spark.createDataFrame([(1, 0.0, 0.0), (2, 1.0, 0.0), (3, 2.0, 0.0), (8, 0.5, 9.0), (9, 0.5, 0.5)], "id long, x double, y double")
+    edges = spark.createDataFrame([(1, 2, "path"), (2, 3, "path"), (3, 3, "path"), (8, 9, "road"), (1, 77, "path")], "a long, b long, type string")
+    doors = spark.createDataFrame([(100, 1), (101, 55)], "place long, node long")
+    got = sorted(tuple(r) for r in checks.graph_faults(nodes, edges, doors, ["path"], (0.0, 0.0, 3.0, 3.0)).collect())
+    assert got == sorted([("out of bounds", "8"), ("apart", "8"), ("apart", "9"), ("loop", "3-3"), ("dangling", "77"), ("unknown type", "8-9"), ("entrance without a node", "55")])

@@ -13,7 +13,7 @@ from cairnfield.sources import layers
 def layer(spark):
     square = [[0.0, 0.0], [1.0, 0.0], [1.0, 1.0], [0.0, 0.0]]
     shapes = [("Point", [1.5, 2.5]), ("MultiPoint", [[1, 2], [3, 4]]), ("LineString", [[0, 0], [1, 1]]), ("MultiLineString", [[[0, 0], [1, 1]], [[2, 2], [3, 3]]]), ("Polygon", [square, square]), ("MultiPolygon", [[square], [square]])]
-    features = [{"type": "Feature", "properties": {"Name": f"n{i}" if i else None, "EditDate": 1}, "geometry": {"type": k, "coordinates": c}} for i, (k, c) in enumerate(shapes)]
+    features = [{"type": "Feature", "properties": {"Name": f"n{i}" if i else None, "OBJECTID": 1}, "geometry": {"type": k, "coordinates": c}} for i, (k, c) in enumerate(shapes)]
     folder = tempfile.mkdtemp(prefix="spark-layer-", dir="/tmp")
     with open(f"{folder}/a.geojson", "w") as f:
         json.dump({"type": "FeatureCollection", "name": "a", "features": features}, f, indent=1)
@@ -59,3 +59,14 @@ def test_layer_folders_and_lookup(spark, layer):
 def test_shape_of(spark):
     ask = lambda *k: spark.range(1).select(layers.shape_of(F.array(*[F.lit(x) for x in k]) if k else F.array().cast("array<string>"))).first()[0]
     assert (ask("Point", "Polygon"), ask("Point"), ask()) == (1, 0, None)
+
+
+def test_vertices_of_collections(spark, tmp_path):
+    import json
+
+    inner = {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [5, 6]}, {"type": "LineString", "coordinates": [[7, 8], [9, 10]]}]}
+    shape = {"type": "GeometryCollection", "geometries": [{"type": "MultiPoint", "coordinates": [[1, 2], [3, 4]]}, inner]}
+    features = [{"type": "Feature", "properties": {"Name": "a"}, "geometry": shape}, {"type": "Feature", "properties": {"Name": "b"}, "geometry": {"type": "Point", "coordinates": [0, 0]}}]
+    (tmp_path / "c.geojson").write_text(json.dumps({"type": "FeatureCollection", "name": "c", "features": features}))
+    v = layers.vertices(layers.read_layer(spark, str(tmp_path / "c.geojson"), "c"), ["pos"]).orderBy("pos", "part", "seq").collect()
+    assert [tuple(r) for r in v] == [(0, 0, 0, 0, 1.0, 2.0), (0, 1, 0, 0, 3.0, 4.0), (0, 2, 0, 0, 5.0, 6.0), (0, 3, 0, 0, 7.0, 8.0), (0, 3, 0, 1, 9.0, 10.0), (1, 0, 0, 0, 0.0, 0.0)]
