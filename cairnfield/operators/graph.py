@@ -24,15 +24,15 @@ def canonical_edges(edges: DataFrame) -> DataFrame:
     return edges.where("a <> b").select(lo, hi, "type", "pos").groupBy("a", "b").agg(F.min(F.struct("pos", "type")).alias("t")).select("a", "b", F.col("t.type").alias("type"))
 
 
-def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """left join right on `key`, where a key may hold a large share of the rows of left and right has one row for each.
+def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """left joined with right on `key`, where a key may hold a large share of the rows of left and right has one row for each.
 
     A join behind an aggregation takes over its partitions, which Spark can't
     split. Joined on the key and a hash of it, both sides are dealt out for the
     join alone, and the adaptive skew join splits what is too large.
     """
     dealt = "dealt_by_hash"
-    return left.withColumn(dealt, F.xxhash64(key)).join(right.withColumn(dealt, F.xxhash64(key)), [key, dealt]).drop(dealt)
+    return left.withColumn(dealt, F.xxhash64(key)).join(right.withColumn(dealt, F.xxhash64(key)), [key, dealt], how).drop(dealt)
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
