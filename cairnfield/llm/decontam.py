@@ -20,8 +20,10 @@ from . import words
 from .common import free_name, ship, slices, text_buffers
 from .toxicity import _FOLD, _GAP
 
-#: The masks. Any 20 words with at most 4 replaced hold a hit of one of them.
-MASKS = ("1101111", "1100010111", "1110000000111")
+#: The masks, by the least number of words of the items that they are for. However the words that may be replaced lie
+#: (4 of any 20; of shorter items, which are compared whole, one fifth), some mask of the item's size meets only words that are left.
+MASKS = {8: ("10111", "1000001011"), 13: ("110111", "100000001111"), 20: ("1101111", "1100010111", "1110000000111")}
+_EACH = [(least, mask) for least, masks in MASKS.items() for mask in masks]
 #: Words compared, and the share of them that must be equal. Items with fewer words are compared whole; with fewer than LEAST they are ignored.
 STRETCH, SHARE, LEAST = 20, 0.8, 8
 #: Bytes of benchmark text that are sent to every task at a time; a larger benchmark is worked in blocks of that size.
@@ -61,6 +63,7 @@ class Index:
     names: np.ndarray
     item: np.ndarray
     at: np.ndarray
+    used: list
 
     def table(self) -> np.ndarray:
         out = np.zeros(1 << _BITS, bool)
@@ -71,12 +74,19 @@ class Index:
 def index(items: list, texts: list[str]) -> Index:
     raw = [t.encode() for t in texts]
     hashed, first = fold_words(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
-    found = [seeds(hashed, first, m, i) for i, m in enumerate(MASKS)]
+    sizes = np.diff(first)
+    own = np.select([sizes >= least for least in sorted(MASKS, reverse=True)], sorted(MASKS, reverse=True), 0)
+    found = []
+    for i, (least, mask) in enumerate(_EACH):
+        names, at = seeds(hashed, first, mask, i)
+        use = own[np.searchsorted(first, at, "right") - 1] == least
+        found.append((names[use], at[use]))
+    used = [len(f[0]) > 0 for f in found]
     names, at = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
     order = np.argsort(names, kind="stable")
     names, at = names[order], at[order]
     item = np.searchsorted(first, at, "right") - 1
-    return Index(items, hashed, first, names, item, at - first[item])
+    return Index(items, hashed, first, names, item, at - first[item], used)
 
 
 def best_stretch(equal: np.ndarray, size: int):
@@ -95,7 +105,9 @@ def _search(batches, sent):
         data, offsets = text_buffers(part.column("text"))
         hashed, first = fold_words(data, offsets)
         pairs = []
-        for i, m in enumerate(MASKS):
+        for i, (_, m) in enumerate(_EACH):
+            if not x.used[i]:
+                continue
             h, at = seeds(hashed, first, m, i)
             keep = table[h & np.uint64((1 << _BITS) - 1)]
             h, at = h[keep], at[keep]
@@ -104,7 +116,7 @@ def _search(batches, sent):
             which = np.repeat(a, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             doc = np.searchsorted(first, np.repeat(at, n), "right") - 1
             pairs.append(np.stack([doc, x.item[which], np.repeat(at, n) - first[doc] - x.at[which]], 1))
-        pairs = np.unique(np.concatenate(pairs), axis=0)
+        pairs = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 3), np.int64)
         ids = part.column("doc_id").to_pylist()
         best: dict = {}
         for doc, item, shift in pairs.tolist():

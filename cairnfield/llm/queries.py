@@ -12,7 +12,8 @@ from .common import shared_folder, table
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+    ledger = f"{shared_folder(spark)}/secret-ledger-{uuid.uuid4().hex}"
+    return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents"), ledger))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
