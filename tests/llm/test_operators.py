@@ -124,10 +124,9 @@ def test_line_dedup_uses_no_python(spark):
 
 def test_simhash_of_lines_of_all_lengths(spark):
     rows = [[f"w{i}" for i in range(n)] for n in (1, 2, 3, 30, 255, 256, 3_000)]
-    df = spark.createDataFrame(list(enumerate(rows)), "key int, words array<string>")
-    for half in (0, 1):
-        got = {r["key"]: r["sim"] for r in df.select("key", lines.simhash(F.col("words"), half).alias("sim")).collect()}
-        assert got == {i: brute.simhash(w, half) for i, w in enumerate(rows)}
+    df = spark.createDataFrame(list(enumerate(rows)), "key int, features array<string>")
+    got = {r["key"]: (r["sim0"], r["sim1"]) for r in lines.simhashes(df).collect()}
+    assert got == {i: (brute.simhash(w, 0), brute.simhash(w, 1)) for i, w in enumerate(rows)}
 
 
 def test_line_dedup_on_odd_tables(spark):
