@@ -35,13 +35,19 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return left.withColumn(dealt, F.xxhash64(key)).join(right.withColumn(dealt, F.xxhash64(key)), [key, dealt], how).drop(dealt)
 
 
+#: Edges that a task of a round of components takes, and the least number of tasks.
+EDGES_A_TASK, LEAST_TASKS = 100_000, 8
+
+
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """(node, root): for each node of an edge (columns a, b) the smallest node that it is connected with.
 
     Alternates two steps until nothing changes: larger neighbours are tied to a
     node's smallest neighbour, then smaller ones to the smallest. A round takes
     minima and joins; no node's neighbours are gathered, and the edges of a hub
-    are split among tasks. Edges to itself and edges with a null end are ignored.
+    are split among tasks. A round takes as many tasks as its edges ask for, so
+    that a small network leaves no swarm of tiny shuffle files behind. Edges to
+    itself and edges with a null end are ignored.
     """
     state = cut(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     mark = None
@@ -50,12 +56,14 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         if now == mark or not now[0]:
             break
         mark = now
+        tasks = max(LEAST_TASKS, now[0] // EDGES_A_TASK)
+        state = state.coalesce(tasks)
         both = state.unionAll(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = spread_join(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = spread_join(large, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        state = cut(small.unionAll(least.select("u", F.col("m").alias("v"))).distinct())
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(tasks)
+        large = spread_join(both.where("v > u"), least, "u").coalesce(tasks).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct().coalesce(tasks)
+        least = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
+        small = spread_join(large, least, "u").coalesce(tasks).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        state = cut(small.unionAll(least.select("u", F.col("m").alias("v"))).coalesce(tasks).distinct().coalesce(tasks))
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     return state.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
