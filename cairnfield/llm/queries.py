@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, jaccard, lines, packing, secrets, substring, tokens, toxicity, warc
+from . import ann, decontam, jaccard, lines, merkle, negatives, packing, secrets, substring, tokenfiles, tokens, toxicity, warc
 from .common import shared_folder, table
 
 
@@ -64,13 +64,30 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), F.col("tox_score").alias("score"), F.col("tox_predicted").alias("predicted"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    is_altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), F.translate("text", upper, upper.lower()), is_altered)
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/token-ids-{uuid.uuid4().hex}"
+    tokenfiles.write_ids(table(spark, sf_dir, "documents"), path, tokenizer_file("byte_bpe_50k.json"))
+    return tokenfiles.read_ids(spark, path, with_ids=False)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
     """The others can't be put in SQL (search by sample, SimHash, a tokenizer, packing, a fitted model); tests hold them against plain versions."""
-    return {"op1_secret_scan": OP1, "op2_substring_dedup": OP2, "op6_jaccard_join": OP6, "op9_warc_archive": OP9}
+    return {"op1_secret_scan": OP1, "op2_substring_dedup": OP2, "op6_jaccard_join": OP6, "op9_warc_archive": OP9, "op11_merkle_manifest": OP11, "op13_hard_negatives": OP13}
 
 
 #: Matches are put between two marks, so their places follow from the lengths of what lies between.
@@ -120,3 +137,63 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
        CASE WHEN f.first_id <> p.page_id THEN f.first_id END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+
+def _tree(name: str, leaves: str, levels: int) -> str:
+    """Runs r and nodes l of each level over leaves (own, i, h), the last nodes top(own, h); 16**levels leaves at most."""
+    out = f"{name}l0 AS (SELECT own, i, h FROM {leaves})"
+    for k in range(levels):
+        out += f""", {name}r{k} AS (SELECT own, i // 16 AS j, list(h ORDER BY i) AS s FROM (SELECT *, count(*) OVER (PARTITION BY own) AS c FROM {name}l{k}) WHERE c > 1 GROUP BY own, i // 16),
+{name}l{k + 1} AS (SELECT own, j AS i, sha256(array_to_string(s, '')) AS h FROM {name}r{k})"""
+    tops = " UNION ALL ".join(f"SELECT own, any_value(h) AS h FROM {name}l{k} GROUP BY own HAVING count(*) = 1" for k in range(levels + 1))
+    return f"{out}, {name}top AS ({tops})"
+
+
+def _ways(name: str, start: str, levels: int, own: str) -> str:
+    """start (own, i, t, sib, ...) folded through the levels of _tree."""
+    out, last = "", start
+    for k in range(levels):
+        out += f""", {name}f{k} AS (SELECT f.* REPLACE (coalesce(sha256(array_to_string(s[1:i % 16] || [t] || s[i % 16 + 2:], '')), t) AS t,
+  sib || coalesce(array_to_string(s[1:i % 16] || s[i % 16 + 2:], ''), '') AS sib, i // 16 AS i) FROM {last} f LEFT JOIN {name}r{k} r ON r.own = f.{own} AND r.j = f.i // 16)"""
+        last = f"{name}f{k}"
+    return out
+
+
+def _field(x: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({x} AS VARCHAR))) || ':' || {x}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+#: Up to 16**5 documents of a source and 16**3 sources.
+OP11 = f"""
+WITH d AS (SELECT doc_id, coalesce('+' || source, '') AS own, {_leaf('text')} AS leaf,
+  CASE WHEN xor(list_reduce(string_split(CAST(doc_id AS VARCHAR), ''), lambda a, x: list_reduce(range(8), lambda b, k: CASE WHEN b & 1 = 1 THEN xor(b >> 1, 3988292384::BIGINT) ELSE b >> 1 END, xor(a, ascii(x)::BIGINT)), 4294967295::BIGINT), 4294967295::BIGINT) % 5 = 0
+       THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS altered FROM documents),
+p AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS h FROM d),
+{_tree('a', 'p', 5)},
+q AS (SELECT '' AS own, own AS source, h, row_number() OVER (ORDER BY own) - 1 AS i FROM atop),
+{_tree('b', 'q', 3)},
+s AS (SELECT doc_id, own, leaf, i, coalesce(altered, leaf) AS t, '' AS sib FROM p){_ways('a', 's', 5, 'own')},
+u AS (SELECT f.* REPLACE (q.i AS i), '' AS none, q.h AS subroot FROM af4 f JOIN q ON q.source = f.own){_ways('b', 'u', 3, 'none')}
+SELECT doc_id, leaf, subroot, b.h AS root, sha256(sib) AS proof_sha256, t AS folded_root, t = b.h AS verified FROM bf2, btop b
+"""
+
+OP13 = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+), n AS (
+  SELECT anchor_id, positive_id, other AS negative_id, positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, other) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
