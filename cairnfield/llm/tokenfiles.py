@@ -20,61 +20,70 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, ship, slices
+from .common import ship, slices
 from .packing import encoder
 
 # Fixed values of the format: ids in a word and bits of each, by selector.
 COUNTS = (240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BITS = (0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 MAGIC, MARK = b"S8BIDS01", "\nS8BEND\n"
-HEAD = struct.Struct("<8sqQQQ")
+HEAD = struct.Struct("<8sqqQQQ")
 #: Ids of a block; ids after which a segment is closed (a longer document is one segment); segments of a file.
-BLOCK, SEGMENT, SEGMENTS = 4096, 1 << 18, 128
+BLOCK, SEGMENT, SEGMENTS = 1024, 1 << 20, 32
 NAMELESS = np.uint64(1) << np.uint64(63)
 
 _COUNTS = np.array(COUNTS, np.int64)
 _ESCAPED = [(1 << b) - 1 if 0 < b < 60 else None for b in BITS]
 
 
-def _choose(ids: np.ndarray) -> np.ndarray:
-    """For a word that begins at any id: the selector that costs fewest bits an id, escapes counted."""
+def _choose(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins, and its selector: that which costs fewest bits an id, escapes counted. All blocks take a step at a time together."""
     rows = -(-len(ids) // BLOCK)
     table = np.zeros((rows, BLOCK), np.uint32)
     table.ravel()[: len(ids)] = ids
-    top = int(ids.max())
-    # what a word costs at most that holds any id; a selector that can't cost less is left out
-    bar = 64 / max(c for c, e in zip(COUNTS, _ESCAPED, strict=True) if e is None and c == 1 or e is not None and top < e)
-    best, pick = np.full((rows, BLOCK), np.inf, np.float32), np.zeros((rows, BLOCK), np.int8)
+    # what a word costs at most that holds any id
+    bar = 64 / max(c for c, e in zip(COUNTS, _ESCAPED, strict=True) if c == 1 or e is not None and int(ids.max()) < e)
+    used, sums = [], []
+    # of equal costs the wider word is taken: it holds fewer escapes
     for s in range(15, -1, -1):
-        c, take = COUNTS[s], np.minimum(COUNTS[s], BLOCK - np.arange(BLOCK)).astype(np.float32)
-        # the last block ends with its ids
-        ending = np.clip(len(ids) - BLOCK * (rows - 1) - np.arange(BLOCK), 1, c).astype(np.float32)
-        if BITS[s] == 60:
-            best[:], pick[:] = 64, s
-            continue
-        wide = table >= (_ESCAPED[s] or 1)
-        # escapes that a word may hold and still be worth it; any c ids in a row lie in two neighbours of the runs of c
-        room = (bar * c - 64) / 32 if BITS[s] else 0
-        runs = np.add.reduceat(~wide.ravel(), np.arange(0, wide.size, c), dtype=np.int32)
-        if (runs + np.r_[runs[1:], 0]).max() < c - room:
-            continue
-        sums = np.zeros((rows, BLOCK + 1), np.int32)
-        np.cumsum(wide, axis=1, out=sums[:, 1:])
-        over = np.empty((rows, BLOCK), np.float32)
-        over[:, : BLOCK + 1 - c] = sums[:, c:] - sums[:, : BLOCK + 1 - c]
-        over[:, BLOCK + 1 - c :] = sums[:, -1:] - sums[:, BLOCK + 1 - c : -1]
-        cost = (over * 32 + 64) / take
-        cost[-1] = (over[-1] * 32 + 64) / ending
-        if not BITS[s]:
-            cost[over > 0] = np.inf
-        # of equal costs the wider word: it holds fewer escapes
-        better = cost < best
-        np.copyto(best, cost, where=better)
-        np.copyto(pick, np.int8(s), where=better)
-    return pick.ravel()[: len(ids)]
+        c, over = COUNTS[s], np.zeros((rows, BLOCK + 1), np.int32)
+        if BITS[s] < 60:
+            wide = table >= (_ESCAPED[s] or 1)
+            # escapes that a word may hold and still be worth it; any c ids in a row lie in two neighbours of the runs of c
+            room = (bar * c - 64) / 32 if BITS[s] else 0
+            np.cumsum(wide, axis=1, dtype=np.int32, out=over[:, 1:])
+            # left out: what could help in one run of fifty at most, as each selector costs a step for every word
+            marks = over[:, ::c]
+            fit = c - np.diff(marks, axis=1).ravel()
+            if s < 13 and np.count_nonzero(fit + np.r_[fit[1:], fit[:1]] >= c - room) * 50 < len(fit):
+                continue
+        used.append(s)
+        sums.append(over)
+    used = np.array(used)
+    flat, count = np.concatenate(sums).ravel(), _COUNTS[used][:, None].astype(np.int32)
+    price = np.array([32 if BITS[s] else 1e9 for s in used], np.float32)[:, None]
+    row, pos = np.arange(rows), np.zeros(rows, np.int32)
+    held = np.minimum(BLOCK, len(ids) - BLOCK * row).astype(np.int32)
+    line = (np.arange(len(used))[:, None] * rows + row) * (BLOCK + 1)
+    first, chosen = [], []
+    while len(row):
+        here = line + pos
+        take = np.minimum(count, held - pos)
+        cost = flat.take(here + take) - flat.take(here)
+        pick = ((cost * price + np.float32(64)) / take).argmin(0)
+        first.append(row * BLOCK + pos)
+        chosen.append(used[pick])
+        pos = pos + take[pick, np.arange(len(row))]
+        on = pos < held
+        if not on.all():
+            row, pos, held, line = row[on], pos[on], held[on], line[:, on]
+    first, chosen = np.concatenate(first), np.concatenate(chosen)
+    order = np.argsort(first)
+    return first[order], chosen[order]
 
 
 def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,15 +91,8 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.zeros(1, np.uint32), np.zeros(0, np.uint64)
-    at = np.arange(n)
-    left = np.minimum(BLOCK - at % BLOCK, n - at).astype(np.int32)
-    pick = _choose(ids)
-    after, starts, i = (at + np.minimum(_COUNTS[pick], left)).tolist(), [], 0
-    while i < n:
-        starts.append(i)
-        i = after[i]
-    first = np.array(starts)
-    chosen = pick[first]
+    first, chosen = _choose(ids)
+    left = np.minimum(BLOCK - first % BLOCK, n - first)
     words = chosen.astype(np.uint64) << np.uint64(60)
     padded = np.r_[ids, np.zeros(COUNTS[0], ids.dtype)].astype(np.uint64)
     escaped = []
@@ -100,7 +102,7 @@ def encode_blocks(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         own = np.flatnonzero(chosen == s)
         slot = np.arange(COUNTS[s])
         place = first[own][:, None] + slot
-        field = np.where(slot < left[first[own]][:, None], padded[place], np.uint64(0))
+        field = np.where(slot < left[own][:, None], padded[place], np.uint64(0))
         if _ESCAPED[s] is not None:
             out = field >= np.uint64(_ESCAPED[s])
             field[out] = _ESCAPED[s]
@@ -158,19 +160,19 @@ def decode_blocks(data: np.ndarray, offsets: np.ndarray, n: int, begin: int = 0,
     return out.astype(np.uint32)
 
 
-def segment(names: list, lengths: list[int], ids: np.ndarray, place: int) -> bytes:
-    """The bytes of one segment: documents `names` (null: nameless) of `lengths`, whose ids follow each other from `place` on."""
+def segment(names: list, lengths: list[int], ids: np.ndarray, place: int, part: int = 0) -> bytes:
+    """The bytes of one segment: documents `names` (null: nameless) of `lengths`, whose ids follow each other from `place` of range `part` on."""
     offsets, data = encode_blocks(ids)
     sizes = np.array(lengths, np.uint64) | np.where([x is None for x in names], NAMELESS, np.uint64(0))
     index = np.r_[offsets, np.zeros(len(offsets) % 2, np.uint32)]
-    return HEAD.pack(MAGIC, place, len(names), len(ids), len(data)) + np.array([x or 0 for x in names], "<i8").tobytes() + sizes.astype("<u8").tobytes() + index.astype("<u4").tobytes() + data.astype("<u8").tobytes()
+    return HEAD.pack(MAGIC, part, place, len(names), len(ids), len(data)) + np.array([x or 0 for x in names], "<i8").tobytes() + sizes.astype("<u8").tobytes() + index.astype("<u4").tobytes() + data.astype("<u8").tobytes()
 
 
 def segments_of(content: bytes):
-    """Segments of a file: (place of the first id, names, lengths, number of ids, block offsets, words)."""
+    """Segments of a file: (range, place of the first id in it, names, lengths, number of ids, block offsets, words)."""
     at, mark = 0, MARK.encode()
     while at < len(content):
-        magic, place, n_docs, n_ids, n_words = HEAD.unpack_from(content, at)
+        magic, part, place, n_docs, n_ids, n_words = HEAD.unpack_from(content, at)
         if magic != MAGIC:
             raise ValueError("not a segment of token ids")
         at += HEAD.size
@@ -186,30 +188,30 @@ def segments_of(content: bytes):
             raise ValueError("a segment's length is not what its head says")
         at += len(mark)
         nameless = sizes >= NAMELESS
-        yield place, [None if x else i for i, x in zip(names.tolist(), nameless.tolist(), strict=True)], (sizes & ~NAMELESS).astype(np.int64), n_ids, offsets, words
+        yield part, place, [None if x else i for i, x in zip(names.tolist(), nameless.tolist(), strict=True)], (sizes & ~NAMELESS).astype(np.int64), n_ids, offsets, words
 
 
 def ids_between(part, first: int, last: int) -> np.ndarray:
     """Ids first to last (exclusive, counted in the segment) of one of segments_of(), from the blocks that hold them alone."""
-    _, _, _, n, offsets, words = part
+    *_, n, offsets, words = part
     begin = first // BLOCK
     return decode_blocks(words, offsets, n, begin, -(-last // BLOCK))[first - begin * BLOCK : last - begin * BLOCK] if first < last else np.zeros(0, np.uint32)
 
 
 def _encode(batches, path: str, last_id: int):
     """Segments of this range; places count from its first id."""
-    e, place = encoder(path), 0
+    e, place, part = encoder(path), 0, TaskContext.get().partitionId()
     names, held, n = [], [], 0
 
     def close():
         nonlocal names, held, n, place
-        row = pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([segment(names, [len(x) for x in held], np.concatenate(held), place)], pa.binary())], ["ids", "bytes"])
+        row = pa.RecordBatch.from_arrays([pa.array([segment(names, [len(x) for x in held], np.concatenate(held), place, part)], pa.binary())], ["bytes"])
         place, names, held, n = place + n, [], [], 0
         return row
 
     for batch in batches:
-        for part in slices([batch], "text"):
-            for name, ids in zip(part.column("doc_id").to_pylist(), e.encode([t or "" for t in part.column("text").to_pylist()]), strict=True):
+        for some in slices([batch], "text"):
+            for name, ids in zip(some.column("doc_id").to_pylist(), e.encode([t or "" for t in some.column("text").to_pylist()]), strict=True):
                 names.append(name)
                 held.append(np.append(ids, np.uint32(last_id)).astype(np.uint32))
                 n += len(held[-1])
@@ -219,17 +221,16 @@ def _encode(batches, path: str, last_id: int):
         yield close()
 
 
-def _shift(batches, ahead):
-    """Places counted from the first id of all."""
+def _sizes(batches):
+    """The range of each file, and how many ids of it the file holds."""
     for batch in batches:
-        for part, content in zip(batch.column("part").to_pylist(), batch.column("bytes"), strict=True):
-            raw = bytearray(content.as_py())
-            struct.pack_into("<q", raw, 8, struct.unpack_from("<q", raw, 8)[0] + ahead.value[part])
-            yield pa.RecordBatch.from_arrays([pa.array([bytes(raw)], pa.binary())], ["bytes"])
+        for content in batch.column("content"):
+            found = [(s[0], s[4]) for s in segments_of(content.as_py())]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["part", "ids"])
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, last_id: int = 2) -> None:
-    """Write the ids of all texts, each closed by last_id, under `path` in ascending doc_id order.
+    """Write the ids of all texts, each closed by last_id, under `path` in ascending doc_id order: files in path/ids, their index in path/index.
 
     Null and empty texts are last_id alone. Rows without a doc_id come first;
     rows that share one are ordered by the hash of their text and all written.
@@ -239,26 +240,23 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, last_id: int = 2) -> N
     ship(spark)
     keys = ["doc_id", "_text", "_row"]  # the last two spread a doc_id that many rows share
     sorted_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("_text"), F.monotonically_increasing_id().alias("_row")).repartitionByRange(*keys).sortWithinPartitions(*keys)
-    # a checkpoint keeps the ranges and their order
-    made = cut(sorted_.select("doc_id", "text").mapInArrow(lambda it: _encode(it, tokenizer, last_id), "ids long, bytes binary").withColumn("part", F.spark_partition_id()))
-    ahead, total = {}, 0
-    for r in sorted(made.groupBy("part").agg(F.sum("ids").alias("ids")).collect()):  # a row for each range
-        ahead[r["part"]], total = total, total + r["ids"]
-    sent = spark.sparkContext.broadcast(ahead)
-    placed = made.select("part", "bytes").mapInArrow(lambda it: _shift(it, sent), "bytes binary")
-    placed.select(F.col("bytes").cast("string")).write.mode("overwrite").option("lineSep", MARK).option("maxRecordsPerFile", SEGMENTS).text(path)
+    made = sorted_.select("doc_id", "text").mapInArrow(lambda it: _encode(it, tokenizer, last_id), "bytes binary")
+    made.select(F.col("bytes").cast("string")).write.mode("overwrite").option("lineSep", MARK).option("maxRecordsPerFile", SEGMENTS).text(f"{path}/ids")
+    sizes = spark.read.format("binaryFile").load(f"{path}/ids").select("content").mapInArrow(_sizes, "part long, ids long").groupBy("part").agg(F.sum("ids").alias("ids"))
+    # a row for each range
+    sizes.select("part", (F.sum("ids").over(Window.orderBy("part")) - F.col("ids")).alias("before")).write.mode("overwrite").parquet(f"{path}/index")
 
 
 def _read(batches, with_ids: bool):
-    kinds = [("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), *([("ids", pa.list_(pa.int64()))] if with_ids else [])]
+    kinds = [("part", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), *([("ids", pa.list_(pa.int64()))] if with_ids else [])]
     for batch in batches:
         for content in batch.column("content"):
-            for place, names, sizes, n, offsets, words in segments_of(content.as_py()):
+            for part, place, names, sizes, n, offsets, words in segments_of(content.as_py()):
                 ids = decode_blocks(words, offsets, n).astype("<u4")
                 ends = np.cumsum(sizes)
                 begins = ends - sizes
                 raw = memoryview(ids.tobytes())
-                columns = [names, place + begins, sizes, [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]]
+                columns = [np.full(len(names), part), names, place + begins, sizes, [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]]
                 arrays = [pa.array(c, t) for c, (_, t) in zip(columns, kinds, strict=False)]
                 if with_ids:
                     arrays.append(pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(ids.astype(np.int64))))
@@ -268,5 +266,8 @@ def _read(batches, with_ids: bool):
 def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """Per document of the files under `path`: doc_id, start (ids before it), n_tokens, ids_crc32 and, if asked for, ids."""
     ship(spark)
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInArrow(lambda it: _read(it, with_ids), "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else ""))
+    files = spark.read.format("binaryFile").load(f"{path}/ids").select("content")
+    rows = files.mapInArrow(lambda it: _read(it, with_ids), "part long, doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<long>" if with_ids else ""))
+    # the index has a row for each range
+    placed = rows.join(F.broadcast(spark.read.parquet(f"{path}/index")), "part")
+    return placed.select("doc_id", (F.col("start") + F.col("before")).alias("start"), *rows.columns[3:])

@@ -154,12 +154,12 @@ def test_ids_between_come_from_their_blocks_alone():
     ids = r.integers(0, 60_000, 3 * tokenfiles.BLOCK + 77).astype(np.uint32)
     content = tokenfiles.segment([1, None], [100, len(ids) - 100], ids, 5) + tokenfiles.MARK.encode()
     (part,) = tokenfiles.segments_of(content)
-    assert part[:2] == (5, [1, None]) and part[2].tolist() == [100, len(ids) - 100]
-    for a, b in [(0, 1), (4095, 4097), (4096, 8192), (0, len(ids)), (len(ids) - 1, len(ids)), (7, 7)]:
+    assert part[:3] == (0, 5, [1, None]) and part[3].tolist() == [100, len(ids) - 100]
+    for a, b in [(0, 1), (1023, 1025), (1024, 2048), (0, len(ids)), (len(ids) - 1, len(ids)), (7, 7)]:
         assert (tokenfiles.ids_between(part, a, b) == ids[a:b]).all()
     # words outside the blocks asked for aren't read
-    spoilt = (*part[:5], np.r_[part[5][: part[4][2]], np.zeros(len(part[5]) - part[4][2], np.uint64)])
-    assert (tokenfiles.ids_between(spoilt, 10, 4000) == ids[10:4000]).all()
+    spoilt = (*part[:6], np.r_[part[6][: part[5][2]], np.zeros(len(part[6]) - part[5][2], np.uint64)])
+    assert (tokenfiles.ids_between(spoilt, 10, 1000) == ids[10:1000]).all()
     with pytest.raises(ValueError):
         list(tokenfiles.segments_of(content[:-8] + b"????????"))
 
@@ -193,8 +193,8 @@ def test_files_hold_what_the_library_gives(spark):
     got = [(r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"], r["ids"]) for r in tokenfiles.read_ids(spark, path).orderBy("start").collect()]
     assert got == want
     # ascending in each file, and from file to file by name
-    files = spark.read.format("binaryFile").load(path).orderBy("path").collect()
-    names = [x for f in files for s in tokenfiles.segments_of(bytes(f["content"])) for x in s[1]]
+    files = spark.read.format("binaryFile").load(f"{path}/ids").orderBy("path").collect()
+    names = [x for f in files for s in tokenfiles.segments_of(bytes(f["content"])) for x in s[2]]
     assert names == [r[0] for r in want]
 
 
