@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # White space of all scripts, and the four separators of ASCII.
 _SPACE = r"(?U)[\s\x1c-\x1f]"
@@ -79,22 +77,3 @@ def plural(word: Column, exceptions: dict[str, str] | None = None) -> Column:
     for k, v in (exceptions or {}).items():
         out = F.when(word == k, v).otherwise(out)
     return out
-
-
-def unescaped(c: Column) -> Column:
-    """Text with its character references replaced, by name (the whole table of HTML) or by number."""
-
-    def each(texts: pd.Series) -> pd.Series:
-        import html
-
-        return texts.map(html.unescape, na_action="ignore")
-
-    # text without a reference is not sent to Python
-    return F.coalesce(F.pandas_udf(each, StringType())(F.when(F.contains(c, F.lit("&")), c)), c)
-
-
-def plain_text(markup: Column) -> Column:
-    """Text of a piece of markup: breaks and ends of paragraphs and items become spaces, other tags vanish, references are replaced, spaces squeezed. Null if nothing is left."""
-    spaced = F.regexp_replace(markup, r"(?i)<br\s*/?>|</p>|</li>", " ")
-    bare = unescaped(F.regexp_replace(spaced, "<[^>]+>", ""))
-    return blank_to_null(F.regexp_replace(bare, rf"{_SPACE}+", " "))

@@ -70,3 +70,12 @@ def context(spark: SparkSession, folder: str, version: str) -> DataFrame:
 def feed(spark: SparkSession, folder: str) -> DataFrame:
     """Arriving versions of keys: key, ts, event_id, value."""
     return table(spark, folder, "events").select(F.col("user_id").alias("key"), "ts", "event_id", F.col("event_type").alias("value"))
+
+
+def marked_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """page_id, html: the pages with their anchors written in four ways (attributes before the address, upper case, nested tags, references)."""
+    html, n = F.col("html"), F.col("page_id") % 4
+    attributes = F.replace(html, F.lit("<a href="), F.lit('<a class="n"\n HREF='))
+    nested = F.replace(F.replace(html, F.lit('<a href="/'), F.lit('<A rel=x href="/news/')), F.lit('">'), F.lit("\" title='x'><i>"))
+    references = F.replace(F.replace(html, F.lit('<a href="/'), F.lit('<a href="/&amp;')), F.lit("</a>"), F.lit("&eacute;&#8217;&#x41;&ampx&notit;&bogus;&#150;</a>"))
+    return table(spark, folder, "pages").select("page_id", F.when(n == 0, html).when(n == 1, attributes).when(n == 2, nested).otherwise(references).alias("html"))

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cairnfield.functions import geo
-from cairnfield.functions.scalars import blank_to_null, casefolded, hyphenated, plain_text, plural, slug, split_once, templated
+from cairnfield.functions.markup import plain_text
+from cairnfield.functions.scalars import blank_to_null, casefolded, hyphenated, plural, slug, split_once, templated
 from cairnfield.operators import checks, conflate, diff, graph, grid, measures, places
 
 
