@@ -7,13 +7,17 @@ equality and distances computed for what met. Each row of cells has a width of
 its own in degrees, right for its latitude nearest the pole, so no near pair is
 missed at any latitude. Shapes much wider than the reach go to levels of wider
 cells, each twice as wide as the one below, so that none fills many; points
-look into every level that holds a shape. Pairs across the 180th meridian do
-not meet.
+look into every level that holds a shape. What lies near the 180th meridian is
+put beyond its other end as well (`shift`, in degrees), so pairs across it meet.
+
+Whether a point is inside an area is told from the edges in its own cell of a
+grid that each large ring has for itself: the parity of the cell comes from the
+edges that cross the middle of its row further east, added up once for a cell.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import LAT_M, LON_M, crosses, metres, nearest_on, to_segment
@@ -29,10 +33,10 @@ def _high(reach_m: float, level: Column | int) -> Column:
 
 
 def _wide(reach_m: float, level: Column | int, cy: Column) -> Column:
-    """Width in degrees of the cells of row cy."""
+    """Width in degrees of the cells of row cy; at a pole they go all round."""
     high = _high(reach_m, level)
-    pole = F.least(F.greatest(F.abs(cy * high), F.abs((cy + 1) * high)), F.lit(89.9))
-    return high * F.lit(LAT_M / LON_M) / F.cos(F.radians(pole))
+    pole = F.least(F.greatest(F.abs(cy * high), F.abs((cy + 1) * high)), F.lit(90.0))
+    return F.least(high * F.lit(LAT_M / LON_M) / F.cos(F.radians(pole)), F.lit(360.0))
 
 
 def cell(c: Column, step: Column) -> Column:
@@ -55,13 +59,21 @@ def leveled(boxes: DataFrame, reach_m: float) -> DataFrame:
 
 
 def box_cells(boxes: DataFrame, reach_m: float) -> DataFrame:
-    """boxes (min_x, min_y, max_x, max_y) once for each cell that they come within reach of; the cells of their level if they have one."""
+    """boxes (min_x, min_y, max_x, max_y) once for each cell that they come within reach of; the cells of their level if they have one. shift is what their x have to be moved by to lie there."""
     level: Column | int = F.col("level") if "level" in boxes.columns else 0
     high, reach = _high(reach_m, level), F.lit(reach_m / LAT_M)
     rows = boxes.withColumn("cy", F.explode(F.sequence(cell(F.col("min_y") - reach, high), cell(F.col("max_y") + reach, high))))
     wide = _wide(reach_m, level, F.col("cy"))
+    west, east = F.col("min_x") - wide, F.col("max_x") + wide
+    around = [F.when(east + s >= -180.0 if s < 0 else west + s <= 180.0, F.lit(s)) for s in (-360.0, 360.0)]
+    rows = rows.withColumn("shift", F.explode(F.when(west.between(-180.0, 180.0) & east.between(-180.0, 180.0), F.array(F.lit(0.0))).otherwise(F.array_compact(F.array(F.lit(0.0), *around)))))
     # a cell is at least as wide as the reach
-    return rows.withColumn("cx", F.explode(F.sequence(cell(F.col("min_x") - wide, wide), cell(F.col("max_x") + wide, wide))))
+    return rows.withColumn("cx", F.explode(F.sequence(cell(west + F.col("shift"), wide), cell(east + F.col("shift"), wide))))
+
+
+def _this_side(delta: Column) -> Column:
+    """Whether a difference of longitudes is the shorter way round."""
+    return (delta > -180.0) & (delta <= 180.0)
 
 
 def levels_of(boxes: DataFrame) -> list[int]:
@@ -76,8 +88,8 @@ def _point_boxes(points: DataFrame, x: str, y: str) -> DataFrame:
 def near_points(points: DataFrame, reach_m: float) -> DataFrame:
     """(a, b, m): pairs of points, a < b, within reach; the point with the smaller id is the centre."""
     right = _point_boxes(points.select(F.col("id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by")), "bx", "by")
-    met = point_cells(points.select("id", "x", "y"), reach_m).join(box_cells(right, reach_m), ["cx", "cy"]).where("id < b").withColumn("m", metres(F.col("x"), F.col("y"), F.col("bx"), F.col("by")))
-    return met.where(F.col("m") <= reach_m).select(F.col("id").alias("a"), "b", "m")
+    met = point_cells(points.select("id", "x", "y"), reach_m).join(box_cells(right, reach_m), ["cx", "cy"]).where("id < b").withColumn("bx", F.col("bx") + F.col("shift")).withColumn("m", metres(F.col("x"), F.col("y"), F.col("bx"), F.col("by")))
+    return met.where(_this_side(F.col("bx") - F.col("x"))).where(F.col("m") <= reach_m).select(F.col("id").alias("a"), "b", "m")
 
 
 def _segment_boxes(segments: DataFrame) -> DataFrame:
@@ -85,34 +97,93 @@ def _segment_boxes(segments: DataFrame) -> DataFrame:
 
 
 def near_segments(points: DataFrame, segments: DataFrame, reach_m: float, same: tuple[str, ...] = ()) -> DataFrame:
-    """points and segments (x0, y0, x1, y1) whose cells meet, all columns of both; with same, only those that agree in these columns."""
+    """points and segments (x0, y0, x1, y1) whose cells meet, all columns of both; with same, only those that agree in these columns. Segments from across the 180th meridian have their x moved."""
     boxes = cut(leveled(_segment_boxes(segments), reach_m))
-    cells = box_cells(boxes, reach_m).drop("min_x", "max_x", "min_y", "max_y")
-    return point_cells(points, reach_m, levels_of(boxes)).join(cells, [*same, "level", "cx", "cy"]).drop("level", "cx", "cy")
+    cells = box_cells(boxes, reach_m).drop("min_x", "max_x", "min_y", "max_y").withColumns({"x0": F.col("x0") + F.col("shift"), "x1": F.col("x1") + F.col("shift")})
+    return point_cells(points, reach_m, levels_of(boxes)).join(cells, [*same, "level", "cx", "cy"]).drop("level", "cx", "cy", "shift")
+
+
+#: Rings of more edges have a grid of their own.
+FEW_EDGES = 64
+
+
+def _in_few(pairs: DataFrame, edges: DataFrame) -> DataFrame:
+    """pairs (id, x, y, fid, ring) with odd, from all edges of the ring, which are few."""
+    args = [F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]
+    return pairs.join(edges, ["fid", "ring"]).groupBy("id", "fid", "ring").agg((F.sum(crosses(*args)) % 2).alias("odd"))
+
+
+def _in_many(pairs: DataFrame, edges: DataFrame, rings: DataFrame) -> DataFrame:
+    """pairs (id, x, y, fid, ring) with odd, from the edges in the point's cell and what is known of the cell.
+
+    Cells are as high and wide as the mean edge or so, so edges fill at most a
+    few times their number of cells, and a cell holds few of them whatever the
+    ring has.
+    """
+    # the fraction keeps middles off round coordinates
+    step = lambda lo, hi, mean: F.greatest(F.col(mean), (F.col(hi) - F.col(lo)) * 16.618 / F.col("edges"), F.lit(1e-12))
+    sizes = rings.select("fid", "ring", F.col("min_x").alias("ox"), F.col("min_y").alias("oy"), step("min_x", "max_x", "mean_dx").alias("wide"), step("min_y", "max_y", "mean_dy").alias("high"))
+    row = lambda y: cell(y - F.col("oy"), F.col("high"))
+    col = lambda x: cell(x - F.col("ox"), F.col("wide"))
+    mid = F.col("oy") + (F.col("row") + 0.5) * F.col("high")
+    e = edges.join(sizes, ["fid", "ring"])
+    e = e.withColumn("row", F.explode(F.sequence(row(F.least("y0", "y1")), row(F.greatest("y0", "y1")))))
+    at_y = lambda y: F.col("x0") + (y - F.col("y0")) / F.when(F.col("y1") == F.col("y0"), 1.0).otherwise(F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))
+    hit = F.when((F.col("y0") > mid) != (F.col("y1") > mid), at_y(mid))
+    # where the edge runs inside this row, a little widened for rounding
+    slack = F.col("wide") * 1e-6
+    low, high = F.col("oy") + F.col("row") * F.col("high"), F.col("oy") + (F.col("row") + 1) * F.col("high")
+    flat = F.col("y0") == F.col("y1")
+    clip = lambda y: F.when(flat, None).otherwise(at_y(F.least(F.greatest(y, F.least("y0", "y1")), F.greatest("y0", "y1"))))
+    left = F.when(flat, F.least("x0", "x1")).otherwise(F.least(clip(low), clip(high)))
+    right = F.when(flat, F.greatest("x0", "x1")).otherwise(F.greatest(clip(low), clip(high)))
+    e = cut(e.withColumn("hit", hit).withColumn("mid", mid).withColumn("col", F.explode(F.sequence(col(left - slack), col(right + slack)))).select("fid", "ring", "row", "col", "x0", "y0", "x1", "y1", "mid", "hit", col(F.col("hit")).alias("hit_col")))
+    p = cut(pairs.join(sizes, ["fid", "ring"]).select("id", "fid", "ring", "x", "y", row(F.col("y")).alias("row"), col(F.col("x")).alias("col")))
+    # crossings of each row's middle, counted in their cells and added up from the east, for the cells that hold a point
+    counts = e.where("hit_col = col").groupBy("fid", "ring", "row", "col").agg(F.count(F.lit(1)).alias("n"))
+    asked = p.select("fid", "ring", "row", "col").distinct().withColumn("n", F.lit(0).cast("long"))
+    cells = counts.unionByName(asked).groupBy("fid", "ring", "row", "col").agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 0).alias("asked"))
+    east = Window.partitionBy("fid", "ring", "row").orderBy(F.col("col").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    known = cells.withColumn("further", F.coalesce(F.sum("n").over(east), F.lit(0))).where("asked > 0").select("fid", "ring", "row", "col", "further")
+    met = p.join(e, ["fid", "ring", "row", "col"], "left")
+    beside = F.when((F.col("hit_col") == F.col("col")) & (F.col("hit") > F.col("x")), 1).otherwise(0)
+    at_x = F.col("y0") + (F.col("x") - F.col("x0")) / F.when(F.col("x1") == F.col("x0"), 1.0).otherwise(F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
+    between = F.when(((F.col("x0") > F.col("x")) != (F.col("x1") > F.col("x"))) & ((at_x > F.col("y")) != (at_x > F.col("mid"))), 1).otherwise(0)
+    own = met.groupBy("id", "fid", "ring", "row", "col").agg(F.coalesce(F.sum(beside + between), F.lit(0)).alias("own"))
+    return own.join(known, ["fid", "ring", "row", "col"]).select("id", "fid", "ring", ((F.col("own") + F.col("further")) % 2).alias("odd"))
+
+
+def contained(points: DataFrame, segments: DataFrame, reach_m: float) -> DataFrame:
+    """(id, fid): points inside areas, in the outer ring (0) and in no other. segments: fid, ring, x0, y0, x1, y1; reach_m: about how large a small area is, for the grid that finds them."""
+    lows, highs = [F.least("x0", "x1"), F.least("y0", "y1")], [F.greatest("x0", "x1"), F.greatest("y0", "y1")]
+    rings = segments.groupBy("fid", "ring").agg(F.min(lows[0]).alias("min_x"), F.min(lows[1]).alias("min_y"), F.max(highs[0]).alias("max_x"), F.max(highs[1]).alias("max_y"), F.count(F.lit(1)).alias("edges"), F.avg(F.abs(F.col("x1") - F.col("x0"))).alias("mean_dx"), F.avg(F.abs(F.col("y1") - F.col("y0"))).alias("mean_dy"))
+    rings = cut(leveled(rings, reach_m))
+    met = point_cells(points.select("id", "x", "y"), reach_m, levels_of(rings)).join(box_cells(rings, reach_m), ["level", "cx", "cy"]).withColumn("x", F.col("x") - F.col("shift"))
+    pairs = met.where("x between min_x and max_x and y between min_y and max_y").select("id", "x", "y", "fid", "ring", "edges")
+    own, is_few = segments.select("fid", "ring", "x0", "y0", "x1", "y1"), F.col("edges") <= FEW_EDGES
+    odd = _in_few(pairs.where(is_few).drop("edges"), own)
+    many = rings.where(~is_few)
+    if not many.isEmpty():
+        odd = odd.unionByName(_in_many(pairs.where(~is_few).drop("edges"), own.join(many.select("fid", "ring"), ["fid", "ring"], "left_semi"), many))
+    whole = odd.groupBy("id", "fid").agg(F.max(F.when(F.col("ring") == 0, F.col("odd")).otherwise(0)).alias("outer"), F.max(F.when(F.col("ring") > 0, F.col("odd")).otherwise(0)).alias("hole"))
+    return whole.where("outer = 1 and hole = 0").select("id", "fid")
 
 
 def within_polygons(points: DataFrame, segments: DataFrame, reach_m: float) -> DataFrame:
     """(id, fid, m): points and areas within reach, 0 metres for points inside. segments: fid, ring, x0, y0, x1, y1."""
-    bounds = segments.groupBy("fid").agg(F.min(F.least("x0", "x1")).alias("min_x"), F.min(F.least("y0", "y1")).alias("min_y"), F.max(F.greatest("x0", "x1")).alias("max_x"), F.max(F.greatest("y0", "y1")).alias("max_y"))
-    boxes = cut(leveled(bounds, reach_m))
-    met = point_cells(points.select("id", "x", "y"), reach_m, levels_of(boxes)).join(box_cells(boxes, reach_m), ["level", "cx", "cy"])
-    # the edges of an area are joined only to points within reach of its bounds
-    east = F.lit(reach_m / LON_M) / F.cos(F.radians(F.least(F.abs("y"), F.lit(89.9)))) + 1e-9
-    north = F.lit(reach_m / LAT_M) + 1e-9
-    met = met.where(F.col("x").between(F.col("min_x") - east, F.col("max_x") + east) & F.col("y").between(F.col("min_y") - north, F.col("max_y") + north)).select("id", "x", "y", "fid")
     args = [F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]
-    rings = met.join(segments, "fid").groupBy("id", "fid", "ring").agg(F.min(to_segment(*args)).alias("edge"), (F.sum(crosses(*args)) % 2).alias("odd"))
-    whole = rings.groupBy("id", "fid").agg(F.min("edge").alias("edge"), F.max(F.when(F.col("ring") == 0, F.col("odd")).otherwise(0)).alias("outer"), F.max(F.when(F.col("ring") > 0, F.col("odd")).otherwise(0)).alias("hole"))
-    return whole.select("id", "fid", F.when((F.col("outer") == 1) & (F.col("hole") == 0), 0.0).otherwise(F.col("edge")).alias("m")).where(F.col("m") <= reach_m)
+    edge = near_segments(points.select("id", "x", "y"), segments.select("fid", "x0", "y0", "x1", "y1"), reach_m).select("id", "fid", to_segment(*args).alias("m")).where(F.col("m") <= reach_m)
+    inside = contained(points, segments, reach_m).withColumn("m", F.lit(0.0))
+    return edge.unionByName(inside).groupBy("id", "fid").agg(F.min("m").alias("m"))
 
 
-def _doubling(left: DataFrame, reach_m: float, look) -> DataFrame:
-    """What look(points, reach) finds for each id, with the reach doubled for those that found nothing, until all have or nothing on earth is left to reach."""
+def _doubling(left: DataFrame, reach_m: float, look, keys: tuple[str, ...] = ("id",)) -> DataFrame:
+    """What look(points, reach) finds for each id (or keys), with the reach doubled for those that found nothing, until all have or nothing on earth is left to reach."""
     out, reach = None, reach_m
     while True:
         best = cut(look(left, reach))
         out = best if out is None else out.unionByName(best)
-        left = cut(left.join(best.select("id"), "id", "left_anti"))
+        left = cut(left.join(best.select(*keys), list(keys), "left_anti"))
         if reach > FARTHEST_M or left.isEmpty():
             return out
         reach *= 2
@@ -127,7 +198,7 @@ def nearest_point(points: DataFrame, targets: DataFrame, reach_m: float) -> Data
     near = _point_boxes(targets.select(F.col("id").alias("target"), F.col("x").alias("tx"), F.col("y").alias("ty")), "tx", "ty")
 
     def look(left: DataFrame, reach: float) -> DataFrame:
-        met = point_cells(left, reach).join(box_cells(near, reach), ["cx", "cy"]).withColumn("m", metres(F.col("x"), F.col("y"), F.col("tx"), F.col("ty"))).where(F.col("m") <= reach)
+        met = point_cells(left, reach).join(box_cells(near, reach), ["cx", "cy"]).withColumn("m", metres(F.col("x"), F.col("y"), F.col("tx") + F.col("shift"), F.col("ty"))).where(F.col("m") <= reach)
         return met.groupBy("id").agg(F.min(F.struct("m", "target")).alias("best")).select("id", F.col("best.target").alias("target"), F.col("best.m").alias("m"))
 
     if near.isEmpty():
@@ -139,6 +210,7 @@ def snapped(points: DataFrame, segments: DataFrame, reach_m: float) -> DataFrame
     """(id, m, x, y): points within reach of a segment (x0, y0, x1, y1), the metres to the nearest one and the place on it; ties to the place further west, then south."""
     args = [F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]
     met = near_segments(points.select("id", "x", "y"), segments.select("x0", "y0", "x1", "y1"), reach_m).select("id", nearest_on(*args).alias("at"))
+    met = met.withColumn("at", F.struct("at.m", F.when(F.col("at.x") > 180.0, F.col("at.x") - 360.0).when(F.col("at.x") < -180.0, F.col("at.x") + 360.0).otherwise(F.col("at.x")).alias("x"), "at.y"))
     return met.where(F.col("at.m") <= reach_m).groupBy("id").agg(F.min("at").alias("at")).select("id", "at.m", "at.x", "at.y")
 
 
@@ -148,3 +220,76 @@ def snap_to_lines(points: DataFrame, segments: DataFrame, reach_m: float) -> Dat
     if segments.isEmpty():
         return snapped(rows.limit(0), segments, reach_m)
     return _doubling(rows, reach_m, lambda left, reach: snapped(left, segments, reach))
+
+
+def sides_of(points: DataFrame | None = None, lines: DataFrame | None = None, areas: DataFrame | None = None) -> DataFrame:
+    """Shapes of all kinds as one table: kind ("point", "line", "area"), sid, ring, x0, y0, x1, y1. points: id, x, y; lines: id, x0, y0, x1, y1 for each segment; areas: id, ring and the same."""
+    point = None if points is None else points.select(F.lit("point").alias("kind"), F.col("id").alias("sid"), F.lit(None).cast("int").alias("ring"), F.col("x").alias("x0"), F.col("y").alias("y0"), F.col("x").alias("x1"), F.col("y").alias("y1"))
+    line = None if lines is None else lines.select(F.lit("line").alias("kind"), F.col("id").alias("sid"), F.lit(None).cast("int").alias("ring"), "x0", "y0", "x1", "y1")
+    area = None if areas is None else areas.select(F.lit("area").alias("kind"), F.col("id").alias("sid"), F.col("ring").cast("int").alias("ring"), "x0", "y0", "x1", "y1")
+    given = [d for d in (point, line, area) if d is not None]
+    out = given[0]
+    for d in given[1:]:
+        out = out.unionByName(d)
+    return out
+
+
+def _areas(sides: DataFrame) -> DataFrame:
+    return sides.where("kind = 'area'").select(F.col("sid").alias("fid"), "ring", "x0", "y0", "x1", "y1")
+
+
+def nearest_shapes(points: DataFrame, sides: DataFrame, kinds: list[str], reach_m: float) -> DataFrame:
+    """(id, kind, sid, m): for each point (id, x, y) and each kind the nearest shape, however far: 0 inside an area, else to the nearest edge, line or point; ties to the lower sid. Infinity and no sid where no shape of the kind is. reach_m is where the search begins."""
+    args = [F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]
+    best = lambda rows: rows.groupBy("id", "kind").agg(F.min(F.struct("m", "sid")).alias("t")).select("id", "kind", "t.sid", "t.m")
+    held = cut(sides)
+    there = {r["kind"] for r in held.select("kind").distinct().collect()} & set(kinds)
+    every = points.select("id", "x", "y", F.explode(F.array([F.lit(k) for k in kinds])).alias("kind"))
+    out = every.where(~F.col("kind").isin(sorted(there))).select("id", "kind", F.lit(None).cast(held.schema["sid"].dataType).alias("sid"), F.lit(float("inf")).alias("m"))
+    left = every.where(F.col("kind").isin(sorted(there)))
+    if "area" in there:
+        inside = cut(best(contained(points, _areas(held), reach_m).select("id", F.lit("area").alias("kind"), F.col("fid").alias("sid"), F.lit(0.0).alias("m"))))
+        out, left = out.unionByName(inside), left.join(inside.select("id", "kind"), ["id", "kind"], "left_anti")
+    if not there:
+        return out
+
+    def look(rows: DataFrame, reach: float) -> DataFrame:
+        met = near_segments(rows, held.drop("ring"), reach, ("kind",))
+        return best(met.withColumn("m", to_segment(*args)).where(F.col("m") <= reach))
+
+    return out.unionByName(_doubling(cut(left), reach_m, look, ("id", "kind")))
+
+
+def touching_shapes(sides: DataFrame, reach_m: float) -> DataFrame:
+    """(a, b): pairs of shapes, a < b by (kind, sid), of which one has a vertex within reach of the other's edges, lines or points, or inside it. The vertex is the centre of the distance."""
+    own = F.struct("kind", "sid")
+    held = cut(sides)
+    vertices = held.select(own.alias("id"), F.col("x0").alias("x"), F.col("y0").alias("y")).unionByName(held.select(own.alias("id"), F.col("x1").alias("x"), F.col("y1").alias("y"))).distinct()
+    other = held.select(own.alias("other"), "x0", "y0", "x1", "y1")
+    args = [F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]
+    met = near_segments(vertices, other, reach_m).where((F.col("id") != F.col("other")) & (to_segment(*args) <= reach_m)).select("id", "other")
+    # every vertex is a point of its own in the search for what contains it
+    marks = vertices.select(F.struct("id", "x", "y").alias("id"), "x", "y")
+    inside = contained(marks, _areas(held), reach_m).select("id.id", F.struct(F.lit("area").alias("kind"), F.col("fid").alias("sid")).alias("other")).where(F.col("id") != F.col("other"))
+    return met.unionByName(inside).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
+def near_boxes(boxes: DataFrame, gap_x: float, gap_y: float, reach_m: float) -> DataFrame:
+    """(a, b): pairs of boxes (id, min_x, min_y, max_x, max_y), a < b, no further apart than the gaps (degrees). reach_m: about how large a small box is.
+
+    Boxes are at the level of their size. A pair meets on the level of the
+    larger one: every box looks from its own level up, with its own middle cell
+    or, as the larger, from all cells that it may touch.
+    """
+    names = ["min_x", "min_y", "max_x", "max_y"]
+    # widened by the gap, a box is found where it overlaps the other
+    wide = boxes.select("id", *names).withColumns({"min_x": F.col("min_x") - gap_x, "max_x": F.col("max_x") + gap_x, "min_y": F.col("min_y") - gap_y, "max_y": F.col("max_y") + gap_y})
+    large = cut(leveled(wide, reach_m))
+    levels = levels_of(large)
+    # the smaller box is no larger than a cell of the level, so the larger one comes within a cell of its corner
+    kept = large.select("*", *[F.col(c).alias(f"b_{c}") for c in names]).withColumn("min_y", F.col("min_y") - _high(reach_m, F.col("level")))
+    cells = box_cells(kept, reach_m).where(F.col("shift") == 0.0).select(F.col("id").alias("big"), F.col("level").alias("at"), "cx", "cy", *[f"b_{c}" for c in names])
+    corner = boxes.select("id", *names).join(large.select("id", "level"), "id").withColumnRenamed("level", "own").withColumns({"x": F.col("min_x"), "y": F.col("min_y")})
+    small = point_cells(corner, reach_m, levels).where("own <= level").withColumnRenamed("level", "at")
+    met = small.join(cells, ["at", "cx", "cy"]).where((F.col("id") != F.col("big")) & (F.col("min_x") <= F.col("b_max_x")) & (F.col("b_min_x") <= F.col("max_x")) & (F.col("min_y") <= F.col("b_max_y")) & (F.col("b_min_y") <= F.col("max_y")))
+    return met.select(F.least("id", "big").alias("a"), F.greatest("id", "big").alias("b")).distinct()
