@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Metres per degree of the point-centred metric, and the earth's radius of the haversine.
@@ -11,6 +11,51 @@ LON_M, LAT_M, RADIUS_M = 111_320.0, 110_540.0, 6_371_008.8
 NET_LAT, NET_LAT_M = 44.46, 111_132.0
 
 
+#: The steps of rounding, each from those before: c times the power of ten is taken as a sum of two doubles without
+#: loss, as the power has at most 24 significant bits and its products with the two halves of c are exact.
+_ROUNDING = [
+    ("split", lambda v, p: v("c") * F.lit(134217729.0)),
+    ("high", lambda v, p: v("split") - (v("split") - v("c"))),
+    ("a", lambda v, p: v("high") * p),
+    ("b", lambda v, p: (v("c") - v("high")) * p),
+    ("whole", lambda v, p: v("a") + v("b")),
+    ("rest", lambda v, p: v("b") - (v("whole") - v("a"))),
+    ("near", lambda v, p: F.rint(v("whole"))),
+    ("up", lambda v, p: (v("whole") - v("near") - 0.5) + v("rest")),
+    ("down", lambda v, p: (v("whole") - v("near") + 0.5) + v("rest")),
+]
+
+
+def _settled(v, p: Column) -> Column:
+    odd = v("near") % 2 != 0
+    value = F.when((v("up") > 0) | ((v("up") == 0) & odd), v("near") + 1).when((v("down") < 0) | ((v("down") == 0) & odd), v("near") - 1).otherwise(v("near")) / p
+    # beyond that a double has no further places
+    return F.when(F.abs(v("c")) < 1e8, value).otherwise(v("c"))
+
+
+def with_rounded(df: DataFrame, columns: dict[str, Column], places: int = 7) -> DataFrame:
+    """df with columns rounded to `places` decimals (7 at most): the double nearest to the decimal, ties of the exact binary value to even.
+
+    A step is a projection of its own, so that what is used twice is worked out once.
+    """
+    power, own = F.lit(float(10**places)), df.columns
+    df = df.withColumns({f"_{n}_c": c for n, c in columns.items()})
+    for name, step in _ROUNDING:
+        df = df.withColumns({f"_{n}_{name}": step(lambda k, n=n: F.col(f"_{n}_{k}"), power) for n in columns})
+    df = df.withColumns({n: _settled(lambda k, n=n: F.col(f"_{n}_{k}"), power) for n in columns})
+    return df.select(*own, *[n for n in columns if n not in own])
+
+
+def rounded_each(values: Column, places: int = 7) -> Column:
+    """An array of doubles, each rounded as by with_rounded()."""
+    power = F.lit(float(10**places))
+    rows = F.transform(values, lambda c: F.struct(c.alias("c")))
+    for i, (name, step) in enumerate(_ROUNDING):
+        held = ["c", *[n for n, _ in _ROUNDING[:i]]]
+        rows = F.transform(rows, lambda r, held=held, name=name, step=step: F.struct(*[r[h].alias(h) for h in held], step(lambda k: r[k], power).alias(name)))
+    return F.transform(rows, lambda r: _settled(lambda k: r[k], power))
+
+
 def scale_x(lat: Column) -> Column:
     return F.cos(F.radians(lat)) * F.lit(LON_M)
 
@@ -25,9 +70,9 @@ def net_metres(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.hypot((x1 - x0) * F.cos(F.radians(F.lit(NET_LAT))) * F.lit(LON_M), (y1 - y0) * F.lit(NET_LAT_M))
 
 
-def to_segment(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
-    """Metres from a point, which is the centre, to a segment."""
-    sx = scale_x(py)
+def to_segment(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column, sx: Column | None = None) -> Column:
+    """Metres from a point, which is the centre, to a segment. sx: scale_x(py), where that is at hand: a filter would work it out for every place where it stands."""
+    sx = scale_x(py) if sx is None else sx
     ux, uy, vx, vy = (ax - px) * sx, (ay - py) * F.lit(LAT_M), (bx - px) * sx, (by - py) * F.lit(LAT_M)
     dx, dy = vx - ux, vy - uy
     long = dx * dx + dy * dy
@@ -35,9 +80,9 @@ def to_segment(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: C
     return F.hypot(ux + t * dx, uy + t * dy)
 
 
-def nearest_on(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
-    """(m, x, y): metres from a point, which is the centre, to a segment, and the nearest place on it."""
-    sx, sy = scale_x(py), F.lit(LAT_M)
+def nearest_on(px: Column, py: Column, ax: Column, ay: Column, bx: Column, by: Column, sx: Column | None = None) -> Column:
+    """(m, x, y): metres from a point, which is the centre, to a segment, and the nearest place on it. sx as for to_segment()."""
+    sx, sy = scale_x(py) if sx is None else sx, F.lit(LAT_M)
     dx, dy = (bx - ax) * sx, (by - ay) * sy
     long = dx * dx + dy * dy
     t = F.when(long == 0, F.lit(0.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((px - ax) * sx * dx + (py - ay) * sy * dy) / F.when(long == 0, 1.0).otherwise(long))))

@@ -138,14 +138,14 @@ def assembled(vertices: DataFrame, reach_m: float) -> DataFrame:
     other, at an end or along it. parts is how many separate pieces are left: a
     trail that is whole has one.
     """
-    from .grid import near_segments
+    from .grid import SIDE, near_segments
     from .measures import lengths
 
     ends = vertices.select("trail", F.struct("trail", "line").alias("id"), "x", "y")
     sides = segments(vertices.select("trail", F.struct("trail", "line").alias("other"), "seq", "x", "y"), ["trail", "other"]).drop("seq")
     from ..functions.geo import to_segment
 
-    met = near_segments(ends, sides, reach_m, ("trail",)).where((F.col("id") != F.col("other")) & (to_segment(*[F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]) <= reach_m))
+    met = near_segments(ends, sides, reach_m, ("trail",)).where((F.col("id") != F.col("other")) & (to_segment(*[F.col(c) for c in SIDE]) <= reach_m))
     roots = components(met.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
     lines = vertices.groupBy("trail", "line").agg(F.count(F.lit(1)).alias("n")).join(lengths(vertices, ["trail", "line"]), ["trail", "line"], "left")
     tied = lines.join(roots, F.struct("trail", "line") == F.col("node"), "left").withColumn("part", F.coalesce("root.line", "line"))

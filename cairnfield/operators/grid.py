@@ -20,11 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import LAT_M, LON_M, crosses, metres, nearest_on, to_segment
+from ..functions.geo import LAT_M, LON_M, crosses, metres, nearest_on, scale_x, to_segment
 from ..storage import cut
 
 #: Reach beyond which nothing on earth lies, in metres.
 FARTHEST_M = 4.1e7
+#: What to_segment() and nearest_on() take from the rows of near_segments().
+SIDE = ("x", "y", "x0", "y0", "x1", "y1", "sx")
 
 
 def _high(reach_m: float, level: Column | int) -> Column:
@@ -97,10 +99,10 @@ def _segment_boxes(segments: DataFrame) -> DataFrame:
 
 
 def near_segments(points: DataFrame, segments: DataFrame, reach_m: float, same: tuple[str, ...] = ()) -> DataFrame:
-    """points and segments (x0, y0, x1, y1) whose cells meet, all columns of both; with same, only those that agree in these columns. Segments from across the 180th meridian have their x moved."""
+    """points and segments (x0, y0, x1, y1) whose cells meet, all columns of both and sx, the point's scale for SIDE; with same, only those that agree in these columns. Segments from across the 180th meridian have their x moved."""
     boxes = cut(leveled(_segment_boxes(segments), reach_m))
     cells = box_cells(boxes, reach_m).drop("min_x", "max_x", "min_y", "max_y").withColumns({"x0": F.col("x0") + F.col("shift"), "x1": F.col("x1") + F.col("shift")})
-    return point_cells(points, reach_m, levels_of(boxes)).join(cells, [*same, "level", "cx", "cy"]).drop("level", "cx", "cy", "shift")
+    return point_cells(points.withColumn("sx", scale_x(F.col("y"))), reach_m, levels_of(boxes)).join(cells, [*same, "level", "cx", "cy"]).drop("level", "cx", "cy", "shift")
 
 
 #: Rings of more edges have a grid of their own.
@@ -171,7 +173,7 @@ def contained(points: DataFrame, segments: DataFrame, reach_m: float) -> DataFra
 
 def within_polygons(points: DataFrame, segments: DataFrame, reach_m: float) -> DataFrame:
     """(id, fid, m): points and areas within reach, 0 metres for points inside. segments: fid, ring, x0, y0, x1, y1."""
-    args = [F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]
+    args = [F.col(c) for c in SIDE]
     edge = near_segments(points.select("id", "x", "y"), segments.select("fid", "x0", "y0", "x1", "y1"), reach_m).select("id", "fid", to_segment(*args).alias("m")).where(F.col("m") <= reach_m)
     inside = contained(points, segments, reach_m).withColumn("m", F.lit(0.0))
     return edge.unionByName(inside).groupBy("id", "fid").agg(F.min("m").alias("m"))
@@ -208,7 +210,7 @@ def nearest_point(points: DataFrame, targets: DataFrame, reach_m: float) -> Data
 
 def snapped(points: DataFrame, segments: DataFrame, reach_m: float) -> DataFrame:
     """(id, m, x, y): points within reach of a segment (x0, y0, x1, y1), the metres to the nearest one and the place on it; ties to the place further west, then south."""
-    args = [F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]
+    args = [F.col(c) for c in SIDE]
     met = near_segments(points.select("id", "x", "y"), segments.select("x0", "y0", "x1", "y1"), reach_m).select("id", nearest_on(*args).alias("at"))
     met = met.withColumn("at", F.struct("at.m", F.when(F.col("at.x") > 180.0, F.col("at.x") - 360.0).when(F.col("at.x") < -180.0, F.col("at.x") + 360.0).otherwise(F.col("at.x")).alias("x"), "at.y"))
     return met.where(F.col("at.m") <= reach_m).groupBy("id").agg(F.min("at").alias("at")).select("id", "at.m", "at.x", "at.y")
@@ -240,7 +242,7 @@ def _areas(sides: DataFrame) -> DataFrame:
 
 def nearest_shapes(points: DataFrame, sides: DataFrame, kinds: list[str], reach_m: float) -> DataFrame:
     """(id, kind, sid, m): for each point (id, x, y) and each kind the nearest shape, however far: 0 inside an area, else to the nearest edge, line or point; ties to the lower sid. Infinity and no sid where no shape of the kind is. reach_m is where the search begins."""
-    args = [F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]
+    args = [F.col(c) for c in SIDE]
     best = lambda rows: rows.groupBy("id", "kind").agg(F.min(F.struct("m", "sid")).alias("t")).select("id", "kind", "t.sid", "t.m")
     held = cut(sides)
     there = {r["kind"] for r in held.select("kind").distinct().collect()} & set(kinds)
@@ -266,7 +268,7 @@ def touching_shapes(sides: DataFrame, reach_m: float) -> DataFrame:
     held = cut(sides)
     vertices = held.select(own.alias("id"), F.col("x0").alias("x"), F.col("y0").alias("y")).unionByName(held.select(own.alias("id"), F.col("x1").alias("x"), F.col("y1").alias("y"))).distinct()
     other = held.select(own.alias("other"), "x0", "y0", "x1", "y1")
-    args = [F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")]
+    args = [F.col(c) for c in SIDE]
     met = near_segments(vertices, other, reach_m).where((F.col("id") != F.col("other")) & (to_segment(*args) <= reach_m)).select("id", "other")
     # every vertex is a point of its own in the search for what contains it
     marks = vertices.select(F.struct("id", "x", "y").alias("id"), "x", "y")
@@ -274,22 +276,44 @@ def touching_shapes(sides: DataFrame, reach_m: float) -> DataFrame:
     return met.unionByName(inside).select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
 
 
-def near_boxes(boxes: DataFrame, gap_x: float, gap_y: float, reach_m: float) -> DataFrame:
-    """(a, b): pairs of boxes (id, min_x, min_y, max_x, max_y), a < b, no further apart than the gaps (degrees). reach_m: about how large a small box is.
+def _looking(small: DataFrame, large: DataFrame, p: str, q: str, reach_m: float, same: tuple[str, ...], strict: bool) -> DataFrame:
+    """Pairs of a small box (columns with prefix p) and one of its level or a higher one (prefix q); with strict only of a higher one."""
+    high = _high(reach_m, F.col(f"{q}level"))
+    # the small box is no larger than a cell of the level, so the large one comes within a cell of its corner
+    around = large.withColumns({"min_x": F.col(f"{q}min_x"), "max_x": F.col(f"{q}max_x"), "max_y": F.col(f"{q}max_y"), "min_y": F.col(f"{q}min_y") - high, "level": F.col(f"{q}level")})
+    cells = box_cells(around, reach_m).where(F.col("shift") == 0.0).drop("min_x", "max_x", "min_y", "max_y", "shift")
+    corner = small.withColumns({"x": F.col(f"{p}min_x"), "y": F.col(f"{p}min_y")})
+    found = point_cells(corner, reach_m, sorted(r[0] for r in large.select(f"{q}level").distinct().collect()))
+    found = found.where(F.col(f"{p}level") < F.col("level") if strict else F.col(f"{p}level") <= F.col("level")).drop("x", "y")
+    met = found.join(cells, [*same, "level", "cx", "cy"]).drop("level", "cx", "cy")
+    return met
+
 
-    Boxes are at the level of their size. A pair meets on the level of the
-    larger one: every box looks from its own level up, with its own middle cell
-    or, as the larger, from all cells that it may touch.
+def _level_of(boxes: DataFrame, p: str, reach_m: float) -> DataFrame:
+    size = F.greatest((F.col(f"{p}max_x") - F.col(f"{p}min_x")) * LON_M * F.cos(F.radians(F.least(F.abs(f"{p}min_y"), F.abs(f"{p}max_y")))), (F.col(f"{p}max_y") - F.col(f"{p}min_y")) * LAT_M, F.lit(reach_m))
+    return boxes.withColumn(f"{p}level", F.ceil(F.log2(size / reach_m)).cast("int"))
+
+
+def meeting_boxes(left: DataFrame, right: DataFrame, reach_m: float, same: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of left (box min_x, min_y, max_x, max_y) and right (box o_min_x, ...) whose boxes are within reach, all columns of both; with same, only those that agree in these columns.
+
+    Boxes are at the level of their size, and a pair meets on the level of the
+    larger one, which is in all cells that it touches; the smaller one is
+    where its corner is. Boxes must not reach across the 180th meridian.
     """
+    pad_y = F.lit(reach_m / LAT_M)
+    pad_x = F.least(pad_y * F.lit(LAT_M / LON_M) / F.cos(F.radians(F.least(F.greatest(F.abs("o_min_y"), F.abs("o_max_y")) + pad_y, F.lit(90.0)))), F.lit(360.0))
+    wide = right.withColumns({"o_min_x": F.col("o_min_x") - pad_x, "o_max_x": F.col("o_max_x") + pad_x, "o_min_y": F.col("o_min_y") - pad_y, "o_max_y": F.col("o_max_y") + pad_y})
+    a, b = cut(_level_of(left, "", reach_m).withColumnRenamed("level", "l_level").withColumnsRenamed({c: f"l_{c}" for c in ("min_x", "min_y", "max_x", "max_y")})), cut(_level_of(wide, "o_", reach_m))
+    met = _looking(a, b, "l_", "o_", reach_m, same, False).unionByName(_looking(b, a, "o_", "l_", reach_m, same, True))
+    met = met.where("l_min_x <= o_max_x and o_min_x <= l_max_x and l_min_y <= o_max_y and o_min_y <= l_max_y")
+    return met.drop(*[f"{p}{c}" for p in ("l_", "o_") for c in ("min_x", "min_y", "max_x", "max_y", "level")])
+
+
+def near_boxes(boxes: DataFrame, gap_x: float, gap_y: float, reach_m: float) -> DataFrame:
+    """(a, b): pairs of boxes (id, min_x, min_y, max_x, max_y), a < b, no further apart than the gaps (degrees). reach_m: about how large a small box is."""
     names = ["min_x", "min_y", "max_x", "max_y"]
-    # widened by the gap, a box is found where it overlaps the other
-    wide = boxes.select("id", *names).withColumns({"min_x": F.col("min_x") - gap_x, "max_x": F.col("max_x") + gap_x, "min_y": F.col("min_y") - gap_y, "max_y": F.col("max_y") + gap_y})
-    large = cut(leveled(wide, reach_m))
-    levels = levels_of(large)
-    # the smaller box is no larger than a cell of the level, so the larger one comes within a cell of its corner
-    kept = large.select("*", *[F.col(c).alias(f"b_{c}") for c in names]).withColumn("min_y", F.col("min_y") - _high(reach_m, F.col("level")))
-    cells = box_cells(kept, reach_m).where(F.col("shift") == 0.0).select(F.col("id").alias("big"), F.col("level").alias("at"), "cx", "cy", *[f"b_{c}" for c in names])
-    corner = boxes.select("id", *names).join(large.select("id", "level"), "id").withColumnRenamed("level", "own").withColumns({"x": F.col("min_x"), "y": F.col("min_y")})
-    small = point_cells(corner, reach_m, levels).where("own <= level").withColumnRenamed("level", "at")
-    met = small.join(cells, ["at", "cx", "cy"]).where((F.col("id") != F.col("big")) & (F.col("min_x") <= F.col("b_max_x")) & (F.col("b_min_x") <= F.col("max_x")) & (F.col("min_y") <= F.col("b_max_y")) & (F.col("b_min_y") <= F.col("max_y")))
-    return met.select(F.least("id", "big").alias("a"), F.greatest("id", "big").alias("b")).distinct()
+    sized = lambda p, dx, dy: cut(_level_of(boxes.select(F.col("id").alias(f"{p}id"), *[(F.col(c) + (s * (dx if c.endswith("x") else dy))).alias(f"{p}{c}") for c, s in zip(names, (-1, -1, 1, 1), strict=True)]), p, reach_m))
+    a, b = sized("l_", 0.0, 0.0), sized("o_", gap_x, gap_y)
+    met = _looking(a, b, "l_", "o_", reach_m, (), False).where("l_id <> o_id and l_min_x <= o_max_x and o_min_x <= l_max_x and l_min_y <= o_max_y and o_min_y <= l_max_y")
+    return met.select(F.least("l_id", "o_id").alias("a"), F.greatest("l_id", "o_id").alias("b")).distinct()

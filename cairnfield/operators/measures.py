@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import crosses, haversine, metres, to_segment
+from ..functions.geo import crosses, haversine, metres, scale_x, to_segment, with_rounded
+from ..storage import cut
 
 
 def segments(vertices: DataFrame, keys: list[str], carry: tuple[str, ...] = ()) -> DataFrame:
@@ -42,30 +43,53 @@ def lengths(vertices: DataFrame, keys: list[str]) -> DataFrame:
     return segments(vertices, keys).groupBy(*keys).agg(F.sum(haversine(*[F.col(c) for c in ("x0", "y0", "x1", "y1")])).alias("metres"))
 
 
-def densified(vertices: DataFrame, keys: list[str]) -> DataFrame:
-    """Points about a metre apart along each line, vertices included: keys, seq, step (0: the first vertex), x, y, rounded to 7 places."""
-    s = segments(vertices, keys)
-    n = F.greatest(F.lit(1), F.ceil(metres(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))).cast("int"))
-    steps = s.withColumn("n", n).withColumn("step", F.explode(F.when(F.col("seq") == 0, F.sequence(F.lit(0), F.col("n"))).otherwise(F.sequence(F.lit(1), F.col("n")))))
+def _steps() -> Column:
+    """Samples of a segment: about one a metre, at least one."""
+    return F.greatest(F.lit(1), F.ceil(metres(F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1"))).cast("int"))
+
+
+def _sampled(segs: DataFrame) -> DataFrame:
+    """segs (seq, x0, y0, x1, y1, n) once for each sample, with step, x, y: vertices included, each once, rounded to 7 places."""
+    rows = segs.withColumn("step", F.explode(F.when(F.col("seq") == 0, F.sequence(F.lit(0), F.col("n"))).otherwise(F.sequence(F.lit(1), F.col("n")))))
     at = F.col("step") / F.col("n")
-    return steps.select(*keys, "seq", "step", F.bround(F.col("x0") + (F.col("x1") - F.col("x0")) * at, 7).alias("x"), F.bround(F.col("y0") + (F.col("y1") - F.col("y0")) * at, 7).alias("y"))
+    return with_rounded(rows, {"x": F.col("x0") + (F.col("x1") - F.col("x0")) * at, "y": F.col("y0") + (F.col("y1") - F.col("y0")) * at})
 
 
-def off_runs(samples: DataFrame, other: DataFrame, keys: list[str], reach_m: float) -> DataFrame:
-    """Runs of samples further than `reach_m` from the other shape's segments: keys, run, points, metres. Lone samples are no run.
+def densified(vertices: DataFrame, keys: list[str]) -> DataFrame:
+    """Points about a metre apart along each line (seq from 0), vertices included: keys, seq, step (0: the first vertex), x, y, rounded to 7 places."""
+    return _sampled(segments(vertices, keys).withColumn("n", _steps())).select(*keys, "seq", "step", "x", "y")
+
 
-    other: keys, x0, y0, x1, y1. Samples without another shape are all off.
+def off_runs(vertices: DataFrame, other: DataFrame, keys: list[str], reach_m: float) -> DataFrame:
+    """Runs of samples (a metre apart) of lines that lie further than `reach_m` from the other shape's segments: keys, run, points, metres. Lone samples are no run.
+
+    vertices: keys, seq, x, y; other: keys, x0, y0, x1, y1. Samples without another shape are all off.
+    A segment whose ends are near one segment of the other lies near it all
+    along, so only the rest is sampled; the place of a sample in its line
+    follows from the numbers of samples before.
     """
-    from .grid import near_segments
-
-    # samples meet the segments of their own line that are near, and no others
-    met = near_segments(samples.select(*keys, "seq", "step", "x", "y"), other.select(*keys, "x0", "y0", "x1", "y1"), reach_m, tuple(keys))
-    near = met.groupBy(*keys, "seq", "step").agg(F.min(to_segment(*[F.col(c) for c in ("x", "y", "x0", "y0", "x1", "y1")])).alias("m"))
-    near = samples.select(*keys, "seq", "step", "x", "y").join(near, [*keys, "seq", "step"], "left")
-    w = Window.partitionBy(*keys).orderBy("seq", "step")
-    off = near.withColumn("at", F.row_number().over(w)).where(F.col("m").isNull() | (F.col("m") > reach_m))
+    from .grid import meeting_boxes
+
+    line = Window.partitionBy(*keys).orderBy("seq")
+    own = segments(vertices, keys).withColumn("n", _steps())
+    # step 0 of the first segment is its place 0
+    own = cut(own.withColumns({"sx0": scale_x(F.col("y0")), "sx1": scale_x(F.col("y1"))}).withColumn("before", F.coalesce(F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
+    box = lambda df, p: df.withColumns({f"{p}min_x": F.least(f"{p}x0", f"{p}x1"), f"{p}max_x": F.greatest(f"{p}x0", f"{p}x1"), f"{p}min_y": F.least(f"{p}y0", f"{p}y1"), f"{p}max_y": F.greatest(f"{p}y0", f"{p}y1")})
+    sides = other.select(*keys, *[F.col(c).alias(f"o_{c}") for c in ("x0", "y0", "x1", "y1")])
+    met = meeting_boxes(box(own, ""), box(sides, "o_"), reach_m, tuple(keys)).select(*keys, "seq", "x0", "y0", "x1", "y1", "sx0", "sx1", *sides.columns[len(keys) :])
+    target = [F.col(f"o_{c}") for c in ("x0", "y0", "x1", "y1")]
+    # well inside the reach, as scale and rounding differ a little along a segment
+    sure = reach_m * 0.94 - 0.02
+    flat = (F.abs(F.col("y1") - F.col("y0")) < 0.5) & (F.greatest(F.abs("y0"), F.abs("y1")) < 80)
+    met = met.withColumns({"first_m": to_segment(F.col("x0"), F.col("y0"), *target, F.col("sx0")), "last_m": to_segment(F.col("x1"), F.col("y1"), *target, F.col("sx1"))})
+    met = cut(met.withColumn("whole", flat & (F.col("first_m") <= sure) & (F.col("last_m") <= sure)).drop("first_m", "last_m"))
+    rest = own.join(met.where("whole").select(*keys, "seq").distinct(), [*keys, "seq"], "left_anti")
+    tried = rest.join(met.where("not whole").select(*keys, "seq", *sides.columns[len(keys) :]), [*keys, "seq"], "left")
+    samples = _sampled(tried.drop("sx0", "sx1")).withColumns({"at": F.col("before") + F.col("step"), "sx": scale_x(F.col("y"))})
+    samples = samples.select(*keys, "at", "x", "y", to_segment(F.col("x"), F.col("y"), *target, F.col("sx")).alias("m"))
+    off = samples.groupBy(*keys, "at").agg(F.min("m").alias("m"), F.first("x").alias("x"), F.first("y").alias("y")).where(F.col("m").isNull() | (F.col("m") > reach_m))
     # gaps and islands: place among all samples less place among the off ones
-    runs = off.withColumn("run", F.col("at") - F.row_number().over(w))
+    runs = off.withColumn("run", F.col("at") + 1 - F.row_number().over(Window.partitionBy(*keys).orderBy("at")))
     inside = Window.partitionBy(*keys, "run").orderBy("at")
     step = metres(F.lag("x").over(inside), F.lag("y").over(inside), F.col("x"), F.col("y"))
     return runs.withColumn("d", step).groupBy(*keys, "run").agg(F.count(F.lit(1)).alias("points"), F.sum("d").alias("metres")).where("points > 1")
@@ -102,7 +126,7 @@ def moved(before: DataFrame, after: DataFrame, keys: list[str], reach_m: float)
     sides = {"dropped_m": (before, after), "added_m": (after, before)}
     rows = None
     for name, (own, other) in sides.items():
-        runs = off_runs(densified(own, keys), segments(other, keys).drop("seq"), keys, reach_m)
+        runs = off_runs(own, segments(other, keys).drop("seq"), keys, reach_m)
         runs = runs.select(*keys, *[(F.col("metres") if n == name else F.lit(0.0)).alias(n) for n in sides])
         rows = runs if rows is None else rows.unionByName(runs)
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("runs"), *[F.sum(n).alias(n) for n in sides])
@@ -114,8 +138,6 @@ def simplified(vertices: DataFrame, keys: list[str], tolerance: float, rounds: i
     Every vertex that is not decided yet carries the interval it lies in, so a
     round is one grouping and one join on intervals.
     """
-    from ..storage import cut
-
     base = cut(vertices.select(*keys, "seq", "x", "y"))
     at = lambda f: f(F.struct("seq", "x", "y"))
     ends = base.groupBy(*keys).agg(at(F.min).alias("lo"), at(F.max).alias("hi"))

@@ -24,6 +24,16 @@ CTX = """cb AS (SELECT l_returnflag || l_linestatus AS slug, l_partkey % 200 AS
 ca AS (SELECT l_returnflag || l_linestatus AS slug, l_partkey % 200 AS shape FROM lineitem WHERE l_linenumber >= 3)"""
 
 
+def rounded(x: str) -> str:
+    """x to 7 places, ties of its exact binary value to even: the product with 1e7 as a sum of two doubles without loss."""
+    high = f"(({x})*134217729e0 - (({x})*134217729e0 - ({x})))"
+    a, b = f"({high}*1e7)", f"((({x}) - {high})*1e7)"
+    whole, near = f"({a} + {b})", f"round_even({a} + {b}, 0)"
+    rest, off = f"({b} - ({whole} - {a}))", f"({whole} - {near})"
+    up, down = f"(({off} - 0.5e0) + {rest})", f"(({off} + 0.5e0) + {rest})"
+    return f"(CASE WHEN {up} > 0 OR ({up} = 0 AND {near} % 2 <> 0) THEN {near} + 1 WHEN {down} < 0 OR ({down} = 0 AND {near} % 2 <> 0) THEN {near} - 1 ELSE {near} END / 1e7)"
+
+
 def metres(a: str, b: str) -> str:
     """Flat metres between (a_x, a_y), the centre, and (b_x, b_y); a, b are prefixes such as "a."."""
     return f"sqrt(power(({b}x - {a}x)*cos(radians({a}y))*111320e0, 2) + power(({b}y - {a}y)*110540e0, 2))"

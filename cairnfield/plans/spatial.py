@@ -8,7 +8,7 @@ from ..functions import geo
 from ..operators import graph, grid, measures
 from ..operators.graph import components
 from ..sources import views as V
-from .common import LINE, POLY, PT, SNAP, crosses, metres, near, to_segment
+from .common import LINE, POLY, PT, SNAP, crosses, metres, near, rounded, to_segment
 
 QUERIES, SQL = {}, {}
 
@@ -98,7 +98,7 @@ _SHIFTED = "s2 AS (SELECT line, seq, x0, y0 + CASE WHEN line % 3 = 0 AND seq >=
 def _off_runs(name: str, own: str, other: str) -> str:
     """Runs of samples of own segments that lie off the other's, as SQL: name(line, run, points, m)."""
     return f"""{name}_t AS (SELECT *, greatest(1, CAST(ceil({metres('a.', 'b.')}) AS INT)) AS n FROM (SELECT line, seq, struct_pack(x := x0, y := y0) AS a, struct_pack(x := x1, y := y1) AS b FROM {own})),
-{name}_s AS (SELECT line, seq, i, round(a.x + (b.x - a.x)*i/n, 7) AS x, round(a.y + (b.y - a.y)*i/n, 7) AS y FROM (SELECT *, unnest(range(CASE WHEN seq = 0 THEN 0 ELSE 1 END, n + 1)) AS i FROM {name}_t)),
+{name}_s AS (SELECT line, seq, i, {rounded('a.x + (b.x - a.x)*(i/n)')} AS x, {rounded('a.y + (b.y - a.y)*(i/n)')} AS y FROM (SELECT *, unnest(range(CASE WHEN seq = 0 THEN 0 ELSE 1 END, n + 1)) AS i FROM {name}_t)),
 {name}_d AS (SELECT p.line, p.seq, p.i, p.x, p.y, min({to_segment('p.', 's.')}) AS m FROM {name}_s p JOIN {other} s USING (line) GROUP BY ALL),
 {name}_o AS (SELECT *, pos - row_number() OVER (PARTITION BY line ORDER BY seq, i) AS run FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY seq, i) AS pos FROM {name}_d) WHERE m > 3),
 {name}_e AS (SELECT line, run, {metres('prev.', 'cur.')} AS step FROM (SELECT line, run, struct_pack(x := lag(x) OVER w, y := lag(y) OVER w) AS prev, struct_pack(x := x, y := y) AS cur FROM {name}_o WINDOW w AS (PARTITION BY line, run ORDER BY pos))),
@@ -108,7 +108,7 @@ def _off_runs(name: str, own: str, other: str) -> str:
 @query(f"WITH {LINE}, {_SHIFTED}, {_off_runs('added', 's2', 'lseg')} SELECT line, points, round(m) AS metres FROM added")
 def off_runs(spark, sf):
     base = measures.segments(V.line_vertices(spark, sf), ["line"]).drop("seq")
-    return measures.off_runs(measures.densified(_shifted(spark, sf), ["line"]), base, ["line"], 3.0).select("line", "points", F.round("metres").alias("metres"))
+    return measures.off_runs(_shifted(spark, sf), base, ["line"], 3.0).select("line", "points", F.round("metres").alias("metres"))
 
 
 @query(f"""WITH {LINE}, {_SHIFTED}, {_off_runs('added', 's2', 'lseg')}, {_off_runs('dropped', 'lseg', 's2')}

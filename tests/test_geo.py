@@ -52,7 +52,7 @@ def test_off_runs_of_moved_line(spark):
     line = lambda dy: [(1, i, -93.0 + 0.00001 * i, 44.0 + dy) for i in range(0, 11)]
     schema = "id long, seq int, x double, y double"
     before, after = spark.createDataFrame(line(0.0), schema), spark.createDataFrame(line(0.00012), schema)
-    runs = measures.off_runs(measures.densified(after, ["id"]), measures.segments(before, ["id"]), ["id"], 3.0).collect()
+    runs = measures.off_runs(after, measures.segments(before, ["id"]).drop("seq"), ["id"], 3.0).collect()
     assert len(runs) == 1 and runs[0]["metres"] == pytest.approx(8, abs=0.3)
 
 
@@ -287,3 +287,17 @@ def test_graph_faults(spark):
     doors = spark.createDataFrame([(100, 1), (101, 55)], "place long, node long")
     got = sorted(tuple(r) for r in checks.graph_faults(nodes, edges, doors, ["path"], (0.0, 0.0, 3.0, 3.0)).collect())
     assert got == sorted([("out of bounds", "8"), ("apart", "8"), ("apart", "9"), ("loop", "3-3"), ("dangling", "77"), ("unknown type", "8-9"), ("entrance without a node", "55")])
+
+
+def test_rounding_as_python_has_it(spark):
+    import random
+
+    from cairnfield.functions.geo import rounded_each, with_rounded
+
+    draw = random.Random(6)
+    ties = [(k + 0.5) / 2**j for k in range(40) for j in range(10)] + [44.37519625, -93.1234567500001, 0.00000005, -0.00000015, 1e300, -1e8, 99999999.99999996, 0.0]
+    values = ties + [draw.uniform(-180, 180) for _ in range(4000)] + [(draw.randrange(-(10**9), 10**9) * 10 + 5) / 1e8 for _ in range(4000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for places in (7, 2, 0):
+        got = with_rounded(df, {"r": F.col("v")}, places).select("v", "r", rounded_each(F.array("v"), places)[0].alias("e")).collect()
+        assert [(r["r"], r["e"]) for r in got] == [(round(r["v"], places),) * 2 for r in got]
