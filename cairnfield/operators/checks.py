@@ -45,10 +45,11 @@ def untagged(rows: DataFrame, tags: DataFrame, category: str) -> DataFrame:
     return violations({"missing target": met.where("fit is null"), "wrong category": met.where("not fit")}, "target")
 
 
-def parent_names(spots: DataFrame, parents: DataFrame) -> DataFrame:
-    """(check_name, key) for spots (id, name, parent): without a parent among (id, name), or not named for it."""
+def parent_names(spots: DataFrame, parents: DataFrame, prefix: str) -> DataFrame:
+    """(check_name, key) for spots (id, name, parent): without a parent among (id, name), or with a name that doesn't begin with the prefix, a comma and the parent's name."""
     met = spots.join(parents.select(F.col("id").alias("parent"), F.col("name").alias("_owner")), "parent", "left")
-    return violations({"no parent": met.where("_owner is null"), "not named for its parent": met.where(F.col("_owner").isNotNull() & ~F.contains(F.col("name"), F.col("_owner")))}, "id")
+    named = F.startswith(F.col("name"), F.concat(F.lit(f"{prefix}, "), F.col("_owner")))
+    return violations({"no parent": met.where("_owner is null"), "not named for its parent": met.where(F.col("_owner").isNotNull() & ~F.coalesce(named, F.lit(False)))}, "id")
 
 
 def only_if(rows: DataFrame, column: str, category: str) -> DataFrame:

@@ -160,17 +160,20 @@ def untidy(trails: DataFrame, lengths_m: DataFrame, tolerance_m: float = 80.4672
     return violations({"in several parts": trails.where("parts > 1"), "wrong length": off}, "trail")
 
 
-def cut_at(vertices: DataFrame, cuts: DataFrame) -> DataFrame:
+def cut_at(vertices: DataFrame, cuts: DataFrame, reach_m: float = 5.0) -> DataFrame:
     """vertices (line, seq, x, y) on one side of the vertex nearest to a given place, which both sides keep.
 
-    cuts: line, x, y, side ("before" or "after"). Ties go to the lower seq; a line without a cut stays whole.
+    cuts: line, x, y, side ("before" or "after"). Ties go to the lower seq; a
+    line without a cut stays whole; a cut further than reach_m from every vertex
+    is an error, as it was made for another line.
     """
     from .grid import metres
 
     at = cuts.select("line", F.col("x").alias("cut_x"), F.col("y").alias("cut_y"), "side")
     near = vertices.join(at, "line").groupBy("line", "side").agg(F.min(F.struct(metres(F.col("cut_x"), F.col("cut_y"), F.col("x"), F.col("y")).alias("m"), "seq")).alias("t"))
-    kept = vertices.join(near.select("line", "side", F.col("t.seq").alias("cut")), "line", "left")
-    return kept.where("cut is null or (side = 'before' and seq <= cut) or (side = 'after' and seq >= cut)").select(*vertices.columns)
+    seq = F.when(F.col("t.m") <= reach_m, F.col("t.seq")).otherwise(F.raise_error(F.format_string("line %s has no vertex near its cut", F.col("line").cast("string"))).cast("int"))
+    kept = vertices.join(near.select("line", "side", seq.alias("cut")), "line", "left")
+    return kept.where("side is null or (side = 'before' and seq <= cut) or (side = 'after' and seq >= cut)").select(*vertices.columns)
 
 
 def part_rows(vertices: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import conflate, graph, grid, measures
+from ..operators import conflate, graph, grid, measures, trails
 from ..operators.ranks import ranked
 from ..sources import views as V
 from ..storage import cut
@@ -166,3 +166,44 @@ def tier_gaps(spark, sf):
     tiers = V.table(spark, sf, "part").groupBy(F.col("p_size").alias("zoom")).agg(F.min("p_partkey").alias("first"), F.max("p_partkey").alias("last"))
     prev = F.lag("last").over(Window.orderBy("zoom"))  # tiers are a few dozen
     return tiers.select("zoom", "first", prev.alias("prev_last")).withColumn("gap", F.col("prev_last").isNotNull() & (F.col("prev_last") + 1 != F.col("first")))
+
+
+def _segment_layer(spark, sf):
+    """Lines as features of two parts, every thirteenth drawn twice."""
+    v = V.line_vertices(spark, sf).select(F.col("line").alias("fid"), (F.col("seq") >= 3).cast("int").alias("part"), F.when(F.col("seq") >= 3, F.col("seq") - 3).otherwise(F.col("seq")).alias("seq"), "x", "y")
+    return v.withColumn("row", F.explode(F.when(F.col("fid") % 13 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+
+
+def _named_segments(spark, sf):
+    """Each customer's orders as the segments of a trail: some keys that aren't there, parts, and cuts, some of them far off."""
+    k = F.col("o_orderkey")
+    o = V.table(spark, sf, "orders").select("o_orderkey", "o_custkey").distinct()
+    fid = F.when(k % 11 == 0, k + 10_000_000).otherwise(k)
+    part = F.when(k % 3 == 0, (k % 5).cast("int"))
+    side = F.when(k % 6 == 0, "until").when(k % 6 == 3, "from").when(k % 17 == 0, "until")
+    east = F.when(k % 7 == 0, 0.001).otherwise(0.00002)
+    return o.select(F.col("o_custkey").alias("trail"), k.alias("nth"), fid.alias("fid"), part.alias("part"), side.alias("side"), (V.place_x(k) + (37 + k % 41).cast("double") / 1e5 + east).alias("x"), (V.place_y(k) + 0.0001).alias("y"))
+
+
+_TRAILS = f"""{LINE}, lay AS (SELECT CASE WHEN line % 13 = 0 THEN 2 ELSE 1 END AS features, line AS fid, CASE WHEN seq >= 3 THEN 1 ELSE 0 END AS part, CASE WHEN seq >= 3 THEN seq - 3 ELSE seq END AS seq, x, y FROM lv),
+held AS (SELECT fid, max(features) AS features, max(part) + 1 AS parts FROM lay GROUP BY fid),
+o AS (SELECT DISTINCT o_orderkey AS k, o_custkey AS trail FROM orders),
+want AS (SELECT trail, k AS nth, CASE WHEN k % 11 = 0 THEN k + 10000000 ELSE k END AS fid, CASE WHEN k % 3 = 0 THEN k % 5 END AS part, CASE WHEN k % 6 = 0 THEN 'until' WHEN k % 6 = 3 THEN 'from' WHEN k % 17 = 0 THEN 'until' END AS side,
+  {X.format(k='k')} + CAST(37 + k % 41 AS DOUBLE)/1e5 + CASE WHEN k % 7 = 0 THEN 0.001e0 ELSE 0.00002e0 END AS x, {Y.format(k='k')} + 0.0001e0 AS y FROM o),
+met AS (SELECT w.*, h.features, h.parts, CASE WHEN h.fid IS NULL THEN 'not in the layer' WHEN features > 1 THEN 'in the layer twice' WHEN w.part NOT BETWEEN 0 AND parts - 1 THEN 'no such part' WHEN side IS NOT NULL AND w.part IS NULL AND parts > 1 THEN 'cut in a segment of several parts' END AS first_why FROM want w LEFT JOIN held h USING (fid)),
+vert AS (SELECT m.trail, m.nth, m.side, l.part, l.seq, l.x, l.y, {metres('m.', 'l.')} AS m FROM met m JOIN lay l USING (fid) WHERE first_why IS NULL AND (m.part IS NULL OR m.part = l.part)),
+near AS (SELECT trail, nth, arg_min(seq, (m, seq)) AS at, min(m) AS m FROM vert WHERE side IS NOT NULL GROUP BY ALL)"""
+
+
+@query(f"""WITH {_TRAILS}, k AS (SELECT v.* FROM vert v LEFT JOIN near n USING (trail, nth) WHERE v.side IS NULL OR (n.m <= 5 AND ((v.side = 'until' AND v.seq <= n.at) OR (v.side = 'from' AND v.seq >= n.at))))
+SELECT trail, nth, CAST(part AS INT) AS part, count(*) AS vertices, min(seq) AS first, max(seq) AS last, round(sum(x), 6) AS x FROM k GROUP BY ALL""")
+def trail_pieces(spark, sf):
+    """Trails from segment keys, with their parts and cuts."""
+    p = trails.trail_pieces(_segment_layer(spark, sf), _named_segments(spark, sf))
+    return p.groupBy("trail", "nth", "part").agg(F.count(F.lit(1)).alias("vertices"), F.min("seq").alias("first"), F.max("seq").alias("last"), F.round(F.sum("x"), 6).alias("x"))
+
+
+@query(f"""WITH {_TRAILS} SELECT trail, nth, fid, coalesce(first_why, 'no vertex near its cut') AS why FROM met LEFT JOIN near n USING (trail, nth) WHERE first_why IS NOT NULL OR (side IS NOT NULL AND (n.m IS NULL OR n.m > 5))""")
+def trail_faults(spark, sf):
+    """Which segment keys of trails are stale, doubled, out of range or cut at no vertex."""
+    return trails.trail_faults(_segment_layer(spark, sf), _named_segments(spark, sf))

@@ -19,8 +19,8 @@ def test_tags(spark):
 
 
 def test_parents_and_pairs(spark):
-    spots = spark.createDataFrame([("s", "Rack, Hall", "a"), ("t", "Rack", "a"), ("u", "Rack", "q")], "id string, name string, parent string")
-    assert keys(checks.parent_names(spots, spark.createDataFrame(PLACES, "id string, name string, categories array<string>"))) == [("no parent", "u"), ("not named for its parent", "t")]
+    spots = spark.createDataFrame([("s", "Rack, Hall (east)", "a"), ("t", "Rack", "a"), ("u", "Rack", "q"), ("v", "West of Rack, Hall", "a"), ("w", None, "a")], "id string, name string, parent string")
+    assert keys(checks.parent_names(spots, spark.createDataFrame(PLACES, "id string, name string, categories array<string>"), "Rack")) == [("no parent", "u"), ("not named for its parent", "t"), ("not named for its parent", "v"), ("not named for its parent", "w")]
     walks = spark.createDataFrame([("a", ["trail"], None), ("b", ["trail"], "w"), ("c", ["lot"], "w")], "id string, categories array<string>, walk string")
     assert keys(checks.only_if(walks, "walk", "trail")) == [("trail without walk", "a"), ("walk without trail", "c")]
     links = spark.createDataFrame([("a", "g"), ("a", "g"), ("b", "g"), ("c", "h")], "id string, link string")
