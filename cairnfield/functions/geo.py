@@ -46,13 +46,16 @@ def with_rounded(df: DataFrame, columns: dict[str, Column], places: int = 7) ->
     return df.select(*own, *[n for n in columns if n not in own])
 
 
+def _with_step(held: list[str], name: str, step, power: Column):
+    return lambda r: F.struct(*[r[h].alias(h) for h in held], step(lambda k: r[k], power).alias(name))
+
+
 def rounded_each(values: Column, places: int = 7) -> Column:
     """An array of doubles, each rounded as by with_rounded()."""
     power = F.lit(float(10**places))
     rows = F.transform(values, lambda c: F.struct(c.alias("c")))
     for i, (name, step) in enumerate(_ROUNDING):
-        held = ["c", *[n for n, _ in _ROUNDING[:i]]]
-        rows = F.transform(rows, lambda r, held=held, name=name, step=step: F.struct(*[r[h].alias(h) for h in held], step(lambda k: r[k], power).alias(name)))
+        rows = F.transform(rows, _with_step(["c", *[n for n, _ in _ROUNDING[:i]]], name, step, power))
     return F.transform(rows, lambda r: _settled(lambda k: r[k], power))
 
 

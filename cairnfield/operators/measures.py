@@ -97,8 +97,8 @@ def off_runs(vertices: DataFrame, other: DataFrame, keys: list[str], reach_m: fl
 
 def label_anchors(vertices: DataFrame) -> DataFrame:
     """(id, x, y): a place for the label of each area (vertices id, ring, seq, x, y): its centroid if that is inside, else the middle of the widest inner span on the centroid's row or, failing that, on ten others; the centroid if all fail."""
-    segs = segments(vertices, ["id", "ring"])
-    c = ring_areas(vertices.where("ring = 0"), ["id", "ring"]).select("id", "cx", "cy")
+    segs = cut(segments(vertices, ["id", "ring"]))
+    c = cut(ring_areas(vertices.where("ring = 0"), ["id", "ring"]).select("id", "cx", "cy"))
     ends = [F.col(k) for k in ("px", "py", "x0", "y0", "x1", "y1")]
 
     def inside(points):
@@ -112,12 +112,55 @@ def label_anchors(vertices: DataFrame) -> DataFrame:
     hit = (F.col("x0") + (F.col("py") - F.col("y0")) / (F.col("y1") - F.col("y0")) * (F.col("x1") - F.col("x0"))).alias("hit")
     hits = rows.join(segs, "id").where("(y0 > py) <> (y1 > py)").select("id", "row", "py", hit)
     gaps = hits.withColumn("next", F.lead("hit").over(Window.partitionBy("id", "row").orderBy("hit"))).where("next > hit")
-    gaps = gaps.select("id", "row", "py", ((F.col("hit") + F.col("next")) / 2).alias("px"), (F.col("next") - F.col("hit")).alias("width"))
+    gaps = cut(gaps.select("id", "row", "py", ((F.col("hit") + F.col("next")) / 2).alias("px"), (F.col("next") - F.col("hit")).alias("width")))
     good = inside(gaps.select("id", "row", "px", "py")).join(gaps, ["id", "row", "px", "py"]).select("id", "row", "px", "py", "width")
     best = first.unionByName(good).groupBy("id").agg(F.min(F.struct("row", F.round(-F.col("width"), 9).alias("w"), "px", "py")).alias("t"))
     return c.join(best, "id", "left").select("id", F.coalesce("t.px", "cx").alias("x"), F.coalesce("t.py", "cy").alias("y"))
 
 
+def anchors(vertices: DataFrame) -> DataFrame:
+    """(id, x, y): a place for the label of each shape. vertices: id, kind ("point", "line", "area"), part, ring, seq (from 0), x, y.
+
+    A point has its first position, a line its vertex n // 2 of n over all its
+    parts, an area the place that label_anchors() finds in its largest part (of
+    equal ones the first).
+    """
+    points = vertices.where("kind = 'point'").groupBy("id").agg(F.min(F.struct("part", "ring", "seq", "x", "y")).alias("t")).select("id", "t.x", "t.y")
+    # which part holds the middle vertex follows from the numbers of vertices of the parts
+    counts = vertices.where("kind = 'line'").groupBy("id", "part").agg(F.count(F.lit(1)).alias("n"))
+    own = Window.partitionBy("id")
+    middle = counts.withColumns({"before": F.sum("n").over(own.orderBy("part")) - F.col("n"), "half": F.floor(F.sum("n").over(own) / 2)}).where("half >= before and half < before + n")
+    lines = vertices.where("kind = 'line'").join(middle.select("id", "part", (F.col("half") - F.col("before")).alias("seq")), ["id", "part", "seq"]).select("id", "x", "y")
+    areas = vertices.where("kind = 'area'")
+    sizes = ring_areas(areas.where("ring = 0"), ["id", "part"]).groupBy("id").agg(F.max(F.struct(F.abs("area").alias("size"), (-F.col("part")).alias("turn"))).alias("t"))
+    largest = areas.join(sizes.select("id", (-F.col("t.turn")).alias("part")), ["id", "part"], "left_semi")
+    return points.unionByName(lines).unionByName(label_anchors(largest.select("id", "ring", "seq", "x", "y")))
+
+
+def anchor_faults(found: DataFrame, vertices: DataFrame, stated: DataFrame, reach_m: float = 500.0) -> DataFrame:
+    """(check_name, key): anchors (id, x, y) of areas that lie outside every part, anchors of lines that are none of their vertices (to 7 places), and stated lengths (id, length) that are not the line's in whole metres, 0 being no length."""
+    from .checks import violations
+    from .grid import contained
+
+    found, vertices = cut(found), cut(vertices)
+    has = lambda kind: vertices.where(F.col("kind") == kind).select("id").distinct()
+    # every part is an area of its own, told from the others of the shape by its number
+    parts = segments(vertices.where("kind = 'area'").select(F.struct("id", "part").alias("fid"), "ring", "seq", "x", "y"), ["fid", "ring"]).drop("seq")
+    inside = contained(found.join(has("area"), "id", "left_semi"), parts, reach_m).where("id = fid.id").select("id").distinct()
+    spots = lambda df: with_rounded(df.select("id", "x", "y"), {"x": F.col("x"), "y": F.col("y")})
+    on_line = spots(found).join(spots(vertices.where("kind = 'line'")), ["id", "x", "y"], "left_semi")
+    long = lengths(vertices.where("kind = 'line'"), ["id", "part"]).groupBy("id").agg(F.sum("metres").alias("metres"))
+    long = stated.join(long, "id", "left").where(~F.col("length").cast("long").eqNullSafe(F.nullif(F.rint("metres").cast("long"), F.lit(0))))
+    return violations(
+        {
+            "outside its area": found.join(has("area"), "id", "left_semi").join(inside, "id", "left_anti"),
+            "not on its line": found.join(has("line"), "id", "left_semi").join(has("area"), "id", "left_anti").join(on_line, "id", "left_anti"),
+            "not its line's length": long,
+        },
+        "id",
+    )
+
+
 def moved(before: DataFrame, after: DataFrame, keys: list[str], reach_m: float) -> DataFrame:
     """(keys, runs, dropped_m, added_m): stretches of the old line that lie off the new one, and of the new one off the old. Lines with neither have no row.
 

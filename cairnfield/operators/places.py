@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import blank_to_null, slug
+from ..functions.scalars import blank_to_null, casefolded, slug
+from ..functions.shapes import shape_hash
 from . import conflate, grid
 
 
@@ -81,6 +82,21 @@ def anchored(places: DataFrame, anchors: DataFrame) -> DataFrame:
     return places.join(last, "id", "left").select(*rest, F.coalesce("_at.x", "x").alias("x"), F.coalesce("_at.y", "y").alias("y"))
 
 
+def in_canonical_order(features: DataFrame) -> DataFrame:
+    """features (name, shape, ...) with their rank, from 1: by folded name, those without one first, then by the hash of the shape; what agrees in both by all columns."""
+    from .ranks import ranked
+
+    rows = features.withColumns({"_name": F.coalesce(casefolded(blank_to_null(F.col("name"))), F.lit("")), "_hash": F.coalesce(shape_hash(F.col("shape")), F.lit(""))})
+    rows = rows.withColumn("_row", F.xxhash64(*features.columns))
+    return ranked(rows, ["_name", "_hash", "_row"]).drop("_name", "_hash", "_row")
+
+
+def lines_not_drawn(lines: DataFrame, drawn: DataFrame) -> DataFrame:
+    """lines (shape, ...) whose shape, to 7 places, none of `drawn` (shape) has, whatever their ids."""
+    known = drawn.select(shape_hash(F.col("shape")).alias("_hash")).distinct()
+    return lines.withColumn("_hash", shape_hash(F.col("shape"))).join(known, "_hash", "left_anti").select(*lines.columns)
+
+
 def built(features: DataFrame, superseded: DataFrame, areas: DataFrame, reach_m: float, prefix: str, removed: DataFrame, patches: DataFrame, anchors: DataFrame, additions: DataFrame, rules: dict) -> DataFrame:
     """The chain from features to places, in the order in which its steps depend on each other.
 

@@ -141,12 +141,6 @@ def upper_median(spark, sf):
     return ranked(found, ["m", "id"]).where(F.col("rank") == n // 2 + 1).select(F.lit(n).cast("long").alias("n"), F.round("m", 2).alias("upper_median"))
 
 
-@query(f"WITH {LINE} SELECT DISTINCT line FROM lv WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = lv.line AND l_quantity > 45)")
-def lines_anti(spark, sf):
-    drawn = V.table(spark, sf, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("line")).distinct()
-    return V.line_vertices(spark, sf).select("line").distinct().join(drawn, "line", "left_anti")
-
-
 @query("WITH a AS (SELECT n_name AS name, n_nationkey AS id FROM nation), al(alias, of) AS (SELECT 'Alias ' || n_name, n_name FROM nation WHERE n_nationkey % 2 = 0), al2 AS (SELECT alias, id FROM al JOIN a ON a.name = al.of), k AS (SELECT name, id FROM a UNION ALL SELECT alias, id FROM al2) SELECT s_suppkey AS button, k.id AS place FROM supplier JOIN nation ON n_nationkey = s_nationkey LEFT JOIN k ON k.name = CASE WHEN s_suppkey % 2 = 0 THEN 'Alias ' || n_name ELSE n_name END")
 def entrances(spark, sf):
     nation = V.table(spark, sf, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("place"))

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import geo
-from ..operators import grid, measures
+from ..functions.shapes import canonical_json, nested, rounded_shape, shape_hash
+from ..operators import grid, measures, places
 from ..operators.checks import orphans, repeated, violations
 from ..sources import views as V
-from .common import CTX, LINE, POLY, PT, SNAP, crosses, near
+from ..storage import cut
+from .common import CTX, LINE, POLY, PT, SNAP, crosses, near, rounded
+from .networks import _HAV
 
 QUERIES, SQL = {}, {}
 
@@ -62,15 +64,49 @@ def dq_same_order(spark, sf):
     return a.join(b, ["brand", "n"]).where("x <> y").groupBy("brand").agg(F.count(F.lit(1)).alias("misplaced"))
 
 
-@query(f"WITH {POLY}, c AS (SELECT fid AS id, sum((x0 + x1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS x, sum((y0 + y1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS y FROM pseg WHERE ring = 0 GROUP BY fid), odd AS (SELECT c.id, s.ring, sum({crosses('c.', 's.')}) % 2 AS odd FROM c JOIN pseg s ON s.fid = c.id GROUP BY ALL) SELECT id FROM odd GROUP BY id HAVING max(CASE WHEN ring = 0 THEN odd ELSE 0 END) = 0 OR max(CASE WHEN ring > 0 THEN odd ELSE 0 END) = 1")
+def _all_kinds(spark, sf):
+    """Vertices of shapes of all kinds: customers as points, lines in two parts, areas in one or two."""
+    k = F.col("id")
+    points = V.points(spark, sf).select((k * 10).alias("id"), F.lit("point").alias("kind"), F.lit(0).alias("part"), F.lit(0).alias("ring"), F.lit(0).alias("seq"), "x", "y")
+    lines = V.line_vertices(spark, sf).select((F.col("line") * 10 + 1).alias("id"), F.lit("line").alias("kind"), (F.col("seq") >= 3).cast("int").alias("part"), F.lit(0).alias("ring"), F.when(F.col("seq") >= 3, F.col("seq") - 3).otherwise(F.col("seq")).alias("seq"), "x", "y")
+    own = V.polygons(spark, sf)
+    # every other area has a smaller part before its own
+    small = own.where("id % 2 = 0 and ring = 0").select("id", F.lit(0).alias("part"), "ring", "seq", (F.col("x") * 0.5 - 40).alias("x"), (F.col("y") * 0.5).alias("y"))
+    areas = small.unionByName(own.select("id", F.lit(1).alias("part"), "ring", "seq", "x", "y")).select((k * 10 + 2).alias("id"), F.lit("area").alias("kind"), "part", "ring", "seq", "x", "y")
+    return points.unionByName(lines).unionByName(areas)
+
+
+_ANCHORS = f"""{PT}, {LINE}, {POLY}, c AS (SELECT fid, sum((x0 + x1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS x, sum((y0 + y1)*(x0*y1 - x1*y0))/(3*sum(x0*y1 - x1*y0)) AS y, min(y0) AS lo, max(y0) AS hi FROM pseg WHERE ring = 0 GROUP BY fid),
+tries AS (SELECT fid, i, CASE WHEN i = 0 THEN y ELSE lo + (hi - lo)*(i - 0.5e0)/10 END AS y FROM c, (SELECT unnest(range(11)) AS i)),
+hits AS (SELECT t.fid, t.i, t.y, s.x0 + (t.y - s.y0)/(s.y1 - s.y0)*(s.x1 - s.x0) AS hit FROM tries t JOIN pseg s USING (fid) WHERE (s.y0 > t.y) <> (s.y1 > t.y)), gaps AS (SELECT *, lead(hit) OVER (PARTITION BY fid, i ORDER BY hit) AS nx FROM hits),
+spot AS (SELECT fid, -1 AS i, 0e0 AS w, x, y FROM c UNION ALL SELECT fid, i, round(hit - nx, 9), (hit + nx)/2, y FROM gaps WHERE nx > hit),
+inn AS (SELECT q.fid, q.i, q.w, q.x, q.y FROM spot q JOIN pseg s USING (fid) GROUP BY ALL HAVING sum(CASE WHEN s.ring = 0 THEN {crosses('q.', 's.')} ELSE 0 END) % 2 = 1 AND sum(CASE WHEN s.ring > 0 THEN {crosses('q.', 's.')} ELSE 0 END) % 2 = 0),
+best AS (SELECT fid, arg_min(x, (i, w, x)) AS x, arg_min(y, (i, w, x)) AS y FROM inn GROUP BY fid),
+mid AS (SELECT line, x, y FROM (SELECT *, row_number() OVER (PARTITION BY line ORDER BY seq) - 1 AS rn, count(*) OVER (PARTITION BY line) AS n FROM lv) WHERE rn = n // 2),
+anchor AS (SELECT id*10 AS id, x, y FROM pt UNION ALL SELECT line*10 + 1, x, y FROM mid UNION ALL SELECT c.fid*10 + 2, coalesce(b.x, c.x), coalesce(b.y, c.y) FROM c LEFT JOIN best b USING (fid))"""
+
+
+@query(f"WITH {_ANCHORS} SELECT id, round(x, 5) AS x, round(y, 5) AS y FROM anchor")
+def anchors(spark, sf):
+    """Places for labels of points, lines in parts and areas in parts, with the ten rows that are swept where a centroid's row has none."""
+    return measures.anchors(_all_kinds(spark, sf)).select("id", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"))
+
+
+@query(f"""WITH {_ANCHORS}, hav AS (SELECT line*10 + 1 AS id, nullif(CAST(round_even(sum(CASE WHEN seq <> 2 THEN {_HAV} ELSE 0e0 END), 0) AS BIGINT), 0) AS m FROM lseg GROUP BY line),
+lone AS (SELECT line*10 + 1 AS id FROM lv GROUP BY line)
+SELECT 'outside its area' AS check_name, CAST(c.fid*10 + 2 AS VARCHAR) AS key FROM c LEFT JOIN (SELECT fid FROM inn WHERE i = -1) n USING (fid) WHERE n.fid IS NULL
+UNION ALL SELECT 'not on its line', CAST(id AS VARCHAR) FROM (SELECT m.line*10 + 1 AS id, m.line, {rounded('m.x + 0.00001e0')} AS x, {rounded('m.y')} AS y FROM mid m WHERE (m.line*10 + 1) % 70 = 1) a WHERE NOT EXISTS (SELECT 1 FROM lv WHERE lv.line = a.line AND {rounded('lv.x')} = a.x AND {rounded('lv.y')} = a.y)
+UNION ALL SELECT 'not its line''s length', CAST(l.id AS VARCHAR) FROM lone l LEFT JOIN hav h USING (id) WHERE CASE WHEN l.id % 50 = 1 THEN 7 WHEN h.m IS NULL THEN 7 ELSE h.m END IS DISTINCT FROM h.m""")
 def dq_anchor(spark, sf):
-    """Areas whose centroid is not inside them."""
-    v = V.polygons(spark, sf)
-    c = measures.ring_areas(v.where("ring = 0"), ["id", "ring"]).select("id", F.col("cx").alias("x"), F.col("cy").alias("y"))
-    segs = measures.segments(v, ["id", "ring"])
-    args = [F.col(k) for k in ("x", "y", "x0", "y0", "x1", "y1")]
-    odd = c.join(segs, "id").groupBy("id", "ring").agg((F.sum(geo.crosses(*args)) % 2).alias("odd"))
-    return odd.groupBy("id").agg(F.max(F.when(F.col("ring") == 0, F.col("odd")).otherwise(0)).alias("outer"), F.max(F.when(F.col("ring") > 0, F.col("odd")).otherwise(0)).alias("hole")).where("outer = 0 or hole = 1").select("id")
+    """Centroids that lie outside their areas, anchors put off their lines, lengths that aren't the line's."""
+    v = cut(_all_kinds(spark, sf))
+    found = measures.anchors(v)
+    k = F.col("id")
+    c = measures.ring_areas(v.where("kind = 'area' and ring = 0 and part = 1"), ["id", "ring"]).select("id", F.col("cx").alias("x"), F.col("cy").alias("y"))
+    given = found.where(k % 10 == 1).select("id", (F.col("x") + F.when(k % 70 == 1, 0.00001).otherwise(0.0)).alias("x"), "y").unionByName(c)
+    long = measures.lengths(v.where("kind = 'line'"), ["id", "part"]).groupBy("id").agg(F.nullif(F.rint(F.sum("metres")).cast("long"), F.lit(0)).alias("m"))
+    stated = v.where("kind = 'line'").select("id").distinct().join(long, "id", "left").select("id", F.when(k % 50 == 1, 7).otherwise(F.coalesce("m", F.lit(7))).alias("length"))
+    return measures.anchor_faults(given, v, stated)
 
 
 @query("SELECT page_id, CASE WHEN url NOT LIKE 'https://%' THEN 'not https' ELSE 'no title' END AS problem FROM pages WHERE url NOT LIKE 'https://%' OR html NOT LIKE '%<title>%'")
@@ -112,11 +148,44 @@ def coverage(spark, sf):
     return rows.join(drawn, ["slug", "shape"], "left_anti").groupBy("slug").agg(F.count(F.lit(1)).alias("uncovered"))
 
 
-@query("SELECT s_suppkey AS id, row_number() OVER (PARTITION BY s_nationkey ORDER BY lower(s_name), s_suppkey) AS place FROM supplier")
+def _drawn_lines(spark, sf):
+    """line, shape: each line as a nested shape of two parts at most."""
+    v = V.line_vertices(spark, sf).select("line", (F.col("seq") >= 4).cast("int").alias("part"), F.lit(0).alias("ring"), "seq", "x", "y")
+    return nested(v, ["line"], F.lit("MultiLineString"))
+
+
+def _shape_text(dx: str = "0e0") -> str:
+    """Canonical texts of the lines, as SQL: t(line, text)."""
+    unit = lambda c: f"CAST(round({rounded(c)}*1e7) AS BIGINT)"
+    return f"""q AS (SELECT line, CASE WHEN seq >= 4 THEN 1 ELSE 0 END AS part, seq, '[' || {unit(f'(x + {dx})')} || ',' || {unit('y')} || ']' AS p FROM lv),
+r AS (SELECT line, part, '[[' || string_agg(p, ',' ORDER BY seq) || ']]' AS s FROM q GROUP BY ALL), t AS (SELECT line, '{{"kind":"MultiLineString","parts":[' || string_agg(s, ',' ORDER BY part) || ']}}' AS text FROM r GROUP BY line)"""
+
+
+@query(f"WITH {LINE}, {_shape_text()} SELECT line, row_number() OVER (ORDER BY CASE WHEN line % 5 = 0 THEN '' ELSE 'strasse ' || line % 40 END, sha256(text)) AS rank, sha256(text) AS hash FROM t")
 def canonical_order(spark, sf):
-    shape = F.sha2(F.to_json(F.struct("s_suppkey")), 256)
-    w = Window.partitionBy("s_nationkey").orderBy(F.lower("s_name"), "s_suppkey", shape)
-    return V.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("id"), F.row_number().over(w).alias("place"))
+    """Lines by folded name, then by the hash of their shape."""
+    k = F.col("line")
+    name = F.when(k % 5 == 0, " ").when(k % 2 == 0, F.concat(F.lit(" STRASSE "), (k % 40).cast("string"))).otherwise(F.concat(F.lit("Straße "), (k % 40).cast("string"), F.lit("\t")))
+    got = places.in_canonical_order(_drawn_lines(spark, sf).withColumn("name", name))
+    return got.select("line", F.col("rank").cast("long").alias("rank"), shape_hash(F.col("shape")).alias("hash"))
+
+
+@query(f"WITH {LINE}, {_shape_text('line*1.234567e-9')} SELECT line, text FROM t")
+def round_shapes(spark, sf):
+    """Whole shapes with coordinates rounded, as canonical text."""
+    shift = F.col("line") * F.lit(1.234567e-9)
+    lines = _drawn_lines(spark, sf)
+    shifted = F.transform("shape.parts", lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: F.struct((p["x"] + shift).alias("x"), p["y"].alias("y")))))
+    return lines.select("line", canonical_json(rounded_shape(F.struct(F.col("shape.kind").alias("kind"), shifted.alias("parts")))).alias("text"))
+
+
+@query(f"WITH {LINE} SELECT DISTINCT line FROM lv WHERE line % 3 <> 0")
+def lines_anti(spark, sf):
+    """Lines that are not drawn yet, told by their values: every third one is drawn under another id and a hair's breadth off."""
+    lines = _drawn_lines(spark, sf)
+    near = F.transform("shape.parts", lambda part: F.transform(part, lambda ring: F.transform(ring, lambda p: F.struct((p["x"] + 1e-10).alias("x"), p["y"].alias("y")))))
+    drawn = lines.where("line % 3 = 0").select((-F.col("line")).alias("line"), F.struct(F.col("shape.kind").alias("kind"), near.alias("parts")).alias("shape"))
+    return places.lines_not_drawn(lines, drawn).select("line")
 
 
 @query(f"WITH {LINE}, j AS (SELECT DISTINCT CAST(round(x*1e5) AS BIGINT) AS x, CAST(round(y*1e5) AS BIGINT) AS y FROM lv), d AS (SELECT count(*) AS nodes FROM j) SELECT nodes, (SELECT count(*) FROM (SELECT line FROM lv GROUP BY line HAVING count(*) = 1)) AS lone FROM d")
