@@ -45,6 +45,24 @@ def untagged(rows: DataFrame, tags: DataFrame, category: str) -> DataFrame:
     return violations({"missing target": met.where("fit is null"), "wrong category": met.where("not fit")}, "target")
 
 
+def override_faults(known: DataFrame, areas: DataFrame, removed: DataFrame, patches: DataFrame, parents: DataFrame, pinned: DataFrame) -> DataFrame:
+    """(check_name, key) for hand corrections without their target. known: slug, name, id of all places before any; areas: parent; removed: id; patches: id; parents: id, parent; pinned: slug, name, id."""
+    ids, there = known.select("id").distinct(), areas.select("parent").distinct()
+    lost = lambda df: df.select("id").distinct().join(ids, "id", "left_anti")
+    return violations(
+        {
+            "removal of an unknown id": lost(removed),
+            "patch of an unknown id": lost(patches),
+            "parent of an unknown id": lost(parents),
+            "unknown parent": parents.join(there, "parent", "left_anti").select("id"),
+            "its own parent": parents.where(F.col("id").cast("string") == F.col("parent").cast("string")).select("id"),
+            "pinned name not in its layer": pinned.join(known.select("slug", "name").distinct(), ["slug", "name"], "left_anti").select("id"),
+            "id pinned twice": pinned.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id"),
+        },
+        "id",
+    )
+
+
 def parent_names(spots: DataFrame, parents: DataFrame, prefix: str) -> DataFrame:
     """(check_name, key) for spots (id, name, parent): without a parent among (id, name), or with a name that doesn't begin with the prefix, a comma and the parent's name."""
     met = spots.join(parents.select(F.col("id").alias("parent"), F.col("name").alias("_owner")), "parent", "left")

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import blank_to_null, casefolded, slug
 from ..functions.shapes import shape_hash
+from ..storage import cut
 from . import conflate, grid
+from .checks import override_faults, tagged, untagged
 
 
 def tile_properties(features: DataFrame, kind: Column) -> DataFrame:
@@ -97,26 +99,72 @@ def lines_not_drawn(lines: DataFrame, drawn: DataFrame) -> DataFrame:
     return lines.withColumn("_hash", shape_hash(F.col("shape"))).join(known, "_hash", "left_anti").select(*lines.columns)
 
 
-def built(features: DataFrame, superseded: DataFrame, areas: DataFrame, reach_m: float, prefix: str, removed: DataFrame, patches: DataFrame, anchors: DataFrame, additions: DataFrame, rules: dict) -> DataFrame:
+def trail_features(pieces: DataFrame, slug_: str, categories: list[str]) -> DataFrame:
+    """Trails (trail, nth, part, seq, x, y: see trails.trail_pieces) as features named by `trail`, at the middle vertex of all their pieces: slug, pos, name, x, y, categories, links."""
+    from .measures import anchors
+    from .ranks import ranked
+
+    lines = ranked(pieces.select("trail", "nth", "part").distinct(), ["trail", "nth", "part"]).withColumnRenamed("rank", "line")
+    # a piece may begin behind its cut, so vertices are counted anew
+    first = pieces.groupBy("trail", "nth", "part").agg(F.min("seq").alias("first"))
+    v = pieces.join(lines, ["trail", "nth", "part"]).join(first, ["trail", "nth", "part"])
+    v = v.select(F.col("trail").alias("id"), F.lit("line").alias("kind"), F.col("line").alias("part"), F.lit(0).alias("ring"), (F.col("seq") - F.col("first")).alias("seq"), "x", "y")
+    links = F.array().cast("array<struct<label:string,href:string>>")
+    at = ranked(anchors(v), ["id"])
+    return at.select(F.lit(slug_).alias("slug"), F.col("rank").cast("long").alias("pos"), F.col("id").cast("string").alias("name"), "x", "y", F.array(*[F.lit(c) for c in categories]).alias("categories"), links.alias("links"))
+
+
+def built(features: DataFrame, superseded: DataFrame, areas: DataFrame, reach_m: float, prefix: str, removed: DataFrame, patches: DataFrame, anchors: DataFrame, additions: DataFrame, rules: dict, trails: DataFrame | None = None, pinned: DataFrame | None = None, parts: DataFrame | None = None, parents: DataFrame | None = None, walks: tuple[DataFrame, str] | None = None, floors: DataFrame | None = None) -> DataFrame:
     """The chain from features to places, in the order in which its steps depend on each other.
 
     features: slug, pos, name, x, y, categories, links. Unnamed ones are no
-    places; superseded ones (slug, name) go; ids are given; each place gets the
-    nearest area (fid, owner, ring, x0, y0, x1, y1) within reach, before names
-    change; then removals (id), patches of names (id, field, value, pos),
-    anchors (id, x, y, pos) and additions (id, name, x, y, categories, links)
-    apply; then places are named after their area; then rules (arguments of
-    `ruled`) are attached. Columns: id, name, x, y, parent, categories, links, rules.
+    places; superseded ones (slug, name) go; trails (as trail_features() gives
+    them) come in; ids are given, those that are pinned (slug, name, id) kept;
+    each place gets the nearest area (fid, owner, ring, x0, y0, x1, y1) within
+    reach, before names change, but for parents set by hand (id, parent); parts
+    (id, name, x, y, categories, links) become places of their own; then
+    removals (id), patches of names (id, field, value, pos), anchors (id, x, y,
+    pos) and additions (id, name, x, y, categories, links) apply, and an id
+    taken twice is an error; then places are named after their area; then rules
+    (arguments of `ruled`), walks (tags (target id or name, value) and the
+    category that they are for) and floors (href, floors), by a place's first
+    link that has some, are attached. Columns: id, name, x, y, parent,
+    categories, links, rules, walk, floors.
     """
     places = features.withColumn("name", blank_to_null(F.col("name"))).where("name is not null")
     places = places.join(superseded.select("slug", "name").distinct(), ["slug", "name"], "left_anti")
-    places = conflate.assign_ids(places, prefix, F.col("name"))
+    if trails is not None:
+        places = places.unionByName(trails)
+    fixed = None
+    if pinned is not None:
+        places, fixed = places.join(pinned.select("slug", "name", F.col("id").alias("pin")), ["slug", "name"], "left"), "pin"
+    places = conflate.assign_ids(places, prefix, F.col("name"), "pos", fixed)
     near = grid.within_polygons(places.select("id", "x", "y"), areas.select("fid", "ring", "x0", "y0", "x1", "y1"), reach_m)
     parent = near.groupBy("id").agg(F.min(F.struct("m", "fid")).alias("t")).select("id", F.col("t.fid").alias("parent"))
-    places = places.join(parent, "id", "left").join(removed.select("id").distinct(), "id", "left_anti")
-    places = conflate.patched(places.select("id", "name", "x", "y", "parent", "categories", "links"), patches, ["name"])
-    places = united([anchored(places, anchors), additions])
+    places = places.join(parent, "id", "left")
+    if parents is not None:
+        places = places.join(parents.select("id", F.col("parent").alias("set")), "id", "left").withColumn("parent", F.coalesce("set", "parent")).drop("set")
+    # what follows looks at all places more than once
+    places = cut(places.select("id", "name", "x", "y", "parent", "categories", "links"))
+    if parts is not None:
+        places = united([places, parts])
+    places = places.join(removed.select("id").distinct(), "id", "left_anti")
+    places = conflate.patched(places, patches, ["name"])
+    places = cut(united([anchored(places, anchors), additions]))
     owners = areas.groupBy("fid").agg(F.min("owner").alias("owner")).withColumnRenamed("fid", "parent")
     name = F.when(F.col("owner").isNull(), F.col("name")).otherwise(F.concat("name", F.lit(", "), "owner"))
-    named = places.join(owners, "parent", "left").select("id", name.alias("name"), "x", "y", "parent", "categories", "links")
-    return ruled(named, **rules)
+    named = ruled(places.join(owners, "parent", "left").select("id", name.alias("name"), "x", "y", "parent", "categories", "links"), **rules)
+    named = tagged(named, *walks).withColumnRenamed("value", "walk") if walks is not None else named.withColumn("walk", F.lit(None).cast("string"))
+    if floors is None:
+        return named.withColumn("floors", F.lit(None).cast("array<string>"))
+    linked = named.select("id", F.posexplode("links").alias("at", "l")).join(floors.select(F.col("href").alias("_href"), "floors"), F.col("l.href") == F.col("_href"))
+    first = linked.groupBy("id").agg(F.min_by("floors", "at").alias("floors"))
+    return named.join(first, "id", "left")
+
+
+def chain_faults(features: DataFrame, areas: DataFrame, prefix: str, removed: DataFrame, patches: DataFrame, parents: DataFrame, pinned: DataFrame, places: DataFrame | None = None, walks: tuple[DataFrame, str] | None = None) -> DataFrame:
+    """(check_name, key): corrections of built() whose target isn't there. places: its result, for walks. Give it to checks.require() before anything is written."""
+    named = features.withColumn("name", blank_to_null(F.col("name"))).where("name is not null").join(pinned.select("slug", "name", F.col("id").alias("pin")), ["slug", "name"], "left")
+    known = conflate.assign_ids(named, prefix, F.col("name"), "pos", "pin").select("slug", "name", "id")
+    out = override_faults(known, areas.select(F.col("fid").alias("parent")), removed, patches, parents, pinned)
+    return out if walks is None or places is None else out.unionByName(untagged(places, *walks))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import measures, places
+from ..operators import measures, places, trails
 from ..sources import views as V
 from .common import POLY, PT, SNAP, X, Y, near
+from .networks import _TRAILS, _named_segments, _segment_layer
 
 QUERIES, SQL = {}, {}
 
@@ -81,14 +82,19 @@ def anchor_patches(spark, sf):
 _SLUG = "regexp_replace(lower(name), '[^a-z0-9]+', '', 'g')"
 
 
-@query(f"""WITH {PT}, {POLY}, {near(500)}, gone AS (SELECT DISTINCT c_mktsegment AS kind, c_name AS name FROM customer WHERE c_acctbal < -900),
-p AS (SELECT pt.id AS k, {_SLUG} AS id, name, x, y, nation FROM pt WHERE id % 6 <> 0 AND (kind, name) NOT IN (SELECT kind, name FROM gone) AND nation <> 3),
-par AS (SELECT id AS k, arg_min(fid, (m, fid)) AS parent FROM near GROUP BY id), own AS (SELECT id AS parent, min(name) AS owner FROM poly GROUP BY id),
-a AS (SELECT p.id, CASE WHEN nation = 5 THEN 'House ' || p.k ELSE name END AS name, x + CASE WHEN nation = 7 THEN 0.001e0 ELSE 0e0 END AS x, y, parent, CASE WHEN c_acctbal > 0 THEN 'no fires|' || CASE WHEN nation = 9 THEN 'boats' ELSE 'no boats' END ELSE '' END AS rules FROM p JOIN customer ON c_custkey = p.k LEFT JOIN par USING (k)
- UNION ALL SELECT 'new' || s_suppkey, s_name, {X.format(k="s_suppkey")}, {Y.format(k="s_suppkey")}, NULL, '' FROM supplier WHERE s_nationkey = 1)
-SELECT a.id, a.name || CASE WHEN owner IS NULL THEN '' ELSE ', ' || owner END AS name, round(x, 6) AS x, round(y, 6) AS y, a.parent, rules FROM a LEFT JOIN own USING (parent)""")
+@query(f"""WITH {PT}, {POLY}, {_TRAILS}, gone AS (SELECT DISTINCT c_mktsegment AS kind, c_name AS name FROM customer WHERE c_acctbal < -900),
+piece AS (SELECT v.* FROM vert v LEFT JOIN near n USING (trail, nth) WHERE v.nth % 40 = 1 AND (v.side IS NULL OR (n.m <= 5 AND ((v.side = 'until' AND v.seq <= n.at) OR (v.side = 'from' AND v.seq >= n.at))))),
+tr AS (SELECT 'Trail ' || trail AS name, x, y FROM (SELECT *, row_number() OVER (PARTITION BY trail ORDER BY nth, part, seq) - 1 AS rn, count(*) OVER (PARTITION BY trail) AS n FROM piece) WHERE rn = n // 2),
+p AS (SELECT pt.id AS k, CASE WHEN nation = 11 THEN 'pin' || pt.id ELSE {_SLUG} END AS id, name, x, y, nation, c_acctbal > 0 AS walk FROM pt JOIN customer ON c_custkey = pt.id WHERE pt.id % 6 <> 0 AND (kind, name) NOT IN (SELECT kind, name FROM gone)
+ UNION ALL SELECT NULL, 'customer' || {_SLUG}, name, x, y, NULL, true FROM tr),
+{near(500, "p").replace("near AS (", "close AS (")}, par AS (SELECT id, arg_min(fid, (m, fid)) AS parent FROM close GROUP BY id), own AS (SELECT id AS parent, min(name) AS owner FROM poly GROUP BY id),
+a AS (SELECT p.id, CASE WHEN nation = 5 THEN 'House ' || p.k ELSE name END AS name, x + CASE WHEN nation = 7 THEN 0.001e0 ELSE 0e0 END AS x, y, CASE WHEN nation = 13 THEN (SELECT min(s_suppkey) FROM supplier) ELSE parent END AS parent, walk, nation FROM p LEFT JOIN par USING (id) WHERE nation IS NULL OR nation <> 3
+ UNION ALL SELECT 'part' || n_nationkey, n_name, -93.2e0, 44.4e0, NULL, true, NULL FROM nation
+ UNION ALL SELECT 'new' || s_suppkey, s_name, {X.format(k="s_suppkey")}, {Y.format(k="s_suppkey")}, NULL, false, NULL FROM supplier WHERE s_nationkey = 1)
+SELECT a.id, a.name || CASE WHEN owner IS NULL THEN '' ELSE ', ' || owner END AS name, round(x, 6) AS x, round(y, 6) AS y, a.parent, CASE WHEN walk THEN 'no fires|' || CASE WHEN nation = 9 THEN 'boats' ELSE 'no boats' END ELSE '' END AS rules,
+  CASE WHEN walk AND nation = 15 THEN 'guide' END AS walk, CASE WHEN nation % 10 = 2 THEN n_name || '|attic' END AS floors FROM a LEFT JOIN own USING (parent) LEFT JOIN nation ON n_nationkey = nation""")
 def built_places(spark, sf):
-    """The whole chain over all customers, with corrections by nation."""
+    """The whole chain over all customers and trails, with corrections by nation."""
     links = F.array().cast("array<struct<label:string,href:string>>")
     walk = F.when(F.col("c_acctbal") > 0, F.array(F.lit("walk"))).otherwise(F.array(F.lit("spot")))
     customer, k = V.table(spark, sf, "customer"), F.col("c_custkey")
@@ -97,6 +103,13 @@ def built_places(spark, sf):
     of = lambda n: ident.where(F.col("c_nationkey") == n)
     areas = measures.segments(V.polygons(spark, sf), ["id", "ring"], ("name",)).withColumnsRenamed({"id": "fid", "name": "owner"})
     new = V.table(spark, sf, "supplier").where("s_nationkey = 1").select(F.concat(F.lit("new"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("name"), V.place_x(F.col("s_suppkey")).alias("x"), V.place_y(F.col("s_suppkey")).alias("y"), F.array(F.lit("spot")).alias("categories"), links.alias("links"))
+    by_id = lambda c: ident.select("id", F.col("c_custkey"), F.col("c_nationkey")).where(c)
+    pins = customer.where("c_nationkey = 11").select(F.col("c_mktsegment").alias("slug"), F.col("c_name").alias("name"), F.concat(F.lit("pin"), k.cast("string")).alias("id"))
+    owner = V.table(spark, sf, "supplier").agg(F.min("s_suppkey").alias("s_suppkey")).first()[0]
+    trail_rows = places.trail_features(trails.trail_pieces(_segment_layer(spark, sf), _named_segments(spark, sf).where("nth % 40 = 1")).withColumn("trail", F.concat(F.lit("Trail "), F.col("trail").cast("string"))), "trails", ["trail", "walk"])
+    plans = V.table(spark, sf, "nation").select(F.concat(F.lit("/plan/"), F.col("n_nationkey").cast("string")).alias("href"), F.array(F.col("n_name"), F.lit("attic")).alias("floors")).where("href like '%2'")
+    pages = F.array(F.struct(F.lit("none").alias("label"), F.lit("/other").alias("href")), F.struct(F.lit("plan").alias("label"), F.concat(F.lit("/plan/"), F.col("c_nationkey").cast("string")).alias("href")))
+    features = features.join(customer.select(k.alias("pos"), pages.alias("own_links")), "pos").withColumn("links", F.col("own_links")).drop("own_links")
     got = places.built(
         features,
         superseded=customer.where("c_acctbal < -900").select(F.col("c_mktsegment").alias("slug"), F.col("c_name").alias("name")),
@@ -108,5 +121,11 @@ def built_places(spark, sf):
         anchors=of(7).select("id", (V.place_x(k) + 0.001).alias("x"), V.place_y(k).alias("y"), F.lit(1).alias("pos")),
         additions=new,
         rules={"categories": ["walk"], "shared": ["no fires", "no boats"], "swaps": of(9).select("id", F.lit("no boats").alias("rule"), F.lit("boats").alias("instead")), "link": ("Rules", "https://rules")},
+        trails=trail_rows,
+        pinned=pins,
+        parts=V.table(spark, sf, "nation").select(F.concat(F.lit("part"), F.col("n_nationkey").cast("string")).alias("id"), F.col("n_name").alias("name"), F.lit(-93.2).alias("x"), F.lit(44.4).alias("y"), F.array(F.lit("walk")).alias("categories"), links.alias("links")),
+        parents=by_id("c_nationkey = 13").select("id", F.lit(owner).alias("parent")),
+        walks=(by_id("c_nationkey = 15").select(F.col("id").alias("target"), F.lit("guide").alias("value")), "walk"),
+        floors=plans,
     )
-    return got.select("id", "name", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "parent", F.array_join("rules", "|").alias("rules"))
+    return got.select("id", "name", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "parent", F.array_join("rules", "|").alias("rules"), "walk", F.array_join("floors", "|").alias("floors"))

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.shapes import canonical_json, nested, rounded_shape, shape_hash
 from ..operators import grid, measures, places
-from ..operators.checks import orphans, repeated, violations
+from ..operators.checks import graph_faults, orphans, override_faults, repeated, violations
 from ..sources import views as V
 from ..storage import cut
-from .common import CTX, LINE, POLY, PT, SNAP, crosses, near, rounded
+from .common import CTX, LINE, POLY, PT, SNAP, crosses, metres, near, rounded
 from .networks import _HAV
 
 QUERIES, SQL = {}, {}
@@ -122,6 +122,42 @@ def dq_overrides(spark, sf):
     return orphans(patches_, V.table(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("target")), "target")
 
 
+@query("""WITH k AS (SELECT c_mktsegment AS slug, c_name AS name, c_custkey AS id FROM customer WHERE c_acctbal > 0), rem AS (SELECT DISTINCT o_custkey % 2000 AS id FROM orders WHERE o_orderstatus = 'F'), pat AS (SELECT DISTINCT o_custkey % 1900 AS id FROM orders WHERE o_orderstatus = 'O'),
+par AS (SELECT DISTINCT o_custkey AS id, o_orderkey % 130 AS parent FROM orders WHERE o_orderstatus = 'P'), pin AS (SELECT c_mktsegment AS slug, CASE WHEN c_custkey % 5 = 0 THEN c_name || ' gone' ELSE c_name END AS name, c_custkey // 2 AS id FROM customer WHERE c_nationkey < 3)
+SELECT 'removal of an unknown id' AS check_name, CAST(id AS VARCHAR) AS key FROM rem WHERE id NOT IN (SELECT id FROM k) UNION ALL SELECT 'patch of an unknown id', CAST(id AS VARCHAR) FROM pat WHERE id NOT IN (SELECT id FROM k)
+UNION ALL SELECT DISTINCT 'parent of an unknown id', CAST(id AS VARCHAR) FROM par WHERE id NOT IN (SELECT id FROM k) UNION ALL SELECT 'unknown parent', CAST(id AS VARCHAR) FROM par WHERE parent NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'its own parent', CAST(id AS VARCHAR) FROM par WHERE id = parent UNION ALL SELECT 'pinned name not in its layer', CAST(id AS VARCHAR) FROM pin WHERE (slug, name) NOT IN (SELECT slug, name FROM k)
+UNION ALL SELECT 'id pinned twice', CAST(id AS VARCHAR) FROM pin GROUP BY id HAVING count(*) > 1""")
+def dq_override_targets(spark, sf):
+    """Hand corrections of every kind whose target isn't there."""
+    customer, orders = V.table(spark, sf, "customer"), V.table(spark, sf, "orders")
+    k = F.col("c_custkey")
+    known = customer.where("c_acctbal > 0").select(F.col("c_mktsegment").alias("slug"), F.col("c_name").alias("name"), k.alias("id"))
+    of = lambda status: orders.where(F.col("o_orderstatus") == status)
+    areas = V.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("parent"))
+    parents = of("P").select(F.col("o_custkey").alias("id"), (F.col("o_orderkey") % 130).alias("parent")).distinct()
+    name = F.when(k % 5 == 0, F.concat("c_name", F.lit(" gone"))).otherwise(F.col("c_name"))
+    pinned = customer.where("c_nationkey < 3").select(F.col("c_mktsegment").alias("slug"), name.alias("name"), F.floor(k / 2).alias("id"))
+    return override_faults(known, areas, of("F").select((F.col("o_custkey") % 2000).alias("id")), of("O").select((F.col("o_custkey") % 1900).alias("id")), parents, pinned)
+
+
+@query(f"""WITH RECURSIVE {PT}, e AS (SELECT a.id AS a, b.id AS b, CASE WHEN a.id % 9 = 0 THEN 'odd' WHEN a.id % 2 = 0 THEN 'path' ELSE 'stairs' END AS type FROM pt a JOIN pt b ON a.id < b.id WHERE {metres('a.', 'b.')} <= 300 UNION ALL SELECT id, id, 'path' FROM pt WHERE id % 100 = 7 UNION ALL SELECT id, -id, 'path' FROM pt WHERE id % 150 = 8),
+bo AS (SELECT a, b FROM e WHERE b > 0 UNION ALL SELECT b, a FROM e WHERE b > 0), r(node, root) AS (SELECT id, id FROM pt UNION SELECT bo.b, r.root FROM r JOIN bo ON bo.a = r.node), c AS (SELECT node, min(root) AS root FROM r GROUP BY node),
+m AS (SELECT root FROM c GROUP BY root ORDER BY count(*) DESC, root LIMIT 1)
+SELECT 'out of bounds' AS check_name, CAST(id AS VARCHAR) AS key FROM pt WHERE NOT (x BETWEEN -93.34e0 AND -93.06e0 AND y BETWEEN 44.36e0 AND 44.54e0) UNION ALL SELECT 'apart', CAST(node AS VARCHAR) FROM c WHERE root <> (SELECT root FROM m)
+UNION ALL SELECT 'loop', a || '-' || b FROM e WHERE a = b UNION ALL SELECT DISTINCT 'dangling', CAST(b AS VARCHAR) FROM e WHERE b < 0 OR b NOT IN (SELECT id FROM pt) UNION ALL SELECT 'unknown type', a || '-' || b FROM e WHERE type = 'odd'
+UNION ALL SELECT DISTINCT 'entrance without a node', CAST(s_suppkey * 20 AS VARCHAR) FROM supplier WHERE s_suppkey * 20 NOT IN (SELECT id FROM pt)""")
+def dq_graph_faults(spark, sf):
+    """The whole check of a walking graph: bounds, one component, loops, loose ends, types, entrances."""
+    p = V.points(spark, sf).select("id", "x", "y")
+    k = F.col("a")
+    near = grid.near_points(p, 300.0).select("a", "b", F.when(k % 9 == 0, "odd").when(k % 2 == 0, "path").otherwise("stairs").alias("type"))
+    own = lambda m, r, b: p.where(F.col("id") % m == r).select(F.col("id").alias("a"), b.alias("b"), F.lit("path").alias("type"))
+    edges = cut(near.unionByName(own(100, 7, F.col("id"))).unionByName(own(150, 8, -F.col("id"))))
+    doors = V.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("place"), (F.col("s_suppkey") * 20).alias("node"))
+    return graph_faults(p, edges, doors, ["path", "stairs"], (-93.34, 44.36, -93.06, 44.54))
+
+
 @query("SELECT 'loop' AS check_name, count(*) AS n FROM lineitem WHERE l_partkey = l_suppkey UNION ALL SELECT 'dangling', count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 0) UNION ALL SELECT 'type', count(*) FROM lineitem WHERE l_returnflag NOT IN ('A', 'N')")
 def dq_graph(spark, sf):
     e = V.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("a"), F.col("l_suppkey").alias("b"), F.col("l_returnflag").alias("type"))
