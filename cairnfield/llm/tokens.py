@@ -18,6 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import pretokens as pre
 from . import words
@@ -307,4 +308,4 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     columns are ignored; an empty table gives an empty result.
     """
     ship(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(lambda it: _count(it, path, limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda it: _count(it, path, limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -239,6 +239,11 @@ def test_token_counts_like_the_library(spark):
     assert got == sorted(((i, len((t or "").encode()), n(t), n(t) > 2048) for i, t in rows), key=key)
 
 
+def test_token_counts_of_short_ids(spark):
+    rows = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id int, text string")
+    assert sorted((r["doc_id"], r["n_tokens"]) for r in tokens.count_tokens(rows, tokenizer_file("word_bpe_49k.json")).collect()) == [(1, 2), (2, 0)]
+
+
 def test_long_words_meet_in_chunks():
     machine, _ = tokens.compiled(tokenizer_file("word_bpe_49k.json"))
     from tokenizers import Tokenizer
