@@ -63,10 +63,10 @@ def release_names(versions: DataFrame, given: DataFrame | None = None) -> DataFr
     number = F.when(F.length("name") == 10, F.lit(1)).otherwise(F.expr("try_cast(substring(name, 12) as int)"))
     taken = given.where(F.col("name").rlike("^.{10}(-([2-9]|[1-9][0-9]+))?$")).select(F.substring("name", 1, 10).alias("date"), number.alias("n")).distinct()
     wanted = open_.withColumn("turn", F.row_number().over(Window.partitionBy("date").orderBy("version")))
-    # numbers below n that are free, and with them the turns that a taken number shifts
-    w = Window.partitionBy("date").orderBy("n")
-    shifts = taken.withColumn("before", F.col("n") - F.row_number().over(w))
-    moved = wanted.join(shifts, "date", "left").groupBy("version", "date", "turn").agg(F.count_if(F.col("before") < F.col("turn")).alias("over"))
+    # a taken number shifts the turns above the free numbers below it: both in one order, taken ones counted as they come
+    shifts = taken.select("date", (F.col("n") - F.row_number().over(Window.partitionBy("date").orderBy("n"))).alias("turn"), F.lit(None).cast(versions.schema["version"].dataType).alias("version"), F.lit(1).alias("shift"))
+    both = wanted.select("date", "turn", "version", F.lit(0).alias("shift")).unionByName(shifts)
+    moved = both.withColumn("over", F.sum("shift").over(Window.partitionBy("date").orderBy("turn", "shift").rowsBetween(Window.unboundedPreceding, 0))).where("shift = 0")
     n = (F.col("turn") + F.col("over")).cast("int")
     new = moved.select("version", F.when(n == 1, F.col("date")).otherwise(F.concat("date", F.lit("-"), n.cast("string"))).alias("name"))
     return versions.select("version").join(kept, "version").select("version", F.col("kept").alias("name")).unionByName(new)

@@ -40,6 +40,13 @@ def named_first(label: Column, name: Column) -> Column:
     return F.startswith(slug(label), slug(name))
 
 
+def preferred(points: DataFrame, near: DataFrame, areas: DataFrame) -> DataFrame:
+    """(id, parent): for each point (id, label) the one of its near areas (id, fid, m) that its label names first, else the nearest; ties to the lower fid. areas: fid, name."""
+    met = near.join(points.select("id", "label"), "id").join(areas.select("fid", "name"), "fid")
+    unnamed = F.when(named_first(F.col("label"), F.col("name")), 0).otherwise(1)
+    return met.groupBy("id").agg(F.min(F.struct(unnamed.alias("u"), "m", "fid")).alias("t")).select("id", F.col("t.fid").alias("parent"))
+
+
 def entrances_of(entrances: DataFrame) -> DataFrame:
     """(place, nodes): the different entrances of each place (place, node), ascending. A place has a few dozen at most."""
     return entrances.where("place is not null").groupBy("place").agg(F.sort_array(F.collect_set("node")).alias("nodes"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import graph, grid, measures
+from ..operators import graph, grid, measures, places
 from ..operators.graph import components
 from ..sources import views as V
 from .common import LINE, POLY, PT, SNAP, crosses, metres, near, rounded, to_segment
@@ -147,11 +147,14 @@ def frame(spark, sf):
     return f.select("line", *[F.round(c, 6).alias(c) for c in ("mid_x", "mid_y", "width", "height")])
 
 
-@query(f"""WITH {PT}, {POLY}, {near(500)} SELECT n.id, arg_min(n.fid, (CASE WHEN n.id % 2 = n.fid % 2 THEN 0 ELSE 1 END, n.m, n.fid)) AS parent FROM near n GROUP BY n.id""")
+@query(f"""WITH {PT}, {POLY}, {near(500)}, own AS (SELECT DISTINCT id AS fid, name FROM poly), lab AS (SELECT n.*, regexp_replace(lower('(New) Supplier ' || lpad(CAST(n.id % 100 AS VARCHAR), 9, '0') || ', east side'), '^\\s*\\([^)]*\\)\\s*', '') AS label FROM near n)
+SELECT l.id, arg_min(l.fid, (CASE WHEN starts_with(regexp_replace(label, '[^a-z0-9]+', '', 'g'), regexp_replace(lower(name), '[^a-z0-9]+', '', 'g')) THEN 0 ELSE 1 END, l.m, l.fid)) AS parent FROM lab l JOIN own USING (fid) GROUP BY l.id""")
 def preferred_nearest(spark, sf):
+    """Each point's area within 500 m: the one that its label names, else the nearest."""
     n = grid.within_polygons(V.points(spark, sf), _polygon_segments(spark, sf).select("fid", "ring", "x0", "y0", "x1", "y1"), 500.0)
-    unnamed = F.when(F.col("id") % 2 == F.col("fid") % 2, 0).otherwise(1)
-    return n.groupBy("id").agg(F.min(F.struct(unnamed.alias("u"), "m", "fid")).alias("t")).select("id", F.col("t.fid").alias("parent"))
+    label = F.concat(F.lit("(New) Supplier "), F.lpad((F.col("id") % 100).cast("string"), 9, "0"), F.lit(", East side"))
+    areas = V.polygons(spark, sf).select(F.col("id").alias("fid"), "name").distinct()
+    return places.preferred(V.points(spark, sf).select("id", label.alias("label")), n, areas)
 
 
 def tiers(spark, sf):
@@ -217,97 +220,6 @@ def bbox_overlap(spark, sf):
     return grid.near_boxes(b, 0.0, 0.0, 200.0)
 
 
-@query(f"""WITH {POLY}, b AS (SELECT id, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM poly GROUP BY id), z AS (SELECT *, unnest(range(0, 16)) AS z FROM b),
-t AS (SELECT id, z, CAST(floor((x0 + 180)/360*power(2e0, z)) AS INT) AS tx0, CAST(floor((x1 + 180)/360*power(2e0, z)) AS INT) AS tx1,
- CAST(floor((1 - ln(tan(radians(y1)) + 1/cos(radians(y1)))/3.141592653589793e0)/2*power(2e0, z)) AS INT) AS ty0, CAST(floor((1 - ln(tan(radians(y0)) + 1/cos(radians(y0)))/3.141592653589793e0)/2*power(2e0, z)) AS INT) AS ty1 FROM z)
-SELECT CAST(z AS INT) AS zoom, count(DISTINCT (tx, ty)) AS tiles, count(*) AS covers FROM (SELECT id, z, tx, unnest(range(ty0, ty1 + 1)) AS ty FROM (SELECT *, unnest(range(tx0, tx1 + 1)) AS tx FROM t)) GROUP BY z""")
-def tile_cover(spark, sf):
-    b = measures.bounds(V.polygons(spark, sf), ["id"]).withColumn("zoom", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    z = F.col("zoom")
-    tx = F.explode(F.sequence(geo.tile_x(F.col("min_x"), z), geo.tile_x(F.col("max_x"), z))).alias("tx")
-    ty = F.explode(F.sequence(geo.tile_y(F.col("max_y"), z), geo.tile_y(F.col("min_y"), z))).alias("ty")
-    return b.select("id", "zoom", "max_y", "min_y", tx).select("id", "zoom", "tx", ty).groupBy("zoom").agg(F.count_distinct("tx", "ty").alias("tiles"), F.count(F.lit(1)).alias("covers"))
-
-
-@query(f"""WITH {LINE} SELECT line, round((min(x) + max(x))/2, 6) AS mid_x, round((min(y) + max(y))/2, 6) AS mid_y, round(greatest(max(x) - min(x) + 0.0004e0, 0.002e0, max(y) - min(y) + 0.0004e0), 6) AS width, round(max(y) - min(y) + 0.0004e0, 6) AS height FROM lv GROUP BY line""")
-def frame(spark, sf):
-    f = measures.frames(V.line_vertices(spark, sf), ["line"], 0.0002, 0.002)
-    return f.select("line", *[F.round(c, 6).alias(c) for c in ("mid_x", "mid_y", "width", "height")])
-
-
-@query(f"""WITH {PT}, {POLY}, {near(500)} SELECT n.id, arg_min(n.fid, (CASE WHEN n.id % 2 = n.fid % 2 THEN 0 ELSE 1 END, n.m, n.fid)) AS parent FROM near n GROUP BY n.id""")
-def preferred_nearest(spark, sf):
-    n = grid.within_polygons(V.points(spark, sf), _polygon_segments(spark, sf).select("fid", "ring", "x0", "y0", "x1", "y1"), 500.0)
-    unnamed = F.when(F.col("id") % 2 == F.col("fid") % 2, 0).otherwise(1)
-    return n.groupBy("id").agg(F.min(F.struct(unnamed.alias("u"), "m", "fid")).alias("t")).select("id", F.col("t.fid").alias("parent"))
-
-
-def tiers(spark, sf):
-    """Each point's nearest area within 500 m, all of tier 0 before any of tier 1; ties to the lower id."""
-    segs = _polygon_segments(spark, sf)
-    tier = segs.groupBy("fid").agg(F.min("tier").alias("tier"), F.min("name").alias("owner"))
-    n = grid.within_polygons(V.points(spark, sf), segs.select("fid", "ring", "x0", "y0", "x1", "y1"), 500.0).join(tier, "fid")
-    best = n.groupBy("id").agg(F.min(F.struct("tier", "m", "fid", "owner")).alias("t"))
-    return best.select("id", F.col("t.fid").alias("parent"), F.col("t.tier").alias("tier"), F.concat(F.lit("Spot, "), "t.owner").alias("name"), F.round("t.m", 2).alias("metres"))
-
-
-@query(f"""WITH {PT}, {POLY}, {near(500)}, j AS (SELECT n.*, p.tier, p.owner FROM near n JOIN (SELECT id AS fid, min(tier) AS tier, min(name) AS owner FROM poly GROUP BY id) p USING (fid)), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY tier, m, fid) AS rn FROM j)
-SELECT id, fid AS parent, tier, 'Spot, ' || owner AS name, round(m, 2) AS metres FROM r WHERE rn = 1""")
-def tiered_nearest(spark, sf):
-    return tiers(spark, sf)
-
-
-@query(f"WITH {PT} SELECT a.id AS a, b.id AS b, round({metres('a.', 'b.')}, 2) AS metres FROM pt a JOIN pt b ON a.id < b.id WHERE {metres('a.', 'b.')} <= 150")
-def near_pairs(spark, sf):
-    return grid.near_points(V.points(spark, sf), 150.0).select("a", "b", F.round("m", 2).alias("metres"))
-
-
-def _sides(spark, sf):
-    """Shapes of all kinds: parts as points, lines, areas."""
-    lines = measures.segments(V.line_vertices(spark, sf), ["line"]).withColumnRenamed("line", "id")
-    return grid.sides_of(V.snapshot(spark, sf, "before").where("id % 20 = 1"), lines, _polygon_segments(spark, sf).withColumnRenamed("fid", "id"))
-
-
-_AREA_HOLDS = "SELECT {p}.id, s.fid FROM {points} {p} JOIN pseg s ON true GROUP BY {p}.id, s.fid HAVING sum(CASE WHEN s.ring = 0 THEN {hit} ELSE 0 END) % 2 = 1 AND sum(CASE WHEN s.ring > 0 THEN {hit} ELSE 0 END) % 2 = 0"
-
-
-@query(f"""WITH {PT}, {POLY}, {LINE}, {SNAP}, side AS (SELECT 'point' AS kind, id AS sid, x AS x0, y AS y0, x AS x1, y AS y1 FROM bef WHERE id % 20 = 1 UNION ALL SELECT 'line', line, x0, y0, x1, y1 FROM lseg UNION ALL SELECT 'area', fid, x0, y0, x1, y1 FROM pseg),
-inside AS ({_AREA_HOLDS.format(p='p', points='pt', hit=crosses('p.', 's.'))}),
-d AS (SELECT p.id, s.kind, s.sid, {to_segment('p.', 's.')} AS m FROM pt p, side s UNION ALL SELECT id, 'area', fid, 0e0 FROM inside),
-k AS (SELECT id, kind, min(m) AS m FROM d GROUP BY ALL)
-SELECT id, kind, round(m, 2) AS metres FROM k UNION ALL SELECT id, 'volume', 'inf'::DOUBLE FROM pt""")
-def nearest_shapes(spark, sf):
-    """How far each point is from the nearest point, line and area, however far, and from a kind that isn't there."""
-    got = grid.nearest_shapes(V.points(spark, sf), _sides(spark, sf), ["point", "line", "area", "volume"], 100.0)
-    return got.select("id", "kind", F.round("m", 2).alias("metres"))
-
-
-@query(f"""WITH {POLY}, v AS (SELECT DISTINCT id, x, y FROM poly), near AS (SELECT DISTINCT v.id AS a, s.fid AS b FROM v JOIN pseg s ON v.id <> s.fid WHERE {to_segment('v.', 's.')} <= 150),
-q AS (SELECT row_number() OVER () AS id, id AS own, x, y FROM v), inside AS ({_AREA_HOLDS.format(p='p', points='q', hit=crosses('p.', 's.'))}),
-u AS (SELECT a, b FROM near UNION ALL SELECT own, fid FROM inside JOIN q USING (id) WHERE own <> fid)
-SELECT DISTINCT least(a, b) AS a, greatest(a, b) AS b FROM u""")
-def touching_pairs(spark, sf):
-    areas = grid.sides_of(areas=_polygon_segments(spark, sf).withColumnRenamed("fid", "id"))
-    return grid.touching_shapes(areas, 150.0).select("a.sid", "b.sid").toDF("a", "b")
-
-
-@query(f"""WITH {PT}, {POLY}, t AS (SELECT id, min(x) AS x, min(y) AS y FROM poly GROUP BY id), d AS (SELECT pt.id, t.id AS target, {metres('pt.', 't.')} AS m FROM pt, t), r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY m, target) AS rn FROM d)
-SELECT id, target, round(m, 2) AS metres FROM r WHERE rn = 1""")
-def nearest_node(spark, sf):
-    targets = V.polygons(spark, sf).groupBy("id").agg(F.min("x").alias("x"), F.min("y").alias("y"))
-    return grid.nearest_point(V.points(spark, sf), targets, 1000.0).select("id", "target", F.round("m", 2).alias("metres"))
-
-
-@query(f"""WITH {LINE}, b AS (SELECT line, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM lv WHERE line % 40 = 0 GROUP BY line)
-SELECT a.line AS a, b.line AS b FROM b a JOIN b ON a.line < b.line AND a.x0 <= b.x1 AND b.x0 <= a.x1 AND a.y0 <= b.y1 AND b.y0 <= a.y1""".replace("WHERE line % 40 = 0 ", ""))
-def bbox_overlap(spark, sf):
-    b = measures.bounds(V.line_vertices(spark, sf), ["line"])
-    cells = grid.box_cells(b, 200.0)
-    a = cells.select(F.col("line").alias("a"), *[F.col(c).alias(f"a_{c}") for c in ("min_x", "min_y", "max_x", "max_y")], "cx", "cy")
-    met = a.join(cells.withColumnRenamed("line", "b"), ["cx", "cy"]).where("a < b and a_min_x <= max_x and min_x <= a_max_x and a_min_y <= max_y and min_y <= a_max_y")
-    return met.select("a", "b").distinct()
-
-
 @query(f"""WITH {POLY}, b AS (SELECT id, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1 FROM poly GROUP BY id)
 SELECT a.id AS a, b.id AS b FROM b a JOIN b ON a.id < b.id AND greatest(a.x0 - b.x1, b.x0 - a.x1, 0) <= 0.002e0 AND greatest(a.y0 - b.y1, b.y0 - a.y1, 0) <= 0.002e0""")
 def bbox_near(spark, sf):
