@@ -239,6 +239,32 @@ def test_token_counts_like_the_library(spark):
     assert got == sorted(((i, len((t or "").encode()), n(t), n(t) > 2048) for i, t in rows), key=key)
 
 
+@pytest.mark.parametrize(("n", "capacity", "top"), [(1, 10, 10), (400, 64, 64), (3000, 256, 256), (2000, 2048, 300), (500, 100, 50)])
+def test_best_fit_like_a_plain_one_on_random_lengths(n, capacity, top):
+    """Piece by piece, the longest first, each into the smallest gap that holds it: as many sequences, as full. (Which of equal gaps is taken is open.)"""
+    from collections import Counter, defaultdict
+
+    lengths = [draw.randrange(1, top + 1) for _ in range(n)]
+    plain = []
+    for x in sorted(lengths, reverse=True):
+        fits = [s for s in plain if sum(s) + x <= capacity]
+        if fits:
+            max(fits, key=sum).append(x)
+        else:
+            plain.append([x])
+    made, ranks = defaultdict(list), defaultdict(list)
+    for length, rank, number, first, offset in packing.best_fit(dict(Counter(lengths)), capacity):
+        ranks[length] += range(rank, rank + number)
+        for k in range(number):
+            made[first + k].append((offset, length))
+    # every piece has one place, and places follow each other without gaps
+    assert {x: sorted(r) for x, r in ranks.items()} == {x: list(range(c)) for x, c in Counter(lengths).items()}
+    for places in made.values():
+        places.sort()
+        assert [o for o, _ in places] == [sum(x for _, x in places[:i]) for i in range(len(places))]
+    assert Counter(sum(x for _, x in p) for p in made.values()) == Counter(map(sum, plain))
+
+
 def test_token_counts_of_short_ids(spark):
     rows = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id int, text string")
     assert sorted((r["doc_id"], r["n_tokens"]) for r in tokens.count_tokens(rows, tokenizer_file("word_bpe_49k.json")).collect()) == [(1, 2), (2, 0)]
