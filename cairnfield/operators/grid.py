@@ -256,7 +256,9 @@ def nearest_shapes(points: DataFrame, sides: DataFrame, kinds: list[str], reach_
         return out
 
     def look(rows: DataFrame, reach: float) -> DataFrame:
-        met = near_segments(rows, held.drop("ring"), reach, ("kind",))
+        # kinds that every point has found are left out of later rounds
+        kinds_left = [r["kind"] for r in rows.select("kind").distinct().collect()]
+        met = near_segments(rows, held.where(F.col("kind").isin(kinds_left)).drop("ring"), reach, ("kind",))
         return best(met.withColumn("m", to_segment(*args)).where(F.col("m") <= reach))
 
     return out.unionByName(_doubling(cut(left), reach_m, look, ("id", "kind")))
