@@ -189,52 +189,3 @@ def merged_lines(vertices: DataFrame, kinds: DataFrame) -> DataFrame:
     first = numbers.groupBy("kind").agg(F.min("rank").alias("first"))
     parts = spread_join(numbers, first, "kind").select("kind", "line", (F.col("rank") - F.col("first")).alias("part"))
     return vertices.join(parts, "line").select("kind", F.col("part").cast("long").alias("part"), "seq", "x", "y")
-
-
-def connectors(anchors: DataFrame, nodes: DataFrame, vertices: DataFrame, edges: DataFrame, gap_m: float, stitch_m: float, limit: float, rounds: int = 50) -> DataFrame:
-    """(anchor, step, vertex, x, y): ways along lines from anchors far off the network to where they come near it.
-
-    anchors, nodes: id, x, y. vertices: id, x, y; edges: a, b, cost between
-    vertices. An anchor further than gap_m from all nodes starts at its nearest
-    vertex and goes the cheapest way of at most `limit` to a vertex within
-    stitch_m of a node. Ways become part of the network, so later anchors (by
-    id) may end on them. In a round every anchor looks for its way; those whose
-    reached vertices no lower anchor of the round reaches too are settled
-    together, the rest wait for the next.
-    """
-    from .grid import box_cells, metres, nearest_point, point_cells
-
-    def near(points: DataFrame, targets: DataFrame, reach_m: float) -> DataFrame:
-        t = targets.select(F.col("x").alias("tx"), F.col("y").alias("ty")).withColumns({"min_x": F.col("tx"), "max_x": F.col("tx"), "min_y": F.col("ty"), "max_y": F.col("ty")})
-        met = point_cells(points.select("id", "x", "y"), reach_m).join(box_cells(t, reach_m), ["cx", "cy"])
-        return met.where(metres(F.col("x"), F.col("y"), F.col("tx"), F.col("ty")) <= reach_m).select("id").distinct()
-
-    place = vertices.select(F.col("id").alias("node"), F.col("x").alias("vx"), F.col("y").alias("vy"))
-    starts = cut(nearest_point(anchors, vertices, 4 * gap_m).select(F.col("id").alias("anchor"), F.col("target").alias("node")))
-    reached = cut(shortest_paths(edges, starts.select("node").distinct(), limit).join(starts.select("anchor", F.col("node").alias("start")), "start"))
-    open_, net, out = cut(anchors.select("id", "x", "y")), nodes.select("x", "y"), None
-    for _ in range(rounds):
-        far = open_.join(near(open_, net, gap_m), "id", "left_anti")
-        goals = near(vertices, net, stitch_m).withColumnRenamed("id", "node")
-        mine = reached.join(far.select(F.col("id").alias("anchor")), "anchor")
-        ends = cut(mine.join(goals, "node").groupBy("anchor").agg(F.min(F.struct("cost", "node")).alias("t")).select("anchor", F.col("t.node").alias("node")))
-        if ends.isEmpty():
-            break
-        # an anchor waits while a lower one reaches a vertex that it reaches too
-        lowest = mine.join(ends.select("anchor"), "anchor").select("anchor", "node")
-        first = lowest.groupBy("node").agg(F.min("anchor").alias("least"))
-        waits = lowest.join(first, "node").where("least < anchor").select("anchor").distinct()
-        ready = cut(ends.join(waits, "anchor", "left_anti"))
-        # back along the cheapest way, a step of all ways at a time
-        at = ready.select("anchor", "node", F.lit(0).alias("step"))
-        way = at
-        while not at.isEmpty():
-            at = cut(at.join(mine.select("anchor", "node", "prev"), ["anchor", "node"]).where("prev is not null").select("anchor", F.col("prev").alias("node"), (F.col("step") + 1).alias("step")))
-            way = cut(way.unionByName(at))
-        way = way.join(place, "node").select("anchor", "step", F.col("node").alias("vertex"), F.col("vx").alias("x"), F.col("vy").alias("y"))
-        out = way if out is None else cut(out.unionByName(way))
-        net = cut(net.unionByName(way.select("x", "y")))
-        open_ = cut(open_.join(ready.select(F.col("anchor").alias("id")), "id", "left_anti"))
-    if out is None:
-        return anchors.sparkSession.createDataFrame([], "anchor long, step int, vertex long, x double, y double")
-    return out

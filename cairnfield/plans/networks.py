@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import conflate, graph, grid, measures, trails
+from ..operators import conflate, connect, graph, grid, measures, trails
 from ..operators.ranks import ranked
 from ..sources import views as V
 from ..storage import cut
@@ -66,6 +66,21 @@ def _grid(spark, sf):
     return right.unionByName(up).join(ends, "b").select("a", "b", "cost")
 
 
+@query()
+def connectors(spark, sf):
+    """Suppliers led along a street grid over part keys, 40 wide, to every eleventh crossing, the only ones that the network has."""
+    at = lambda k: ((F.lit(-93.3) + (k % 40).cast("double") / 2e3).alias("x"), (F.lit(44.4) + F.floor(k / 40).cast("double") * 4e-4).alias("y"))
+    k, s = F.col("p_partkey"), F.col("s_suppkey")
+    vertices = V.table(spark, sf, "part").select(k.alias("id"), *at(k))
+    # a block is 45 m at most; some streets are slow
+    edges = _grid(spark, sf).select("a", "b", (F.col("cost") + 45).alias("cost"))
+    # twenty crossings for each supplier, so they spread over the whole grid, neighbours' ids mixed
+    row = s - s % 64 + s % 64 * 37 % 64
+    houses = V.table(spark, sf, "supplier").select(s.alias("id"), (F.lit(-93.3001) + (s * 7919 % 2001).cast("double") / 1e5).alias("x"), (F.lit(44.4002) + row.cast("double") * 2e-4).alias("y"))
+    found = connect.connectors(houses, vertices.where("id % 11 = 0"), vertices, edges, 45.0, 25.0, 150.0)
+    return found.select("anchor", "round", "step", "vertex")
+
+
 @query(f"""WITH RECURSIVE {_GRID}, r(node, cost) USING KEY (node) AS (SELECT CAST(45 AS BIGINT), CAST(0 AS BIGINT) UNION SELECT gb.b, min(r.cost + gb.c) FROM r JOIN gb ON gb.a = r.node LEFT JOIN recurring.r AS old ON old.node = gb.b WHERE r.cost + gb.c <= 120 AND (old.cost IS NULL OR r.cost + gb.c < old.cost) GROUP BY gb.b)
 SELECT node, cost FROM r""")
 def sssp(spark, sf):
