@@ -6,6 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from cairnfield.operators import checks
 from cairnfield.sources import layers
 
 
@@ -70,3 +71,28 @@ def test_vertices_of_collections(spark, tmp_path):
     (tmp_path / "c.geojson").write_text(json.dumps({"type": "FeatureCollection", "name": "c", "features": features}))
     v = layers.vertices(layers.read_layer(spark, str(tmp_path / "c.geojson"), "c"), ["pos"]).orderBy("pos", "part", "seq").collect()
     assert [tuple(r) for r in v] == [(0, 0, 0, 0, 1.0, 2.0), (0, 1, 0, 0, 3.0, 4.0), (0, 2, 0, 0, 5.0, 6.0), (0, 3, 0, 0, 7.0, 8.0), (0, 3, 0, 1, 9.0, 10.0), (1, 0, 0, 0, 0.0, 0.0)]
+
+
+def test_swapped_positions(spark):
+    rows = spark.createDataFrame([(1, [-93.0, 44.5, 300.0]), (2, [1.0, 2.0]), (3, None)], "id int, at array<double>")
+    got = {r["id"]: r["swapped"] for r in rows.select("id", layers.swapped(F.col("at")).alias("swapped")).collect()}
+    assert got[1] == [44.5, -93.0] and got[2] == [2.0, 1.0]  # a height isn't kept
+
+
+def test_geometry_that_a_change_shows(spark):
+    rows = spark.createDataFrame([(1, "moved", "after", "before"), (2, None, "after", "before"), (3, None, None, "before"), (4, None, None, None)], "id int, moved string, after string, before string")
+    shown = layers.moved_geometry(F.col("moved"), F.col("after"), F.col("before"))
+    assert [r["shown"] for r in rows.orderBy("id").select(shown.alias("shown")).collect()] == ["moved", "after", "before", None]
+
+
+def test_titles_of_the_first_source(spark):
+    rows = spark.createDataFrame([("a", "Second", 2), ("a", "First", 1), ("b", "Only", 7), (None, "Of none", 3)], "slug string, title string, pos int")
+    assert {r["slug"]: r["title"] for r in layers.titles(rows).collect()} == {"a": "First", "b": "Only", None: "Of none"}
+    assert layers.titles(rows.where("pos > 9")).count() == 0
+
+
+def test_categories_are_compared_as_sets(spark):
+    wanted = {"hall": ["building", "art"], "lot": ["parking"]}
+    rows = [("order", "hall", ["art", "building"]), ("repeat", "hall", ["building", "art", "art"]), ("less", "hall", ["art"]), ("more", "lot", ["parking", "art"]), ("none", "lot", None), ("empty", "lot", []), ("unknown kind", "tree", ["art"]), ("bare", "tree", None)]
+    found = checks.equal_categories(spark.createDataFrame(rows, "id string, kind string, categories array<string>"), wanted)
+    assert sorted(r["key"] for r in found.collect()) == ["empty", "less", "more", "none", "unknown kind"]
