@@ -10,14 +10,14 @@ from ..storage import cut
 from .grid import box_cells, point_cells
 
 
-def keyed_diff(before: DataFrame, after: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """(key, kind): added, removed, changed or same; null equals null."""
+def keyed_diff(before: DataFrame, after: DataFrame, key: str, fields: list[str], carried: tuple[str, ...] = ()) -> DataFrame:
+    """(key, kind, carried): added, removed, changed or same; null equals null. A key that one version has twice gives a row for each pair of its rows, with the carried columns of that pair, the earlier value first."""
     b, a = before.alias("b"), after.alias("a")
     same = F.lit(True)
     for f in fields:
         same = same & F.col(f"b.{f}").eqNullSafe(F.col(f"a.{f}"))
     kind = F.when(F.col(f"b.{key}").isNull(), "added").when(F.col(f"a.{key}").isNull(), "removed").when(same, "same").otherwise("changed")
-    return b.join(a, F.col(f"b.{key}") == F.col(f"a.{key}"), "full").select(F.coalesce(f"b.{key}", f"a.{key}").alias(key), kind.alias("kind"))
+    return b.join(a, F.col(f"b.{key}") == F.col(f"a.{key}"), "full").select(F.coalesce(f"b.{key}", f"a.{key}").alias(key), kind.alias("kind"), *[F.coalesce(f"b.{c}", f"a.{c}").alias(c) for c in carried])
 
 
 def field_diff(before: DataFrame, after: DataFrame, key: str, fields: list[str]) -> DataFrame:

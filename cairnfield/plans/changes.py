@@ -41,8 +41,7 @@ def _kinds(spark, sf):
 
 def _named_kinds(spark, sf):
     b, a = _versions(spark, sf)
-    who = b.select("id", "name", "brand", F.lit(0).alias("o")).unionByName(a.select("id", "name", "brand", F.lit(1).alias("o"))).groupBy("id").agg(F.min_by("name", "o").alias("name"), F.min_by("brand", "o").alias("brand"))
-    return _kinds(spark, sf).join(who, "id")
+    return diff.keyed_diff(b, a, "id", FIELDS, ("name", "brand"))
 
 
 @query(f"WITH {_DIFF} SELECT id, kind FROM df")
