@@ -28,3 +28,9 @@ def test_change_order_of_an_id_added_twice(spark, folder, copies):
     from cairnfield.plans.changes import QUERIES, SQL
 
     same(QUERIES["change_order"](spark, folder), copies, SQL["change_order"])
+
+
+def test_change_summary_of_an_id_added_twice(spark, folder, copies):
+    from cairnfield.plans.changes import QUERIES, SQL
+
+    same(QUERIES["change_summary"](spark, folder), copies, SQL["change_summary"])
