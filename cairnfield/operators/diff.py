@@ -113,13 +113,12 @@ def change_areas(changes: DataFrame, reach_m: float, new_layer: int = 20) -> Dat
 
     More than `new_layer` added points are a new layer and form one area together, wherever they lie.
     """
-    from .graph import components
-    from .grid import near_points
+    from .grid import linked_points
 
     added = changes.where("kind = 'added'").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first")).first()
     layer = F.col("kind") == "added" if added["n"] > new_layer else F.lit(False)
     rest = changes.where(~layer)
-    roots = components(near_points(rest, reach_m))
+    roots = linked_points(rest, reach_m)
     own = rest.join(roots, F.col("id") == F.col("node"), "left").select(*changes.columns, F.coalesce("root", "id").alias("area"))
     if added["n"] <= new_layer:
         return own
