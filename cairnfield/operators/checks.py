@@ -87,18 +87,24 @@ def same_values(lines: DataFrame, source: DataFrame, key: list[str], but: list[s
     return violations({"differs from its source": lines.where(~F.col(ids).isin(but)).join(source.select(*key), key, "left_anti")}, ids)
 
 
-def graph_faults(nodes: DataFrame, edges: DataFrame, entrances: DataFrame, types: list[str], bounds: tuple[float, float, float, float]) -> DataFrame:
-    """(check_name, key) for a walking graph: nodes (id, x, y) out of bounds (west, south, east, north) or apart from the main component, edges (a, b, type) that are loops, dangle or have no known type, entrances (place, node) without a node."""
+def graph_faults(nodes: DataFrame, edges: DataFrame, entrances: DataFrame, types: list[str], bounds: tuple[float, float, float, float], met: DataFrame | None = None, ties: DataFrame | None = None) -> DataFrame:
+    """(check_name, key) for a walking graph: nodes (id, x, y) out of bounds (west, south, east, north) or apart from the main component, edges (a, b, type) that are loops, dangle or have no known type, entrances (place, node) without a node.
+
+    met: further edges, between two different nodes each, of which only the type
+    is left to look at; ties (node, root): which nodes they connect.
+    """
     from .graph import components
 
     west, south, east, north = bounds
     known = nodes.select("id").distinct()
     sound = edges.join(known.withColumnRenamed("id", "a"), "a").join(known.withColumnRenamed("id", "b"), "b")
-    roots = known.join(components(sound.select("a", "b")), F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root"))
+    tied = sound.select("a", "b") if ties is None else sound.select("a", "b").unionByName(ties.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    roots = known.join(components(tied), F.col("id") == F.col("node"), "left").select("id", F.coalesce("root", "id").alias("root"))
     size = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
     main = size.agg(F.max(F.struct("n", (-F.col("root")).alias("turn"))).alias("t")).select((-F.col("t.turn")).alias("main"))
     apart = roots.join(F.broadcast(main), F.col("root") == F.col("main"), "left_anti")  # one row is sent
     ends = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    typed = edges.select("a", "b", "type") if met is None else edges.select("a", "b", "type").unionByName(met.select("a", "b", "type"))
     edge = lambda df: df.select(F.concat_ws("-", F.col("a").cast("string"), F.col("b").cast("string")).alias("id"))
     return violations(
         {
@@ -106,7 +112,7 @@ def graph_faults(nodes: DataFrame, edges: DataFrame, entrances: DataFrame, types
             "apart": apart.select("id"),
             "loop": edge(edges.where("a = b")),
             "dangling": ends.join(known, "id", "left_anti"),
-            "unknown type": edge(edges.where(~F.col("type").isin(types))),
+            "unknown type": edge(typed.where(~F.col("type").isin(types))),
             "entrance without a node": entrances.select(F.col("node").alias("id")).distinct().join(known, "id", "left_anti"),
         },
         "id",
