@@ -135,16 +135,7 @@ def merge_by_kind(spark, sf):
 
 def _apart(v, reach=2000.0):
     """(id, m): metres from each area's vertices (id, x, y) to the nearest vertex of another, however far."""
-    rest, found = v, None
-    several = v.agg(F.min("id") < F.max("id")).first()[0]
-    while found is None or (several and not rest.isEmpty()):
-        t = v.select(F.col("id").alias("b"), F.col("x").alias("bx"), F.col("y").alias("by")).withColumns({"min_x": F.col("bx"), "max_x": F.col("bx"), "min_y": F.col("by"), "max_y": F.col("by")})
-        met = grid.point_cells(rest, reach).join(grid.box_cells(t, reach), ["cx", "cy"]).where("id <> b").withColumn("m", geo.metres(F.col("x"), F.col("y"), F.col("bx"), F.col("by"))).where(F.col("m") <= reach)
-        best = cut(met.groupBy("id").agg(F.min("m").alias("m")))
-        found = best if found is None else found.unionByName(best)
-        rest = cut(rest.join(best.select("id"), "id", "left_anti"))
-        reach *= 2
-    return found
+    return grid.nearest_other(v, reach)
 
 
 @query(f"WITH {PT}, {POLY}, v AS (SELECT DISTINCT id, x, y FROM poly WHERE ring = 0), d AS (SELECT a.id, min({metres('a.', 'b.')}) AS m FROM v a JOIN v b ON a.id <> b.id GROUP BY a.id), r AS (SELECT m, row_number() OVER (ORDER BY m) - 1 AS rn, count(*) OVER () AS n FROM d) SELECT n, round(m, 2) AS upper_median FROM r WHERE rn = n // 2")
