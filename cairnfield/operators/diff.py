@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import metres
 from ..storage import cut
-from .grid import box_cells, point_cells
+from .grid import box_cells, dealt, point_cells
 
 
 def keyed_diff(before: DataFrame, after: DataFrame, key: str, fields: list[str], carried: tuple[str, ...] = ()) -> DataFrame:
@@ -44,18 +44,18 @@ def paired_renames(removed: DataFrame, added: DataFrame, reach_m: float, rounds:
     """
     old = point_cells(removed.select(F.col("id").alias("old"), "kind", "x", "y"), reach_m)
     new = added.select(F.col("id").alias("new"), "kind", F.col("x").alias("tx"), F.col("y").alias("ty")).withColumns({"min_x": F.col("tx"), "max_x": F.col("tx"), "min_y": F.col("ty"), "max_y": F.col("ty")})
-    met = old.join(box_cells(new, reach_m), ["kind", "cx", "cy"]).withColumn("m", metres(F.col("x"), F.col("y"), F.col("tx"), F.col("ty"))).where(F.col("m") <= reach_m)
+    met = dealt(old, box_cells(new, reach_m), ["kind", "cx", "cy"]).withColumn("m", metres(F.col("x"), F.col("y"), F.col("tx"), F.col("ty"))).where(F.col("m") <= reach_m)
     open_ = cut(met.select("old", "new", "m"))
     held = None
     for _ in range(rounds):
         asks = open_.groupBy("old").agg(F.min(F.struct("m", "new")).alias("t")).select("old", F.col("t.new").alias("new"), F.col("t.m").alias("m"))
         best = asks.groupBy("new").agg(F.min("old").alias("old"))
         # an old id is refused where a lower one asks; the refused pair is out for good
-        refused = asks.join(best.withColumnRenamed("old", "winner"), "new").where("old <> winner").select("old", "new")
-        held = asks.join(best, ["new", "old"]).select("old", "new", "m")
+        refused = asks.join(best.withColumnRenamed("old", "winner").hint("merge"), "new").where("old <> winner").select("old", "new")
+        held = asks.join(best.hint("merge"), ["new", "old"]).select("old", "new", "m")
         if refused.isEmpty():
             return held
-        open_ = cut(open_.join(refused, ["old", "new"], "left_anti"))
+        open_ = cut(open_.join(refused.hint("merge"), ["old", "new"], "left_anti"))
     raise RuntimeError(f"pairs did not settle in {rounds} rounds")
 
 
