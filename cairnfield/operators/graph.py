@@ -6,7 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..storage import cut
+from ..functions.geo import metres
+from ..storage import cut, stored
 from .measures import segments
 
 
@@ -132,6 +133,49 @@ def icp(nodes: DataFrame, anchors: DataFrame, segments: DataFrame, far_m: float
     return fit
 
 
+def _relabelled(held: DataFrame, ties: DataFrame) -> DataFrame:
+    """held (id, label, ...) with the labels that ties (a, b) bring together made one."""
+    roots = components(ties).withColumnRenamed("node", "label")
+    return spread_join(held, roots, "label", "left").withColumn("label", F.coalesce("root", "label")).drop("root")
+
+
+def linked_lines(vertices: DataFrame, reach_m: float) -> DataFrame:
+    """(id, label): the lines (trail, line as id) with what they are linked to, by lines of their trail that a vertex of one lies within reach of; vertices: trail, line, seq, x, y.
+
+    Lines with a vertex in one small cell are tied to its first line, the first
+    ones of cells to each other. Vertices and segments are compared only between
+    a trail's largest set and what is not in it yet, or among the latter, so
+    dense trails bring few pairs.
+    """
+    from .grid import SIDE, _point_boxes, box_cells, dealt, near_few_segments, near_segments, point_cells, to_segment
+
+    v = stored(vertices.select("trail", F.struct("trail", "line").alias("id"), "line", "seq", "x", "y"), "vertices")
+    sides = segments(v, ["trail", "id"]).select("trail", "id", "x0", "y0", "x1", "y1")
+    lines = cut(v.groupBy("trail", "id").agg(F.count(F.lit(1)).alias("n")).select("trail", "id", F.col("id").alias("label"), (F.col("n") > 1).alias("long")))
+    # a line of one vertex has no segment that others could be near to
+    long = v.join(lines.where("long").select("id"), "id", "left_semi")
+    cells = point_cells(long.select("trail", "id", "x", "y"), reach_m / 2)
+    first = cut(cells.groupBy("trail", "cx", "cy").agg(F.min(F.struct("id", "x", "y")).alias("r")))
+    near = metres(F.col("x"), F.col("y"), F.col("r.x"), F.col("r.y")) <= reach_m
+    ties = cells.join(first, ["trail", "cx", "cy"]).where(near).select(F.col("id").alias("a"), F.col("r.id").alias("b")).where("a <> b").distinct()
+    lines = cut(_relabelled(lines, ties))
+    heads = cut(first.select(F.col("trail"), F.col("r.id").alias("id"), F.col("r.x").alias("x"), F.col("r.y").alias("y")).join(lines.select("id", "label"), "id").drop("id"))
+    other = _point_boxes(heads.select("trail", F.col("label").alias("other"), F.col("x").alias("bx"), F.col("y").alias("by")), "bx", "by")
+    met = dealt(point_cells(heads, reach_m), box_cells(other, reach_m), ["trail", "cx", "cy"]).where("label < other")
+    met = met.where(metres(F.col("x"), F.col("y"), F.col("bx") + F.col("shift"), F.col("by")) <= reach_m)
+    lines = cut(_relabelled(lines, met.select(F.col("label").alias("a"), F.col("other").alias("b")).distinct()))
+    largest = lines.where("long").groupBy("trail", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("trail").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
+    lines = cut(lines.join(largest, "trail", "left").withColumn("apart", ~F.col("label").eqNullSafe(F.col("main"))).drop("main"))
+    # two different sets are never both the largest one
+    told = lines.select("id", "label", "apart")
+    spots = v.select("trail", "id", "x", "y").join(told, "id").drop("id")
+    edges = sides.join(told.withColumnsRenamed({"label": "other", "apart": "off"}), "id").drop("id")
+    to = to_segment(*[F.col(c) for c in SIDE]) <= reach_m
+    pairs = near_segments(spots.where("apart").drop("apart"), edges.drop("off"), reach_m, ("trail",)).where("label <> other").where(to).select("label", "other")
+    pairs = pairs.unionByName(near_few_segments(spots.where("not apart").drop("apart"), edges.where("off").drop("off"), reach_m, ("trail",)).where("label <> other").where(to).select("label", "other"))
+    return _relabelled(lines.select("id", "label"), pairs.select(F.col("label").alias("a"), F.col("other").alias("b")).distinct())
+
+
 def assembled(vertices: DataFrame, reach_m: float) -> DataFrame:
     """(trail, pieces, parts, metres, vertices): lines put together to trails. vertices: trail, line, seq, x, y.
 
@@ -139,17 +183,11 @@ def assembled(vertices: DataFrame, reach_m: float) -> DataFrame:
     other, at an end or along it. parts is how many separate pieces are left: a
     trail that is whole has one.
     """
-    from .grid import SIDE, near_segments
     from .measures import lengths
 
-    ends = vertices.select("trail", F.struct("trail", "line").alias("id"), "x", "y")
-    sides = segments(vertices.select("trail", F.struct("trail", "line").alias("other"), "seq", "x", "y"), ["trail", "other"]).drop("seq")
-    from ..functions.geo import to_segment
-
-    met = near_segments(ends, sides, reach_m, ("trail",)).where((F.col("id") != F.col("other")) & (to_segment(*[F.col(c) for c in SIDE]) <= reach_m))
-    roots = components(met.select(F.col("id").alias("a"), F.col("other").alias("b")).distinct())
+    roots = linked_lines(vertices, reach_m).select(F.col("id.trail").alias("trail"), F.col("id.line").alias("line"), F.col("label.line").alias("part"))
     lines = vertices.groupBy("trail", "line").agg(F.count(F.lit(1)).alias("n")).join(lengths(vertices, ["trail", "line"]), ["trail", "line"], "left")
-    tied = lines.join(roots, F.struct("trail", "line") == F.col("node"), "left").withColumn("part", F.coalesce("root.line", "line"))
+    tied = lines.join(roots, ["trail", "line"], "left").withColumn("part", F.coalesce("part", "line"))
     return tied.groupBy("trail").agg(F.count(F.lit(1)).alias("pieces"), F.count_distinct("part").alias("parts"), F.coalesce(F.sum("metres"), F.lit(0.0)).alias("metres"), F.sum("n").alias("vertices"))
 
 
