@@ -99,11 +99,13 @@ def summarised(changes: DataFrame, group: list[str], name: str, most: int = 10,
     """Per group: n, and names: all if there are at most `most`, cut to `shown` and "and n more" beyond `shown`.
 
     Names are kept while grouping only as far as they can be shown: the lowest ones.
+    Missing names come last and aren't written; where all that would be shown are missing, there is no text.
     """
-    w = Window.partitionBy(*group).orderBy(name)
+    w = Window.partitionBy(*group).orderBy(F.asc_nulls_last(name))
     n = F.count(F.lit(1)).over(Window.partitionBy(*group))
     lowest = changes.withColumns({"_rn": F.row_number().over(w), "_n": n}).where(F.col("_rn") <= shown)
-    out = lowest.groupBy(*group).agg(F.first("_n").alias("n"), F.array_join(F.array_sort(F.collect_list(name)), ", ").alias("_names"))
+    out = lowest.groupBy(*group).agg(F.first("_n").alias("n"), F.array_sort(F.collect_list(name)).alias("_names"))
+    out = out.withColumn("_names", F.when(F.size("_names") > 0, F.array_join("_names", ", ")))
     text = F.when(F.col("n") > most, F.lit(None)).when(F.col("n") > shown, F.concat("_names", F.lit(" and "), (F.col("n") - shown).cast("string"), F.lit(" more"))).otherwise(F.col("_names"))
     return out.select(*group, "n", text.alias("names"))
 

@@ -48,3 +48,16 @@ def test_lines_anti_of_lines_that_take_the_same_way(spark, tmp_path):
     c.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
     assert c.execute(SQL["lines_anti"]).fetchall() == [(5999002,)]
     same(QUERIES["lines_anti"](spark, str(tmp_path)), c, SQL["lines_anti"])
+
+
+def test_change_summary_of_missing_names(spark, tmp_path):
+    import duckdb
+
+    from cairnfield.plans.changes import QUERIES, SQL
+
+    part = spark.read.parquet(f"{DATA}/sf0.001/part.parquet")
+    lost = "CASE WHEN p_partkey % 3 <> 0 THEN p_name END AS p_name"
+    part.selectExpr(lost, *[c for c in part.columns if c != "p_name"]).write.parquet(f"{tmp_path}/part.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    same(QUERIES["change_summary"](spark, str(tmp_path)), c, SQL["change_summary"])
