@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import LAT_M, LON_M, metres
+from ..functions.geo import metres
 from ..storage import cut
-from .grid import box_cells, near_boxes, nearest_point, point_cells
+from .grid import box_cells, nearest_point, point_cells
 
 #: Steps that ways are followed by in one job.
 STEPS = 4
 
 
+def _pairs(points: DataFrame, targets: DataFrame, reach_m: float) -> DataFrame:
+    """points and targets (x, y) within reach, the other columns of both. The point is the centre."""
+    t = targets.withColumnsRenamed({"x": "tx", "y": "ty"}).withColumns({"min_x": F.col("tx"), "max_x": F.col("tx"), "min_y": F.col("ty"), "max_y": F.col("ty")})
+    met = point_cells(points, reach_m).join(box_cells(t, reach_m), ["cx", "cy"])
+    met = met.where(metres(F.col("x"), F.col("y"), F.col("tx") + F.col("shift"), F.col("ty")) <= reach_m)
+    return met.drop("x", "y", "tx", "ty", "min_x", "max_x", "min_y", "max_y", "cx", "cy", "shift")
+
+
 def _near(points: DataFrame, targets: DataFrame, reach_m: float, key: str) -> DataFrame:
     """The keys of the points within reach of a target (x, y)."""
-    t = targets.select(F.col("x").alias("tx"), F.col("y").alias("ty")).withColumns({"min_x": F.col("tx"), "max_x": F.col("tx"), "min_y": F.col("ty"), "max_y": F.col("ty")})
-    met = point_cells(points.select(key, "x", "y"), reach_m).join(box_cells(t, reach_m), ["cx", "cy"])
-    return met.where(metres(F.col("x"), F.col("y"), F.col("tx") + F.col("shift"), F.col("ty")) <= reach_m).select(key).distinct()
+    return _pairs(points.select(key, "x", "y"), targets.select("x", "y"), reach_m).distinct()
 
 
 def relaxed(known: DataFrame, goals: DataFrame, both: DataFrame, limit: float, rounds: int = 1000) -> DataFrame:
@@ -63,23 +69,33 @@ def followed(starts: DataFrame, known: DataFrame) -> DataFrame:
             return done
 
 
-def _held_up(open_: DataFrame, gap_m: float, stitch_m: float) -> DataFrame:
-    """The anchors that a lower one may still matter to, or be mattered to by.
+def _reached(starts: DataFrame, both: DataFrame, limit: float) -> DataFrame:
+    """(anchor, vertex, cost): the vertices that a way of each anchor (anchor, node) of at most `limit` can lead over, each with its least cost."""
+    known = front = cut(starts.select("anchor", F.col("node").alias("vertex"), F.lit(0.0).alias("cost")))
+    while not front.isEmpty():
+        sent = front.join(both, F.col("vertex") == F.col("node")).select("anchor", F.col("b").alias("vertex"), (F.col("cost") + F.col("w")).alias("cost")).where(F.col("cost") <= limit)
+        sent = sent.groupBy("anchor", "vertex").agg(F.min("cost").alias("cost"))
+        lower = cut(sent.join(known.withColumnRenamed("cost", "was"), ["anchor", "vertex"], "left").where("was is null or cost < was").select("anchor", "vertex", "cost"))
+        known = cut(known.unionByName(lower).groupBy("anchor", "vertex").agg(F.min("cost").alias("cost")))
+        front = lower
+    return known
+
+
+def _held_up(open_: DataFrame, reached: DataFrame, beside: DataFrame, around: DataFrame) -> DataFrame:
+    """The anchors that a lower one may still matter to.
 
-    open_: anchor, x, y, sx, sy (its start), m (metres to it), cost (no more
-    than this will its way cost). A way stays within its cost of its start, as
-    edges cost no less than their metres. So two anchors are apart if neither
-    way can end at the other, nor pass within the gap of the other's place.
+    open_: anchor, cost (no more than this will its way cost). reached: the
+    vertices that ways can lead over; beside: vertices (vertex) whose way makes
+    others (goal) part of the network; around: vertices whose way puts an anchor
+    on the network. Each vertex keeps the lowest anchor whose way can come
+    there, so anchors aren't paired.
     """
-    reach = F.col("cost") + F.col("m") + F.lit(max(gap_m, stitch_m))
-    dy, dx = reach / LAT_M, reach / (LON_M * F.cos(F.radians(F.least(F.abs("sy") + reach / LAT_M, F.lit(89.0)))))
-    box = open_.select(F.col("anchor").alias("id"), (F.col("sx") - dx).alias("min_x"), (F.col("sx") + dx).alias("max_x"), (F.col("sy") - dy).alias("min_y"), (F.col("sy") + dy).alias("max_y"))
-    side = lambda p: open_.select(F.col("anchor").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in ("x", "y", "sx", "sy", "cost")])
-    apart: Column = metres(F.col("a_sx"), F.col("a_sy"), F.col("b_sx"), F.col("b_sy"))
-    meets = apart <= F.col("a_cost") + F.col("b_cost") + stitch_m
-    for own, other in (("a", "b"), ("b", "a")):
-        meets |= metres(F.col(f"{own}_x"), F.col(f"{own}_y"), F.col(f"{other}_sx"), F.col(f"{other}_sy")) <= F.col(f"{other}_cost") + gap_m
-    return near_boxes(box, 0.0, 0.0, gap_m).join(side("a"), "a").join(side("b"), "b").where(meets).select(F.col("b").alias("anchor")).distinct()
+    # a little more than the cost, as it is added up from the other end
+    can = reached.join(open_.select("anchor", F.col("cost").alias("most")), "anchor").where(F.col("cost") <= F.col("most") * (1 + 1e-9) + 1e-6).select("anchor", "vertex")
+    first = can.groupBy("vertex").agg(F.min("anchor").alias("first"))
+    goals = first.join(beside, "vertex").groupBy("goal").agg(F.min("first").alias("first")).withColumnRenamed("goal", "vertex")
+    met = can.join(goals, "vertex").unionByName(around.join(first, "vertex").select("vertex", "anchor", "first"))
+    return met.where("first < anchor").select("anchor").distinct()
 
 
 def connectors(anchors: DataFrame, nodes: DataFrame, vertices: DataFrame, edges: DataFrame, gap_m: float, stitch_m: float, limit: float, rounds: int = 1000) -> DataFrame:
@@ -94,30 +110,37 @@ def connectors(anchors: DataFrame, nodes: DataFrame, vertices: DataFrame, edges:
 
     Vertices keep one label each, the cheapest way to the network, and labels
     are relaxed again from what joins it. A round settles all anchors that no
-    lower one can reach any more, at least the lowest; so the result is that of
-    going through them one by one. Places far apart are settled in the first
-    rounds, so the number of rounds follows how many lie in one another's reach.
+    lower one's way can come to any more, at least the lowest; so the result is
+    that of going through them one by one. Which vertices a way can lead over is
+    known from the start and holds less the less it may cost, so the number of
+    rounds follows the longest row of anchors whose ways can meet, in the order
+    of their ids.
     """
     spark = anchors.sparkSession
     both = cut(edges.where("a <> b and cost is not null").select(F.col("a").alias("node"), "b", F.col("cost").alias("w")).unionByName(edges.where("a <> b and cost is not null").select(F.col("b").alias("node"), F.col("a").alias("b"), F.col("cost").alias("w"))))
     place = cut(vertices.select(F.col("id").alias("node"), "x", "y"))
     rows = anchors.select(F.col("id").alias("anchor"), "x", "y")
     far = cut(rows.join(_near(rows, nodes, gap_m, "anchor"), "anchor", "left_anti"))
-    starts = nearest_point(far.withColumnRenamed("anchor", "id"), vertices, 4 * gap_m).select(F.col("id").alias("anchor"), F.col("target").alias("node"), "m")
-    open_ = cut(far.join(starts, "anchor").join(place.select("node", F.col("x").alias("sx"), F.col("y").alias("sy")), "node"))
+    starts = nearest_point(far.withColumnRenamed("anchor", "id"), vertices, 4 * gap_m).select(F.col("id").alias("anchor"), F.col("target").alias("node"))
+    open_ = cut(far.select("anchor").join(starts, "anchor"))
+    reached = _reached(open_, both, limit * (1 + 1e-9) + 1e-6)
+    spots = reached.select("vertex").distinct().join(place.withColumnRenamed("node", "vertex"), "vertex")
+    beside = cut(_pairs(place.withColumnRenamed("node", "goal"), spots, stitch_m))
+    around = cut(_pairs(far, spots, gap_m))
     known = spark.createDataFrame([], "node long, at struct<cost:double,next:long>")
-    fresh, out = nodes.select("x", "y"), None
+    goals, out = _near(place, nodes, stitch_m, "node"), None
     for turn in range(rounds):
-        known = relaxed(known, _near(place, fresh, stitch_m, "node"), both, limit)
+        known = relaxed(known, goals, both, limit)
         # without a way yet, it may get one of up to the limit
         now = cut(open_.join(known, "node", "left").select(open_["*"], F.coalesce("at.cost", F.lit(limit)).alias("cost"), F.col("at").isNotNull().alias("has_way")))
-        ready = cut(now.join(_held_up(now, gap_m, stitch_m), "anchor", "left_anti"))
-        ways = followed(ready.where("has_way").select("anchor", "node"), known).select("anchor", F.lit(turn).alias("round"), F.posexplode("way").alias("step", "node"))
-        ways = cut(ways.join(place, "node").select("anchor", "round", "step", F.col("node").alias("vertex"), "x", "y"))
+        ready = cut(now.join(_held_up(now, reached, beside, around), "anchor", "left_anti"))
+        ways = followed(ready.where("has_way").select("anchor", "node"), known).select("anchor", F.lit(turn).alias("round"), F.posexplode("way").alias("step", "vertex"))
+        ways = cut(ways)
         out = ways if out is None else out.unionByName(ways)
-        open_ = open_.join(ready.select("anchor"), "anchor", "left_anti")
-        fresh = ways.select("x", "y")
-        open_ = cut(open_.join(_near(open_, fresh, gap_m, "anchor"), "anchor", "left_anti"))
+        fresh = ways.select("vertex").distinct()
+        gone = ready.select("anchor").unionByName(around.join(fresh, "vertex").select("anchor"))
+        open_ = cut(open_.join(gone, "anchor", "left_anti"))
         if open_.isEmpty():
-            return out
+            return out.join(place.withColumnRenamed("node", "vertex"), "vertex").select("anchor", "round", "step", "vertex", "x", "y")
+        goals = beside.join(fresh, "vertex").select(F.col("goal").alias("node")).distinct()
     raise RuntimeError(f"connectors did not settle in {rounds} rounds")

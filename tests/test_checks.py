@@ -96,3 +96,16 @@ def test_connectors_as_one_by_one(spark):
         ways.setdefault(r["anchor"], []).append(r["vertex"])
     assert ways == one_by_one(houses, nodes, vertices, edges, 45.0, 25.0, 200.0)
     assert len(ways) > 4 and 0 < max(r["round"] for r in got)
+
+
+def test_connectors_whose_ways_cannot_meet_settle_at_once(spark):
+    from cairnfield.operators import connect
+
+    # three streets side by side, closer than their ways are long, with nothing between them
+    spots = [(10 * k + i, -93.0 + 0.001 * i, 44.0 + 0.001 * k) for k in range(3) for i in range(4)]
+    vertices = spark.createDataFrame(spots, "id long, x double, y double")
+    edges = spark.createDataFrame([(10 * k + i, 10 * k + i + 1, 80.0) for k in range(3) for i in range(3)], "a long, b long, cost double")
+    houses = vertices.where("id % 10 = 3").selectExpr("id", "x", "y + 0.0001 AS y")
+    got = connect.connectors(houses, vertices.where("id % 10 = 0"), vertices, edges, 45.0, 25.0, 300.0).collect()
+    assert {(r["anchor"], r["vertex"]) for r in got} == {(10 * k + 3, 10 * k + i) for k in range(3) for i in range(4)}
+    assert {r["round"] for r in got} == {0}
