@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import cut, ship, slices, text_buffers
+from .common import cut, probably_in, ship, slices, text_buffers
 from ..operators.graph import components
 
 #: Coordinates of a sketch; rows of a bucket whose sketches, and whose whole sets, are compared in one go.
@@ -274,7 +274,7 @@ def similar_classes(docs: DataFrame, size: int = 5, threshold: float = 0.8, miss
     mates = cut(groups.join(counted, "root").join(sets.select("name", "copies", "one"), F.col("node") == F.col("name")).select("name", "copies", "one", F.col("root").alias("bucket"), "n"))
     # whole sets, of those that have a candidate only
     picked = mates.select("name", F.col("one.doc_id").alias("p_id"), F.col("one.mark").alias("p_mark"))
-    texts = base.join(picked, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("mark") == F.col("p_mark"))).select("name", "text")
+    texts = probably_in(base, picked, ["doc_id", "mark"], ["p_id", "p_mark"]).join(picked, F.col("doc_id").eqNullSafe(F.col("p_id")) & (F.col("mark") == F.col("p_mark"))).select("name", "text")
     whole = texts.mapInArrow(lambda it: _sets(it, size), "name long, members binary").groupBy("name").agg(F.first("members").alias("members"))
     mates = mates.drop("one")
     rows = mates.join(whole, "name")

@@ -486,3 +486,31 @@ def test_line_dedup_finds_lines_with_several_edits(spark):
                 n += 1
     got = {r["doc_id"] for r in lines.dedup_lines(frame(spark, docs)).where("lines_removed > 0").select("doc_id").collect()}
     assert n > 40 and all(i % 2 for i in got) and len(got) >= 0.95 * n
+
+
+def test_rows_that_may_be_wanted(spark):
+    """No wanted row is lost, null keys included, and few others stay."""
+    from cairnfield.llm.common import probably_in
+
+    rows = spark.range(20_000).selectExpr("CASE WHEN id > 0 THEN id END AS doc_id", "id * 7 AS mark", "repeat('x', 9) AS text")
+    wanted = rows.where("mark % 10 = 0").selectExpr("doc_id AS p_id", "mark AS p_mark")
+    got = probably_in(rows, wanted, ["doc_id", "mark"], ["p_id", "p_mark"])
+    assert got.columns == rows.columns
+    assert got.where("mark % 10 = 0").count() == wanted.count() == 2000
+    assert got.count() < 2100
+
+
+def test_texts_without_candidates_are_not_shuffled(spark, tmp_path):
+    """Of texts that have no similar one, only their sketches travel."""
+    from cairnfield.llm import jaccard
+
+    made = []
+    real = jaccard.probably_in
+    jaccard.probably_in = lambda *a: made.append(real(*a)) or made[-1]
+    try:
+        docs = spark.createDataFrame([(i, " ".join(f"w{i}x{j}" for j in range(40))) for i in range(300)] + [(1000 + i, " ".join(f"same{j}" for j in range(40 + i))) for i in range(4)], "doc_id long, text string")
+        classes = {r["doc_id"]: r["class_id"] for r in jaccard.similar_classes(docs).collect()}
+    finally:
+        jaccard.probably_in = real
+    assert {classes[1000 + i] for i in range(4)} == {1000} and all(classes[i] == i for i in range(300))
+    assert made[0].count() <= 8
