@@ -59,10 +59,24 @@ def paired_renames(removed: DataFrame, added: DataFrame, reach_m: float, rounds:
     raise RuntimeError(f"pairs did not settle in {rounds} rounds")
 
 
+#: Characters of text whose words one task counts.
+CHARS_A_TASK = 4_000_000
+
+
+def in_even_parts(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """rows dealt out by `key` into as many parts as their text asks for, the shuffle partitions at least: what is made of a part does not grow with the table. AQE does not gather them again."""
+    chars = rows.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
+    return rows.repartition(max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-chars // CHARS_A_TASK)), key)
+
+
 def word_bag_diff(rows: DataFrame, key: list[str], before: str, after: str) -> DataFrame:
-    """(key, word, n): words that `after` has more (n > 0) or less often than `before`."""
-    side = lambda c, n: rows.select(*key, F.explode(F.filter(F.split(F.coalesce(c, F.lit("")), r"\s+"), lambda w: w != "")).alias("word"), F.lit(n).alias("n"))
-    both = side(F.col(before), -1).unionByName(side(F.col(after), 1))
+    """(key, word, n): words that `after` has more (n > 0) or less often than `before`.
+
+    Both sides of a row are counted where it lies: rows that are dealt out by a
+    column of the key are not shuffled again.
+    """
+    words = lambda c, n: F.transform(F.filter(F.split(F.coalesce(c, F.lit("")), r"\s+"), lambda w: w != ""), lambda w: F.struct(w.alias("word"), F.lit(n).alias("n")))
+    both = rows.select(*key, F.explode(F.concat(words(F.col(before), -1), words(F.col(after), 1))).alias("w")).select(*key, "w.word", "w.n")
     return both.groupBy(*key, "word").agg(F.sum("n").alias("n")).where("n <> 0")
 
 

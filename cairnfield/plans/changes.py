@@ -102,7 +102,8 @@ _TURNS = "t AS (SELECT conv_id, turn, lag(text) OVER (PARTITION BY conv_id ORDER
 
 def _turns(spark, sf):
     w = Window.partitionBy("conv_id").orderBy("turn", "text")
-    return V.table(spark, sf, "conversations").select("conv_id", "turn", F.lag("text").over(w).alias("before"), F.col("text").alias("after")).where("before is not null")
+    rows = diff.in_even_parts(V.table(spark, sf, "conversations").select("conv_id", "turn", "text"), "conv_id", "text")
+    return rows.select("conv_id", "turn", F.lag("text").over(w).alias("before"), F.col("text").alias("after")).where("before is not null")
 
 
 @query(f"""WITH {_TURNS}, w AS (SELECT conv_id, turn, unnest(string_split_regex(bt, '\\s+')) AS word, -1 AS n FROM tp UNION ALL SELECT conv_id, turn, unnest(string_split_regex(nt, '\\s+')), 1 FROM tp)

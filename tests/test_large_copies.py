@@ -61,3 +61,16 @@ def test_change_summary_of_missing_names(spark, tmp_path):
     c = duckdb.connect()
     c.execute(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
     same(QUERIES["change_summary"](spark, str(tmp_path)), c, SQL["change_summary"])
+
+
+def test_words_are_counted_in_parts_that_follow_the_text(spark, duck, monkeypatch):
+    from cairnfield.operators import diff
+    from cairnfield.plans.changes import QUERIES, SQL
+
+    monkeypatch.setattr(diff, "CHARS_A_TASK", 1000)
+    got = QUERIES["word_bag_diff"](spark, f"{DATA}/sf0.001")
+    chars = spark.read.parquet(f"{DATA}/sf0.001/conversations.parquet").selectExpr("sum(length(text))").first()[0]
+    assert got.rdd.getNumPartitions() == -(-chars // 1000) > 4
+    # words themselves are never shuffled
+    assert got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
+    same(got, duck, SQL["word_bag_diff"])
