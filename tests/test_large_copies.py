@@ -74,3 +74,17 @@ def test_words_are_counted_in_parts_that_follow_the_text(spark, duck, monkeypatc
     # words themselves are never shuffled
     assert got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 1
     same(got, duck, SQL["word_bag_diff"])
+
+
+def test_short_lines_are_simplified_in_one_row(spark, monkeypatch):
+    from cairnfield.operators import measures
+    from cairnfield.sources import views
+
+    v = views.line_vertices(spark, f"{DATA}/sf0.001").where("line % 5 = 0")
+    kept = lambda: {(r["line"], r["seq"]) for r in measures.simplified(v, ["line"], 0.00008).collect()}
+    short = kept()
+    monkeypatch.setattr(measures, "FEW_VERTICES", 3)
+    assert kept() == short
+    monkeypatch.setattr(measures, "_simplified_many", None)
+    monkeypatch.setattr(measures, "FEW_VERTICES", 64)
+    assert kept() == short
