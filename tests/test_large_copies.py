@@ -88,3 +88,16 @@ def test_short_lines_are_simplified_in_one_row(spark, monkeypatch):
     monkeypatch.setattr(measures, "_simplified_many", None)
     monkeypatch.setattr(measures, "FEW_VERTICES", 64)
     assert kept() == short
+
+
+def test_arrays_are_rounded_in_few_passes(spark):
+    from pyspark.sql import functions as F
+
+    from cairnfield.functions import geo
+
+    odd = [0.0, -0.0, 1e-7, 5e-8, 1.5e-7, 2.5e-7, -93.12345675, 44.98765435, 123.00000005, 1e8, 1e300, float("nan"), None]
+    rows = spark.createDataFrame([(v,) for v in odd], "c double")
+    both = geo.with_rounded(rows, {"one": F.col("c")}).select("one", F.get(geo.rounded_each(F.array("c")), 0).alias("each"))
+    assert both.where("not (one <=> each)").count() == 0
+    plan = rows.select(geo.rounded_each(F.array("c")).alias("x"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("transform(") <= 8
