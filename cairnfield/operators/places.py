@@ -126,7 +126,7 @@ def built(features: DataFrame, superseded: DataFrame, areas: DataFrame, reach_m:
 
     features: slug, pos, name, x, y, categories, links. Unnamed ones are no
     places; superseded ones (slug, name) go; trails (as trail_features() gives
-    them) come in; ids are given, those that are pinned (slug, name, id) kept;
+    them) come in; ids are given, those that are pinned (slug, name, id, and pos if need be) kept;
     each place gets the nearest area (fid, owner, ring, x0, y0, x1, y1) within
     reach, before names change, but for parents set by hand (id, parent); parts
     (id, name, x, y, categories, links) become places of their own; then
@@ -144,7 +144,9 @@ def built(features: DataFrame, superseded: DataFrame, areas: DataFrame, reach_m:
         places = places.unionByName(trails)
     fixed = None
     if pinned is not None:
-        places, fixed = places.join(pinned.select("slug", "name", F.col("id").alias("pin")), ["slug", "name"], "left"), "pin"
+        # where several features of a layer have one name, pos tells which of them is meant
+        by = ["slug", "name", *(c for c in ("pos",) if c in pinned.columns)]
+        places, fixed = places.join(pinned.select(*by, F.col("id").alias("pin")), by, "left"), "pin"
     places = conflate.assign_ids(places, prefix, F.col("name"), "pos", fixed)
     near = grid.within_polygons(places.select("id", "x", "y"), areas.select("fid", "ring", "x0", "y0", "x1", "y1"), reach_m)
     parent = near.groupBy("id").agg(F.min(F.struct("m", "fid")).alias("t")).select("id", F.col("t.fid").alias("parent"))

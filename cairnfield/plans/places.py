@@ -83,7 +83,7 @@ _SLUG = "regexp_replace(lower(name), '[^a-z0-9]+', '', 'g')"
 
 
 @query(f"""WITH {PT}, {POLY}, {_TRAILS}, gone AS (SELECT DISTINCT c_mktsegment AS kind, c_name AS name FROM customer WHERE c_acctbal < -900),
-piece AS (SELECT v.* FROM vert v LEFT JOIN near n USING (trail, nth) WHERE v.nth % 40 = 1 AND (v.side IS NULL OR (n.m <= 5 AND ((v.side = 'until' AND v.seq <= n.at) OR (v.side = 'from' AND v.seq >= n.at))))),
+piece AS (SELECT v.* FROM vert v LEFT JOIN near n USING (trail, nth) WHERE v.side IS NULL OR (n.m <= 5 AND ((v.side = 'until' AND v.seq <= n.at) OR (v.side = 'from' AND v.seq >= n.at)))),
 tr AS (SELECT 'Trail ' || trail AS name, x, y FROM (SELECT *, row_number() OVER (PARTITION BY trail ORDER BY nth, part, seq) - 1 AS rn, count(*) OVER (PARTITION BY trail) AS n FROM piece) WHERE rn = n // 2),
 p AS (SELECT pt.id AS k, CASE WHEN nation = 11 THEN 'pin' || pt.id ELSE {_SLUG} END AS id, name, x, y, nation, c_acctbal > 0 AS walk FROM pt JOIN customer ON c_custkey = pt.id WHERE pt.id % 6 <> 0 AND (kind, name) NOT IN (SELECT kind, name FROM gone)
  UNION ALL SELECT NULL, 'customer' || {_SLUG}, name, x, y, NULL, true FROM tr),
@@ -104,9 +104,9 @@ def built_places(spark, sf):
     areas = measures.segments(V.polygons(spark, sf), ["id", "ring"], ("name",)).withColumnsRenamed({"id": "fid", "name": "owner"})
     new = V.table(spark, sf, "supplier").where("s_nationkey = 1").select(F.concat(F.lit("new"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("name"), V.place_x(F.col("s_suppkey")).alias("x"), V.place_y(F.col("s_suppkey")).alias("y"), F.array(F.lit("spot")).alias("categories"), links.alias("links"))
     by_id = lambda c: ident.select("id", F.col("c_custkey"), F.col("c_nationkey")).where(c)
-    pins = customer.where("c_nationkey = 11").select(F.col("c_mktsegment").alias("slug"), F.col("c_name").alias("name"), F.concat(F.lit("pin"), k.cast("string")).alias("id"))
+    pins = customer.where("c_nationkey = 11").select(F.col("c_mktsegment").alias("slug"), F.col("c_name").alias("name"), k.alias("pos"), F.concat(F.lit("pin"), k.cast("string")).alias("id"))
     owner = V.table(spark, sf, "supplier").agg(F.min("s_suppkey").alias("s_suppkey")).first()[0]
-    trail_rows = places.trail_features(trails.trail_pieces(_segment_layer(spark, sf), _named_segments(spark, sf).where("nth % 40 = 1")).withColumn("trail", F.concat(F.lit("Trail "), F.col("trail").cast("string"))), "trails", ["trail", "walk"])
+    trail_rows = places.trail_features(trails.trail_pieces(_segment_layer(spark, sf), _named_segments(spark, sf)).withColumn("trail", F.concat(F.lit("Trail "), F.col("trail").cast("string"))), "trails", ["trail", "walk"])
     plans = V.table(spark, sf, "nation").select(F.concat(F.lit("/plan/"), F.col("n_nationkey").cast("string")).alias("href"), F.array(F.col("n_name"), F.lit("attic")).alias("floors")).where("href like '%2'")
     pages = F.array(F.struct(F.lit("none").alias("label"), F.lit("/other").alias("href")), F.struct(F.lit("plan").alias("label"), F.concat(F.lit("/plan/"), F.col("c_nationkey").cast("string")).alias("href")))
     features = features.join(customer.select(k.alias("pos"), pages.alias("own_links")), "pos").withColumn("links", F.col("own_links")).drop("own_links")
@@ -120,12 +120,12 @@ def built_places(spark, sf):
         patches=of(5).select("id", F.lit("name").alias("field"), F.concat(F.lit("House "), k.cast("string")).alias("value"), F.lit(1).alias("pos")),
         anchors=of(7).select("id", (V.place_x(k) + 0.001).alias("x"), V.place_y(k).alias("y"), F.lit(1).alias("pos")),
         additions=new,
-        rules={"categories": ["walk"], "shared": ["no fires", "no boats"], "swaps": of(9).select("id", F.lit("no boats").alias("rule"), F.lit("boats").alias("instead")), "link": ("Rules", "https://rules")},
+        rules={"categories": ["walk"], "shared": ["no fires", "no boats"], "swaps": of(9).select("id", F.lit("no boats").alias("rule"), F.lit("boats").alias("instead")).distinct(), "link": ("Rules", "https://rules")},
         trails=trail_rows,
         pinned=pins,
         parts=V.table(spark, sf, "nation").select(F.concat(F.lit("part"), F.col("n_nationkey").cast("string")).alias("id"), F.col("n_name").alias("name"), F.lit(-93.2).alias("x"), F.lit(44.4).alias("y"), F.array(F.lit("walk")).alias("categories"), links.alias("links")),
-        parents=by_id("c_nationkey = 13").select("id", F.lit(owner).alias("parent")),
-        walks=(by_id("c_nationkey = 15").select(F.col("id").alias("target"), F.lit("guide").alias("value")), "walk"),
+        parents=by_id("c_nationkey = 13").select("id", F.lit(owner).alias("parent")).distinct(),
+        walks=(by_id("c_nationkey = 15").select(F.col("id").alias("target"), F.lit("guide").alias("value")).distinct(), "walk"),
         floors=plans,
     )
     return got.select("id", "name", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "parent", F.array_join("rules", "|").alias("rules"), "walk", F.array_join("floors", "|").alias("floors"))
