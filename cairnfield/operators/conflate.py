@@ -99,25 +99,54 @@ def patched(rows: DataFrame, patches: DataFrame, fields: list[str]) -> DataFrame
     return rows.join(wide, "id", "left").select(*rest, *[F.when(F.col(f"_{f}").isNotNull(), F.col(f"_{f}.value")).otherwise(F.col(f)).alias(f) for f in fields])
 
 
-def merged_pieces(vertices: DataFrame, reach_m: float, rounds: int = 100) -> DataFrame:
+#: Rounds by the lowest corners end when they grow no more and settle less than this part of what is left.
+FEW_JOIN = 20
+
+
+def _by_first_ones(corners: DataFrame, joined: DataFrame, reach_m: float) -> DataFrame:
+    """(id, root): pieces whose corners (id, name, x, y) lie within reach of a corner of a lower piece that has joined (id, name, root, x, y: its corners). Of the joined ones only the lowest of each small cell is looked at, so some may be missed."""
+    from .grid import _point_boxes, _this_side, box_cells, dealt, metres, point_cells
+
+    # the cells in which the lowest are told are half as wide as those in which they are looked up
+    first = point_cells(joined, reach_m / 2).groupBy("name", "cx", "cy").agg(F.min(F.struct("id", "x", "y", "root")).alias("r"))
+    held = _point_boxes(first.select("name", F.col("r.id").alias("a"), F.col("r.x").alias("bx"), F.col("r.y").alias("by"), F.col("r.root").alias("root")), "bx", "by")
+    met = dealt(point_cells(corners, reach_m), box_cells(held, reach_m), ["name", "cx", "cy"]).where("a < id").withColumn("bx", F.col("bx") + F.col("shift"))
+    # the corner is the centre; a hair less than the reach, as the outline is measured otherwise
+    sure = _this_side(F.col("bx") - F.col("x")) & (metres(F.col("x"), F.col("y"), F.col("bx"), F.col("by")) <= reach_m * (1 - 1e-9))
+    return met.where(sure).groupBy("id").agg(F.min("root").alias("root"))
+
+
+def merged_pieces(vertices: DataFrame, reach_m: float, rounds: int = 1000) -> DataFrame:
     """(id, root): pieces of one name that join the first piece of that name, in the order of their ids.
 
     vertices: id, name, ring, seq, x, y. A piece joins if one of its corners
     lies within reach of what has joined before it; others stay apart, as their
     own root. As only earlier pieces count, a piece joins if a chain of rising
     ids leads to it from the first, which rounds of joins find for all names at once.
+
+    The lowest corners of small cells settle most pieces of a dense name, round
+    by round; when they bring few more, what is left is compared with the
+    outlines of all lower pieces of its name.
     """
     from ..storage import cut
     from .grid import within_polygons
     from .measures import segments
 
-    names = vertices.groupBy("id").agg(F.first("name").alias("name"))
-    corners = vertices.withColumn("corner", F.struct("id", "ring", "seq"))
-    shapes = segments(vertices, ["id", "ring"]).withColumnRenamed("id", "fid")
-    met = within_polygons(corners.select(F.col("corner").alias("id"), "x", "y"), shapes.select("fid", "ring", "x0", "y0", "x1", "y1"), reach_m)
-    pairs = met.select(F.col("fid").alias("a"), F.col("id.id").alias("b")).where("a < b").distinct()
-    pairs = cut(pairs.join(names.select(F.col("id").alias("a"), "name"), "a").join(names.select(F.col("id").alias("b"), F.col("name").alias("other")), "b").where("name <=> other").select("a", "b"))
+    # a name that is missing is a name as well
+    v = cut(vertices.select("id", F.coalesce(F.concat(F.lit("="), F.col("name").cast("string")), F.lit("")).alias("name"), "ring", "seq", "x", "y"))
+    names = v.groupBy("id").agg(F.first("name").alias("name"))
+    v = cut(v.drop("name").join(names, "id"))
+    corners = v.select("id", "name", "x", "y").distinct()
     joined = cut(names.groupBy("name").agg(F.min("id").alias("id")).select("id", F.col("id").alias("root")))
+    left, n, before = cut(corners.join(joined.select("id"), "id", "left_anti")), 1, 0
+    # most rounds bring more than the one before, or a good part of what is left
+    while n and (n >= before or n * FEW_JOIN > left.select("id").distinct().count()):
+        new, before = cut(_by_first_ones(left, corners.join(joined, "id"), reach_m)), n
+        n = new.count()
+        joined, left = cut(joined.unionByName(new)), cut(left.join(new.select("id"), "id", "left_anti"))
+    shapes = segments(v, ["id", "ring"], ("name",)).withColumnRenamed("id", "fid")
+    met = within_polygons(left.select(F.struct("id", "x", "y").alias("id"), "name", "x", "y"), shapes, reach_m, ("name",))
+    pairs = cut(met.select(F.col("fid").alias("a"), F.col("id.id").alias("b")).where("a < b").distinct())
     front = joined
     for _ in range(rounds):
         new = front.join(pairs, F.col("id") == F.col("a")).groupBy("b").agg(F.min("root").alias("root")).withColumnRenamed("b", "id")
