@@ -40,11 +40,24 @@ def named_first(label: Column, name: Column) -> Column:
     return F.startswith(slug(label), slug(name))
 
 
-def preferred(points: DataFrame, near: DataFrame, areas: DataFrame) -> DataFrame:
-    """(id, parent): for each point (id, label) the one of its near areas (id, fid, m) that its label names first, else the nearest; ties to the lower fid. areas: fid, name."""
-    met = near.join(points.select("id", "label"), "id").join(areas.select("fid", "name"), "fid")
-    unnamed = F.when(named_first(F.col("label"), F.col("name")), 0).otherwise(1)
-    return met.groupBy("id").agg(F.min(F.struct(unnamed.alias("u"), "m", "fid")).alias("t")).select("id", F.col("t.fid").alias("parent"))
+def preferred_within(points: DataFrame, segments: DataFrame, areas: DataFrame, reach_m: float) -> DataFrame:
+    """(id, parent): for each point (id, x, y, label) the one of the areas within reach that its label names first, else the nearest; ties to the lower fid. segments: fid, ring, x0, y0, x1, y1; areas: fid, name.
+
+    Not all pairs within reach are made: a point meets the areas whose names its
+    label begins with, and looks for the nearest one.
+    """
+    sides = segments.select("fid", "ring", "x0", "y0", "x1", "y1").join(areas.select("fid").distinct(), "fid", "left_semi")
+    names = cut(areas.select("fid", slug(F.col("name")).alias("key")).where("key is not null").distinct())
+    # a label begins with a name if its first letters, as many as the name has, are the name; names have a few dozen lengths at most
+    lengths = sorted(r[0] for r in names.select(F.length("key")).distinct().collect())
+    starts = F.transform(F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length("_label")), lambda n: F.substring("_label", F.lit(1), n)) if lengths else F.array().cast("array<string>")
+    spots = points.select("id", "x", "y", slug(F.col("label")).alias("_label")).select("id", "x", "y", F.explode(starts).alias("key"))
+    # with its key an id or an area is there once, however many names fit or an area has
+    own = lambda c: F.struct(c, "key").alias(c)
+    met = grid.within_polygons(spots.select(own("id"), "key", "x", "y"), sides.join(names, "fid").select(own("fid"), "key", "ring", "x0", "y0", "x1", "y1"), reach_m, ("key",))
+    named = met.groupBy("id.id").agg(F.min(F.struct("m", "fid.fid")).alias("t")).select("id", F.col("t.fid").alias("named"))
+    near = grid.nearest_area(points, sides, reach_m)
+    return near.join(named, "id", "left").select("id", F.coalesce("named", "fid").alias("parent"))
 
 
 def entrances_of(entrances: DataFrame) -> DataFrame:
@@ -148,8 +161,7 @@ def built(features: DataFrame, superseded: DataFrame, areas: DataFrame, reach_m:
         by = ["slug", "name", *(c for c in ("pos",) if c in pinned.columns)]
         places, fixed = places.join(pinned.select(*by, F.col("id").alias("pin")), by, "left"), "pin"
     places = conflate.assign_ids(places, prefix, F.col("name"), "pos", fixed)
-    near = grid.within_polygons(places.select("id", "x", "y"), areas.select("fid", "ring", "x0", "y0", "x1", "y1"), reach_m)
-    parent = near.groupBy("id").agg(F.min(F.struct("m", "fid")).alias("t")).select("id", F.col("t.fid").alias("parent"))
+    parent = grid.nearest_area(places, areas, reach_m).select("id", F.col("fid").alias("parent"))
     places = places.join(parent, "id", "left")
     if parents is not None:
         places = places.join(parents.select("id", F.col("parent").alias("set")), "id", "left").withColumn("parent", F.coalesce("set", "parent")).drop("set")
